@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions import classified, sigmoid
 from ..sources.state import cut
-from .skew import lookup
 
 # Learning rate, positive label, ensemble methods.
 DELTA = 0.002
@@ -115,8 +114,9 @@ def train_gradient(
 
     All instances of one value of `by` train one model together. Every round is
     joins and sums: features meet their weights, scores are added up per
-    document, errors per feature. From the third round on the weights are
-    written to the session's shared folder first, as each is read twice.
+    document, errors per feature. Between rounds the weights are written to the
+    session's shared folder: each is read twice, and against a stored table AQE
+    can split the occurrences of a feature that most documents have.
     """
     if rounds < 1:
         raise ValueError("rounds must be at least 1")
@@ -132,9 +132,8 @@ def train_gradient(
 
     # no weights yet: every probability is one half
     weights = steps(rows.withColumn("_e", F.col("_y") - 0.5))
-    for i in range(1, rounds):
-        if i > 1:
-            weights = cut(weights, "weights")
+    for _ in range(1, rounds):
+        weights = cut(weights, "weights")
         doc = [*by, "doc_id"]
         parts = _matched(rows.select(*doc, "features"), weights, doc, keys)
         scores = parts.groupBy(*doc).agg(F.sum("_part").alias("_s"))
@@ -152,31 +151,25 @@ def _matched(
     carry: Sequence[str],
     keys: Sequence[str] = ("feature",),
 ) -> DataFrame:
-    """One row per document and known feature with the feature's share of the score.
-
-    Occurrences are counted in each task first; a feature that is in most
-    documents is then spread over many tasks by doc_id.
-    """
+    """One row per document, known feature and model with its part of the score."""
     counted = (
         instances.select(*carry, F.explode("features").alias("feature"))
         .groupBy(*carry, "feature")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    met = lookup(counted, weights, keys, ["doc_id"])
-    if "models" in weights.columns:
-        met = met.select("*", F.explode("models").alias("_m")).select(
-            *carry, F.col("_m.model").alias("model"), "_n", F.col("_m.weight").alias("weight")
-        )
-        carry = [*carry, "model"]
-    return met.select(*carry, (F.col("_n") * F.col("weight")).alias("_part"))
+    part = (F.col("_n") * F.col("weight")).alias("_part")
+    model = [] if "model" in carry or "model" not in weights.columns else ["model"]
+    return counted.join(weights, list(keys)).select(*carry, *model, part)
 
 
 def score(instances: DataFrame, model: DataFrame) -> DataFrame:
-    """(doc_id, label, model, score) for every document and model; unknown features add 0."""
-    packed = model.groupBy("feature").agg(
-        F.collect_list(F.struct("model", "weight")).alias("models")
-    )
-    known = _matched(instances, packed, ["doc_id", "label"])
+    """(doc_id, label, model, score) for every document and model; unknown features add 0.
+
+    Occurrences are counted per document first. The model joins as it is:
+    broadcast if Spark finds it small, else shuffled, where AQE splits a hot
+    feature as long as the model is a stored table.
+    """
+    known = _matched(instances, model, ["doc_id", "label"])
     # one zero per document and model, so that a document without any known
     # feature has its score too; the list is as long as there are models
     names = model.agg(F.collect_set("model")).scalar()

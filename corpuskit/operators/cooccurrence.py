@@ -5,44 +5,70 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import with_key_totals
+from .skew import PIECE, default_pieces, piece_of, with_key_totals
 from .text_stats import vocab_words
 
 # Entries per stripe row; a word with more partners gets several rows.
 STRIPE_ENTRIES = 4096
 
 
+# Ids are handed out separately in this many groups of words.
+ID_GROUPS = 1 << 12
+
+
+def _numbered(parts: DataFrame, min_count: int) -> DataFrame:
+    """(word, piece, id, df, first) for words in at least min_count lines.
+
+    The id is the word's rank in its hash group, times the number of groups,
+    plus the group: unique, the same on every run, and no task ranks all words.
+    `first` marks one row per word.
+    """
+    in_group = Window.partitionBy("_group").orderBy("word")
+    of_word = Window.partitionBy("_group", "word")
+    rank = F.dense_rank().over(in_group).cast("bigint")
+    return (
+        parts.withColumn("_group", F.xxhash64("word").bitwiseAND(F.lit(ID_GROUPS - 1)))
+        .withColumn("id", rank * ID_GROUPS + F.col("_group"))
+        .withColumn("df", F.sum("_n").over(of_word))
+        .withColumn("first", F.col(PIECE) == F.min(PIECE).over(of_word))
+        .filter(F.col("df") >= min_count)
+        .select("word", PIECE, "id", "df", "first")
+    )
+
+
 def _unordered_counts(lines: DataFrame, min_count: int, cap: int, line: str) -> DataFrame:
-    """(x, y, n, df_x, df_y) with x < y and n >= min_count.
+    """(x, y, n, df_x, df_y), each unordered pair once, with n >= min_count.
 
     A pair occurs in no more lines than either word, so words below `min_count`
-    leave before pairing, which changes no result. A line holds at most `cap`
-    words, hence a bounded number of pairs, and each pair is counted in each
-    task before the shuffle.
+    leave before pairing, which changes no result. Pairs are counted as two
+    numbers and become words again when only the frequent ones are left. A line
+    holds at most `cap` words, hence a bounded number of pairs, and each task
+    counts its pairs before the shuffle.
+
+    The occurrences are shuffled once, by word and a piece of the line number,
+    so that a word in most lines is spread over the cluster. Counts and join
+    below both read that shuffle.
     """
-    occurring = vocab_words(lines, cap, line)
-    kept = with_key_totals(
-        occurring,
-        ["word"],
-        ["docno"],
-        {"df": F.count("docno")},
-        having=F.col("df") >= min_count,
-    )
-    by_line = kept.groupBy("docno").agg(
-        F.sort_array(F.collect_list(F.struct("word", "df"))).alias("ws")
-    )
+    occurring = vocab_words(lines, cap, line).filter(F.col("word").isNotNull())
+    piece = piece_of(["docno"], default_pieces(lines)).alias(PIECE)
+    cut = occurring.select("docno", "word", piece).repartition("word", PIECE)
+    parts = cut.groupBy("word", PIECE).agg(F.count("docno").alias("_n"))
+    numbered = _numbered(parts, min_count)
+    ids = numbered.select("word", PIECE, "id")
+    kept = cut.join(ids, ["word", PIECE]).select("docno", "id")
+    by_line = kept.groupBy("docno").agg(F.sort_array(F.collect_list("id")).alias("ws"))
     firsts = by_line.select("ws", F.posexplode("ws").alias("i", "x"))
     rest = F.slice("ws", F.col("i") + 2, F.size("ws"))
-    pairs = firsts.select("x", F.explode(rest).alias("y"))
-    return (
-        pairs.groupBy(F.col("x.word").alias("x"), F.col("y.word").alias("y"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max("x.df").alias("df_x"),
-            F.max("y.df").alias("df_y"),
-        )
+    counts = (
+        firsts.select("x", F.explode(rest).alias("y"))
+        .groupBy("x", "y")
+        .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") >= min_count)
     )
+    names = numbered.filter("first").select("id", "word", "df")
+    x, y = (names.toDF(side, f"_{side}", f"df_{side}") for side in ("x", "y"))
+    named = counts.join(x, "x").join(y, "y")
+    return named.select(F.col("_x").alias("x"), F.col("_y").alias("y"), "n", "df_x", "df_y")
 
 
 def _mirrored(pairs: DataFrame, *carry: str) -> DataFrame:

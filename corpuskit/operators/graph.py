@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .skew import lookup
+from ..sources.state import cut
 
 # Out-edges per piece of a node; only nodes with more are cut.
 PIECE_EDGES = 100_000
@@ -58,17 +58,23 @@ class Graph:
 
 
 def prepare(nodes: DataFrame, edges: DataFrame, piece_edges: int = PIECE_EDGES) -> Graph:
-    """Collapse parallel edges, weigh them, and cut the out-edges of hubs into pieces."""
+    """Collapse parallel edges, weigh them, and cut the out-edges of hubs into pieces.
+
+    The few facts per node are written to the session's shared folder. As a
+    stored table they are shuffled for each join, so AQE can split the edges of
+    a node that many others point to.
+    """
     pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_m"))
     out = pairs.groupBy("src").agg(F.sum("_m").alias("_deg"), F.count("dst").alias("_fan"))
     pieces = F.greatest(F.ceil(F.col("_fan") / F.lit(piece_edges)), F.lit(1)).cast("int")
-    facts = nodes.join(out, nodes["node"] == out["src"], "left").select(
+    per_node = nodes.join(out, nodes["node"] == out["src"], "left").select(
         "node", "_deg", F.coalesce(pieces, F.lit(1)).alias("pieces")
     )
+    facts = cut(per_node, "nodes")
     into = facts.select(F.col("node").alias("dst"), F.col("pieces").alias("dst_pieces"))
-    known = lookup(pairs, into, ["dst"], ["src"])
+    known = pairs.join(into, "dst")
     outof = facts.select(F.col("node").alias("src"), "_deg", "pieces")
-    links = lookup(known, outof, ["src"], ["dst"]).select(
+    links = known.join(outof, "src").select(
         "src",
         F.pmod(F.xxhash64("dst"), F.col("pieces")).cast("int").alias("piece"),
         "dst",

@@ -77,41 +77,125 @@ def boolean_query(postings: DataFrame, rpn: str) -> DataFrame:
     )
 
 
-def _matches(tokens: Column, present: Column) -> Column:
-    """Evaluate postfix tokens against the terms present in a document."""
+# Bits of one 64-bit number in use, for the terms of a document or for a stack.
+BITS = 62
 
-    def step(stack: Column, token: Column) -> Column:
+_AND_CODE, _OR_CODE = -1, -2
+
+
+def _coded(queries: DataFrame) -> DataFrame:
+    """(query_id, rpn, terms, codes): codes are term positions, -1 for AND, -2 for OR."""
+    tokens = F.split(F.trim("rpn"), r"\s+")
+    operators = F.array(F.lit(AND), F.lit(OR), F.lit(""))
+
+    def code(token: Column) -> Column:
+        position = F.array_position("terms", token).cast("int") - 1
+        return F.when(token == AND, _AND_CODE).when(token == OR, _OR_CODE).otherwise(position)
+
+    return queries.select(
+        "query_id",
+        "rpn",
+        tokens.alias("_tokens"),
+        F.array_except(F.array_distinct(tokens), operators).alias("terms"),
+    ).select("query_id", "rpn", "terms", F.transform("_tokens", code).alias("codes"))
+
+
+def _checked(coded: DataFrame) -> DataFrame:
+    """With `depth`, the deepest stack a query needs, and `kind`; a malformed query raises.
+
+    kind is the operator of a query that has only one and uses all its operands,
+    None for any other.
+    """
+    state = F.aggregate(
+        "codes",
+        F.struct(F.lit(0).alias("n"), F.lit(0).alias("depth"), F.lit(False).alias("short")),
+        lambda s, c: F.struct(
+            F.when(c >= 0, s["n"] + 1).otherwise(s["n"] - 1).alias("n"),
+            F.greatest(s["depth"], s["n"] + 1).alias("depth"),
+            (s["short"] | ((c < 0) & (s["n"] < 2))).alias("short"),
+        ),
+    )
+    bad = F.col("_s.short") | (F.col("_s.n") < 1)
+    message = F.concat(F.lit("malformed query: "), F.col("rpn"))
+    has_and = F.array_contains("codes", F.lit(_AND_CODE))
+    has_or = F.array_contains("codes", F.lit(_OR_CODE))
+    uniform = (F.col("_s.n") == 1) & ~(has_and & has_or)
+    return coded.withColumn("_s", state).select(
+        "query_id",
+        "terms",
+        F.when(bad, F.raise_error(message)).otherwise(F.col("codes")).alias("codes"),
+        F.col("_s.depth").alias("depth"),
+        F.when(uniform, F.when(has_and, F.lit(AND)).otherwise(F.lit(OR))).alias("kind"),
+    )
+
+
+def _holds(masks: list[Column], depth: int) -> Column:
+    """Whether a document with these term masks matches the query's codes.
+
+    A query of one operator needs a look at the masks only. Others run on a
+    stack of booleans, kept in the bits of a number as long as `depth` allows.
+    """
+
+    def present(c: Column) -> Column:
+        mask = masks[0] if len(masks) == 1 else F.get(F.array(*masks), (c / BITS).cast("int"))
+        return F.getbit(mask, F.pmod(c, F.lit(BITS))).cast("bigint")
+
+    def on_bits(stack: Column, c: Column) -> Column:
+        a, b = stack.bitwiseAND(F.lit(1)), F.shiftright(stack, 1).bitwiseAND(F.lit(1))
+        result = F.when(c == _AND_CODE, a.bitwiseAND(b)).otherwise(a.bitwiseOR(b))
+        below = F.shiftleft(F.shiftright(stack, 2), 1)
+        pushed = F.shiftleft(stack, 1).bitwiseOR(present(c))
+        return F.when(c >= 0, pushed).otherwise(below.bitwiseOR(result))
+
+    def on_array(stack: Column, c: Column) -> Column:
         n = F.size(stack)
         a, b = F.element_at(stack, n - 1), F.element_at(stack, n)
-        result = F.when(token == AND, a & b).otherwise(a | b)
+        result = F.when(c == _AND_CODE, a.bitwiseAND(b)).otherwise(a.bitwiseOR(b))
         applied = F.concat(F.slice(stack, F.lit(1), n - 2), F.array(result))
-        too_few = F.raise_error(F.concat(token, F.lit(" needs two operands"))).cast("array<boolean>")
-        return (
-            F.when(~token.isin(AND, OR), F.concat(stack, F.array(F.array_contains(present, token))))
-            .when(n < 2, too_few)
-            .otherwise(applied)
-        )
-
-    start = F.array().cast("array<boolean>")
-    return F.aggregate(tokens, start, step, lambda stack: F.element_at(stack, -1))
+        return F.when(c >= 0, F.concat(stack, F.array(present(c)))).otherwise(applied)
+
+    if depth <= BITS:
+        top = F.aggregate("codes", F.lit(0).cast("bigint"), on_bits).bitwiseAND(F.lit(1))
+    else:
+        empty = F.array().cast("array<bigint>")
+        top = F.aggregate("codes", empty, on_array, lambda stack: F.element_at(stack, -1))
+    n_present = sum((F.bit_count(m) for m in masks[1:]), F.bit_count(masks[0]))
+    return (
+        F.when(F.col("kind") == OR, F.lit(True))
+        .when(F.col("kind") == AND, n_present == F.size("terms"))
+        .otherwise(top == 1)
+    )
 
 
 def boolean_query_batch(postings: DataFrame, queries: DataFrame) -> DataFrame:
     """(query_id, docno) for a whole table of queries (query_id, rpn) at once.
 
-    The query terms meet the postings in one join, and a group (query, document)
-    never holds more than the terms of that query.
+    The query terms meet the postings in one join. Which terms of a query a
+    document has is then one bit each, put together by a plain aggregation with
+    partial results in every task. The number of masks follows the longest query
+    and is looked up first, together with the stack depth.
     """
-    tokens = F.split(F.trim("rpn"), r"\s+")
-    wanted = queries.select("query_id", "rpn", F.explode(F.array_distinct(tokens)).alias("term"))
-    wanted = wanted.filter(~F.col("term").isin(AND, OR))
-    return (
+    coded = _checked(_coded(queries))
+    mixed_depth = F.max(F.when(F.col("kind").isNull(), F.col("depth")))
+    size = coded.agg(F.max(F.size("terms")), F.coalesce(mixed_depth, F.lit(0))).first()
+    masks = range(((size[0] or 1) - 1) // BITS + 1)
+    wanted = coded.select("query_id", F.posexplode("terms").alias("_i", "term"))
+    place = F.pmod("_i", F.lit(BITS)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+    mine = (F.col("_i") / BITS).cast("int")
+
+    def mask(m: int) -> Column:
+        bits = F.bit_or(F.when(F.col("_m") == m, F.col("_bit")))
+        return F.coalesce(bits, F.lit(0).cast("bigint")).alias(f"_mask{m}")
+
+    found = (
         postings.join(wanted, "term")
-        .groupBy("query_id", "rpn", "docno")
-        .agg(F.collect_set("term").alias("_present"))
-        .filter(_matches(tokens, F.col("_present")))
-        .select("query_id", "docno")
+        .select("query_id", "docno", mine.alias("_m"), bit.alias("_bit"))
+        .groupBy("query_id", "docno")
+        .agg(*[mask(m) for m in masks])
     )
+    matched = _holds([F.col(f"_mask{m}") for m in masks], size[1])
+    return found.join(coded, "query_id").filter(matched).select("query_id", "docno")
 
 
 def fetch(hits: DataFrame, docs: DataFrame, width: int = 80, line: str = "line") -> DataFrame:

@@ -1,9 +1,13 @@
-"""Joins and per-key totals that stay balanced when one key holds much of the data.
+"""Per-key totals that stay balanced when one key holds much of the data.
 
 A key is cut into pieces by a hash of other columns of the row. Totals are taken
 per piece and then over the pieces of a key, of which there are never more than
 `pieces`, and are joined back on (key, piece). No task sees all rows of a key,
 nothing is broadcast by force and no row is dropped.
+
+Plain joins need none of this where both sides are shuffled for the join: there
+AQE splits a skewed partition by itself. It cannot where a side is the result of
+an aggregation on the same key, which is the case these totals are for.
 """
 
 from __future__ import annotations
@@ -53,22 +57,3 @@ def with_key_totals(
     if having is not None:
         whole = whole.filter(having)
     return cut.join(whole, [*keys, PIECE]).drop(PIECE)
-
-
-def lookup(
-    rows: DataFrame,
-    dimension: DataFrame,
-    keys: Sequence[str],
-    spread_by: Sequence[str],
-    pieces: int | None = None,
-) -> DataFrame:
-    """Inner join of `rows` to a table that is unique on `keys`, safe for hot keys.
-
-    The (key, piece) combinations that occur are resolved against the dimension
-    first, at most `pieces` rows per key, and the rows then join on (key, piece).
-    """
-    keys = list(keys)
-    n = pieces or default_pieces(rows)
-    cut = rows.withColumn(PIECE, piece_of(spread_by, n))
-    resolved = cut.select(*keys, PIECE).distinct().join(dimension, keys)
-    return cut.join(resolved, [*keys, PIECE]).drop(PIECE)

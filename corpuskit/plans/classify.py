@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import operators as op
+from ..sources import cut
 from .tables import SQL_INSTANCES, labelled
 
 SEEDS = range(10)
@@ -15,6 +16,11 @@ def _rounded(df, column):
     return df.withColumn(column, F.round(column, PLACES))
 
 
+def _stored(spark, sf):
+    """The instances as a stored table, which training and scoring read several times."""
+    return cut(labelled(spark, sf), "instances")
+
+
 def _models(instances, rounds=2):
     """(model, feature, weight), a model per language."""
     by_language = instances.withColumnRenamed("lang", "model")
@@ -22,8 +28,8 @@ def _models(instances, rounds=2):
 
 
 def _exact_scores(spark, sf):
-    instances = labelled(spark, sf)
-    return op.score(instances, _models(instances))
+    instances = _stored(spark, sf)
+    return op.score(instances, cut(_models(instances), "model"))
 
 
 def _scores(spark, sf):
@@ -40,12 +46,12 @@ def _one_round(spark, sf):
 
 
 def _two_rounds(spark, sf):
-    return _rounded(_models(labelled(spark, sf)), "weight")
+    return _rounded(_models(_stored(spark, sf)), "weight")
 
 
 def _union(spark, sf):
     """One model on the union of the languages' training sets, made by a union of the four."""
-    instances = labelled(spark, sf)
+    instances = _stored(spark, sf)
     sets = [instances.filter(F.col("lang") == lang) for lang in ("de", "en", "es", "fr")]
     return _rounded(op.train_gradient(op.union_sets(*sets), 2), "weight")
 
@@ -68,9 +74,9 @@ def _sharded(spark, sf):
 
 def _shuffled_quality(spark, sf):
     """Mean 1-ROCA% over ten shuffled orders, all trained in one job."""
-    instances = labelled(spark, sf)
+    instances = _stored(spark, sf)
     models = op.train_sharded(instances, seeds=list(SEEDS), shard_instances=1000)
-    scored = op.score(instances, models).withColumn("run", F.split("model", ":")[0])
+    scored = op.score(instances, cut(models, "model")).withColumn("run", F.split("model", ":")[0])
     per_run = scored.groupBy("run", "doc_id", "label").agg(F.avg("score").alias("score"))
     return op.mean_over_runs(op.one_minus_roca(per_run, ["run"]))
 

@@ -33,21 +33,28 @@ def _index(spark, sf):
 
 
 def _benchmark_queries(spark, sf):
-    """Two postfix queries per benchmark item: all of its tokens, and any of them."""
-    tokens = load_texts(spark, sf, "benchmark").select(
+    """Three postfix queries per benchmark item: all of its tokens, any of them, and
+    any of the later ones together with the first."""
+    tokens = load_texts(spark, sf, "benchmark", "item_id").select(
         "item_id", F.array_distinct(tokenize("text")).alias("t")
     )
 
-    def joined(operator: str):
-        rest = F.slice("t", F.lit(2), F.size("t"))
-        return F.concat_ws(
-            " ",
-            F.col("t")[0],
-            F.array_join(F.transform(rest, lambda w: F.concat(w, F.lit(f" {operator}"))), " "),
-        )
-
-    kinds = F.create_map(F.lit("all"), joined("AND"), F.lit("any"), joined("OR"))
-    rows = tokens.filter(F.size("t") > 0).select("item_id", F.explode(kinds).alias("kind", "rpn"))
+    def joined(words, operator: str):
+        rest = F.slice(words, F.lit(2), F.size(words))
+        each = F.transform(rest, lambda w: F.concat(w, F.lit(f" {operator}")))
+        return F.concat_ws(" ", words[0], F.array_join(each, " "))
+
+    later = F.slice("t", F.lit(2), F.size("t"))
+    with_first = F.concat_ws(" ", joined(later, "OR"), F.col("t")[0], F.lit("AND"))
+    kinds = F.create_map(
+        F.lit("all"),
+        joined(F.col("t"), "AND"),
+        F.lit("any"),
+        joined(F.col("t"), "OR"),
+        F.lit("mixed"),
+        with_first,
+    )
+    rows = tokens.filter(F.size("t") > 1).select("item_id", F.explode(kinds).alias("kind", "rpn"))
     return rows.select(
         F.concat_ws("-", "item_id", "kind").alias("query_id"), F.trim("rpn").alias("rpn")
     )
@@ -122,14 +129,17 @@ FROM postings""",
 (({_docs('the')} INTERSECT {_docs('and')}) UNION ({_docs('ciudad')} UNION {_docs('mente')}))
 INTERSECT {_docs('de')}""",
     "bool_query_batch": f"""WITH {SQL_POSTINGS},
-wanted AS ({sql_benchmark_terms()}),
-sized AS (SELECT item_id, count(*) AS n_terms FROM wanted GROUP BY item_id),
+listed AS ({sql_benchmark_terms()}),
+wanted AS (
+  SELECT item_id, t[1] AS head, unnest(t) AS term, len(t) AS n_terms FROM listed WHERE len(t) > 1),
 hits AS (
-  SELECT item_id, docno, count(*) AS n FROM wanted JOIN postings USING (term)
-  GROUP BY item_id, docno)
+  SELECT item_id, docno, any_value(n_terms) AS n_terms, count(*) AS n, bool_or(term = head) AS has_head
+  FROM wanted JOIN postings USING (term) GROUP BY item_id, docno)
 SELECT item_id || '-any' AS query_id, docno FROM hits
 UNION ALL
-SELECT item_id || '-all' AS query_id, docno FROM hits JOIN sized USING (item_id) WHERE n = n_terms""",
+SELECT item_id || '-all' AS query_id, docno FROM hits WHERE n = n_terms
+UNION ALL
+SELECT item_id || '-mixed' AS query_id, docno FROM hits WHERE has_head AND n > 1""",
     "bool_snippets": f"""WITH {SQL_POSTINGS}
 SELECT doc_id AS docno,
   CASE WHEN length(text) > 80 THEN substring(text, 1, 80) || '...' ELSE text END AS snippet

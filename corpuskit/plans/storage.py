@@ -26,7 +26,7 @@ def _parallelism(spark) -> int:
 def _offsets(spark, sf):
     """Lines written as text and read with offsets: lines and bytes over all files."""
     path = fresh_path(spark, "lines")
-    load_texts(spark, sf, "documents").select("text").write.text(path)
+    load_texts(spark, sf, "documents", "doc_id").select("text").write.text(path)
     read = read_lines_with_offset(spark, path)
     end = F.col("docno") + F.octet_length("line") + 1
     files = read.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.max(end).alias("end"))

@@ -17,23 +17,23 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def load_texts(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A table with long texts. Only input with fewer splits than cores is spread out."""
+def load_texts(spark: SparkSession, sf_dir: str, table: str, key: str) -> DataFrame:
+    """A table with long texts. Only input with fewer splits than cores is spread out, by key."""
     df = load(spark, sf_dir, table)
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(docno, line), every line of every document."""
-    docs = load_texts(spark, sf_dir, "documents")
+    docs = load_texts(spark, sf_dir, "documents", "doc_id")
     parts = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
     return parts.select((F.col("doc_id") * LINES_PER_DOC + F.col("i")).alias("docno"), "line")
 
 
 def whole_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(docno, line) with a whole document as one line."""
-    docs = load_texts(spark, sf_dir, "documents")
+    docs = load_texts(spark, sf_dir, "documents", "doc_id")
     return docs.select(F.col("doc_id").alias("docno"), F.col("text").alias("line"))
 
 
@@ -64,7 +64,7 @@ def graph_sources(nodes: DataFrame) -> list[int]:
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, lang, label, features): toxic documents are spam, all tokens are features."""
-    docs = load_texts(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = load_texts(spark, sf_dir, "documents", "doc_id").select("doc_id", "lang", "text")
     labels = load(spark, sf_dir, "labels").select("doc_id", "toxic")
     label = F.when(F.col("toxic") == 1, F.lit("spam")).otherwise(F.lit("ham")).alias("label")
     return docs.join(labels, "doc_id").select("doc_id", "lang", label, tokenize("text").alias("features"))
@@ -127,4 +127,10 @@ counted AS (
 
 
 def sql_benchmark_terms() -> str:
-    return f"""SELECT item_id, unnest(list_distinct({_token_list('text')})) AS term FROM benchmark"""
+    """(item_id, t): the distinct tokens of each item in order of first appearance."""
+    return f"""SELECT item_id, list(term ORDER BY i) AS t FROM (
+    SELECT item_id, term, min(i) AS i FROM (
+      SELECT item_id, unnest(ws) AS term, generate_subscripts(ws, 1) AS i
+      FROM (SELECT item_id, {_token_list('text')} AS ws FROM benchmark))
+    GROUP BY item_id, term)
+  GROUP BY item_id"""
