@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import adjacent_pairs, tokenize
-from .cooccurrence import STRIPE_ENTRIES, stripes
+from .cooccurrence import STRIPE_ENTRIES, stripes, with_fanout
 from .skew import with_key_totals
 
 
@@ -15,12 +15,9 @@ def bigram_counts(lines: DataFrame, line: str = "line") -> DataFrame:
     pairs = lines.select(tokenize(line).alias("t")).select(
         F.explode(adjacent_pairs("t")).alias("p")
     )
-    return pairs.groupBy("p.w1", "p.w2").agg(F.count(F.lit(1)).alias("n"))
-
-
-def _frequencies(counts: DataFrame) -> DataFrame:
-    with_total = with_key_totals(counts, ["w1"], ["w2"], {"_left": F.sum("n")})
-    return with_total.select("w1", "w2", (F.col("n") / F.col("_left")).alias("value"))
+    # never NULL; said once, so that all readers of the counts share one shuffle
+    pairs = pairs.select("p.w1", "p.w2").filter(F.col("w1").isNotNull())
+    return pairs.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"))
 
 
 def bigram_relfreq(lines: DataFrame, marginals: bool = True, line: str = "line") -> DataFrame:
@@ -30,7 +27,8 @@ def bigram_relfreq(lines: DataFrame, marginals: bool = True, line: str = "line")
     cannot be '*', since words begin with a letter.
     """
     counts = bigram_counts(lines, line)
-    relative = _frequencies(counts)
+    with_total = with_key_totals(counts, ["w1"], ["w2"], {"_left": F.sum("n")})
+    relative = with_total.select("w1", "w2", (F.col("n") / F.col("_left")).alias("value"))
     if not marginals:
         return relative
     left = counts.groupBy("w1").agg(F.sum("n").cast("double").alias("value"))
@@ -41,4 +39,6 @@ def bigram_stripes(
     lines: DataFrame, line: str = "line", max_entries: int = STRIPE_ENTRIES
 ) -> DataFrame:
     """(w1, part, stripe) with the relative frequencies of w1's followers."""
-    return stripes(bigram_relfreq(lines, marginals=False, line=line), "value", max_entries)
+    counts = with_fanout(bigram_counts(lines, line), {"_left": F.sum("n")})
+    relative = counts.withColumn("value", F.col("n") / F.col("_left"))
+    return stripes(relative, "value", max_entries)

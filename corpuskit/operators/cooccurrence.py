@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .skew import PIECE, default_pieces, piece_of, with_key_totals
@@ -103,21 +103,23 @@ def pmi_pairs(
     return _mirrored(scored, "pmi")
 
 
-def stripes(
-    pairs: DataFrame, value: str, max_entries: int = STRIPE_ENTRIES
-) -> DataFrame:
-    """(w1, part, stripe) where stripe maps w2 to the value.
+def with_fanout(pairs: DataFrame, totals: dict[str, Column] | None = None) -> DataFrame:
+    """Pairs with `fanout`, the number of partners of w1, and any further totals per w1."""
+    return with_key_totals(pairs, ["w1"], ["w2"], {"fanout": F.count("w2"), **(totals or {})})
+
+
+def stripes(pairs: DataFrame, value: str, max_entries: int = STRIPE_ENTRIES) -> DataFrame:
+    """(w1, part, stripe) where stripe maps w2 to the value, from pairs `with_fanout`.
 
     Words with up to `max_entries` partners have one row, part 0. Others are cut
     by a hash of w2 into about that many entries per row, so that no map and no
     task holds all partners of a very frequent word.
     """
-    sized = with_key_totals(pairs, ["w1"], ["w2"], {"_fanout": F.count("w2")})
-    parts = F.ceil(F.col("_fanout") / F.lit(max_entries))
+    parts = F.ceil(F.col("fanout") / F.lit(max_entries))
     part = F.pmod(F.xxhash64("w2"), parts).cast("int")
     entries = F.sort_array(F.collect_list(F.struct("w2", value)))
     return (
-        sized.withColumn("part", part)
+        pairs.withColumn("part", part)
         .groupBy("w1", "part")
         .agg(F.map_from_entries(entries).alias("stripe"))
     )
@@ -131,7 +133,7 @@ def pmi_stripes(
     max_entries: int = STRIPE_ENTRIES,
 ) -> DataFrame:
     """PMI as one map of partners per word, see `stripes`."""
-    return stripes(pmi_pairs(lines, min_count, cap, line), "pmi", max_entries)
+    return stripes(with_fanout(pmi_pairs(lines, min_count, cap, line)), "pmi", max_entries)
 
 
 def stripe_rows(striped: DataFrame, value: str) -> DataFrame:

@@ -24,8 +24,11 @@ def postings(docs: DataFrame, line: str = "line", docno: str = "docno") -> DataF
     )
 
 
-def _segment(segment_size: int):
-    return F.expr(f"docno div {int(segment_size)}").alias("segment")
+def _segmented(postings: DataFrame, segment_size: int) -> DataFrame:
+    # never NULL; said once, so that all readers of a list share one shuffle
+    return postings.withColumn("segment", F.expr(f"docno div {int(segment_size)}")).filter(
+        F.col("term").isNotNull() & F.col("segment").isNotNull()
+    )
 
 
 def _lists(postings: DataFrame, segment_size: int) -> DataFrame:
@@ -36,7 +39,8 @@ def _lists(postings: DataFrame, segment_size: int) -> DataFrame:
     segment, and join back on (term, segment), where the lists already are.
     """
     lists = (
-        postings.groupBy("term", _segment(segment_size))
+        _segmented(postings, segment_size)
+        .groupBy("term", "segment")
         .agg(F.sort_array(F.collect_list(F.struct("docno", "tf"))).alias("postings"))
     )
     ends = lists.select(
@@ -97,7 +101,8 @@ def postings_table(postings: DataFrame, segment_size: int = SEGMENT_SIZE) -> Dat
     """(term, segment, cells) with cells a map docno -> tf; a repeated cell is summed."""
     cells = postings.groupBy("term", "docno").agg(F.sum("tf").cast("int").alias("tf"))
     return (
-        cells.groupBy("term", _segment(segment_size))
+        _segmented(cells, segment_size)
+        .groupBy("term", "segment")
         .agg(
             F.map_from_entries(F.sort_array(F.collect_list(F.struct("docno", "tf")))).alias("cells")
         )

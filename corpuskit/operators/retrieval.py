@@ -100,11 +100,11 @@ def _coded(queries: DataFrame) -> DataFrame:
     ).select("query_id", "rpn", "terms", F.transform("_tokens", code).alias("codes"))
 
 
-def _checked(coded: DataFrame) -> DataFrame:
-    """With `depth`, the deepest stack a query needs, and `kind`; a malformed query raises.
+def _described(coded: DataFrame) -> DataFrame:
+    """With `depth`, the deepest stack a query needs, `kind`, and whether it is `bad`.
 
     kind is the operator of a query that has only one and uses all its operands,
-    None for any other.
+    None for any other. bad queries are empty or lack operands.
     """
     state = F.aggregate(
         "codes",
@@ -115,15 +115,16 @@ def _checked(coded: DataFrame) -> DataFrame:
             (s["short"] | ((c < 0) & (s["n"] < 2))).alias("short"),
         ),
     )
-    bad = F.col("_s.short") | (F.col("_s.n") < 1)
-    message = F.concat(F.lit("malformed query: "), F.col("rpn"))
+    bad = F.col("_s.short") | (F.col("_s.n") < 1) | (F.trim("rpn") == "")
     has_and = F.array_contains("codes", F.lit(_AND_CODE))
     has_or = F.array_contains("codes", F.lit(_OR_CODE))
     uniform = (F.col("_s.n") == 1) & ~(has_and & has_or)
     return coded.withColumn("_s", state).select(
         "query_id",
+        "rpn",
         "terms",
-        F.when(bad, F.raise_error(message)).otherwise(F.col("codes")).alias("codes"),
+        "codes",
+        bad.alias("bad"),
         F.col("_s.depth").alias("depth"),
         F.when(uniform, F.when(has_and, F.lit(AND)).otherwise(F.lit(OR))).alias("kind"),
     )
@@ -173,12 +174,18 @@ def boolean_query_batch(postings: DataFrame, queries: DataFrame) -> DataFrame:
     The query terms meet the postings in one join. Which terms of a query a
     document has is then one bit each, put together by a plain aggregation with
     partial results in every task. The number of masks follows the longest query
-    and is looked up first, together with the stack depth.
+    and is looked up first, together with the stack depth; a malformed query
+    raises ValueError then.
     """
-    coded = _checked(_coded(queries))
-    mixed_depth = F.max(F.when(F.col("kind").isNull(), F.col("depth")))
-    size = coded.agg(F.max(F.size("terms")), F.coalesce(mixed_depth, F.lit(0))).first()
-    masks = range(((size[0] or 1) - 1) // BITS + 1)
+    coded = _described(_coded(queries))
+    facts = coded.agg(
+        F.max(F.size("terms")).alias("terms"),
+        F.max(F.when(F.col("kind").isNull(), F.col("depth"))).alias("depth"),
+        F.min(F.when(F.col("bad"), F.col("rpn"))).alias("bad"),
+    ).first()
+    if facts["bad"] is not None:
+        raise ValueError(f"malformed query: {facts['bad']!r}")
+    masks = range(((facts["terms"] or 1) - 1) // BITS + 1)
     wanted = coded.select("query_id", F.posexplode("terms").alias("_i", "term"))
     place = F.pmod("_i", F.lit(BITS)).cast("int")
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
@@ -194,7 +201,7 @@ def boolean_query_batch(postings: DataFrame, queries: DataFrame) -> DataFrame:
         .groupBy("query_id", "docno")
         .agg(*[mask(m) for m in masks])
     )
-    matched = _holds([F.col(f"_mask{m}") for m in masks], size[1])
+    matched = _holds([F.col(f"_mask{m}") for m in masks], facts["depth"] or 0)
     return found.join(coded, "query_id").filter(matched).select("query_id", "docno")
 
 

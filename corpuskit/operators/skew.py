@@ -43,12 +43,12 @@ def with_key_totals(
 
     `totals` maps an output column to an aggregate that can be summed over parts
     (a count or a sum). `having` filters on the totals, which drops the rows of
-    the other keys. The rows are shuffled once, by (key, piece), and that same
-    shuffle feeds both the totals and the join.
+    the other keys. Totals are partly added up before their shuffle; the rows
+    themselves move only if the totals are too many to broadcast.
     """
     keys = list(keys)
     n = pieces or default_pieces(df)
-    cut = df.withColumn(PIECE, piece_of(spread_by, n)).repartition(*keys, PIECE)
+    cut = df.withColumn(PIECE, piece_of(spread_by, n))
     parts = cut.groupBy(*keys, PIECE).agg(*[agg.alias(c) for c, agg in totals.items()])
     over_key = Window.partitionBy(*keys)
     whole = parts.select(

@@ -13,7 +13,7 @@ PLACES = 9
 
 def _start(spark, sf):
     nodes, edges = purchases(spark, sf)
-    return nodes, edges, graph_sources(nodes)
+    return nodes, edges, graph_sources(spark, sf, nodes)
 
 
 def _rounded(ranks, column="mass"):

@@ -56,10 +56,12 @@ def purchases(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return nodes, items.join(buyers, "l_orderkey").select("src", "dst")
 
 
-def graph_sources(nodes: DataFrame) -> list[int]:
-    """The lowest and the highest node; the highest has no out-edges."""
-    ends = nodes.agg(F.min("node").alias("a"), F.max("node").alias("b")).first()
-    return [ends["a"], ends["b"]]
+def graph_sources(spark: SparkSession, sf_dir: str, nodes: DataFrame) -> list[int]:
+    """The lowest node of each brand, and the highest node, which has no out-edges."""
+    part = load(spark, sf_dir, "part").join(nodes, F.col("p_partkey") == F.col("node"))
+    lowest = part.groupBy("p_brand").agg(F.min("node").alias("source")).select("source")
+    highest = nodes.agg(F.max("node").alias("source"))
+    return [row["source"] for row in lowest.union(highest).collect()]
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +116,9 @@ edges AS (
   SELECT o_custkey AS src, l_partkey AS dst
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   WHERE o_custkey IN (SELECT node FROM nodes)),
-sources AS (SELECT min(node) AS source FROM nodes UNION SELECT max(node) FROM nodes)"""
+sources AS (
+  SELECT min(p_partkey) AS source FROM part WHERE p_brand <> 'Brand#11' GROUP BY p_brand
+  UNION SELECT max(node) FROM nodes)"""
 
 SQL_INSTANCES = f"""instances AS (
   SELECT doc_id, lang, CASE WHEN toxic = 1 THEN 'spam' ELSE 'ham' END AS label,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Column order of the .tbl files.
 TBL_SCHEMAS = {
@@ -35,12 +36,13 @@ TBL_SCHEMAS = {
 
 
 def read_tbl(spark: SparkSession, directory: str, table: str) -> DataFrame:
-    """Typed table from <directory>/<table>.tbl. The delimiter after the last field is ignored."""
-    return spark.read.csv(
-        f"{directory}/{table}.tbl",
-        schema=TBL_SCHEMAS[table],
-        sep="|",
-        quote="",
-        mode="FAILFAST",
-        enforceSchema=True,
+    """Typed table from <directory>/<table>.tbl.
+
+    Fields have no quoting, and one more delimiter after the last is ignored. A
+    field that is used and does not parse is an error; unused ones are not parsed.
+    """
+    fields = F.split("value", r"\|")
+    columns = [c.rsplit(" ", 1) for c in TBL_SCHEMAS[table].split(", ")]
+    return spark.read.text(f"{directory}/{table}.tbl").select(
+        *[fields[i].cast(kind).alias(name) for i, (name, kind) in enumerate(columns)]
     )
