@@ -60,11 +60,11 @@ class Graph:
 def prepare(nodes: DataFrame, edges: DataFrame, piece_edges: int = PIECE_EDGES) -> Graph:
     """Collapse parallel edges, weigh them, and cut the out-edges of hubs into pieces.
 
-    The few facts per node are written to the session's shared folder. As a
-    stored table they are shuffled for each join, so AQE can split the edges of
-    a node that many others point to.
+    The collapsed edges and the few facts per node are written to the session's
+    shared folder, as each is read several times. Between stored tables AQE can
+    also split the edges of a node that many others point to.
     """
-    pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_m"))
+    pairs = cut(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_m")), "pairs")
     out = pairs.groupBy("src").agg(F.sum("_m").alias("_deg"), F.count("dst").alias("_fan"))
     pieces = F.greatest(F.ceil(F.col("_fan") / F.lit(piece_edges)), F.lit(1)).cast("int")
     per_node = nodes.join(out, nodes["node"] == out["src"], "left").select(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..sources.state import cut
@@ -25,19 +25,33 @@ def _source_list(sources: Iterable[int]) -> list[int]:
     return unique
 
 
+def _found(nodes: DataFrame, sources: Iterable[int]) -> list[Row]:
+    """The node rows of the sources; reads back no more rows than the given list has."""
+    wanted = _source_list(sources)
+    rows = nodes.filter(F.col("node").isin(wanted)).distinct().collect()
+    unknown = sorted(set(wanted) - {row["node"] for row in rows})
+    if unknown:
+        raise ValueError(f"sources that are no nodes: {unknown}")
+    return rows
+
+
 def ppr_init(nodes: DataFrame, sources: Iterable[int]) -> DataFrame:
     """(node, source, mass): all mass of a source on the source itself.
 
-    A source that is no node raises ValueError. The check reads back at most the
-    given list.
+    A source that is no node raises ValueError.
     """
-    wanted = _source_list(sources)
-    at_source = nodes.filter(F.col("node").isin(wanted)).select("node").distinct()
-    found = {row["node"] for row in at_source.collect()}
-    unknown = [s for s in wanted if s not in found]
-    if unknown:
-        raise ValueError(f"sources that are no nodes: {unknown}")
-    return at_source.select("node", F.col("node").alias("source"), F.lit(1.0).alias("mass"))
+    rows = [(r["node"], r["node"], 1.0) for r in _found(nodes.select("node"), sources)]
+    id_type = nodes.schema["node"].dataType.simpleString()
+    schema = f"node {id_type}, source {id_type}, mass double"
+    return nodes.sparkSession.createDataFrame(rows, schema)
+
+
+def _home(graph: Graph, sources: Iterable[int]) -> DataFrame:
+    """The initial ranks with the number of pieces of each node."""
+    rows = [(r["node"], r["node"], 1.0, r["pieces"]) for r in _found(graph.nodes, sources)]
+    id_type = graph.nodes.schema["node"].dataType.simpleString()
+    schema = f"node {id_type}, source {id_type}, mass double, pieces int"
+    return graph.nodes.sparkSession.createDataFrame(rows, schema)
 
 
 def _with_pieces(ranks: DataFrame, graph: Graph) -> DataFrame:
@@ -87,11 +101,13 @@ def _iterate(ranks: DataFrame, home: DataFrame, graph: Graph, alpha: float) -> D
     )
     jumps = home.select("node", "source", F.lit(0.0).alias("m"), F.lit(1).alias("jump"), "pieces")
     mass = (1.0 - alpha) * F.sum("m") + alpha * F.max("jump")
+    # every node has pieces; asking keeps the column in the last iteration too,
+    # so that all iterations of a plan read the same shuffle of the links
     return (
         sent.unionByName(jumps)
         .groupBy("node", "source")
         .agg(mass.alias("mass"), F.max("pieces").alias("pieces"))
-        .filter(F.col("mass") > 0)
+        .filter((F.col("mass") > 0) & (F.col("pieces") > 0))
     )
 
 
@@ -107,9 +123,10 @@ def personalized_pagerank(
     """(node, source, mass) after iterations start .. iterations-1.
 
     With `save_to`, every state goes to <save_to>/iterNNNN (iter0000 the initial
-    one) and a later call with `start` goes on from such a state. Without it,
-    longer runs write the links once and the ranks every `cut_every` iterations
-    to the session's shared folder; shorter ones are a single plan.
+    one) and a later call with `start` goes on from such a state. Otherwise the
+    ranks are written to the session's shared folder every `cut_every`
+    iterations. The links are written there first if more than one iteration
+    reads them.
     """
     spark = graph.nodes.sparkSession
 
@@ -118,16 +135,17 @@ def personalized_pagerank(
 
     if iterations < start:
         raise ValueError("iterations must not be below start")
-    initial = ppr_init(graph.nodes, sources)
     if start and not save_to:
         raise ValueError("start needs save_to, where the earlier states are")
-    ranks = spark.read.parquet(path(start)) if start else initial
-    if save_to and not start:
-        ranks = cut(ranks, "ranks", path(0))
-    if save_to or iterations - start > cut_every:
+    home = _home(graph, sources)
+    if iterations - start > 1:
         graph = Graph(graph.nodes, cut(graph.links, "links"))
-    home = _with_pieces(initial, graph)
-    ranks = _with_pieces(ranks, graph)
+    if start:
+        ranks = _with_pieces(spark.read.parquet(path(start)), graph)
+    else:
+        ranks = home
+        if save_to:
+            ranks = cut(ranks, "ranks", path(0))
     for i in range(start + 1, iterations + 1):
         ranks = _iterate(ranks, home, graph, alpha)
         if save_to:

@@ -8,7 +8,9 @@ from .. import operators as op
 from .tables import SQL_GRAPH, graph_sources, purchases
 
 ITERATIONS = 3
-PLACES = 9
+
+# Below this, mass is what is left of sums that should be zero.
+NOTHING = 1e-12
 
 
 def _start(spark, sf):
@@ -16,8 +18,18 @@ def _start(spark, sf):
     return nodes, edges, graph_sources(spark, sf, nodes)
 
 
-def _rounded(ranks, column="mass"):
-    return ranks.withColumn(column, F.round(column, PLACES))
+def single(ranks, column="mass"):
+    """Mass in single precision, so that the order of additions does not show.
+
+    Decimal places would not do: 0.85 shared out by halves often ends in a 5.
+    """
+    mass = F.col(column).cast("float").cast("double")
+    return ranks.withColumn(column, F.when(F.col(column) < NOTHING, 0.0).otherwise(mass))
+
+
+def _sql_single(column: str) -> str:
+    return f"""CASE WHEN {column} < {NOTHING} THEN 0.0::DOUBLE
+    ELSE CAST(CAST({column} AS FLOAT) AS DOUBLE) END"""
 
 
 def ranks_after(spark, sf, iterations=ITERATIONS, **more):
@@ -34,7 +46,7 @@ def _stepped(spark, sf):
 
 
 def _missing(spark, sf):
-    return _rounded(op.missing_mass(*_stepped(spark, sf)), "missing")
+    return single(op.missing_mass(*_stepped(spark, sf)), "missing")
 
 
 def _init(spark, sf):
@@ -43,7 +55,7 @@ def _init(spark, sf):
 
 
 def _top(spark, sf):
-    return op.top_k(_rounded(ranks_after(spark, sf)), 10).select("source", "rank", "node", "mass")
+    return op.top_k(single(ranks_after(spark, sf)), 10).select("source", "rank", "node", "mass")
 
 
 QUERIES = {
@@ -51,9 +63,9 @@ QUERIES = {
     "missing_targets": lambda spark, sf: op.missing_targets(*purchases(spark, sf)),
     "message_counts": lambda spark, sf: op.message_counts(*purchases(spark, sf)),
     "ppr_init": _init,
-    "ppr_step": lambda spark, sf: _rounded(_stepped(spark, sf)[0]),
+    "ppr_step": lambda spark, sf: single(_stepped(spark, sf)[0]),
     "ppr_missing": _missing,
-    "ppr_3_iterations": lambda spark, sf: _rounded(ranks_after(spark, sf)),
+    "ppr_3_iterations": lambda spark, sf: single(ranks_after(spark, sf)),
     "ppr_top_k": _top,
 }
 
@@ -92,7 +104,7 @@ def _sql_missing(name: str, stepped: str) -> str:
 
 _STEP = f"{sql_ranks(1)},\n{_sql_step('stepped', 'r1')}"
 _RANKS = f"""WITH {sql_ranks(ITERATIONS)},
-ranks AS (SELECT node, source, round(mass, {PLACES}) AS mass FROM r{ITERATIONS})"""
+ranks AS (SELECT node, source, {_sql_single('mass')} AS mass FROM r{ITERATIONS})"""
 
 ORACLES = {
     "graph_stats": f"""WITH {SQL_GRAPH}
@@ -105,10 +117,10 @@ SELECT count(*) AS mass_messages,
   count(DISTINCT dst) FILTER (dst NOT IN (SELECT node FROM nodes)) AS missing_structure FROM edges""",
     "ppr_init": f"""WITH {SQL_GRAPH}
 SELECT source AS node, source, CAST(1 AS DOUBLE) AS mass FROM sources""",
-    "ppr_step": f"WITH {_STEP} SELECT node, source, round(mass, {PLACES}) AS mass FROM stepped",
+    "ppr_step": f"WITH {_STEP} SELECT node, source, {_sql_single('mass')} AS mass FROM stepped",
     "ppr_missing": f"""WITH {_STEP},
 {_sql_missing('missed', 'stepped')}
-SELECT source, round(missing, {PLACES}) AS missing FROM missed""",
+SELECT source, {_sql_single('missing')} AS missing FROM missed""",
     "ppr_3_iterations": f"{_RANKS} SELECT node, source, mass FROM ranks",
     "ppr_top_k": f"""{_RANKS}
 SELECT source, rank, node, mass FROM (

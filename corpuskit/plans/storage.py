@@ -73,8 +73,7 @@ def _resumed_ranks(spark, sf):
     """Two iterations saved, and the third one from the saved state."""
     path = fresh_path(spark, "states")
     graph.ranks_after(spark, sf, 2, save_to=path)
-    ranks = graph.ranks_after(spark, sf, 3, start=2, save_to=path)
-    return ranks.withColumn("mass", F.round("mass", graph.PLACES))
+    return graph.single(graph.ranks_after(spark, sf, 3, start=2, save_to=path))
 
 
 QUERIES = {
