@@ -1,7 +1,15 @@
 """DataFrame operators."""
 
 from .bigrams import bigram_counts, bigram_relfreq, bigram_stripes
-from .classifier import classify, ensemble, score, train_gradient, train_sharded, union_sets
+from .classifier import (
+    average_models,
+    classify,
+    ensemble,
+    score,
+    train_gradient,
+    train_sharded,
+    union_sets,
+)
 from .cooccurrence import (
     pair_counts,
     pmi_pairs,
@@ -31,6 +39,7 @@ from .text_stats import line_df, line_total, prefix_count, top_prefixes, vocab_w
 
 __all__ = [
     "Graph",
+    "average_models",
     "bigram_counts",
     "bigram_relfreq",
     "bigram_stripes",

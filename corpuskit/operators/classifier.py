@@ -73,7 +73,7 @@ def train_sharded(
     Online training depends on the order, so one model cannot be trained in
     parallel. The instances are therefore spread over shards by a hash of
     doc_id, each gives its own model in one streaming pass with memory for that
-    model only, and `ensemble` puts the models together. By default there are as
+    model only, and `average_models` puts them together. By default there are as
     many shards as keep each near `shard_instances`; shards=1 trains a single
     model, for data that fits one task.
 
@@ -107,6 +107,22 @@ def train_sharded(
     )
 
 
+def average_models(models: DataFrame, name: Column | str = "model") -> DataFrame:
+    """(model, feature, weight): the models of each name as one, their mean weights.
+
+    A score is linear in the weights, so this one model scores what the models
+    score on average, without scoring every document with every shard's model.
+    """
+    named = models.select(
+        (F.col(name) if isinstance(name, str) else name).alias("name"), "model", "feature", "weight"
+    )
+    sizes = named.select("name", "model").distinct().groupBy("name")
+    sums = named.groupBy("name", "feature").agg(F.sum("weight").alias("_sum"))
+    return sums.join(sizes.agg(F.count(F.lit(1)).alias("_n")), "name").select(
+        F.col("name").alias("model"), "feature", (F.col("_sum") / F.col("_n")).alias("weight")
+    )
+
+
 def train_gradient(
     instances: DataFrame, rounds: int, delta: float = DELTA, by: Sequence[str] = ()
 ) -> DataFrame:

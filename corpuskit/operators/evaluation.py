@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .classifier import SPAM
-from .skew import default_pieces
+
+# Score ranges that are sorted separately.
+BUCKETS = 256
 
 
 def one_minus_roca(
-    scores: DataFrame, by: Sequence[str] = (), buckets: int | None = None
+    scores: DataFrame, by: Sequence[str] = (), buckets: int = BUCKETS
 ) -> DataFrame:
     """(by..., n_spam, n_ham, one_minus_roca); ties between spam and ham count half.
 
@@ -22,12 +24,11 @@ def one_minus_roca(
     Any split gives the exact result; quantiles only balance the work.
     """
     by = list(by)
-    n_buckets = buckets or 4 * default_pieces(scores)
     spam = (F.col("label") == SPAM).cast("bigint")
     levels = scores.groupBy(*by, "score").agg(
         F.sum(spam).alias("_p"), F.sum(1 - spam).alias("_n")
     )
-    marks = [i / n_buckets for i in range(1, n_buckets)]
+    marks = [i / buckets for i in range(1, buckets)]
     splits = levels.agg(F.percentile_approx("score", marks)).scalar()
     at = levels.withColumn("_splits", splits)
     bucketed = at.withColumn(

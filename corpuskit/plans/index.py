@@ -9,8 +9,8 @@ from ..functions import tokenize
 from ..sources import cut
 from .tables import SQL_POSTINGS, load_texts, sql_benchmark_terms, whole_documents
 
-# Small segments, so that frequent terms have several at any size.
-SEGMENT = 64
+# Documents per index segment; even the smaller tables have more than one.
+SEGMENT = 512
 
 RPN = "the and AND ciudad mente OR OR de AND"
 

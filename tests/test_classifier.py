@@ -61,6 +61,15 @@ def test_default_number_of_shards_follows_the_data(spark):
     assert names == {"0", "1", "2"}
 
 
+def test_average_model_scores_the_average(spark):
+    instances = spark.createDataFrame(many(), SCHEMA)
+    models = op.train_sharded(instances, shards=3).persist()
+    mean = op.average_models(models, F.lit("all"))
+    expected = {r.doc_id: r.score for r in op.ensemble(op.score(instances, models), "average").collect()}
+    got = {r.doc_id: r.score for r in op.score(instances, mean).collect()}
+    assert got == pytest.approx(expected, abs=1e-12)
+
+
 def test_seeds_shuffle_and_repeat(spark):
     instances = spark.createDataFrame(many(), SCHEMA)
     one = op.train_sharded(instances, shards=1, seeds=[1, 2])
