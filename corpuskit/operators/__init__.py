@@ -12,6 +12,7 @@ from .classifier import (
 )
 from .cooccurrence import (
     pair_counts,
+    pair_totals,
     pmi_pairs,
     pmi_stripes,
     stripe_rows,
@@ -66,6 +67,7 @@ __all__ = [
     "one_minus_roca",
     "orders_per_nation",
     "pair_counts",
+    "pair_totals",
     "parts_suppliers",
     "personalized_pagerank",
     "pmi_pairs",

@@ -53,7 +53,8 @@ def _learn(batches: Iterator[pd.DataFrame], delta: float) -> Iterator[pd.DataFra
                     yield learned()
                 name, weights = model, {}
             score = sum(weights.get(f, 0.0) for f in features)
-            step = (is_spam - 1.0 / (1.0 + math.exp(-score))) * delta
+            # beyond 700 the probability is zero in any case and exp would overflow
+            step = (is_spam - 1.0 / (1.0 + math.exp(min(-score, 700.0)))) * delta
             for f in features:
                 weights[f] = weights.get(f, 0.0) + step
     if weights:

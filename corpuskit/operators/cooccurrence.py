@@ -141,6 +141,14 @@ def stripe_rows(striped: DataFrame, value: str) -> DataFrame:
     return striped.select("w1", F.explode("stripe").alias("w2", value))
 
 
+def pair_totals(pairs: DataFrame) -> DataFrame:
+    """One row: n_ordered pairs (w1, w2) and n_unordered, half of them."""
+    return pairs.agg(
+        F.count(F.lit(1)).alias("n_ordered"),
+        F.count(F.when(F.col("w1") < F.col("w2"), 1)).alias("n_unordered"),
+    )
+
+
 def top_pmi(pmi: DataFrame, n: int) -> DataFrame:
     """The n ordered pairs with the highest PMI, ties by w1, w2."""
     return pmi.orderBy(F.desc("pmi"), "w1", "w2").limit(n)

@@ -5,18 +5,32 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import operators as op
+from ..functions import tokenize
 from ..sources import (
+    read_instances,
     read_lines,
     read_lines_with_offset,
+    read_model,
     read_tbl,
+    repartition_graph,
     write_index,
     write_keyed_table,
+    write_model,
     write_text,
 )
 from ..sources.state import fresh_path
 from ..sources.tables import TBL_SCHEMAS
 from . import graph, index, reports, text
-from .tables import SQL_LINES, document_lines, load, load_texts, whole_documents
+from .tables import (
+    SQL_GRAPH,
+    SQL_INSTANCES,
+    SQL_LINES,
+    document_lines,
+    load,
+    load_texts,
+    purchases,
+    whole_documents,
+)
 
 
 def _parallelism(spark) -> int:
@@ -76,6 +90,40 @@ def _resumed_ranks(spark, sf):
     return graph.single(graph.ranks_after(spark, sf, 3, start=2, save_to=path))
 
 
+def _length_instances(spark, sf):
+    """Labelled documents with the lengths of their tokens as features, by way of a text file."""
+    path = fresh_path(spark, "instances")
+    docs = load_texts(spark, sf, "documents", "doc_id").select("doc_id", "text")
+    rows = docs.join(load(spark, sf, "labels"), "doc_id").select(
+        F.col("doc_id").cast("string").alias("doc_id"),
+        F.when(F.col("toxic") == 1, F.lit("spam")).otherwise(F.lit("ham")).alias("label"),
+        F.array_join(F.transform(tokenize("text"), lambda w: F.length(w).cast("string")), " "),
+    )
+    write_text(rows, path, sep=" ")
+    return read_instances(spark, path)
+
+
+def _instances_text(spark, sf):
+    rows = _length_instances(spark, sf).select("doc_id", "label", F.explode("features").alias("feature"))
+    return rows.groupBy("doc_id", "label", "feature").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _model_text(spark, sf):
+    path = fresh_path(spark, "model")
+    write_model(op.train_gradient(_length_instances(spark, sf), 1), path)
+    return read_model(spark, path, "lengths").withColumn("weight", F.round("weight", 9))
+
+
+def _repartitioned(spark, sf):
+    nodes, edges = purchases(spark, sf)
+    n = _parallelism(spark)
+    return repartition_graph(edges, n, "src").unionByName(
+        repartition_graph(nodes.select(F.col("node").alias("src")), n, "src", by_range=True).select(
+            "src", F.lit(None).cast("bigint").alias("dst")
+        )
+    )
+
+
 QUERIES = {
     "lines_with_offset": _offsets,
     "text_sink": _text_sink,
@@ -83,8 +131,17 @@ QUERIES = {
     "index_files": _index_files,
     "keyed_table": _keyed_table,
     "ppr_resumed": _resumed_ranks,
+    "instances_text": _instances_text,
+    "model_text": _model_text,
+    "graph_repartitioned": _repartitioned,
 }
 
+_LENGTHS = f"""{SQL_INSTANCES},
+lengths AS (
+  SELECT CAST(doc_id AS VARCHAR) AS doc_id, label, CAST(length(feature) AS INTEGER) AS feature,
+         CAST(sum(n) AS BIGINT) AS n
+  FROM counted GROUP BY ALL)"""
+
 ORACLES = {
     "lines_with_offset": f"""WITH {SQL_LINES}
 SELECT count(*) AS n_lines, CAST(sum(strlen(line) + 1) AS BIGINT) AS n_bytes FROM lines""",
@@ -93,4 +150,12 @@ SELECT count(*) AS n_lines, CAST(sum(strlen(line) + 1) AS BIGINT) AS n_bytes FRO
     "index_files": index.ORACLES["bool_query"],
     "keyed_table": index.ORACLES["postings_table"],
     "ppr_resumed": graph.ORACLES["ppr_3_iterations"],
+    "instances_text": f"WITH {_LENGTHS} SELECT doc_id, label, feature, n FROM lengths",
+    "model_text": f"""WITH {_LENGTHS}
+SELECT 'lengths' AS model, feature,
+  round(sum((CASE WHEN label = 'spam' THEN 0.5::DOUBLE ELSE -0.5::DOUBLE END) * n)
+    * CAST(0.002 AS DOUBLE), 9) AS weight
+FROM lengths GROUP BY feature""",
+    "graph_repartitioned": f"""WITH {SQL_GRAPH}
+SELECT src, dst FROM edges UNION ALL SELECT node, NULL FROM nodes""",
 }

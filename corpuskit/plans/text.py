@@ -51,9 +51,13 @@ QUERIES = {
     "word_count": lambda spark, sf: op.word_count(document_lines(spark, sf)),
     "prefix_count": lambda spark, sf: op.prefix_count(document_lines(spark, sf)),
     "top_prefixes": lambda spark, sf: op.top_prefixes(document_lines(spark, sf), 3),
+    "one_prefix": lambda spark, sf: op.prefix_count(document_lines(spark, sf)).filter(
+        F.col("prefix") == "li"
+    ),
     "line_total": lambda spark, sf: op.line_total(document_lines(spark, sf)),
     "word_line_df": lambda spark, sf: op.line_df(document_lines(spark, sf)),
     "pair_counts": lambda spark, sf: op.pair_counts(document_lines(spark, sf)),
+    "pair_totals": lambda spark, sf: op.pair_totals(op.pair_counts(document_lines(spark, sf))),
     "pmi_pairs": _pmi,
     "pmi_stripes": _pmi_stripes,
     "top_pmi": lambda spark, sf: op.top_pmi(_pmi(spark, sf), 20),
@@ -77,9 +81,12 @@ ORACLES = {
     "word_count": f"WITH {SQL_TOKENS} SELECT word, count(*) AS n FROM tokens GROUP BY word",
     "prefix_count": f"WITH {_PREFIXES} SELECT prefix, n FROM prefixes",
     "top_prefixes": f"WITH {_PREFIXES} SELECT prefix, n FROM prefixes ORDER BY n DESC, prefix LIMIT 3",
+    "one_prefix": f"WITH {_PREFIXES} SELECT prefix, n FROM prefixes WHERE prefix = 'li'",
     "line_total": f"WITH {SQL_LINES} SELECT count(*) AS n_lines FROM lines",
     "word_line_df": f"WITH {SQL_VOCAB} SELECT word, count(*) AS df FROM vocab GROUP BY word",
     "pair_counts": f"WITH {_PMI} SELECT w1, w2, n FROM pairs",
+    "pair_totals": f"""WITH {_PMI}
+SELECT count(*) AS n_ordered, count(*) // 2 AS n_unordered FROM pairs""",
     "pmi_pairs": f"WITH {_PMI} SELECT w1, w2, pmi FROM pmi",
     "pmi_stripes": f"WITH {_PMI} SELECT w1, w2, pmi FROM pmi",
     "top_pmi": f"WITH {_PMI} SELECT w1, w2, pmi FROM pmi ORDER BY pmi DESC, w1, w2 LIMIT 20",

@@ -80,6 +80,12 @@ def test_seeds_shuffle_and_repeat(spark):
     assert first["1:0", 0] != first["2:0", 0]
 
 
+def test_very_low_scores_do_not_overflow(spark):
+    rows = [("a", "ham", [1] * 2000 + [2]), ("b", "spam", [1] * 2_000), ("c", "spam", [1] * 700_000)]
+    model = op.train_sharded(spark.createDataFrame(rows, SCHEMA), shards=1, delta=2.0)
+    assert all(math.isfinite(w) for w in weights(model).values())
+
+
 def gradient(rows, rounds, delta=0.002):
     w = {}
     for _ in range(rounds):
