@@ -62,8 +62,10 @@ def prepare(nodes: DataFrame, edges: DataFrame, piece_edges: int = PIECE_EDGES)
 
     The collapsed edges and the few facts per node are written to the session's
     shared folder, as each is read several times. Between stored tables AQE can
-    also split the edges of a node that many others point to.
+    also split the edges of a node that many others point to. A node listed
+    twice raises ValueError.
     """
+    check_nodes(nodes)
     pairs = cut(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_m")), "pairs")
     out = pairs.groupBy("src").agg(F.sum("_m").alias("_deg"), F.count("dst").alias("_fan"))
     pieces = F.greatest(F.ceil(F.col("_fan") / F.lit(piece_edges)), F.lit(1)).cast("int")

@@ -41,6 +41,8 @@ def test_duplicate_node(tables):
     op.check_nodes(tables()[0])
     with pytest.raises(ValueError, match="node 2"):
         op.check_nodes(tables([1, 2, 2])[0])
+    with pytest.raises(ValueError, match="node 2"):
+        op.prepare(*tables([1, 2, 2]))
 
 
 def test_sources(tables):

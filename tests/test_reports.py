@@ -6,6 +6,7 @@ import pytest
 from corpuskit import operators as op
 from corpuskit.functions import date_matches
 from corpuskit.plans import QUERIES
+from corpuskit.sources import write_index
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,6 +18,12 @@ def plan(df):
     return out.getvalue()
 
 
+def executed(df):
+    """The final plan after AQE, once the query has run."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def table(spark, name):
     return spark.read.parquet(f"{SF}/{name}.parquet")
 
@@ -82,3 +89,21 @@ def test_one_order_with_most_line_items(spark):
     customer = spark.createDataFrame([(5, 3)], "c_custkey bigint, c_nationkey int")
     rows = op.monthly_items(orders, items, customer).collect()
     assert [tuple(r) for r in rows] == [(3, "1996-03", 3000)]
+
+
+def test_term_filter_reaches_the_index_files(spark, tmp_path):
+    docs = table(spark, "documents").selectExpr("doc_id AS docno", "text AS line")
+    path = str(tmp_path / "index")
+    write_index(op.postings(docs), path, 4)
+    text = plan(op.boolean_query(spark.read.parquet(path), "the and AND"))
+    assert "In(term, [and,the])" in text
+    assert text.count("Exchange") == 1
+
+
+def test_shuffles_are_shared(spark):
+    """Counting and joining read one shuffle of the words, iterations one of the links."""
+    pmi = executed(QUERIES["pmi_pairs"](spark, SF))
+    assert pmi.count("RoundRobin") == 0 and "ReusedExchange" in pmi
+    assert "ReusedExchange" in executed(QUERIES["bigram_relfreq"](spark, SF))
+    assert "ReusedExchange" in executed(QUERIES["inverted_index"](spark, SF))
+    assert "ReusedExchange" in executed(QUERIES["ppr_3_iterations"](spark, SF))
