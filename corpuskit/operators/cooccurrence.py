@@ -12,6 +12,9 @@ from .text_stats import vocab_words
 STRIPE_ENTRIES = 4096
 
 
+# Lines of one word that are paired in one go; words in more lines are cut.
+LINES_PER_PART = 1 << 18
+
 # Ids are handed out separately in this many groups of words.
 ID_GROUPS = 1 << 12
 
@@ -36,35 +39,58 @@ def _numbered(parts: DataFrame, min_count: int) -> DataFrame:
     )
 
 
-def _unordered_counts(lines: DataFrame, min_count: int, cap: int, line: str) -> DataFrame:
+def _unordered_counts(
+    lines: DataFrame,
+    min_count: int,
+    cap: int,
+    line: str,
+    lines_per_part: int = LINES_PER_PART,
+) -> DataFrame:
     """(x, y, n, df_x, df_y), each unordered pair once, with n >= min_count.
 
     A pair occurs in no more lines than either word, so words below `min_count`
-    leave before pairing, which changes no result. Pairs are counted as two
-    numbers and become words again when only the frequent ones are left. A line
-    holds at most `cap` words, hence a bounded number of pairs, and each task
-    counts its pairs before the shuffle.
+    leave before pairing, which changes no result. Words are numbers until only
+    the frequent pairs are left.
 
     The occurrences are shuffled once, by word and a piece of the line number,
     so that a word in most lines is spread over the cluster. Counts and join
-    below both read that shuffle.
+    below both read that shuffle. Each word then travels with the rest of its
+    line, at most `cap` numbers, to where the word is counted. That is one place
+    for most words, which drops their rare pairs at once; a word in very many
+    lines is counted in parts, which are added up after.
     """
     occurring = vocab_words(lines, cap, line).filter(F.col("word").isNotNull())
     piece = piece_of(["docno"], default_pieces(lines)).alias(PIECE)
     cut = occurring.select("docno", "word", piece).repartition("word", PIECE)
     parts = cut.groupBy("word", PIECE).agg(F.count("docno").alias("_n"))
     numbered = _numbered(parts, min_count)
-    ids = numbered.select("word", PIECE, "id")
-    kept = cut.join(ids, ["word", PIECE]).select("docno", "id")
-    by_line = kept.groupBy("docno").agg(F.sort_array(F.collect_list("id")).alias("ws"))
-    firsts = by_line.select("ws", F.posexplode("ws").alias("i", "x"))
-    rest = F.slice("ws", F.col("i") + 2, F.size("ws"))
-    counts = (
-        firsts.select("x", F.explode(rest).alias("y"))
-        .groupBy("x", "y")
+    n_parts = F.ceil(F.col("df") / F.lit(lines_per_part)).cast("int").alias("parts")
+    kept = cut.join(numbered.select("word", PIECE, "id", n_parts), ["word", PIECE])
+    by_line = kept.groupBy("docno").agg(
+        F.sort_array(F.collect_list(F.struct("id", "parts"))).alias("ws")
+    )
+    firsts = by_line.select("docno", F.col("ws.id").alias("ids"), F.posexplode("ws").alias("i", "w"))
+    # -1: the word is counted in one place
+    part = F.when(
+        F.col("w.parts") > 1, F.pmod(F.xxhash64("docno"), F.col("w.parts")).cast("int")
+    ).otherwise(-1)
+    stripes_of_lines = (
+        firsts.select(
+            F.col("w.id").alias("x"),
+            part.alias("part"),
+            F.slice("ids", F.col("i") + 2, F.size("ids")).alias("ys"),
+        )
+        .filter(F.size("ys") > 0)
+        .repartition("x", "part")
+        .sortWithinPartitions("x")
+    )
+    in_parts = (
+        stripes_of_lines.select("x", "part", F.explode("ys").alias("y"))
+        .groupBy("x", "part", "y")
         .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= min_count)
+        .filter((F.col("n") >= min_count) | (F.col("part") >= 0))
     )
+    counts = in_parts.groupBy("x", "y").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
     names = numbered.filter("first").select("id", "word", "df")
     x, y = (names.toDF(side, f"_{side}", f"df_{side}") for side in ("x", "y"))
     named = counts.join(x, "x").join(y, "y")

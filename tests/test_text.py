@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpuskit import operators as op
 from corpuskit.functions import adjacent_pairs, capped_vocab, snippet, tokenize
+from corpuskit.operators import cooccurrence
 
 SMALL = ["a b a", "b c", "a b d", ""]
 CHARS = "abZ'9-. \t\f\r\n\x0bäßñİK語"
@@ -101,6 +102,16 @@ def test_pmi_with_hot_word_equals_brute_force(lines):
     assert [r["rank"] for r in sorted(partners, key=lambda r: r["rank"])] == [1, 2, 3]
 
 
+def test_words_counted_in_parts(lines):
+    texts = many_lines()
+    expected = {k for k in pmi(texts, 10) if k[0] != k[1]}
+    counted = cooccurrence._unordered_counts(lines(texts), 10, 100, "line", lines_per_part=30)
+    rows = counted.collect()
+    assert {frozenset((r.x, r.y)) for r in rows} == {frozenset(k) for k in expected}
+    whole = {(r.w1, r.w2): r.n for r in op.pair_counts(lines(texts)).collect()}
+    assert all(whole[r.x, r.y] == r.n for r in rows) and len(whole) == 2 * len(rows)
+
+
 def test_bigrams(lines):
     texts = SMALL + many_lines()
     expected = bigrams(texts)
