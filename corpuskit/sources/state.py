@@ -2,31 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local_dirs: dict[str, str] = {}
 
 
 def state_dir(spark: SparkSession) -> str:
     """The shared folder the session names in spark.checkpoint.dir.
 
-    Where that is unset, a `local` master, as in tests, gets a folder under the
-    system's temporary one. A cluster without it is an error, since a folder of
-    one machine is lost with the machine.
+    Where that is unset, a folder in the session's warehouse, which all
+    executors share too. Nothing depends on the kind of master.
     """
     shared = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="corpuskit-")
-    return _local_dirs[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_state"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

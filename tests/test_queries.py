@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry_points  # noqa: E402
 from check import bag  # noqa: E402
+from corpuskit.plans import ORACLES, QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 WITHOUT_SQL = {"train_sharded", "shuffled_quality"}
@@ -24,14 +25,14 @@ def con():
 
 
 def test_every_query_has_sql_but_the_online_trainer():
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == WITHOUT_SQL
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
 
 
 def test_entry(spark):
     assert entry_points.entry(spark).columns == ["w1", "w2", "pmi"]
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, con, name):
     df = entry_points.queries()[name](spark, SF)
     got = con.execute(entry_points.oracle_sql()[name])

@@ -161,8 +161,11 @@ def test_keyed_table_is_replaced(spark, tmp_path):
 
 def test_state_dir_reads_the_session(spark):
     class Conf:
+        def __init__(self, **values):
+            self.values = values
+
         def get(self, key, default=None):
-            return "hdfs://shared/state/" if key == "spark.checkpoint.dir" else default
+            return self.values.get(key.replace(".", "_"), default)
 
     class Context:
         master = "yarn"
@@ -171,12 +174,11 @@ def test_state_dir_reads_the_session(spark):
             return None
 
     class Session:
-        conf, sparkContext = Conf(), Context()
+        conf, sparkContext = Conf(spark_checkpoint_dir="hdfs://shared/state/"), Context()
 
     assert src.state_dir(Session()) == "hdfs://shared/state"
-    Session.conf = type("Unset", (), {"get": lambda self, k, d=None: d})()
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        src.state_dir(Session())
+    Session.conf = Conf(spark_sql_warehouse_dir="hdfs://shared/warehouse")
+    assert src.state_dir(Session()) == "hdfs://shared/warehouse/_state"
 
 
 def test_bad_field_is_an_error_only_where_used(spark, tmp_path):
