@@ -1,8 +1,8 @@
 """Operators of a training-data pipeline. Nothing else in the package imports this part."""
 
-from . import exact_dedup
+from . import byte_bpe, exact_dedup, packing, secret_scan, token_count
 
-_MODULES = (exact_dedup,)
+_MODULES = (exact_dedup, packing, byte_bpe, token_count, secret_scan)
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
