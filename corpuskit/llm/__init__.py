@@ -1,8 +1,19 @@
 """Operators of a training-data pipeline. Nothing else in the package imports this part."""
 
-from . import byte_bpe, exact_dedup, packing, secret_scan, token_count
+from . import byte_bpe, exact_dedup, jaccard_join, license_scan, packing, quality_rules, quote_links, secret_scan, token_count, top_k
 
-_MODULES = (exact_dedup, packing, byte_bpe, token_count, secret_scan)
+_MODULES = (
+    exact_dedup,
+    quality_rules,
+    packing,
+    byte_bpe,
+    top_k,
+    license_scan,
+    quote_links,
+    token_count,
+    secret_scan,
+    jaccard_join,
+)
 
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}

@@ -123,21 +123,26 @@ def _current(ledger: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def update_ledger(
-    versions: DataFrame, text: str, ledger_path: str, rules: Sequence[Rule] = RULES, max_words: int = bloom.MAX_WORDS
-) -> DataFrame:
+    versions: DataFrame,
+    text: str,
+    ledger_path: str,
+    rules: Sequence[Rule] = RULES,
+    blobs: DataFrame | None = None,
+    max_words: int = bloom.MAX_WORDS,
+) -> None:
     """Scan the texts of `versions` for pairs of blob and rule version not in the ledger, and add them.
 
-    Returns the stored table (blob) of the rows' content addresses. A row whose
-    blob can be neither repeated nor known, by two filters, is scanned where it
-    is. The others are put together per blob in each task, so that a text with
+    `blobs` is a stored table of the rows' content addresses, if there is one. A
+    row whose blob can be neither repeated nor known, by two filters, is scanned
+    where it is. The others are put together per blob in each task, so that a text with
     many copies is sent once per task and scanned once. A run that stops while
     writing leaves the ledger as it was.
     """
     spark = versions.sparkSession
     hashed = versions.select(blob_id(text).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    blobs = cut(hashed.select("blob"), "blobs")
+    blobs = blobs or cut(hashed.select("blob"), "blobs")
     n_words = bloom.words_for(blobs.count(), max_words)
-    repeated = bloom.build(blobs.select(F.xxhash64("blob")), n_words, at_least=2)
+    repeated = bloom.build(blobs.select(F.xxhash64(blobs.columns[0])), n_words, at_least=2)
     hash_ = F.xxhash64("blob")
     tested = bloom.tested(hashed, hash_, repeated, n_words, "held")
     kinds = F.array(*[F.lit(r.kind) for r in rules])
@@ -160,7 +165,6 @@ def update_ledger(
     else:
         held = held.select("blob", "text", kinds.alias("pending"))
     _scanned(single.unionByName(held), rules).write.mode("append").parquet(ledger_path)
-    return blobs
 
 
 def spans_of(ledger: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -204,14 +208,48 @@ def scan(
     """
     spark = versions.sparkSession
     ledger_path = ledger_path or fresh_path(spark, "ledger")
-    update_ledger(versions, text, ledger_path, rules)
-    found = cut(spans_of(read_ledger(spark, ledger_path), rules), "findings")
     rows = cut(versions.select(*ids, blob_id(text).alias("_blob")), "versions")
+    update_ledger(versions, text, ledger_path, rules, rows.select("_blob"))
+    found = cut(spans_of(read_ledger(spark, ledger_path), rules), "findings")
     joined = rows.join(found.withColumnRenamed("blob", "_blob"), "_blob", "left")
     none = F.array().cast(found.schema["spans"].dataType)
     return joined.select(*ids, F.coalesce("spans", none).alias("spans"))
 
 
+def redact(
+    versions: DataFrame,
+    text: str,
+    ledger_path: str | None = None,
+    rules: Sequence[Rule] = RULES,
+    mark: str = "[SECRET]",
+) -> DataFrame:
+    """`versions` with every secret in its text replaced by `mark`; touching or overlapping spans are one.
+
+    Rows whose text is known to have none, by a filter over the findings, stay
+    where they are; the others are joined with the findings by content address.
+    """
+    spark = versions.sparkSession
+    ledger_path = ledger_path or fresh_path(spark, "ledger")
+    update_ledger(versions, text, ledger_path, rules)
+    found = cut(spans_of(read_ledger(spark, ledger_path), rules), "findings")
+    blob = bloom.unused(versions, "_blob")
+    clear, maybe = bloom.split(versions.withColumn(blob, blob_id(text)), found.select("blob"), blob)
+    kind = "struct<at:int,out:string>"
+
+    def step(done: Column, span: Column) -> Column:
+        gap = F.substring(text, done["at"], span["start"].cast("int") + 1 - done["at"])
+        out = F.when(span["start"] + 1 > done["at"], F.concat(done["out"], gap, F.lit(mark)))
+        out = out.when(done["at"] == 1, F.lit(mark)).otherwise(done["out"])
+        return F.struct(F.greatest(done["at"], span["end"].cast("int") + 1).alias("at"), out.alias("out")).cast(kind)
+
+    start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out")).cast(kind)
+    rest = lambda done: F.concat(done["out"], F.substring(text, done["at"], F.length(text) + 1))
+    spans = f"{blob}_spans"
+    joined = maybe.join(found.select(F.col("blob").alias(blob), F.col("spans").alias(spans)), blob, "left")
+    clean = F.when(F.col(spans).isNull(), F.col(text)).otherwise(F.aggregate(spans, start, step, rest))
+    return clear.select(*versions.columns).unionByName(joined.withColumn(text, clean).select(*versions.columns))
+
+
 def described(spans: str) -> Column:
     """kind:start:end of each span, joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
