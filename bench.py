@@ -38,7 +38,7 @@ HEADLINE = [
     "q6_pricing",
     "q7_unshipped",
     "train_gradient_2_rounds",
-    "train_sharded",
+    "train_batches",
     "ensemble_vote",
     "one_minus_roca",
 ]

@@ -4,11 +4,11 @@ from .dates import after, before, date_matches, month_of
 from .measures import charge, discounted, extended, money, rate
 from .text import (
     adjacent_pairs,
-    capped_vocab,
     classified,
     sigmoid,
     snippet,
     tokenize,
+    vocab,
     word_prefix,
 )
 
@@ -16,7 +16,6 @@ __all__ = [
     "adjacent_pairs",
     "after",
     "before",
-    "capped_vocab",
     "charge",
     "classified",
     "date_matches",
@@ -28,5 +27,6 @@ __all__ = [
     "sigmoid",
     "snippet",
     "tokenize",
+    "vocab",
     "word_prefix",
 ]

@@ -30,21 +30,9 @@ def tokenize(text: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(_col(text)), F.lit(_TOKEN), F.lit(0))
 
 
-def capped_vocab(text: Column | str, cap: int = 100) -> Column:
-    """Distinct tokens of a line up to the first non-empty token at raw position >= cap.
-
-    Pieces without any letter count as positions but never end the scan, so the
-    scan goes on past position `cap` until a piece with a letter comes.
-    """
-    if cap < 1:
-        raise ValueError("cap must be at least 1")
-    text = _col(text)
-    ws = WHITESPACE
-    # cap-1 pieces, then everything up to the next letter, then that piece
-    scanned = f"\\A[{ws}]*+(?:[^{ws}]++[{ws}]++){{{cap - 1}}}[^a-z]*+[^{ws}]*+"
-    lowered = F.lower(text)
-    head = F.regexp_extract(lowered, scanned, 0)
-    return F.array_distinct(tokenize(F.when(head == "", lowered).otherwise(head)))
+def vocab(text: Column | str) -> Column:
+    """Distinct tokens of a line, all of them, in order of first appearance."""
+    return F.array_distinct(tokenize(text))
 
 
 def word_prefix(word: Column | str, k: int = 2) -> Column:

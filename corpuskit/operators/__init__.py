@@ -1,29 +1,23 @@
 """DataFrame operators."""
 
 from .bigrams import bigram_counts, bigram_relfreq, bigram_stripes
-from .classifier import (
-    average_models,
-    classify,
-    ensemble,
-    score,
-    train_gradient,
-    train_sharded,
-    union_sets,
-)
+from .classifier import batch_of, classify, ensemble, score, train_batches, train_gradient, union_sets
 from .cooccurrence import (
+    frequent_words,
     pair_counts,
     pair_totals,
     pmi_pairs,
     pmi_stripes,
+    stripe_part,
     stripe_rows,
     stripes,
     top_partners,
     top_pmi,
 )
 from .evaluation import mean_over_runs, one_minus_roca
-from .graph import Graph, check_nodes, graph_stats, message_counts, missing_targets, prepare
+from .graph import Graph, graph_stats, message_counts, missing_targets, prepare, repeated_nodes
 from .index import decode_gaps, encode_gaps, inverted_index, postings, postings_table
-from .pagerank import missing_mass, personalized_pagerank, ppr_init, ppr_step, top_k
+from .pagerank import missing_mass, personalized_pagerank, ppr_init, ppr_step, top_k, unknown_sources
 from .reports import (
     clerks,
     monthly_items,
@@ -34,19 +28,26 @@ from .reports import (
     shipped_orders,
     unshipped_value,
 )
-from .retrieval import boolean_query, boolean_query_batch, docs_and, docs_or, fetch, term_docs
+from .retrieval import (
+    boolean_query,
+    boolean_query_batch,
+    docs_and,
+    docs_or,
+    fetch,
+    malformed,
+    term_docs,
+)
 from .skew import with_key_totals
 from .text_stats import line_df, line_total, prefix_count, top_prefixes, vocab_words, word_count, words
 
 __all__ = [
     "Graph",
-    "average_models",
+    "batch_of",
     "bigram_counts",
     "bigram_relfreq",
     "bigram_stripes",
     "boolean_query",
     "boolean_query_batch",
-    "check_nodes",
     "classify",
     "clerks",
     "decode_gaps",
@@ -55,10 +56,12 @@ __all__ = [
     "encode_gaps",
     "ensemble",
     "fetch",
+    "frequent_words",
     "graph_stats",
     "inverted_index",
     "line_df",
     "line_total",
+    "malformed",
     "mean_over_runs",
     "message_counts",
     "missing_mass",
@@ -79,9 +82,11 @@ __all__ = [
     "prefix_count",
     "prepare",
     "pricing_summary",
+    "repeated_nodes",
     "score",
     "ship_count",
     "shipped_orders",
+    "stripe_part",
     "stripe_rows",
     "stripes",
     "term_docs",
@@ -89,9 +94,10 @@ __all__ = [
     "top_partners",
     "top_pmi",
     "top_prefixes",
+    "train_batches",
     "train_gradient",
-    "train_sharded",
     "union_sets",
+    "unknown_sources",
     "unshipped_value",
     "vocab_words",
     "with_key_totals",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import adjacent_pairs, tokenize
-from .cooccurrence import STRIPE_ENTRIES, stripes, with_fanout
+from .cooccurrence import STRIPE_PARTS, stripes
 from .skew import with_key_totals
 
 
@@ -35,10 +35,6 @@ def bigram_relfreq(lines: DataFrame, marginals: bool = True, line: str = "line")
     return left.select("w1", F.lit("*").alias("w2"), "value").unionByName(relative)
 
 
-def bigram_stripes(
-    lines: DataFrame, line: str = "line", max_entries: int = STRIPE_ENTRIES
-) -> DataFrame:
+def bigram_stripes(lines: DataFrame, line: str = "line", parts: int = STRIPE_PARTS) -> DataFrame:
     """(w1, part, stripe) with the relative frequencies of w1's followers."""
-    counts = with_fanout(bigram_counts(lines, line), {"_left": F.sum("n")})
-    relative = counts.withColumn("value", F.col("n") / F.col("_left"))
-    return stripes(relative, "value", max_entries)
+    return stripes(bigram_relfreq(lines, marginals=False, line=line), "value", parts)

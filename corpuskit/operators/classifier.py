@@ -6,10 +6,8 @@ Features are ints or strings; an occurrence counts each time. Models are rows
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,9 +19,6 @@ DELTA = 0.002
 SPAM = "spam"
 METHODS = ("average", "vote")
 
-# Instances per shard of the online trainer when no number of shards is given.
-SHARD_INSTANCES = 100_000
-
 
 def _is_spam() -> Column:
     return F.when(F.col("label") == SPAM, F.lit(1)).otherwise(F.lit(0))
@@ -37,91 +32,31 @@ def union_sets(*training: DataFrame) -> DataFrame:
     return whole
 
 
-def _learn(batches: Iterator[pd.DataFrame], delta: float) -> Iterator[pd.DataFrame]:
-    """One pass of logistic updates over instances that come in order, model by model."""
-    name, weights = None, {}
-
-    def learned() -> pd.DataFrame:
-        return pd.DataFrame(
-            {"model": name, "feature": list(weights.keys()), "weight": list(weights.values())}
-        )
-
-    for batch in batches:
-        for model, is_spam, features in zip(batch["model"], batch["is_spam"], batch["features"]):
-            if model != name:
-                if weights:
-                    yield learned()
-                name, weights = model, {}
-            score = sum(weights.get(f, 0.0) for f in features)
-            # beyond 700 the probability is zero in any case and exp would overflow
-            step = (is_spam - 1.0 / (1.0 + math.exp(min(-score, 700.0)))) * delta
-            for f in features:
-                weights[f] = weights.get(f, 0.0) + step
-    if weights:
-        yield learned()
-
-
-def train_sharded(
-    instances: DataFrame,
-    shards: int | None = None,
-    delta: float = DELTA,
-    seeds: Sequence[int] | None = None,
-    order_by: str = "doc_id",
-    shard_instances: int = SHARD_INSTANCES,
-) -> DataFrame:
-    """(model, feature, weight): one online-trained model per shard.
-
-    Online training depends on the order, so one model cannot be trained in
-    parallel. The instances are therefore spread over shards by a hash of
-    doc_id, each gives its own model in one streaming pass with memory for that
-    model only, and `average_models` puts them together. By default there are as
-    many shards as keep each near `shard_instances`; shards=1 trains a single
-    model, for data that fits one task.
-
-    Without `seeds` the order is `order_by` and models are named by shard. With
-    `seeds`, each seed gives its own shuffled order, repeatable, and models are
-    named seed:shard; all seeds train in the same job.
-    """
-    if shards is None:
-        n = instances.agg(F.greatest(F.ceil(F.count(F.lit(1)) / shard_instances), F.lit(1))).scalar()
-    else:
-        n = F.lit(int(shards))
-    shard = F.pmod(F.xxhash64("doc_id"), n).cast("string")
-    rows = instances.select("*", _is_spam().alias("is_spam"), shard.alias("_shard"))
-    if seeds is None:
-        rows = rows.withColumn("model", F.col("_shard")).withColumn("_order", F.col(order_by))
-    else:
-        rows = (
-            rows.withColumn("_seed", F.explode(F.array(*[F.lit(int(s)) for s in seeds])))
-            .withColumn("model", F.concat_ws(":", "_seed", "_shard"))
-            .withColumn("_order", F.xxhash64("doc_id", "_seed"))
-        )
-    feature = instances.schema["features"].dataType.elementType.simpleString()
-    return (
-        rows.repartition("model")
-        .sortWithinPartitions("model", "_order", "doc_id", "is_spam", "features")
-        .select("model", "is_spam", "features")
-        .mapInPandas(
-            lambda batches: _learn(batches, delta),
-            f"model string, feature {feature}, weight double",
-        )
+def _steps(errors: DataFrame, delta: float, by: Sequence[str]) -> DataFrame:
+    """(by..., feature, weight): delta times each document's error, for every occurrence of a feature."""
+    each = errors.select(
+        *by, F.explode("features").alias("feature"), (F.col("_e") * delta).alias("weight")
     )
+    return each.groupBy(*by, "feature").agg(F.sum("weight").alias("weight"))
 
 
-def average_models(models: DataFrame, name: Column | str = "model") -> DataFrame:
-    """(model, feature, weight): the models of each name as one, their mean weights.
+def _next(rows: DataFrame, weights: DataFrame | None, delta: float, by: Sequence[str]) -> DataFrame:
+    """The weights after a step over all rows (by..., doc_id, _y, features).
 
-    A score is linear in the weights, so this one model scores what the models
-    score on average, without scoring every document with every shard's model.
+    Features meet their weights, scores are added up per document, errors per
+    feature. The weights are written to the session's shared folder first: each
+    is read twice, and against a stored table AQE can split the occurrences of a
+    feature that most documents have.
     """
-    named = models.select(
-        (F.col(name) if isinstance(name, str) else name).alias("name"), "model", "feature", "weight"
-    )
-    sizes = named.select("name", "model").distinct().groupBy("name")
-    sums = named.groupBy("name", "feature").agg(F.sum("weight").alias("_sum"))
-    return sums.join(sizes.agg(F.count(F.lit(1)).alias("_n")), "name").select(
-        F.col("name").alias("model"), "feature", (F.col("_sum") / F.col("_n")).alias("weight")
-    )
+    if weights is None:  # every probability is one half
+        return _steps(rows.withColumn("_e", F.col("_y") - 0.5), delta, by)
+    weights = cut(weights, "weights")
+    doc, keys = [*by, "doc_id"], [*by, "feature"]
+    parts = _matched(rows.select(*doc, "features"), weights, doc, keys)
+    scores = parts.groupBy(*doc).agg(F.sum("_part").alias("_s"))
+    error = F.col("_y") - sigmoid(F.coalesce(F.col("_s"), F.lit(0.0)))
+    step = _steps(rows.join(scores, doc, "left").withColumn("_e", error), delta, by)
+    return weights.unionByName(step).groupBy(*keys).agg(F.sum("weight").alias("weight"))
 
 
 def train_gradient(
@@ -130,35 +65,44 @@ def train_gradient(
     """(by..., feature, weight) after `rounds` of w += delta * sum((y - p) * x).
 
     All instances of one value of `by` train one model together. Every round is
-    joins and sums: features meet their weights, scores are added up per
-    document, errors per feature. Between rounds the weights are written to the
-    session's shared folder: each is read twice, and against a stored table AQE
-    can split the occurrences of a feature that most documents have.
+    joins and sums over all of them.
     """
     if rounds < 1:
         raise ValueError("rounds must be at least 1")
-    by = list(by)
-    keys = [*by, "feature"]
+    by, weights = list(by), None
     rows = instances.select(*by, "doc_id", _is_spam().cast("double").alias("_y"), "features")
+    for _ in range(rounds):
+        weights = _next(rows, weights, delta, by)
+    return weights
+
+
+def batch_of(key: str | Column, seed: Column, batches: int) -> Column:
+    """The batch of a document in the order of a seed: 7 hex digits of the MD5 of key:seed, modulo the batches."""
+    key = F.col(key) if isinstance(key, str) else key
+    digest = F.md5(F.concat_ws(":", key.cast("string"), seed.cast("string")))
+    return F.conv(F.substring(digest, 1, 7), 16, 10).cast("bigint") % batches
+
 
-    def steps(errors: DataFrame) -> DataFrame:
-        each = errors.select(
-            *by, F.explode("features").alias("feature"), (F.col("_e") * delta).alias("weight")
-        )
-        return each.groupBy(*keys).agg(F.sum("weight").alias("weight"))
-
-    # no weights yet: every probability is one half
-    weights = steps(rows.withColumn("_e", F.col("_y") - 0.5))
-    for _ in range(1, rounds):
-        weights = cut(weights, "weights")
-        doc = [*by, "doc_id"]
-        parts = _matched(rows.select(*doc, "features"), weights, doc, keys)
-        scores = parts.groupBy(*doc).agg(F.sum("_part").alias("_s"))
-        error = F.col("_y") - sigmoid(F.coalesce(F.col("_s"), F.lit(0.0)))
-        step = steps(rows.join(scores, doc, "left").withColumn("_e", error))
-        weights = (
-            weights.unionByName(step).groupBy(*keys).agg(F.sum("weight").alias("weight"))
-        )
+def train_batches(
+    instances: DataFrame, batches: int, seeds: Sequence[int] = (0,), delta: float = DELTA
+) -> DataFrame:
+    """(model, feature, weight): one pass in `batches` steps, in the shuffled order of each seed.
+
+    A seed deals the documents to batches, which train one after another, each
+    with all its documents at once: a step of a batch is joins and sums like a
+    round of `train_gradient`. The number of batches says how often weights are
+    updated on the way through the data; neither it nor the model depends on the
+    size of the data or the cluster. All seeds, which name the models, train in
+    the same jobs.
+    """
+    if batches < 1:
+        raise ValueError("batches must be at least 1")
+    seed = F.explode(F.array(*[F.lit(int(s)) for s in seeds])).alias("model")
+    rows = instances.select(seed, "doc_id", _is_spam().cast("double").alias("_y"), "features")
+    rows = rows.withColumn("_batch", batch_of("doc_id", F.col("model"), batches))
+    weights = None
+    for i in range(batches):
+        weights = _next(rows.filter(F.col("_batch") == i).drop("_batch"), weights, delta, ["model"])
     return weights
 
 
@@ -180,24 +124,16 @@ def _matched(
 
 
 def score(instances: DataFrame, model: DataFrame) -> DataFrame:
-    """(doc_id, label, model, score) for every document and model; unknown features add 0.
+    """(doc_id, label, model, score) for every document and model that knows one of its features.
 
-    Occurrences are counted per document first. The model joins as it is:
-    broadcast if Spark finds it small, else shuffled, where AQE splits a hot
-    feature as long as the model is a stored table.
+    A pair that is not there has score 0, and `ensemble` and `one_minus_roca`
+    count it so; documents times models rows are never made. Occurrences are
+    counted per document first. The model joins as it is: broadcast if Spark
+    finds it small, else shuffled, where AQE splits a hot feature as long as the
+    model is a stored table.
     """
     known = _matched(instances, model, ["doc_id", "label"])
-    # one zero per document and model, so that a document without any known
-    # feature has its score too; the list is as long as there are models
-    names = model.agg(F.collect_set("model")).scalar()
-    zeros = instances.select(
-        "doc_id", "label", F.explode(names).alias("model"), F.lit(0.0).alias("_part")
-    )
-    return (
-        zeros.unionByName(known)
-        .groupBy("doc_id", "label", "model")
-        .agg(F.sum("_part").alias("score"))
-    )
+    return known.groupBy("doc_id", "label", "model").agg(F.sum("_part").alias("score"))
 
 
 def classify(scores: DataFrame) -> DataFrame:
@@ -205,15 +141,18 @@ def classify(scores: DataFrame) -> DataFrame:
     return scores.withColumn("prediction", classified("score"))
 
 
-def ensemble(scores: DataFrame, method: str) -> DataFrame:
-    """(doc_id, label, score, prediction) over all models of each document.
+def ensemble(scores: DataFrame, method: str, instances: DataFrame, model: DataFrame) -> DataFrame:
+    """(doc_id, label, score, prediction) over all models, for every instance.
 
     average: mean score. vote: +1 for every model above 0, -1 for every other.
+    Models without a score for a document count as 0.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, not {method!r}")
-    if method == "average":
-        joint = F.avg("score")
-    else:
-        joint = F.sum(F.when(F.col("score") > 0, 1).otherwise(-1)).cast("double")
-    return classify(scores.groupBy("doc_id", "label").agg(joint.alias("score")))
+    n = model.agg(F.count_distinct("model").cast("double")).scalar()
+    part = F.sum("score") if method == "average" else F.sum((F.col("score") > 0).cast("double"))
+    parts = scores.groupBy("doc_id").agg(part.alias("_part"))
+    joined = instances.select("doc_id", "label").join(parts, "doc_id", "left")
+    total = F.coalesce("_part", F.lit(0.0))
+    joint = total / n if method == "average" else 2 * total - n
+    return classify(joined.select("doc_id", "label", joint.alias("score")))

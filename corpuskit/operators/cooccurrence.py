@@ -2,97 +2,66 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import PIECE, default_pieces, piece_of, with_key_totals
+from ..functions import vocab
+from ..sources.state import cut
 from .text_stats import vocab_words
 
-# Entries per stripe row; a word with more partners gets several rows.
-STRIPE_ENTRIES = 4096
-
+# Rows over which the partners of a word are spread, by a hash of the partner.
+STRIPE_PARTS = 16
 
-# Lines of one word that are paired in one go; words in more lines are cut.
-LINES_PER_PART = 1 << 18
+# Words of a line that are paired with as many others in one go.
+BLOCK = 64
 
 # Ids are handed out separately in this many groups of words.
 ID_GROUPS = 1 << 12
 
 
-def _numbered(parts: DataFrame, min_count: int) -> DataFrame:
-    """(word, piece, id, df, first) for words in at least min_count lines.
+def frequent_words(lines: DataFrame, min_count: int, line: str = "line") -> DataFrame:
+    """(word, id, df) of words in at least min_count lines, as a stored table.
 
     The id is the word's rank in its hash group, times the number of groups,
     plus the group: unique, the same on every run, and no task ranks all words.
-    `first` marks one row per word.
     """
+    counted = vocab_words(lines, line, ()).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    group = F.xxhash64("word").bitwiseAND(F.lit(ID_GROUPS - 1))
     in_group = Window.partitionBy("_group").orderBy("word")
-    of_word = Window.partitionBy("_group", "word")
-    rank = F.dense_rank().over(in_group).cast("bigint")
-    return (
-        parts.withColumn("_group", F.xxhash64("word").bitwiseAND(F.lit(ID_GROUPS - 1)))
-        .withColumn("id", rank * ID_GROUPS + F.col("_group"))
-        .withColumn("df", F.sum("_n").over(of_word))
-        .withColumn("first", F.col(PIECE) == F.min(PIECE).over(of_word))
-        .filter(F.col("df") >= min_count)
-        .select("word", PIECE, "id", "df", "first")
-    )
+    rank = F.row_number().over(in_group).cast("bigint")
+    ranked = counted.filter(F.col("df") >= min_count).withColumn("_group", group)
+    return cut(ranked.select("word", (rank * ID_GROUPS + F.col("_group")).alias("id"), "df"), "words")
 
 
-def _unordered_counts(
-    lines: DataFrame,
-    min_count: int,
-    cap: int,
-    line: str,
-    lines_per_part: int = LINES_PER_PART,
-) -> DataFrame:
+def _blocks(lines: DataFrame, words: DataFrame, line: str, keys: Sequence[str]) -> DataFrame:
+    """(keys, block, ids): the frequent words of a line as numbers, at most BLOCK in a row."""
+    occurring = lines.select(*keys, F.posexplode(vocab(line)).alias("_i", "word"))
+    numbered = occurring.join(words.select("word", "id"), "word")
+    block = F.floor(F.col("_i") / BLOCK).alias("block")
+    return numbered.groupBy(*keys, block).agg(F.collect_list("id").alias("ids"))
+
+
+def _unordered_counts(lines: DataFrame, words: DataFrame, min_count: int, line: str, keys: Sequence[str]) -> DataFrame:
     """(x, y, n, df_x, df_y), each unordered pair once, with n >= min_count.
 
     A pair occurs in no more lines than either word, so words below `min_count`
-    leave before pairing, which changes no result. Words are numbers until only
-    the frequent pairs are left.
-
-    The occurrences are shuffled once, by word and a piece of the line number,
-    so that a word in most lines is spread over the cluster. Counts and join
-    below both read that shuffle. Each word then travels with the rest of its
-    line, at most `cap` numbers, to where the word is counted. That is one place
-    for most words, which drops their rare pairs at once; a word in very many
-    lines is counted in parts, which are added up after.
+    leave before pairing, which changes no result. Every block of a line meets
+    its other blocks and itself, and pairs of numbers are counted in each task
+    before anything is shuffled by pair. The joins are between scanned or stored
+    tables, where AQE splits a word in very many lines and a very long line.
     """
-    occurring = vocab_words(lines, cap, line).filter(F.col("word").isNotNull())
-    piece = piece_of(["docno"], default_pieces(lines)).alias(PIECE)
-    cut = occurring.select("docno", "word", piece).repartition("word", PIECE)
-    parts = cut.groupBy("word", PIECE).agg(F.count("docno").alias("_n"))
-    numbered = _numbered(parts, min_count)
-    n_parts = F.ceil(F.col("df") / F.lit(lines_per_part)).cast("int").alias("parts")
-    kept = cut.join(numbered.select("word", PIECE, "id", n_parts), ["word", PIECE])
-    by_line = kept.groupBy("docno").agg(
-        F.sort_array(F.collect_list(F.struct("id", "parts"))).alias("ws")
-    )
-    firsts = by_line.select("docno", F.col("ws.id").alias("ids"), F.posexplode("ws").alias("i", "w"))
-    # -1: the word is counted in one place
-    part = F.when(
-        F.col("w.parts") > 1, F.pmod(F.xxhash64("docno"), F.col("w.parts")).cast("int")
-    ).otherwise(-1)
-    stripes_of_lines = (
-        firsts.select(
-            F.col("w.id").alias("x"),
-            part.alias("part"),
-            F.slice("ids", F.col("i") + 2, F.size("ids")).alias("ys"),
-        )
-        .filter(F.size("ys") > 0)
-        .repartition("x", "part")
-        .sortWithinPartitions("x")
-    )
-    in_parts = (
-        stripes_of_lines.select("x", "part", F.explode("ys").alias("y"))
-        .groupBy("x", "part", "y")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter((F.col("n") >= min_count) | (F.col("part") >= 0))
-    )
-    counts = in_parts.groupBy("x", "y").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
-    names = numbered.filter("first").select("id", "word", "df")
-    x, y = (names.toDF(side, f"_{side}", f"df_{side}") for side in ("x", "y"))
+    keys = list(keys)
+    blocks = cut(_blocks(lines, words, line, keys), "blocks")
+    left, right = blocks.toDF(*keys, "_b", "_xs"), blocks.toDF(*keys, "_c", "_ys")
+    met = left.join(right, keys).filter(F.col("_b") <= F.col("_c"))
+    xs = met.select("_b", "_c", "_ys", F.explode("_xs").alias("_x"))
+    each = xs.select("_b", "_c", "_x", F.explode("_ys").alias("_y"))
+    each = each.filter((F.col("_b") < F.col("_c")) | (F.col("_x") < F.col("_y")))
+    pairs = each.select(F.least("_x", "_y").alias("x"), F.greatest("_x", "_y").alias("y"))
+    counts = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count)
+    x, y = (words.select("id", "word", "df").toDF(side, f"_{side}", f"df_{side}") for side in ("x", "y"))
     named = counts.join(x, "x").join(y, "y")
     return named.select(F.col("_x").alias("x"), F.col("_y").alias("y"), "n", "df_x", "df_y")
 
@@ -107,18 +76,22 @@ def _mirrored(pairs: DataFrame, *carry: str) -> DataFrame:
 
 
 def pair_counts(
-    lines: DataFrame, min_count: int = 10, cap: int = 100, line: str = "line"
+    lines: DataFrame, min_count: int = 10, line: str = "line", keys: Sequence[str] = ("docno",)
 ) -> DataFrame:
-    """(w1, w2, n) for ordered pairs of different words sharing at least min_count lines."""
-    return _mirrored(_unordered_counts(lines, min_count, cap, line), "n")
+    """(w1, w2, n) for ordered pairs of different words sharing at least min_count lines.
+
+    `keys` are the columns that name a line; all words of a line are paired.
+    """
+    words = frequent_words(lines, min_count, line)
+    return _mirrored(_unordered_counts(lines, words, min_count, line, keys), "n")
 
 
 def pmi_pairs(
-    lines: DataFrame, min_count: int = 10, cap: int = 100, line: str = "line"
+    lines: DataFrame, min_count: int = 10, line: str = "line", keys: Sequence[str] = ("docno",)
 ) -> DataFrame:
     """(w1, w2, pmi), pmi = log10(p(x,y) / (p(x) * p(y))) over the number of lines."""
     total = lines.agg(F.count(F.lit(1)).cast("double")).scalar()
-    counted = _unordered_counts(lines, min_count, cap, line)
+    counted = _unordered_counts(lines, frequent_words(lines, min_count, line), min_count, line, keys)
     scored = counted.select(
         "x",
         "y",
@@ -129,37 +102,35 @@ def pmi_pairs(
     return _mirrored(scored, "pmi")
 
 
-def with_fanout(pairs: DataFrame, totals: dict[str, Column] | None = None) -> DataFrame:
-    """Pairs with `fanout`, the number of partners of w1, and any further totals per w1."""
-    return with_key_totals(pairs, ["w1"], ["w2"], {"fanout": F.count("w2"), **(totals or {})})
+def stripes(pairs: DataFrame, value: str, parts: int = STRIPE_PARTS) -> DataFrame:
+    """(w1, part, stripe) where stripe maps w2 to the value, in order of w2.
 
-
-def stripes(pairs: DataFrame, value: str, max_entries: int = STRIPE_ENTRIES) -> DataFrame:
-    """(w1, part, stripe) where stripe maps w2 to the value, from pairs `with_fanout`.
-
-    Words with up to `max_entries` partners have one row, part 0. Others are cut
-    by a hash of w2 into about that many entries per row, so that no map and no
-    task holds all partners of a very frequent word.
+    The partners of every word are spread over `parts` rows by a hash of w2, so
+    the layout is the same whatever the size, and no map and no task holds all
+    partners of a very frequent word.
     """
-    parts = F.ceil(F.col("fanout") / F.lit(max_entries))
-    part = F.pmod(F.xxhash64("w2"), parts).cast("int")
     entries = F.sort_array(F.collect_list(F.struct("w2", value)))
     return (
-        pairs.withColumn("part", part)
+        pairs.withColumn("part", stripe_part("w2", parts))
         .groupBy("w1", "part")
         .agg(F.map_from_entries(entries).alias("stripe"))
     )
 
 
+def stripe_part(word: Column | str, parts: int = STRIPE_PARTS) -> Column:
+    """The row of a stripe that a partner is in: the first 7 hex digits of its MD5, modulo the parts."""
+    return (F.conv(F.substring(F.md5(word), 1, 7), 16, 10).cast("bigint") % parts).cast("int")
+
+
 def pmi_stripes(
     lines: DataFrame,
     min_count: int = 10,
-    cap: int = 100,
     line: str = "line",
-    max_entries: int = STRIPE_ENTRIES,
+    keys: Sequence[str] = ("docno",),
+    parts: int = STRIPE_PARTS,
 ) -> DataFrame:
-    """PMI as one map of partners per word, see `stripes`."""
-    return stripes(with_fanout(pmi_pairs(lines, min_count, cap, line)), "pmi", max_entries)
+    """PMI as maps of partners per word, see `stripes`."""
+    return stripes(pmi_pairs(lines, min_count, line, keys), "pmi", parts)
 
 
 def stripe_rows(striped: DataFrame, value: str) -> DataFrame:

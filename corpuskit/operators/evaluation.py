@@ -7,30 +7,38 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.state import cut
 from .classifier import SPAM
-
-# Score ranges that are sorted separately.
-BUCKETS = 256
+from .skew import default_pieces
 
 
 def one_minus_roca(
-    scores: DataFrame, by: Sequence[str] = (), buckets: int = BUCKETS
+    scores: DataFrame, by: Sequence[str] = (), population: DataFrame | None = None
 ) -> DataFrame:
     """(by..., n_spam, n_ham, one_minus_roca); ties between spam and ham count half.
 
-    The area is the share of (spam, ham) pairs that the spam wins. Equal scores
-    become one row. Score ranges from quantiles split the sort over tasks: pairs
-    inside a range are counted there, pairs across ranges from the range totals.
-    Any split gives the exact result; quantiles only balance the work.
+    The area is the share of (spam, ham) pairs that the spam wins. With
+    `population` (doc_id, label), its documents without a score in a group of
+    `by` have score 0 there. Equal scores become one row. Score ranges from
+    quantiles of each group, as many as the shuffle has partitions, split the
+    sort over tasks: pairs inside a range are counted there, pairs across ranges
+    from the range totals. Any split gives the exact result; quantiles only
+    balance the work.
     """
     by = list(by)
     spam = (F.col("label") == SPAM).cast("bigint")
-    levels = scores.groupBy(*by, "score").agg(
-        F.sum(spam).alias("_p"), F.sum(1 - spam).alias("_n")
-    )
-    marks = [i / buckets for i in range(1, buckets)]
-    splits = levels.agg(F.percentile_approx("score", marks)).scalar()
-    at = levels.withColumn("_splits", splits)
+    totals = [F.sum(spam).alias("_p"), F.sum(1 - spam).alias("_n")]
+    levels = scores.groupBy(*by, "score").agg(*totals)
+    if population is not None:
+        all_p, all_n = (population.agg(t).scalar() for t in totals)
+        seen = levels.groupBy(*by).agg(F.sum("_p").alias("_p"), F.sum("_n").alias("_n"))
+        rest = seen.select(*by, F.lit(0.0).alias("score"), (all_p - F.col("_p")).alias("_p"), (all_n - F.col("_n")).alias("_n"))
+        levels = levels.unionByName(rest).groupBy(*by, "score").agg(F.sum("_p").alias("_p"), F.sum("_n").alias("_n"))
+    levels = cut(levels, "levels")
+    buckets = default_pieces(scores)
+    marks = [i / buckets for i in range(1, buckets)] or [0.5]
+    splits = cut(levels.groupBy(*by).agg(F.percentile_approx("score", marks).alias("_splits")), "splits")
+    at = levels.join(splits, by) if by else levels.withColumn("_splits", splits.scalar())
     bucketed = at.withColumn(
         "_bucket", F.size(F.filter("_splits", lambda s: s < F.col("score")))
     ).drop("_splits")

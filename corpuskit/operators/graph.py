@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.state import cut
-
-# Out-edges per piece of a node; only nodes with more are cut.
-PIECE_EDGES = 100_000
+from .skew import with_key_totals
 
 
 def graph_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -22,11 +20,9 @@ def graph_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
-def check_nodes(nodes: DataFrame) -> None:
-    """Raise ValueError if a node is listed more than once."""
-    twice = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").head()
-    if twice is not None:
-        raise ValueError(f"node {twice['node']} is listed {twice['n']} times")
+def repeated_nodes(nodes: DataFrame) -> DataFrame:
+    """(node, n): nodes that are listed more than once; a sound graph has none."""
+    return nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
 def missing_targets(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -47,53 +43,30 @@ def message_counts(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 class Graph:
     """A graph ready for mass propagation.
 
-    nodes(node, pieces): out-edges of a node are cut into `pieces` parts.
-    links(src, piece, dst, dst_pieces, w): w is the share of src's mass that goes
-    to dst, parallel edges added up. A row without dst is the share that gets
-    lost, all of it for a node without out-edges.
+    nodes(node): each node once. links(src, dst, w): w is the share of src's mass
+    that goes to dst, parallel edges added up. A row without dst is the share
+    that gets lost, all of it for a node without out-edges.
     """
 
     nodes: DataFrame
     links: DataFrame
 
 
-def prepare(nodes: DataFrame, edges: DataFrame, piece_edges: int = PIECE_EDGES) -> Graph:
-    """Collapse parallel edges, weigh them, and cut the out-edges of hubs into pieces.
+def prepare(nodes: DataFrame, edges: DataFrame) -> Graph:
+    """Collapse parallel edges, weigh them and see which targets are nodes.
 
-    The collapsed edges and the few facts per node are written to the session's
-    shared folder, as each is read several times. Between stored tables AQE can
-    also split the edges of a node that many others point to. A node listed
-    twice raises ValueError.
+    Nodes and links are written to the session's shared folder, as every
+    iteration reads them; between stored tables AQE splits the edges of a hub.
+    `repeated_nodes` lists nodes that come more than once; they count once.
     """
-    check_nodes(nodes)
-    pairs = cut(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_m")), "pairs")
-    out = pairs.groupBy("src").agg(F.sum("_m").alias("_deg"), F.count("dst").alias("_fan"))
-    pieces = F.greatest(F.ceil(F.col("_fan") / F.lit(piece_edges)), F.lit(1)).cast("int")
-    per_node = nodes.join(out, nodes["node"] == out["src"], "left").select(
-        "node", "_deg", F.coalesce(pieces, F.lit(1)).alias("pieces")
-    )
-    facts = cut(per_node, "nodes")
-    into = facts.select(F.col("node").alias("dst"), F.col("pieces").alias("dst_pieces"))
-    known = pairs.join(into, "dst")
-    outof = facts.select(F.col("node").alias("src"), "_deg", "pieces")
-    links = known.join(outof, "src").select(
-        "src",
-        F.pmod(F.xxhash64("dst"), F.col("pieces")).cast("int").alias("piece"),
-        "dst",
-        "dst_pieces",
-        (F.col("_m") / F.col("_deg")).alias("w"),
-    )
-    arriving = known.groupBy("src").agg(F.sum("_m").alias("_arrives"))
-    lost = F.col("_deg") - F.coalesce(F.col("_arrives"), F.lit(0))
-    leaks = (
-        outof.join(arriving, "src", "left")
-        .select(
-            "src",
-            F.lit(0).alias("piece"),
-            F.lit(None).cast(pairs.schema["dst"].dataType).alias("dst"),
-            F.lit(None).cast("int").alias("dst_pieces"),
-            F.coalesce(lost / F.col("_deg"), F.lit(1.0)).alias("w"),
-        )
-        .filter(F.col("w") > 0)
-    )
-    return Graph(facts.select("node", "pieces"), links.unionByName(leaks))
+    nodes = cut(nodes.select("node").distinct(), "nodes")
+    pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_m"))
+    weighed = with_key_totals(pairs, ["src"], ["dst"], {"_deg": F.sum("_m")})
+    weighed = cut(weighed.select("src", "dst", (F.col("_m") / F.col("_deg")).alias("w")), "weighed")
+    known = weighed.join(nodes.withColumnRenamed("node", "dst"), "dst", "left_semi").select("src", "dst", "w")
+    unknown = weighed.join(nodes.withColumnRenamed("node", "dst"), "dst", "left_anti")
+    nowhere = F.lit(None).cast(weighed.schema["dst"].dataType).alias("dst")
+    lost = unknown.groupBy("src").agg(F.sum("w").alias("w")).select("src", nowhere, "w")
+    dangling = nodes.withColumnRenamed("node", "src").join(weighed, "src", "left_anti")
+    dangling = dangling.select("src", nowhere, F.lit(1.0).alias("w"))
+    return Graph(nodes, cut(known.unionByName(lost).unionByName(dangling), "links"))

@@ -1,109 +1,146 @@
-"""Inverted index. The flat postings (term, docno, tf) are the stored form.
-
-Lists are views on it. A very frequent term would make one list as long as the
-collection, so a list is cut into segments of `segment_size` consecutive
-document numbers: at most that many postings each, however frequent the term.
+"""Inverted index. The flat postings (term, keys, tf) are the stored form.
+
+A document is named by `keys`: its number, the last of them, and before it
+whatever the number is unique within, such as the path of a file. Lists are
+views on the postings, one per term and path. A very frequent term would make
+one list as long as the collection, so its places in the list are found in two
+steps: postings are stored in ranges of (term, keys), every range is numbered by
+itself, and only each range's totals are added up over a term. Lists are cut
+into segments of so many postings, however far apart their document numbers are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.state import cut
+from .skew import default_pieces
+
 SEGMENT_SIZE = 1 << 16
 
+# Segments whose sums are added up together when gaps are decoded.
+GROUP = 1 << 10
+
+KEYS = ("docno",)
 
-def postings(docs: DataFrame, line: str = "line", docno: str = "docno") -> DataFrame:
-    """(term, docno, tf), one row per term and document."""
+
+def postings(docs: DataFrame, line: str = "line", keys: Sequence[str] = KEYS) -> DataFrame:
+    """(term, keys, tf), one row per term and document."""
     from .text_stats import words
 
     return (
-        words(docs, line, docno)
-        .groupBy(F.col("word").alias("term"), docno)
+        words(docs, line, *keys)
+        .groupBy(F.col("word").alias("term"), *keys)
         .agg(F.count(F.lit(1)).cast("int").alias("tf"))
     )
 
 
-def _segmented(postings: DataFrame, segment_size: int) -> DataFrame:
-    # never NULL; said once, so that all readers of a list share one shuffle
-    return postings.withColumn("segment", F.expr(f"docno div {int(segment_size)}")).filter(
-        F.col("term").isNotNull() & F.col("segment").isNotNull()
-    )
-
-
-def _lists(postings: DataFrame, segment_size: int) -> DataFrame:
-    """(term, segment, postings, df, previous): lists in docno order.
-
-    `df` is the list length over all segments of the term and `previous` the last
-    docno before the segment (0 for the first). Both come from one small row per
-    segment, and join back on (term, segment), where the lists already are.
-    """
-    lists = (
-        _segmented(postings, segment_size)
-        .groupBy("term", "segment")
-        .agg(F.sort_array(F.collect_list(F.struct("docno", "tf"))).alias("postings"))
+def _placed(postings: DataFrame, segment_size: int, keys: Sequence[str]) -> DataFrame:
+    """(term, keys, tf, df, segment, pos, gap): every posting's place in its list."""
+    *within, docno = keys
+    listed = ["term", *within]
+    n = default_pieces(postings)
+    ranged = postings.filter(F.col("term").isNotNull()).repartitionByRange(n, *listed, docno)
+    stored = cut(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
+    of_range = Window.partitionBy("_range", *listed)
+    in_range = of_range.orderBy(docno)
+    own = stored.withColumns(
+        {
+            "_i": F.row_number().over(in_range),
+            "_before": F.lag(docno).over(in_range),
+            "_n": F.count(F.lit(1)).over(of_range),
+        }
     )
-    ends = lists.select(
-        "term",
-        "segment",
-        F.size("postings").alias("_n"),
-        F.element_at("postings", -1)["docno"].alias("_last"),
+    ends = stored.groupBy("_range", *listed).agg(F.count(F.lit(1)).alias("_n"), F.max(docno).alias("_last"))
+    # at most one row per range and list
+    of_list = Window.partitionBy(*listed)
+    in_list = of_list.orderBy("_range")
+    earlier = in_list.rowsBetween(Window.unboundedPreceding, -1)
+    facts = cut(
+        ends.select(
+            "_range",
+            *listed,
+            F.sum("_n").over(of_list).alias("df"),
+            F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_skip"),
+            F.lag("_last", 1, 0).over(in_list).alias("_previous"),
+        ),
+        "ranges",
     )
-    term = Window.partitionBy("term")
-    in_order = term.orderBy("segment")
-    facts = ends.select(
-        "term",
-        "segment",
-        F.sum("_n").over(term).alias("df"),
-        F.lag("_last", 1, 0).over(in_order).alias("previous"),
+    joined = own.join(facts, ["_range", *listed])
+    at = F.col("_skip") + F.col("_i") - 1
+    return joined.select(
+        *listed,
+        docno,
+        "tf",
+        "df",
+        F.floor(at / segment_size).alias("segment"),
+        (at % segment_size).cast("int").alias("pos"),
+        (F.col(docno) - F.coalesce("_before", "_previous")).alias("gap"),
     )
-    return lists.join(facts, ["term", "segment"])
 
 
-def inverted_index(postings: DataFrame, segment_size: int = SEGMENT_SIZE) -> DataFrame:
-    """(term, segment, df, postings), postings an array of (docno, tf) by docno."""
-    return _lists(postings, segment_size).select("term", "segment", "df", "postings")
+def inverted_index(
+    postings: DataFrame, segment_size: int = SEGMENT_SIZE, keys: Sequence[str] = KEYS
+) -> DataFrame:
+    """(term, .., segment, df, postings), postings an array of (docno, tf) by docno."""
+    *within, docno = keys
+    placed = _placed(postings, segment_size, keys)
+    entries = F.sort_array(F.collect_list(F.struct(docno, "tf")))
+    return placed.groupBy("term", *within, "segment").agg(
+        F.max("df").alias("df"), entries.alias("postings")
+    )
 
 
-def encode_gaps(postings: DataFrame, segment_size: int = SEGMENT_SIZE) -> DataFrame:
-    """(term, segment, pos, gap, tf): docno differences along a term's whole list.
+def encode_gaps(postings: DataFrame, segment_size: int = SEGMENT_SIZE, keys: Sequence[str] = KEYS) -> DataFrame:
+    """(term, .., segment, pos, gap, tf): docno differences along a term's whole list.
 
-    The first gap of a term counts from 0 and gaps run on across segments.
+    The first gap of a list counts from 0 and gaps run on across segments.
     """
-    at = _lists(postings, segment_size).select(
-        "term", "segment", "previous", "postings", F.posexplode("postings").alias("pos", "p")
-    )
-    before = F.coalesce(F.get("postings", F.col("pos") - 1)["docno"], F.col("previous"))
-    return at.select(
-        "term", "segment", "pos", (F.col("p.docno") - before).alias("gap"), F.col("p.tf").alias("tf")
-    )
-
-
-def decode_gaps(gaps: DataFrame) -> DataFrame:
-    """(term, docno, tf) from gaps: a running sum in each segment on top of the earlier ones."""
-    sums = gaps.groupBy("term", "segment").agg(F.sum("gap").alias("_sum"))
-    earlier = Window.partitionBy("term").orderBy("segment").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    base = sums.select(
-        "term", "segment", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base")
+    *within, _ = keys
+    return _placed(postings, segment_size, keys).select("term", *within, "segment", "pos", "gap", "tf")
+
+
+def decode_gaps(gaps: DataFrame, keys: Sequence[str] = KEYS, group: int = GROUP) -> DataFrame:
+    """(term, keys, tf) from gaps: running sums in a segment, over a group's segments and over groups."""
+    *within, docno = keys
+    listed = ["term", *within]
+
+    def before(order: str, *of: str) -> Window:
+        return Window.partitionBy(*listed, *of).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
+    def start(window: Window) -> Column:
+        return F.coalesce(F.sum("_sum").over(window), F.lit(0))
+
+    grouped = F.floor(F.col("segment") / group).alias("_group")
+    segments = gaps.groupBy(*listed, grouped, "segment").agg(F.sum("gap").alias("_sum"))
+    groups = segments.groupBy(*listed, "_group").agg(F.sum("_sum").alias("_sum"))
+    first = groups.select(*listed, "_group", start(before("_group")).alias("_first"))
+    inside = segments.select(*listed, "_group", "segment", start(before("segment", "_group")).alias("_inside"))
+    base = cut(
+        inside.join(first, [*listed, "_group"]).select(
+            *listed, "segment", (F.col("_first") + F.col("_inside")).alias("_base")
+        ),
+        "segments",
     )
-    so_far = Window.partitionBy("term", "segment").orderBy("pos").rowsBetween(
+    so_far = Window.partitionBy(*listed, "segment").orderBy("pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     running = gaps.withColumn("_run", F.sum("gap").over(so_far))
-    return running.join(base, ["term", "segment"]).select(
-        "term", (F.col("_base") + F.col("_run")).alias("docno"), "tf"
+    return running.join(base, [*listed, "segment"]).select(
+        *listed, (F.col("_base") + F.col("_run")).alias(docno), "tf"
     )
 
 
-def postings_table(postings: DataFrame, segment_size: int = SEGMENT_SIZE) -> DataFrame:
-    """(term, segment, cells) with cells a map docno -> tf; a repeated cell is summed."""
-    cells = postings.groupBy("term", "docno").agg(F.sum("tf").cast("int").alias("tf"))
+def postings_table(postings: DataFrame, segment_size: int = SEGMENT_SIZE, keys: Sequence[str] = KEYS) -> DataFrame:
+    """(term, .., segment, cells) with cells a map docno -> tf; a repeated cell is summed."""
+    *within, docno = keys
+    cells = postings.groupBy("term", *keys).agg(F.sum("tf").cast("int").alias("tf"))
+    entries = F.sort_array(F.collect_list(F.struct(docno, "tf")))
     return (
-        _segmented(cells, segment_size)
-        .groupBy("term", "segment")
-        .agg(
-            F.map_from_entries(F.sort_array(F.collect_list(F.struct("docno", "tf")))).alias("cells")
-        )
+        _placed(cells, segment_size, keys)
+        .groupBy("term", *within, "segment")
+        .agg(F.map_from_entries(entries).alias("cells"))
     )

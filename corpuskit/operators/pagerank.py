@@ -1,14 +1,13 @@
 """Personalized PageRank from many sources at once.
 
 Ranks are sparse rows (node, source, mass): pairs without mass are not stored.
-Mass is a plain double, so a zero needs no special value.
+Mass is a plain double, so a zero needs no special value. Sources are a table
+(source), of any size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.state import cut
@@ -18,69 +17,35 @@ from .graph import Graph
 ALPHA = 0.15
 
 
-def _source_list(sources: Iterable[int]) -> list[int]:
-    unique = sorted(set(sources))
-    if not unique:
-        raise ValueError("no source given")
-    return unique
-
-
-def _found(nodes: DataFrame, sources: Iterable[int]) -> list[Row]:
-    """The node rows of the sources; reads back no more rows than the given list has."""
-    wanted = _source_list(sources)
-    rows = nodes.filter(F.col("node").isin(wanted)).distinct().collect()
-    unknown = sorted(set(wanted) - {row["node"] for row in rows})
-    if unknown:
-        raise ValueError(f"sources that are no nodes: {unknown}")
-    return rows
-
-
-def ppr_init(nodes: DataFrame, sources: Iterable[int]) -> DataFrame:
-    """(node, source, mass): all mass of a source on the source itself.
-
-    A source that is no node raises ValueError.
-    """
-    rows = [(r["node"], r["node"], 1.0) for r in _found(nodes.select("node"), sources)]
-    id_type = nodes.schema["node"].dataType.simpleString()
-    schema = f"node {id_type}, source {id_type}, mass double"
-    return nodes.sparkSession.createDataFrame(rows, schema)
-
-
-def _home(graph: Graph, sources: Iterable[int]) -> DataFrame:
-    """The initial ranks with the number of pieces of each node."""
-    rows = [(r["node"], r["node"], 1.0, r["pieces"]) for r in _found(graph.nodes, sources)]
-    id_type = graph.nodes.schema["node"].dataType.simpleString()
-    schema = f"node {id_type}, source {id_type}, mass double, pieces int"
-    return graph.nodes.sparkSession.createDataFrame(rows, schema)
+def unknown_sources(nodes: DataFrame, sources: DataFrame) -> DataFrame:
+    """(source): the sources that are no nodes; they have no ranks."""
+    known = nodes.select(F.col("node").alias("source"))
+    return sources.select("source").distinct().join(known, "source", "left_anti")
 
 
-def _with_pieces(ranks: DataFrame, graph: Graph) -> DataFrame:
-    return ranks.select("node", "source", "mass").join(graph.nodes, "node")
+def ppr_init(nodes: DataFrame, sources: DataFrame) -> DataFrame:
+    """(node, source, mass): all mass of a source on the source itself, repeated sources once."""
+    known = nodes.select(F.col("node").alias("source"))
+    found = sources.select("source").distinct().join(known, "source", "left_semi")
+    return found.select(F.col("source").alias("node"), "source", F.lit(1.0).alias("mass"))
 
 
 def _sent(ranks: DataFrame, graph: Graph) -> DataFrame:
-    """(dst, source, m, dst_pieces): mass along every link; dst is NULL for lost mass."""
-    piece = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece")
-    leaving = ranks.select(F.col("node").alias("src"), "source", "mass", piece)
-    return leaving.join(graph.links, ["src", "piece"]).select(
-        "dst", "source", (F.col("mass") * F.col("w")).alias("m"), "dst_pieces"
-    )
+    """(dst, source, m): mass along every link; dst is NULL for lost mass."""
+    leaving = ranks.select(F.col("node").alias("src"), "source", "mass")
+    return leaving.join(graph.links, "src").select("dst", "source", (F.col("mass") * F.col("w")).alias("m"))
 
 
 def ppr_step(ranks: DataFrame, graph: Graph) -> DataFrame:
     """(node, source, mass) after mass/outdegree went along every out-edge, before any jump."""
-    arrived = _sent(_with_pieces(ranks, graph), graph).filter(F.col("dst").isNotNull())
+    arrived = _sent(ranks, graph).filter(F.col("dst").isNotNull())
     return arrived.groupBy(F.col("dst").alias("node"), "source").agg(F.sum("m").alias("mass"))
 
 
-def missing_mass(stepped: DataFrame, sources: Iterable[int]) -> DataFrame:
+def missing_mass(stepped: DataFrame, sources: DataFrame) -> DataFrame:
     """(source, missing): 1 - the mass still there after a step, never below 0."""
-    wanted = [(s,) for s in _source_list(sources)]
-    type_ = stepped.schema["source"].dataType.simpleString()
-    every = stepped.sparkSession.createDataFrame(wanted, f"source {type_}")
-    present = stepped.select("source", "mass").unionByName(
-        every.select("source", F.lit(0.0).alias("mass"))
-    )
+    every = sources.select("source").distinct().withColumn("mass", F.lit(0.0))
+    present = stepped.select("source", "mass").unionByName(every)
     return present.groupBy("source").agg(
         F.greatest(F.lit(0.0), F.lit(1.0) - F.sum("mass")).alias("missing")
     )
@@ -93,27 +58,21 @@ def _iterate(ranks: DataFrame, home: DataFrame, graph: Graph, alpha: float) -> D
     source and no separate pass over the total is needed. `home` adds the jump.
     """
     sent = _sent(ranks, graph).select(
-        F.coalesce("dst", "source").alias("node"),
-        "source",
-        "m",
-        F.lit(0).alias("jump"),
-        F.col("dst_pieces").alias("pieces"),
+        F.coalesce("dst", "source").alias("node"), "source", "m", F.lit(0).alias("jump")
     )
-    jumps = home.select("node", "source", F.lit(0.0).alias("m"), F.lit(1).alias("jump"), "pieces")
+    jumps = home.select("node", "source", F.lit(0.0).alias("m"), F.lit(1).alias("jump"))
     mass = (1.0 - alpha) * F.sum("m") + alpha * F.max("jump")
-    # every node has pieces; asking keeps the column in the last iteration too,
-    # so that all iterations of a plan read the same shuffle of the links
     return (
         sent.unionByName(jumps)
         .groupBy("node", "source")
-        .agg(mass.alias("mass"), F.max("pieces").alias("pieces"))
-        .filter((F.col("mass") > 0) & (F.col("pieces") > 0))
+        .agg(mass.alias("mass"))
+        .filter(F.col("mass") > 0)
     )
 
 
 def personalized_pagerank(
     graph: Graph,
-    sources: Iterable[int],
+    sources: DataFrame,
     iterations: int,
     alpha: float = ALPHA,
     start: int = 0,
@@ -125,8 +84,7 @@ def personalized_pagerank(
     With `save_to`, every state goes to <save_to>/iterNNNN (iter0000 the initial
     one) and a later call with `start` goes on from such a state. Otherwise the
     ranks are written to the session's shared folder every `cut_every`
-    iterations. The links are written there first if more than one iteration
-    reads them.
+    iterations. Sources that are no nodes have no ranks, see `unknown_sources`.
     """
     spark = graph.nodes.sparkSession
 
@@ -137,15 +95,11 @@ def personalized_pagerank(
         raise ValueError("iterations must not be below start")
     if start and not save_to:
         raise ValueError("start needs save_to, where the earlier states are")
-    home = _home(graph, sources)
-    if iterations - start > 1:
-        graph = Graph(graph.nodes, cut(graph.links, "links"))
+    home = cut(ppr_init(graph.nodes, sources), "home")
     if start:
-        ranks = _with_pieces(spark.read.parquet(path(start)), graph)
+        ranks = spark.read.parquet(path(start))
     else:
-        ranks = home
-        if save_to:
-            ranks = cut(ranks, "ranks", path(0))
+        ranks = cut(home, "ranks", path(0)) if save_to else home
     for i in range(start + 1, iterations + 1):
         ranks = _iterate(ranks, home, graph, alpha)
         if save_to:
@@ -155,13 +109,21 @@ def personalized_pagerank(
     return ranks.select("node", "source", "mass")
 
 
-def top_k(ranks: DataFrame, k: int) -> DataFrame:
+def top_k(ranks: DataFrame, k: int, nodes: DataFrame) -> DataFrame:
     """(source, rank, node, mass, shown): the k highest masses per source, ties by node.
 
     Each task keeps k rows per source before the shuffle, so a source with mass
-    on every node does not bring them all together.
+    on every node does not bring them all together. A source with mass on fewer
+    than k nodes goes on with the lowest other nodes: of the 2k lowest ones, it
+    has mass on less than k.
     """
+    lowest = nodes.select("node").distinct().orderBy("node").limit(2 * k)
+    lowest = lowest.agg(F.array_sort(F.collect_list("node"))).scalar()
+    short = ranks.groupBy("source").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") < k)
+    empty = short.select("source", F.explode(lowest).alias("node"))
+    empty = empty.join(ranks, ["source", "node"], "left_anti").withColumn("mass", F.lit(0.0))
     best_first = Window.partitionBy("source").orderBy(F.desc("mass"), "node")
-    ranked = ranks.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= k)
+    every = ranks.select("source", "node", "mass").unionByName(empty.select("source", "node", "mass"))
+    ranked = every.withColumn("rank", F.row_number().over(best_first)).filter(F.col("rank") <= k)
     shown = F.format_string("%.5f %s", F.col("mass"), F.col("node").cast("string"))
     return ranked.select("source", "rank", "node", "mass", shown.alias("shown"))

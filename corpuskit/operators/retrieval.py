@@ -3,28 +3,34 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import snippet
+from ..sources.state import cut
+from .index import KEYS
+from .skew import PIECE, default_pieces, piece_of
 
 # The operators, upper case only.
 AND = "AND"
 OR = "OR"
 
 
-def term_docs(postings: DataFrame, term: str) -> DataFrame:
+def term_docs(postings: DataFrame, term: str, keys: Sequence[str] = KEYS) -> DataFrame:
     """Documents with exactly this term, ascending. The term is not normalised."""
-    return postings.filter(F.col("term") == term).select("docno").orderBy("docno")
+    return postings.filter(F.col("term") == term).select(*keys).orderBy(*keys)
 
 
 def docs_and(left: DataFrame, right: DataFrame) -> DataFrame:
-    return left.select("docno").intersect(right.select("docno"))
+    """Documents that both sides have; the columns are the documents' keys."""
+    return left.intersect(right.select(*left.columns))
 
 
 def docs_or(left: DataFrame, right: DataFrame) -> DataFrame:
-    return left.select("docno").union(right.select("docno")).distinct()
+    """Documents that either side has."""
+    return left.union(right.select(*left.columns)).distinct()
 
 
 def _needed(rpn: str):
@@ -56,8 +62,8 @@ def _condition(tree, flags: dict[str, str]) -> Column:
     return left & right if tree[0] == AND else left | right
 
 
-def boolean_query(postings: DataFrame, rpn: str) -> DataFrame:
-    """Documents (docno) matching one postfix query.
+def boolean_query(postings: DataFrame, rpn: str, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Documents (keys) matching one postfix query.
 
     One filter on the terms, which reaches a term-sorted index file, and one
     aggregation by document, however many operators the query has. Operands left
@@ -70,145 +76,114 @@ def boolean_query(postings: DataFrame, rpn: str) -> DataFrame:
     seen = [F.max(F.col("term") == t).alias(flag) for t, flag in flags.items()]
     return (
         postings.filter(F.col("term").isin(terms))
-        .groupBy("docno")
+        .groupBy(*keys)
         .agg(*seen)
         .filter(_condition(tree, flags))
-        .select("docno")
+        .select(*keys)
     )
 
 
-# Bits of one 64-bit number in use, for the terms of a document or for a stack.
-BITS = 62
-
 _AND_CODE, _OR_CODE = -1, -2
 
 
 def _coded(queries: DataFrame) -> DataFrame:
     """(query_id, rpn, terms, codes): codes are term positions, -1 for AND, -2 for OR."""
-    tokens = F.split(F.trim("rpn"), r"\s+")
-    operators = F.array(F.lit(AND), F.lit(OR), F.lit(""))
+    tokens = F.filter(F.split("rpn", r"\s+"), lambda t: t != "")
+    operators = F.array(F.lit(AND), F.lit(OR))
 
     def code(token: Column) -> Column:
         position = F.array_position("terms", token).cast("int") - 1
         return F.when(token == AND, _AND_CODE).when(token == OR, _OR_CODE).otherwise(position)
 
     return queries.select(
-        "query_id",
-        "rpn",
-        tokens.alias("_tokens"),
-        F.array_except(F.array_distinct(tokens), operators).alias("terms"),
+        "query_id", "rpn", tokens.alias("_tokens"), F.array_except(F.array_distinct(tokens), operators).alias("terms")
     ).select("query_id", "rpn", "terms", F.transform("_tokens", code).alias("codes"))
 
 
-def _described(coded: DataFrame) -> DataFrame:
-    """With `depth`, the deepest stack a query needs, `kind`, and whether it is `bad`.
-
-    kind is the operator of a query that has only one and uses all its operands,
-    None for any other. bad queries are empty or lack operands.
-    """
+def malformed(queries: DataFrame) -> DataFrame:
+    """(query_id, rpn) of the queries that are empty or lack operands."""
     state = F.aggregate(
         "codes",
-        F.struct(F.lit(0).alias("n"), F.lit(0).alias("depth"), F.lit(False).alias("short")),
+        F.struct(F.lit(0).alias("n"), F.lit(False).alias("short")),
         lambda s, c: F.struct(
             F.when(c >= 0, s["n"] + 1).otherwise(s["n"] - 1).alias("n"),
-            F.greatest(s["depth"], s["n"] + 1).alias("depth"),
             (s["short"] | ((c < 0) & (s["n"] < 2))).alias("short"),
         ),
     )
-    bad = F.col("_s.short") | (F.col("_s.n") < 1) | (F.trim("rpn") == "")
-    has_and = F.array_contains("codes", F.lit(_AND_CODE))
-    has_or = F.array_contains("codes", F.lit(_OR_CODE))
-    uniform = (F.col("_s.n") == 1) & ~(has_and & has_or)
-    return coded.withColumn("_s", state).select(
-        "query_id",
-        "rpn",
-        "terms",
-        "codes",
-        bad.alias("bad"),
-        F.col("_s.depth").alias("depth"),
-        F.when(uniform, F.when(has_and, F.lit(AND)).otherwise(F.lit(OR))).alias("kind"),
-    )
+    checked = _coded(queries).withColumn("_s", state)
+    return checked.filter(F.col("_s.short") | (F.col("_s.n") < 1)).select("query_id", "rpn")
 
 
-def _holds(masks: list[Column], depth: int) -> Column:
-    """Whether a document with these term masks matches the query's codes.
+def _top(codes: str, operand, combine, kind: str) -> Column:
+    """The top of the stack after the codes, with `operand(c)` for a term and `combine(c, a, b)` for an operator."""
 
-    A query of one operator needs a look at the masks only. Others run on a
-    stack of booleans, kept in the bits of a number as long as `depth` allows.
-    """
+    def step(stack: Column, c: Column) -> Column:
+        n = F.size(stack)
+        joined = combine(c, F.get(stack, n - 2), F.get(stack, n - 1))
+        applied = F.concat(F.slice(stack, F.lit(1), F.greatest(n - 2, F.lit(0))), F.array(joined))
+        return F.when(c >= 0, F.concat(stack, F.array(operand(c)))).otherwise(applied)
 
-    def present(c: Column) -> Column:
-        mask = masks[0] if len(masks) == 1 else F.get(F.array(*masks), (c / BITS).cast("int"))
-        return F.getbit(mask, F.pmod(c, F.lit(BITS))).cast("bigint")
+    return F.aggregate(codes, F.array().cast(f"array<{kind}>"), step, lambda stack: F.get(stack, F.size(stack) - 1))
 
-    def on_bits(stack: Column, c: Column) -> Column:
-        a, b = stack.bitwiseAND(F.lit(1)), F.shiftright(stack, 1).bitwiseAND(F.lit(1))
-        result = F.when(c == _AND_CODE, a.bitwiseAND(b)).otherwise(a.bitwiseOR(b))
-        below = F.shiftleft(F.shiftright(stack, 2), 1)
-        pushed = F.shiftleft(stack, 1).bitwiseOR(present(c))
-        return F.when(c >= 0, pushed).otherwise(below.bitwiseOR(result))
 
-    def on_array(stack: Column, c: Column) -> Column:
-        n = F.size(stack)
-        a, b = F.element_at(stack, n - 1), F.element_at(stack, n)
-        result = F.when(c == _AND_CODE, a.bitwiseAND(b)).otherwise(a.bitwiseOR(b))
-        applied = F.concat(F.slice(stack, F.lit(1), n - 2), F.array(result))
-        return F.when(c >= 0, F.concat(stack, F.array(present(c)))).otherwise(applied)
-
-    if depth <= BITS:
-        top = F.aggregate("codes", F.lit(0).cast("bigint"), on_bits).bitwiseAND(F.lit(1))
-    else:
-        empty = F.array().cast("array<bigint>")
-        top = F.aggregate("codes", empty, on_array, lambda stack: F.element_at(stack, -1))
-    n_present = sum((F.bit_count(m) for m in masks[1:]), F.bit_count(masks[0]))
-    return (
-        F.when(F.col("kind") == OR, F.lit(True))
-        .when(F.col("kind") == AND, n_present == F.size("terms"))
-        .otherwise(top == 1)
+def boolean_query_batch(postings: DataFrame, queries: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """(query_id, keys) for a whole table of queries (query_id, rpn) at once.
+
+    Every match of a query holds one of its seeds: of an AND the seeds of the
+    side with fewer postings, of an OR those of both. Only documents with a seed
+    are looked at, and they are asked for the query's other terms by (term,
+    document), so a frequent term that only narrows a query down costs no more
+    than its seeds. Seeds meet their postings in pieces by the document, which
+    spreads a frequent one. Queries that are malformed match nothing; `malformed`
+    lists them.
+    """
+    keys = list(keys)
+    kind = "struct<cost:bigint,seeds:array<int>>"
+    coded = cut(_coded(queries).join(malformed(queries).select("query_id"), "query_id", "left_anti"), "queries")
+    wanted = coded.select("query_id", F.posexplode("terms").alias("_i", "term"))
+    found = cut(postings.join(wanted.select("term").distinct(), "term", "left_semi").select("term", *keys), "found")
+    sizes = wanted.join(found.groupBy("term").agg(F.count(F.lit(1)).alias("_df")), "term", "left")
+    counted = sizes.groupBy("query_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("_i", F.coalesce("_df", F.lit(0))))).alias("_dfs")
     )
 
+    def operand(c: Column) -> Column:
+        return F.struct(F.col("_dfs")[c].alias("cost"), F.array(c).alias("seeds")).cast(kind)
 
-def boolean_query_batch(postings: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query_id, docno) for a whole table of queries (query_id, rpn) at once.
+    def combine(c: Column, a: Column, b: Column) -> Column:
+        cheaper = F.when(a["cost"] <= b["cost"], a).otherwise(b)
+        both = F.struct((a["cost"] + b["cost"]).alias("cost"), F.array_union(a["seeds"], b["seeds"]).alias("seeds"))
+        return F.when(c == _AND_CODE, cheaper).otherwise(both.cast(kind))
 
-    The query terms meet the postings in one join. Which terms of a query a
-    document has is then one bit each, put together by a plain aggregation with
-    partial results in every task. The number of masks follows the longest query
-    and is looked up first, together with the stack depth; a malformed query
-    raises ValueError then.
-    """
-    coded = _described(_coded(queries))
-    facts = coded.agg(
-        F.max(F.size("terms")).alias("terms"),
-        F.max(F.when(F.col("kind").isNull(), F.col("depth"))).alias("depth"),
-        F.min(F.when(F.col("bad"), F.col("rpn"))).alias("bad"),
-    ).first()
-    if facts["bad"] is not None:
-        raise ValueError(f"malformed query: {facts['bad']!r}")
-    masks = range(((facts["terms"] or 1) - 1) // BITS + 1)
-    wanted = coded.select("query_id", F.posexplode("terms").alias("_i", "term"))
-    place = F.pmod("_i", F.lit(BITS)).cast("int")
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
-    mine = (F.col("_i") / BITS).cast("int")
-
-    def mask(m: int) -> Column:
-        bits = F.bit_or(F.when(F.col("_m") == m, F.col("_bit")))
-        return F.coalesce(bits, F.lit(0).cast("bigint")).alias(f"_mask{m}")
-
-    found = (
-        postings.join(wanted, "term")
-        .select("query_id", "docno", mine.alias("_m"), bit.alias("_bit"))
-        .groupBy("query_id", "docno")
-        .agg(*[mask(m) for m in masks])
+    planned = coded.join(counted, "query_id").withColumn("_seeds", _top("codes", operand, combine, kind)["seeds"])
+    seeds = planned.select("query_id", F.explode("_seeds").alias("_i"), "terms").select(
+        "query_id", F.get("terms", F.col("_i")).alias("term")
+    )
+    pieces = default_pieces(postings)
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(pieces - 1).cast("bigint"))
+    spread = seeds.withColumn(PIECE, F.explode(every))
+    candidates = (
+        found.withColumn(PIECE, piece_of(keys, pieces))
+        .join(spread, ["term", PIECE])
+        .select("query_id", *keys)
+        .distinct()
     )
-    matched = _holds([F.col(f"_mask{m}") for m in masks], facts["depth"] or 0)
-    return found.join(coded, "query_id").filter(matched).select("query_id", "docno")
+    asked = candidates.join(wanted, "query_id").join(found, ["term", *keys])
+    present = asked.groupBy("query_id", *keys).agg(F.collect_list("_i").alias("_present"))
+
+    def holds(c: Column, a: Column, b: Column) -> Column:
+        return F.when(c == _AND_CODE, a & b).otherwise(a | b)
+
+    matched = _top("codes", lambda c: F.array_contains("_present", c), holds, "boolean")
+    return present.join(coded, "query_id").filter(matched).select("query_id", *keys)
 
 
-def fetch(hits: DataFrame, docs: DataFrame, width: int = 80, line: str = "line") -> DataFrame:
-    """(docno, snippet) of the hits, ascending by docno."""
+def fetch(
+    hits: DataFrame, docs: DataFrame, width: int = 80, line: str = "line", keys: Sequence[str] = KEYS
+) -> DataFrame:
+    """(keys, snippet, line) of the hits, ascending by key; the snippet is for show, the line is whole."""
     return (
-        hits.join(docs, "docno")
-        .select("docno", snippet(line, width).alias("snippet"))
-        .orderBy("docno")
+        hits.join(docs, list(keys))
+        .select(*keys, snippet(line, width).alias("snippet"), F.col(line).alias("line"))
+        .orderBy(*keys)
     )

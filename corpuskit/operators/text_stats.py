@@ -1,11 +1,13 @@
-"""Word, prefix and line statistics. Input lines are (docno, line)."""
+"""Word, prefix and line statistics. Input lines are (line) with any columns that name a line."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import capped_vocab, tokenize, word_prefix
+from ..functions import tokenize, vocab, word_prefix
 
 
 def words(lines: DataFrame, line: str = "line", *carry: str) -> DataFrame:
@@ -38,12 +40,11 @@ def top_prefixes(lines: DataFrame, n: int, k: int = 2, line: str = "line") -> Da
     return prefix_count(lines, k, line).orderBy(F.desc("n"), "prefix").limit(n)
 
 
-def vocab_words(lines: DataFrame, cap: int = 100, line: str = "line", docno: str = "docno"):
-    """(docno, word), each word once per line, within the line cap."""
-    return lines.select(docno, F.explode(capped_vocab(line, cap)).alias("word"))
+def vocab_words(lines: DataFrame, line: str = "line", keys: Sequence[str] = ("docno",)) -> DataFrame:
+    """(keys, word), each word once per line."""
+    return lines.select(*keys, F.explode(vocab(line)).alias("word"))
 
 
-def line_df(lines: DataFrame, cap: int = 100, line: str = "line") -> DataFrame:
+def line_df(lines: DataFrame, line: str = "line") -> DataFrame:
     """(word, df): in how many lines the word occurs."""
-    occurring = lines.select(F.explode(capped_vocab(line, cap)).alias("word"))
-    return occurring.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    return vocab_words(lines, line, ()).groupBy("word").agg(F.count(F.lit(1)).alias("df"))

@@ -5,68 +5,77 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from .tables import SQL_GRAPH, graph_sources, purchases
+from .tables import SQL_GRAPH, graph_sources, load, purchases
 
 ITERATIONS = 3
 
-# Below this, mass is what is left of sums that should be zero.
-NOTHING = 1e-12
-
-
-def _start(spark, sf):
-    nodes, edges = purchases(spark, sf)
-    return nodes, edges, graph_sources(spark, sf, nodes)
-
 
 def single(ranks, column="mass"):
     """Mass in single precision, so that the order of additions does not show.
 
     Decimal places would not do: 0.85 shared out by halves often ends in a 5.
     """
-    mass = F.col(column).cast("float").cast("double")
-    return ranks.withColumn(column, F.when(F.col(column) < NOTHING, 0.0).otherwise(mass))
+    return ranks.withColumn(column, F.col(column).cast("float").cast("double"))
 
 
 def _sql_single(column: str) -> str:
-    return f"""CASE WHEN {column} < {NOTHING} THEN 0.0::DOUBLE
-    ELSE CAST(CAST({column} AS FLOAT) AS DOUBLE) END"""
+    return f"CAST(CAST({column} AS FLOAT) AS DOUBLE)"
 
 
 def ranks_after(spark, sf, iterations=ITERATIONS, **more):
-    nodes, edges, sources = _start(spark, sf)
-    return op.personalized_pagerank(op.prepare(nodes, edges), sources, iterations, **more)
+    graph = op.prepare(*purchases(spark, sf))
+    return op.personalized_pagerank(graph, graph_sources(spark, sf), iterations, **more)
 
 
 def _stepped(spark, sf):
     """The mass step taken once from the state after one iteration."""
-    nodes, edges, sources = _start(spark, sf)
-    graph = op.prepare(nodes, edges)
-    ranks = op.personalized_pagerank(graph, sources, 1)
-    return op.ppr_step(ranks, graph), sources
+    graph = op.prepare(*purchases(spark, sf))
+    return op.ppr_step(op.personalized_pagerank(graph, graph_sources(spark, sf), 1), graph)
 
 
 def _missing(spark, sf):
-    return single(op.missing_mass(*_stepped(spark, sf)), "missing")
+    missing = op.missing_mass(_stepped(spark, sf), graph_sources(spark, sf))
+    return missing.withColumn("missing", F.round("missing", 9))
 
 
-def _init(spark, sf):
-    nodes, _, sources = _start(spark, sf)
-    return op.ppr_init(nodes, sources)
+def _top(spark, sf):
+    nodes, _ = purchases(spark, sf)
+    return op.top_k(single(ranks_after(spark, sf)), 10, nodes).select("source", "rank", "node", "mass")
 
 
-def _top(spark, sf):
-    return op.top_k(single(ranks_after(spark, sf)), 10).select("source", "rank", "node", "mass")
+def _top_of_start(spark, sf):
+    """The best three after no iteration: the source, and the lowest nodes without mass."""
+    nodes, _ = purchases(spark, sf)
+    start = op.ppr_init(nodes, graph_sources(spark, sf))
+    return op.top_k(start, 3, nodes).select("source", "rank", "node", "mass")
+
+
+def _unknown(spark, sf):
+    """Sources and their successors that are no nodes."""
+    nodes, _ = purchases(spark, sf)
+    customers = nodes.filter("node % 2 = 0")
+    wanted = graph_sources(spark, sf).select(F.explode(F.array("source", F.col("source") + 1)).alias("source"))
+    return op.unknown_sources(customers, wanted)
+
+
+def _repeated(spark, sf):
+    """Customers listed once for each of their orders."""
+    listed = load(spark, sf, "orders").select((F.col("o_custkey") * 2).alias("node"))
+    return op.repeated_nodes(listed)
 
 
 QUERIES = {
     "graph_stats": lambda spark, sf: op.graph_stats(*purchases(spark, sf)),
     "missing_targets": lambda spark, sf: op.missing_targets(*purchases(spark, sf)),
     "message_counts": lambda spark, sf: op.message_counts(*purchases(spark, sf)),
-    "ppr_init": _init,
-    "ppr_step": lambda spark, sf: single(_stepped(spark, sf)[0]),
+    "repeated_nodes": _repeated,
+    "unknown_sources": _unknown,
+    "ppr_init": lambda spark, sf: op.ppr_init(purchases(spark, sf)[0], graph_sources(spark, sf)),
+    "ppr_step": lambda spark, sf: single(_stepped(spark, sf)),
     "ppr_missing": _missing,
     "ppr_3_iterations": lambda spark, sf: single(ranks_after(spark, sf)),
     "ppr_top_k": _top,
+    "ppr_top_k_start": _top_of_start,
 }
 
 
@@ -106,6 +115,18 @@ _STEP = f"{sql_ranks(1)},\n{_sql_step('stepped', 'r1')}"
 _RANKS = f"""WITH {sql_ranks(ITERATIONS)},
 ranks AS (SELECT node, source, {_sql_single('mass')} AS mass FROM r{ITERATIONS})"""
 
+
+def _sql_top(ranks: str, k: int) -> str:
+    """Every node for every source."""
+    return f"""every AS (
+  SELECT s.source, n.node, coalesce(r.mass, 0) AS mass
+  FROM sources s CROSS JOIN nodes n LEFT JOIN {ranks} r ON r.source = s.source AND r.node = n.node)
+SELECT source, rank, node, mass FROM (
+  SELECT source, node, mass,
+         CAST(row_number() OVER (PARTITION BY source ORDER BY mass DESC, node) AS INTEGER) AS rank
+  FROM every) WHERE rank <= {k}"""
+
+
 ORACLES = {
     "graph_stats": f"""WITH {SQL_GRAPH}
 SELECT (SELECT count(*) FROM nodes) AS n_nodes, (SELECT count(*) FROM edges) AS n_edges,
@@ -120,11 +141,12 @@ SELECT source AS node, source, CAST(1 AS DOUBLE) AS mass FROM sources""",
     "ppr_step": f"WITH {_STEP} SELECT node, source, {_sql_single('mass')} AS mass FROM stepped",
     "ppr_missing": f"""WITH {_STEP},
 {_sql_missing('missed', 'stepped')}
-SELECT source, {_sql_single('missing')} AS missing FROM missed""",
+SELECT source, round(missing, 9) AS missing FROM missed""",
     "ppr_3_iterations": f"{_RANKS} SELECT node, source, mass FROM ranks",
-    "ppr_top_k": f"""{_RANKS}
-SELECT source, rank, node, mass FROM (
-  SELECT source, node, mass,
-         CAST(row_number() OVER (PARTITION BY source ORDER BY mass DESC, node) AS INTEGER) AS rank
-  FROM ranks) WHERE rank <= 10""",
+    "ppr_top_k": f"{_RANKS},\n{_sql_top('ranks', 10)}",
+    "ppr_top_k_start": f"""WITH {SQL_GRAPH},
+ranks AS (SELECT source AS node, source, CAST(1 AS DOUBLE) AS mass FROM sources),
+{_sql_top('ranks', 3)}""",
+    "repeated_nodes": "SELECT 2 * o_custkey AS node, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) > 1",
+    "unknown_sources": f"WITH {SQL_GRAPH} SELECT source + 1 AS source FROM sources",
 }

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..functions import tokenize
 from ..sources import cut
-from .tables import SQL_POSTINGS, load_texts, sql_benchmark_terms, whole_documents
+from .tables import LINE, SQL_POSTINGS, SQL_TOKENS, document_lines, load, sql_benchmark_terms, whole_documents
 
-# Documents per index segment; even the smaller tables have more than one.
-SEGMENT = 512
+# Postings per index segment; even the smaller tables have lists of more than one.
+SEGMENT = 128
 
 RPN = "the and AND ciudad mente OR OR de AND"
 
@@ -20,45 +20,33 @@ def _postings(spark, sf):
 
 
 def _index(spark, sf):
+    """The lists themselves, an entry per row."""
     lists = op.inverted_index(_postings(spark, sf), SEGMENT)
-    tf = F.aggregate("postings", F.lit(0).cast("bigint"), lambda s, p: s + p["tf"])
-    return lists.select(
-        "term",
-        "segment",
-        "df",
-        F.size("postings").alias("n"),
-        F.element_at("postings", 1)["docno"].alias("first_docno"),
-        F.element_at("postings", -1)["docno"].alias("last_docno"),
-        tf.alias("total_tf"),
-    )
+    each = lists.select("term", "segment", "df", F.posexplode("postings").alias("pos", "p"))
+    return each.select("term", "segment", "df", "pos", "p.docno", "p.tf")
 
 
-def _benchmark_queries(spark, sf):
-    """Three postfix queries per benchmark item: all of its tokens, any of them, and
-    any of the later ones together with the first."""
-    tokens = load_texts(spark, sf, "benchmark", "item_id").select(
-        "item_id", F.array_distinct(tokenize("text")).alias("t")
-    )
+def _line_gaps(spark, sf):
+    """Gaps between the lines of each document that have a term: lists within documents."""
+    postings = op.postings(document_lines(spark, sf), keys=LINE)
+    return op.encode_gaps(postings, 4, keys=LINE)
 
-    def joined(words, operator: str):
-        rest = F.slice(words, F.lit(2), F.size(words))
-        each = F.transform(rest, lambda w: F.concat(w, F.lit(f" {operator}")))
-        return F.concat_ws(" ", words[0], F.array_join(each, " "))
-
-    later = F.slice("t", F.lit(2), F.size("t"))
-    with_first = F.concat_ws(" ", joined(later, "OR"), F.col("t")[0], F.lit("AND"))
-    kinds = F.create_map(
-        F.lit("all"),
-        joined(F.col("t"), "AND"),
-        F.lit("any"),
-        joined(F.col("t"), "OR"),
-        F.lit("mixed"),
-        with_first,
-    )
-    rows = tokens.filter(F.size("t") > 1).select("item_id", F.explode(kinds).alias("kind", "rpn"))
-    return rows.select(
-        F.concat_ws("-", "item_id", "kind").alias("query_id"), F.trim("rpn").alias("rpn")
+
+def _benchmark_queries(spark, sf):
+    """Two postfix queries per benchmark item: all of its tokens, and either of its
+    first two together with either of the last two and the one in the middle."""
+    tokens = load(spark, sf, "benchmark").select("item_id", F.array_distinct(tokenize("text")).alias("t"))
+    t, n = F.col("t"), F.size("t")
+    each = F.transform(F.slice(t, F.lit(2), n), lambda w: F.concat(w, F.lit(" AND")))
+    every = F.concat_ws(" ", t[0], F.array_join(each, " "))
+    middle = F.get(t, F.floor(n / 2).cast("int"))
+    some = F.concat_ws(
+        " ", t[0], F.get(t, F.least(n - 1, F.lit(1))), F.lit("OR"), F.get(t, F.greatest(n - 2, F.lit(0))),
+        F.get(t, n - 1), F.lit("OR AND"), middle, F.lit("AND"),
     )
+    kinds = F.create_map(F.lit("all"), every, F.lit("some"), some)
+    rows = tokens.filter(n > 0).select("item_id", F.explode(kinds).alias("kind", "rpn"))
+    return rows.select(F.concat_ws("-", "item_id", "kind").alias("query_id"), F.trim("rpn").alias("rpn"))
 
 
 def _batch(spark, sf):
@@ -90,12 +78,12 @@ def _table_cells(spark, sf):
 QUERIES = {
     "postings": _postings,
     "inverted_index": _index,
+    "line_gaps": _line_gaps,
     "posting_gaps": lambda spark, sf: op.encode_gaps(_postings(spark, sf), SEGMENT),
     "posting_decode": lambda spark, sf: op.decode_gaps(
         cut(op.encode_gaps(_postings(spark, sf), SEGMENT), "gaps")
     ),
     "term_docs": _term("the"),
-    "term_docs_case": _term("The"),
     "bool_and": _sets(op.docs_and),
     "bool_or": _sets(op.docs_or),
     "bool_query": lambda spark, sf: op.boolean_query(_postings(spark, sf), RPN),
@@ -112,18 +100,25 @@ def _docs(term: str) -> str:
 ORACLES = {
     "postings": f"WITH {SQL_POSTINGS} SELECT term, docno, tf FROM postings",
     "inverted_index": f"""WITH {SQL_POSTINGS},
-freq AS (SELECT term, count(*) AS df FROM postings GROUP BY term)
-SELECT term, docno // {SEGMENT} AS segment, any_value(df) AS df, CAST(count(*) AS INTEGER) AS n,
-  min(docno) AS first_docno, max(docno) AS last_docno, CAST(sum(tf) AS BIGINT) AS total_tf
-FROM postings JOIN freq USING (term) GROUP BY term, docno // {SEGMENT}""",
-    "posting_gaps": f"""WITH {SQL_POSTINGS}
-SELECT term, docno // {SEGMENT} AS segment,
-  CAST(row_number() OVER (PARTITION BY term, docno // {SEGMENT} ORDER BY docno) - 1 AS INTEGER) AS pos,
-  docno - lag(docno, 1, 0) OVER (PARTITION BY term ORDER BY docno) AS gap, tf
-FROM postings""",
+placed AS (
+  SELECT term, docno, tf, count(*) OVER (PARTITION BY term) AS df,
+         row_number() OVER (PARTITION BY term ORDER BY docno) - 1 AS place
+  FROM postings)
+SELECT term, place // {SEGMENT} AS segment, df, CAST(place % {SEGMENT} AS INTEGER) AS pos, docno, tf FROM placed""",
+    "posting_gaps": f"""WITH {SQL_POSTINGS},
+placed AS (
+  SELECT term, tf, docno - lag(docno, 1, 0) OVER w AS gap, row_number() OVER w - 1 AS place
+  FROM postings WINDOW w AS (PARTITION BY term ORDER BY docno))
+SELECT term, place // {SEGMENT} AS segment, CAST(place % {SEGMENT} AS INTEGER) AS pos, gap, tf FROM placed""",
+    "line_gaps": f"""WITH {SQL_TOKENS},
+postings AS (
+  SELECT word AS term, doc_id, line_no, CAST(count(*) AS INTEGER) AS tf FROM tokens GROUP BY ALL),
+placed AS (
+  SELECT term, doc_id, tf, line_no - lag(line_no, 1, 0) OVER w AS gap, row_number() OVER w - 1 AS place
+  FROM postings WINDOW w AS (PARTITION BY term, doc_id ORDER BY line_no))
+SELECT term, doc_id, place // 4 AS segment, CAST(place % 4 AS INTEGER) AS pos, gap, tf FROM placed""",
     "posting_decode": f"WITH {SQL_POSTINGS} SELECT term, docno, tf FROM postings",
     "term_docs": f"WITH {SQL_POSTINGS} {_docs('the')} ORDER BY docno",
-    "term_docs_case": f"WITH {SQL_POSTINGS} {_docs('The')} ORDER BY docno",
     "bool_and": f"WITH {SQL_POSTINGS} {_docs('the')} INTERSECT {_docs('and')}",
     "bool_or": f"WITH {SQL_POSTINGS} {_docs('the')} UNION {_docs('and')}",
     "bool_query": f"""WITH {SQL_POSTINGS}
@@ -132,18 +127,19 @@ INTERSECT {_docs('de')}""",
     "bool_query_batch": f"""WITH {SQL_POSTINGS},
 listed AS ({sql_benchmark_terms()}),
 wanted AS (
-  SELECT item_id, t[1] AS head, unnest(t) AS term, len(t) AS n_terms FROM listed WHERE len(t) > 1),
+  SELECT item_id, t, len(t) AS n_terms, unnest(t) AS term FROM listed WHERE len(t) > 0),
 hits AS (
-  SELECT item_id, docno, any_value(n_terms) AS n_terms, count(*) AS n, bool_or(term = head) AS has_head
+  SELECT item_id, docno, any_value(t) AS t, any_value(n_terms) AS n_terms, list(term) AS has
   FROM wanted JOIN postings USING (term) GROUP BY item_id, docno)
-SELECT item_id || '-any' AS query_id, docno FROM hits
-UNION ALL
-SELECT item_id || '-all' AS query_id, docno FROM hits WHERE n = n_terms
+SELECT item_id || '-all' AS query_id, docno FROM hits WHERE len(has) = n_terms
 UNION ALL
-SELECT item_id || '-mixed' AS query_id, docno FROM hits WHERE has_head AND n > 1""",
+SELECT item_id || '-some' AS query_id, docno FROM hits
+WHERE (list_contains(has, t[1]) OR list_contains(has, t[least(n_terms, 2)]))
+  AND (list_contains(has, t[greatest(n_terms - 1, 1)]) OR list_contains(has, t[n_terms]))
+  AND list_contains(has, t[n_terms // 2 + 1])""",
     "bool_snippets": f"""WITH {SQL_POSTINGS}
 SELECT doc_id AS docno,
-  CASE WHEN length(text) > 80 THEN substring(text, 1, 80) || '...' ELSE text END AS snippet
+  CASE WHEN length(text) > 80 THEN substring(text, 1, 80) || '...' ELSE text END AS snippet, text AS line
 FROM documents WHERE doc_id IN ({_docs('the')} INTERSECT {_docs('and')}) ORDER BY docno""",
     "postings_table": f"WITH {SQL_POSTINGS} SELECT term, docno, tf FROM postings",
 }

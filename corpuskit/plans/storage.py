@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..functions import tokenize
 from ..sources import (
+    read_adjacency,
     read_instances,
     read_lines,
     read_lines_with_offset,
     read_model,
+    read_models,
     read_tbl,
-    repartition_graph,
     write_index,
     write_keyed_table,
     write_model,
@@ -26,8 +27,8 @@ from .tables import (
     SQL_INSTANCES,
     SQL_LINES,
     document_lines,
+    labelled,
     load,
-    load_texts,
     purchases,
     whole_documents,
 )
@@ -38,13 +39,19 @@ def _parallelism(spark) -> int:
 
 
 def _offsets(spark, sf):
-    """Lines written as text and read with offsets: lines and bytes over all files."""
+    """The documents of each source as one text file, read with the offset of every line in it.
+
+    Files have a line with the document's number before its text, so that lines
+    can be told apart; (file, docno) is the key of a line.
+    """
     path = fresh_path(spark, "lines")
-    load_texts(spark, sf, "documents", "doc_id").select("text").write.text(path)
+    docs = load(spark, sf, "documents").filter("source IS NOT NULL")
+    rows = docs.select("source", F.concat(F.lit("#"), "doc_id", F.lit("\n"), "text").alias("value"), "doc_id")
+    by_source = rows.repartition("source").sortWithinPartitions("source", "doc_id")
+    by_source.select("source", "value").write.partitionBy("source").text(path)
     read = read_lines_with_offset(spark, path)
-    end = F.col("docno") + F.octet_length("line") + 1
-    files = read.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.max(end).alias("end"))
-    return files.agg(F.sum("n").alias("n_lines"), F.sum("end").alias("n_bytes"))
+    source = F.regexp_extract("path", "source=([^/]+)/", 1)
+    return read.select(source.alias("source"), "docno", "line")
 
 
 def _text_sink(spark, sf):
@@ -56,18 +63,64 @@ def _text_sink(spark, sf):
     )
 
 
-def _tbl(spark, sf):
-    """Line items as a pipe-delimited file with all its columns, read back and priced."""
+def _as_tbl(spark, sf, *tables):
+    """Given tables as pipe-delimited files with all their columns, read back."""
     directory = fresh_path(spark, "tbl")
-    items = load(spark, sf, "lineitem")
-    fields = []
-    for column in TBL_SCHEMAS["lineitem"].split(", "):
-        name, kind = column.split()
-        value = F.col(name).cast(kind).cast("string") if name in items.columns else F.lit("")
-        fields.append(F.coalesce(value, F.lit("")))
-    row = F.concat(F.concat_ws("|", *fields), F.lit("|"))
-    items.select(row.alias("value")).write.text(f"{directory}/lineitem.tbl")
-    return op.pricing_summary(read_tbl(spark, directory, "lineitem"), reports.MONTH)
+    for table in tables:
+        rows = load(spark, sf, table)
+        fields = []
+        for column in TBL_SCHEMAS[table].split(", "):
+            name, kind = column.split()
+            value = F.col(name).cast(kind).cast("string") if name in rows.columns else F.lit("")
+            fields.append(F.coalesce(value, F.lit("")))
+        row = F.concat(F.concat_ws("|", *fields), F.lit("|"))
+        rows.select(row.alias("value")).write.text(f"{directory}/{table}.tbl")
+    return [read_tbl(spark, directory, table) for table in tables]
+
+
+def _tbl(spark, sf):
+    return op.pricing_summary(*_as_tbl(spark, sf, "lineitem"), reports.MONTH)
+
+
+def _tbl_orders_per_nation(spark, sf):
+    tables = _as_tbl(spark, sf, "orders", "lineitem", "customer", "nation")
+    return op.orders_per_nation(*tables, reports.MONTH)
+
+
+def _tbl_parts(spark, sf):
+    return op.parts_suppliers(*_as_tbl(spark, sf, "lineitem", "part", "supplier"), reports.DAY)
+
+
+def _tbl_unshipped(spark, sf):
+    tables = _as_tbl(spark, sf, "customer", "orders", "lineitem")
+    return op.unshipped_value(*tables, reports.DAY, carry="o_orderpriority")
+
+
+def _replaced(spark, sf):
+    """Word counts written over prefix counts: only the later result is there."""
+    path = fresh_path(spark, "replaced")
+    lines = document_lines(spark, sf)
+    write_text(op.prefix_count(lines), path, 2)
+    write_text(op.word_count(lines), path, 3, ["word"])
+    fields = F.split("line", "\t")
+    return read_lines(spark, path).select(fields[0].alias("word"), fields[1].cast("bigint").alias("n"))
+
+
+def _adjacency(spark, sf):
+    """The graph of purchases as adjacency text, a line per node, read back."""
+    path = fresh_path(spark, "adjacency")
+    nodes, edges = purchases(spark, sf)
+    listed = edges.groupBy(F.col("src").alias("node")).agg(F.collect_list("dst").alias("to"))
+    lines = nodes.join(listed, "node", "left").select(
+        F.concat_ws(" ", F.col("node").cast("string"), F.transform("to", lambda x: x.cast("string"))).alias("value")
+    )
+    lines.write.text(path)
+    return read_adjacency(spark, path)
+
+
+def _adjacency_edges(spark, sf):
+    _, edges = _adjacency(spark, sf)
+    return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _index_files(spark, sf):
@@ -93,7 +146,7 @@ def _resumed_ranks(spark, sf):
 def _length_instances(spark, sf):
     """Labelled documents with the lengths of their tokens as features, by way of a text file."""
     path = fresh_path(spark, "instances")
-    docs = load_texts(spark, sf, "documents", "doc_id").select("doc_id", "text")
+    docs = load(spark, sf, "documents").select("doc_id", "text")
     rows = docs.join(load(spark, sf, "labels"), "doc_id").select(
         F.col("doc_id").cast("string").alias("doc_id"),
         F.when(F.col("toxic") == 1, F.lit("spam")).otherwise(F.lit("ham")).alias("label"),
@@ -114,26 +167,32 @@ def _model_text(spark, sf):
     return read_model(spark, path, "lengths").withColumn("weight", F.round("weight", 9))
 
 
-def _repartitioned(spark, sf):
-    nodes, edges = purchases(spark, sf)
-    n = _parallelism(spark)
-    return repartition_graph(edges, n, "src").unionByName(
-        repartition_graph(nodes.select(F.col("node").alias("src")), n, "src", by_range=True).select(
-            "src", F.lit(None).cast("bigint").alias("dst")
-        )
-    )
+def _models_text(spark, sf):
+    """A model per language, each written to a file of its own and named after it."""
+    path = fresh_path(spark, "models")
+    by_language = labelled(spark, sf).withColumnRenamed("lang", "model")
+    lengths = F.transform("features", lambda w: F.length(w))
+    models = op.train_gradient(by_language.withColumn("features", lengths), 1, by=["model"])
+    write_model(models, path, one_file_per="model")
+    return read_models(spark, path).withColumn("weight", F.round("weight", 9))
 
 
 QUERIES = {
     "lines_with_offset": _offsets,
     "text_sink": _text_sink,
+    "text_replaced": _replaced,
     "tbl_pricing": _tbl,
+    "tbl_orders_per_nation": _tbl_orders_per_nation,
+    "tbl_parts": _tbl_parts,
+    "tbl_unshipped": _tbl_unshipped,
+    "adjacency_stats": lambda spark, sf: op.graph_stats(*_adjacency(spark, sf)),
+    "adjacency_edges": _adjacency_edges,
     "index_files": _index_files,
     "keyed_table": _keyed_table,
     "ppr_resumed": _resumed_ranks,
     "instances_text": _instances_text,
     "model_text": _model_text,
-    "graph_repartitioned": _repartitioned,
+    "models_text": _models_text,
 }
 
 _LENGTHS = f"""{SQL_INSTANCES},
@@ -143,10 +202,23 @@ lengths AS (
   FROM counted GROUP BY ALL)"""
 
 ORACLES = {
-    "lines_with_offset": f"""WITH {SQL_LINES}
-SELECT count(*) AS n_lines, CAST(sum(strlen(line) + 1) AS BIGINT) AS n_bytes FROM lines""",
+    "lines_with_offset": f"""WITH {SQL_LINES},
+each AS (
+  SELECT source, doc_id, -1 AS line_no, '#' || doc_id AS line FROM documents
+  UNION ALL SELECT source, doc_id, line_no, line FROM lines JOIN documents USING (doc_id)),
+placed AS (
+  SELECT source, line, coalesce(sum(strlen(line) + 1) OVER (
+    PARTITION BY source ORDER BY doc_id, line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS docno
+  FROM each WHERE source IS NOT NULL)
+SELECT source, CAST(docno AS BIGINT) AS docno, line FROM placed""",
     "text_sink": text.ORACLES["word_count"],
+    "text_replaced": text.ORACLES["word_count"],
     "tbl_pricing": reports.ORACLES["q6_pricing"],
+    "tbl_orders_per_nation": reports.ORACLES["q4_nation"],
+    "tbl_parts": reports.ORACLES["q3_parts"],
+    "tbl_unshipped": reports.ORACLES["q7_unshipped"],
+    "adjacency_stats": graph.ORACLES["graph_stats"],
+    "adjacency_edges": f"WITH {SQL_GRAPH} SELECT src, dst, count(*) AS n FROM edges GROUP BY ALL",
     "index_files": index.ORACLES["bool_query"],
     "keyed_table": index.ORACLES["postings_table"],
     "ppr_resumed": graph.ORACLES["ppr_3_iterations"],
@@ -156,6 +228,9 @@ SELECT 'lengths' AS model, feature,
   round(sum((CASE WHEN label = 'spam' THEN 0.5::DOUBLE ELSE -0.5::DOUBLE END) * n)
     * CAST(0.002 AS DOUBLE), 9) AS weight
 FROM lengths GROUP BY feature""",
-    "graph_repartitioned": f"""WITH {SQL_GRAPH}
-SELECT src, dst FROM edges UNION ALL SELECT node, NULL FROM nodes""",
+    "models_text": f"""WITH {SQL_INSTANCES}
+SELECT lang AS model, CAST(length(feature) AS INTEGER) AS feature,
+  round(sum((CASE WHEN label = 'spam' THEN 0.5::DOUBLE ELSE -0.5::DOUBLE END) * n)
+    * CAST(0.002 AS DOUBLE), 9) AS weight
+FROM counted GROUP BY ALL""",
 }

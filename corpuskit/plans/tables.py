@@ -7,66 +7,57 @@ from pyspark.sql import functions as F
 
 from ..functions import tokenize
 
-# Line number of a document's line = doc_id * LINES_PER_DOC + position. A text
-# column holds less than 2 GB, so a document cannot have more non-empty lines
-# than this times twenty characters; doc_id may go up to 9e10.
-LINES_PER_DOC = 100_000_000
+# A line of a document is named by both columns, however long documents are.
+LINE = ("doc_id", "line_no")
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def load_texts(spark: SparkSession, sf_dir: str, table: str, key: str) -> DataFrame:
-    """A table with long texts. Only input with fewer splits than cores is spread out, by key."""
-    df = load(spark, sf_dir, table)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(docno, line), every line of every document."""
-    docs = load_texts(spark, sf_dir, "documents", "doc_id")
-    parts = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
-    return parts.select((F.col("doc_id") * LINES_PER_DOC + F.col("i")).alias("docno"), "line")
+    """(doc_id, line_no, line), every line of every document."""
+    docs = load(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
 def whole_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(docno, line) with a whole document as one line."""
-    docs = load_texts(spark, sf_dir, "documents", "doc_id")
+    docs = load(spark, sf_dir, "documents")
     return docs.select(F.col("doc_id").alias("docno"), F.col("text").alias("line"))
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """nodes(node), edges(src, dst): a customer's number points to the parts it bought.
+    """nodes(node), edges(src, dst): all customers and parts, and a link each way for every line item.
 
-    Nodes are the parts without one brand. Bought parts of that brand are targets
-    that are no nodes, and part numbers beyond the customers have no out-edges.
+    Customers have even numbers and parts odd ones. Customers without orders and
+    parts that nobody bought have no out-edges.
     """
-    nodes = (
-        load(spark, sf_dir, "part")
-        .filter(F.col("p_brand") != "Brand#11")
-        .select(F.col("p_partkey").alias("node"))
-    )
+    customers = load(spark, sf_dir, "customer").select((F.col("c_custkey") * 2).alias("node"))
+    parts = load(spark, sf_dir, "part").select((F.col("p_partkey") * 2 + 1).alias("node"))
     orders = load(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("src")
+        F.col("o_orderkey").alias("l_orderkey"), (F.col("o_custkey") * 2).alias("customer")
     )
-    buyers = orders.join(nodes, orders["src"] == nodes["node"], "left_semi")
-    items = load(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_partkey").alias("dst"))
-    return nodes, items.join(buyers, "l_orderkey").select("src", "dst")
+    items = load(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_partkey") * 2 + 1).alias("part"))
+    bought = items.join(orders, "l_orderkey")
+    ways = F.explode(
+        F.array(
+            F.struct(F.col("customer").alias("src"), F.col("part").alias("dst")),
+            F.struct(F.col("part").alias("src"), F.col("customer").alias("dst")),
+        )
+    )
+    return customers.union(parts), bought.select(ways.alias("e")).select("e.*")
 
 
-def graph_sources(spark: SparkSession, sf_dir: str, nodes: DataFrame) -> list[int]:
-    """The lowest node of each brand, and the highest node, which has no out-edges."""
-    part = load(spark, sf_dir, "part").join(nodes, F.col("p_partkey") == F.col("node"))
-    lowest = part.groupBy("p_brand").agg(F.min("node").alias("source")).select("source")
-    highest = nodes.agg(F.max("node").alias("source"))
-    return [row["source"] for row in lowest.union(highest).collect()]
+def graph_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source): the first customer of each nation."""
+    customers = load(spark, sf_dir, "customer").groupBy("c_nationkey")
+    return customers.agg((F.min("c_custkey") * 2).alias("source")).select("source")
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, lang, label, features): toxic documents are spam, all tokens are features."""
-    docs = load_texts(spark, sf_dir, "documents", "doc_id").select("doc_id", "lang", "text")
+    docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     labels = load(spark, sf_dir, "labels").select("doc_id", "toxic")
     label = F.when(F.col("toxic") == 1, F.lit("spam")).otherwise(F.lit("ham")).alias("label")
     return docs.join(labels, "doc_id").select("doc_id", "lang", label, tokenize("text").alias("features"))
@@ -76,6 +67,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 # way here: split at whitespace, strip each piece, drop empty ones.
 
 _PIECES = r"regexp_split_to_array({0}, '[ \t\n\r\f]+')"
+# Fixed value: what is cut off at both ends of a token.
 _CLEAN = "regexp_replace(lower({0}), '^[^a-z]+|[^a-z]+$', '', 'g')"
 
 
@@ -84,25 +76,17 @@ def _token_list(column: str) -> str:
     return f"list_filter({cleaned}, lambda x: x <> '')"
 
 
-SQL_LINES = f"""lines AS (
-  SELECT doc_id * {LINES_PER_DOC} + generate_subscripts(parts, 1) - 1 AS docno, unnest(parts) AS line
+SQL_LINES = """lines AS (
+  SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS INTEGER) AS line_no, unnest(parts) AS line
   FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))"""
 
 SQL_TOKENS = f"""{SQL_LINES},
 tokens AS (
-  SELECT docno, generate_subscripts(ws, 1) AS i, unnest(ws) AS word
-  FROM (SELECT docno, {_token_list('line')} AS ws FROM lines))"""
-
-SQL_VOCAB = f"""{SQL_LINES},
-pieces AS (
-  SELECT docno, generate_subscripts(ps, 1) AS i, unnest(ps) AS piece
-  FROM (SELECT docno, list_filter({_PIECES.format('line')}, lambda x: x <> '') AS ps FROM lines)),
-cleaned AS (SELECT docno, i, {_CLEAN.format('piece')} AS word FROM pieces),
-filled AS (
-  SELECT docno, i, word,
-         coalesce(min(i) FILTER (i >= 100) OVER (PARTITION BY docno), 2147483647) AS last
-  FROM cleaned WHERE word <> ''),
-vocab AS (SELECT DISTINCT docno, word FROM filled WHERE i <= last)"""
+  SELECT doc_id, line_no, generate_subscripts(ws, 1) AS i, unnest(ws) AS word
+  FROM (SELECT doc_id, line_no, {_token_list('line')} AS ws FROM lines))"""
+
+SQL_VOCAB = f"""{SQL_TOKENS},
+vocab AS (SELECT DISTINCT doc_id, line_no, word FROM tokens)"""
 
 SQL_DOC_TOKENS = f"""doc_tokens AS (
   SELECT docno, unnest(ws) AS term
@@ -111,14 +95,12 @@ SQL_DOC_TOKENS = f"""doc_tokens AS (
 SQL_POSTINGS = f"""{SQL_DOC_TOKENS},
 postings AS (SELECT term, docno, CAST(count(*) AS INTEGER) AS tf FROM doc_tokens GROUP BY term, docno)"""
 
-SQL_GRAPH = """nodes AS (SELECT p_partkey AS node FROM part WHERE p_brand <> 'Brand#11'),
-edges AS (
-  SELECT o_custkey AS src, l_partkey AS dst
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE o_custkey IN (SELECT node FROM nodes)),
-sources AS (
-  SELECT min(p_partkey) AS source FROM part WHERE p_brand <> 'Brand#11' GROUP BY p_brand
-  UNION SELECT max(node) FROM nodes)"""
+SQL_GRAPH = """nodes AS (
+  SELECT 2 * c_custkey AS node FROM customer UNION ALL SELECT 2 * p_partkey + 1 FROM part),
+bought AS (
+  SELECT 2 * o_custkey AS customer, 2 * l_partkey + 1 AS part FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+edges AS (SELECT customer AS src, part AS dst FROM bought UNION ALL SELECT part, customer FROM bought),
+sources AS (SELECT 2 * min(c_custkey) AS source FROM customer GROUP BY c_nationkey)"""
 
 SQL_INSTANCES = f"""instances AS (
   SELECT doc_id, lang, CASE WHEN toxic = 1 THEN 'spam' ELSE 'ham' END AS label,

@@ -1,7 +1,7 @@
 """Readers, writers and where intermediate tables go."""
 
 from .instances import read_instances, read_model, read_models, write_model
-from .graph_text import read_adjacency, repartition_graph
+from .graph_text import read_adjacency
 from .sinks import write_index, write_keyed_table, write_text
 from .state import cut, state_dir
 from .tables import TBL_SCHEMAS, read_tbl
@@ -17,7 +17,6 @@ __all__ = [
     "read_model",
     "read_models",
     "read_tbl",
-    "repartition_graph",
     "state_dir",
     "write_index",
     "write_keyed_table",

@@ -18,10 +18,3 @@ def read_adjacency(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     targets = F.slice("ids", F.lit(2), F.size("ids"))
     edges = rows.select(F.col("ids")[0].alias("src"), F.explode(targets).alias("dst"))
     return nodes, edges
-
-
-def repartition_graph(
-    df: DataFrame, n: int, key: str = "node", by_range: bool = False
-) -> DataFrame:
-    """The rows in n partitions, by hash or by range of the node id."""
-    return df.repartitionByRange(n, key) if by_range else df.repartition(n, key)

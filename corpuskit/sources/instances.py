@@ -25,6 +25,7 @@ def _weights(spark: SparkSession, path: str | list[str]) -> DataFrame:
     pair = r"^\(([^,]+),([^)]+)\)$"
     return spark.read.text(path).select(
         F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_path").alias("path"),
         F.regexp_extract("value", pair, 1).cast("int").alias("feature"),
         F.regexp_extract("value", pair, 2).cast("double").alias("weight"),
     )
@@ -36,14 +37,24 @@ def read_model(spark: SparkSession, path: str | list[str], name: str = "model")
 
 
 def read_models(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(model, feature, weight) with one model per file, named after it."""
-    return _weights(spark, path).select(F.col("file").alias("model"), "feature", "weight")
+    """(model, feature, weight) with one model per file or folder of files, named after it.
 
+    A folder named model=NAME, as `write_model` makes them, gives NAME to all its files.
+    """
+    weights = _weights(spark, path)
+    folder = F.regexp_extract("path", "/model=([^/]+)/", 1)
+    name = F.when(folder != "", F.url_decode(folder)).otherwise(F.col("file"))
+    return weights.select(name.alias("model"), "feature", "weight")
 
-def write_model(model: DataFrame, path: str) -> None:
-    """``(feature,weight)`` lines, replacing what is at `path`."""
+
+def write_model(model: DataFrame, path: str, one_file_per: str | None = None) -> None:
+    """``(feature,weight)`` lines, replacing what is at `path`; a file for each value of a column if asked."""
     pair = F.concat(
         F.lit("("), F.col("feature").cast("string"), F.lit(","), F.col("weight").cast("string"),
         F.lit(")"),
-    )
-    model.select(pair.alias("value")).write.mode("overwrite").text(path)
+    ).alias("value")
+    if one_file_per is None:
+        model.select(pair).write.mode("overwrite").text(path)
+        return
+    named = model.select(F.col(one_file_per).alias("model"), pair).repartition("model")
+    named.write.mode("overwrite").partitionBy("model").text(path)

@@ -3,6 +3,7 @@
 import math
 import re
 from collections import Counter, defaultdict
+from itertools import permutations
 
 WS = re.compile("[ \t\n\r\f]+")
 
@@ -15,28 +16,12 @@ def tokens(text):
     return [w for w in (clean(p) for p in WS.split(text)) if w]
 
 
-def vocab(text, cap=100):
-    seen, position = [], 0
-    for piece in WS.split(text):
-        if not piece:
-            continue
-        position += 1
-        w = clean(piece)
-        if not w:
-            continue
-        if w not in seen:
-            seen.append(w)
-        if position >= cap:
-            break
-    return seen
-
-
-def pmi(texts, min_count, cap=100):
+def pmi(texts, min_count):
     single, pair = Counter(), Counter()
     for text in texts:
-        ws = vocab(text, cap)
+        ws = sorted(set(tokens(text)))
         single.update(ws)
-        pair.update((a, b) for a in ws for b in ws if a != b)
+        pair.update(permutations(ws, 2))
     n = float(len(texts))
     return {
         (a, b): math.log10((c / n) / ((single[a] / n) * (single[b] / n)))
@@ -72,16 +57,6 @@ def pagerank(nodes, edges, source, iterations, alpha=0.15):
     return mass
 
 
-def train(instances, delta=0.002):
-    w = {}
-    for label, features in instances:
-        score = sum(w.get(f, 0.0) for f in features)
-        p = 1.0 / (1.0 + math.exp(-score))
-        for f in features:
-            w[f] = w.get(f, 0.0) + ((label == "spam") - p) * delta
-    return w
-
-
 def roca(scored):
     spam = [s for label, s in scored if label == "spam"]
     ham = [s for label, s in scored if label != "spam"]

@@ -1,7 +1,8 @@
+import hashlib
 import math
 
 import pytest
-from models import roca, train
+from models import roca
 from pyspark.sql import functions as F
 
 from corpuskit import operators as op
@@ -29,72 +30,39 @@ def weights(model):
     return {r.feature: r.weight for r in model.collect()}
 
 
-def test_online_golden(small):
-    model = op.train_sharded(small, shards=1)
-    got = weights(model)
-    assert got == {1: 0.001, 2: 0.0009990000003333333, 3: -4.994997086248988e-07}
-    scored = {r.doc_id: r for r in op.classify(op.score(small, model)).collect()}
-    assert scored["d1"].score == pytest.approx(0.0029980000006666666)
-    assert scored["d2"].score == pytest.approx(0.0009985005006247084)
-    assert scored["d3"].score == pytest.approx(-4.994997086248988e-07)
-    assert [scored[d].prediction for d in ("d1", "d2", "d3")] == ["spam", "spam", "ham"]
+def batch(doc_id, seed, batches):
+    return int(hashlib.md5(f"{doc_id}:{seed}".encode()).hexdigest()[:7], 16) % batches
 
 
-def test_shards_equal_sequential_training(spark):
-    rows = many()
+@pytest.mark.parametrize("batches", [1, 2, 5])
+def test_batches_train_one_after_another(spark, batches):
+    rows = many() + [("empty", "ham", [])]
     instances = spark.createDataFrame(rows, SCHEMA)
-    placed = instances.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(4)).alias("s"))
-    shard = {r.doc_id: str(r.s) for r in placed.collect()}
     got = {}
-    for r in op.train_sharded(instances.repartition(7), shards=4).collect():
+    for r in op.train_batches(instances.repartition(7), batches, [3, 8]).collect():
         got.setdefault(r.model, {})[r.feature] = r.weight
-    expected = {
-        s: train([(label, fs) for d, label, fs in rows if shard[d] == s])
-        for s in set(shard.values())
-    }
-    assert got == expected
-
-
-def test_default_number_of_shards_follows_the_data(spark):
-    instances = spark.createDataFrame(many(), SCHEMA)
-    names = {r.model for r in op.train_sharded(instances, shard_instances=100).collect()}
-    assert names == {"0", "1", "2"}
-
+    for seed in (3, 8):
+        w = {}
+        for i in range(batches):
+            w = gradient([r for r in rows if batch(r[0], seed, batches) == i], 1, w=w)
+        assert got[seed] == pytest.approx(w)
+    assert batches == 1 or got[3][0] != got[8][0]
 
-def test_average_model_scores_the_average(spark):
-    instances = spark.createDataFrame(many(), SCHEMA)
-    models = op.train_sharded(instances, shards=3).persist()
-    mean = op.average_models(models, F.lit("all"))
-    expected = {r.doc_id: r.score for r in op.ensemble(op.score(instances, models), "average").collect()}
-    got = {r.doc_id: r.score for r in op.score(instances, mean).collect()}
-    assert got == pytest.approx(expected, abs=1e-12)
 
+def test_training_needs_no_python_on_executors(small):
+    plan = op.train_batches(small, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
-def test_seeds_shuffle_and_repeat(spark):
-    instances = spark.createDataFrame(many(), SCHEMA)
-    one = op.train_sharded(instances, shards=1, seeds=[1, 2])
-    again = op.train_sharded(instances.repartition(5), shards=1, seeds=[2, 1])
-    first = {(r.model, r.feature): r.weight for r in one.collect()}
-    assert first == {(r.model, r.feature): r.weight for r in again.collect()}
-    assert {m for m, _ in first} == {"1:0", "2:0"}
-    assert first["1:0", 0] != first["2:0", 0]
 
-
-def test_very_low_scores_do_not_overflow(spark):
-    rows = [("a", "ham", [1] * 2000 + [2]), ("b", "spam", [1] * 2_000), ("c", "spam", [1] * 700_000)]
-    model = op.train_sharded(spark.createDataFrame(rows, SCHEMA), shards=1, delta=2.0)
-    assert all(math.isfinite(w) for w in weights(model).values())
-
-
-def gradient(rows, rounds, delta=0.002):
-    w = {}
+def gradient(rows, rounds, delta=0.002, w=None):
+    w = w or {}
     for _ in range(rounds):
         step = {}
         for _, label, fs in rows:
             p = 1 / (1 + math.exp(-sum(w.get(f, 0.0) for f in fs)))
             for f in fs:
                 step[f] = step.get(f, 0.0) + delta * ((label == "spam") - p)
-        w = {f: w.get(f, 0.0) + s for f, s in step.items()}
+        w = w | {f: w.get(f, 0.0) + s for f, s in step.items()}
     return w
 
 
@@ -125,23 +93,38 @@ def test_score_counts_occurrences_and_unknown_features(spark):
         [("x", 1, 0.5), ("y", 1, -1.0), ("y", 7, 3.0)], "model string, feature int, weight double"
     )
     got = {(r.doc_id, r.model): r.score for r in op.score(instances, model).collect()}
-    assert got == {
-        ("a", "x"): 1.0, ("a", "y"): 1.0, ("b", "x"): 0.0, ("b", "y"): 0.0,
-        ("c", "x"): 0.0, ("c", "y"): 0.0,
+    assert got == {("a", "x"): 1.0, ("a", "y"): 1.0}
+    average = op.ensemble(op.score(instances, model), "average", instances, model).collect()
+    assert {r.doc_id: (r.score, r.prediction) for r in average} == {
+        "a": (1.0, "spam"), "b": (0.0, "ham"), "c": (0.0, "ham")
     }
 
 
 def test_ensembles(spark):
     scores = spark.createDataFrame(
-        [("d", "spam", "x", 1.0), ("d", "spam", "y", -0.5), ("d", "spam", "z", 0.0)],
+        [("d", "spam", "x", 1.0), ("d", "spam", "y", -0.5)],
         "doc_id string, label string, model string, score double",
     )
-    average = op.ensemble(scores, "average").first()
+    instances = spark.createDataFrame([("d", "spam", [1])], SCHEMA)
+    model = spark.createDataFrame([(m, 1, 0.0) for m in "xyz"], "model string, feature int, weight double")
+    average = op.ensemble(scores, "average", instances, model).first()
     assert average.score == pytest.approx(1 / 6) and average.prediction == "spam"
-    vote = op.ensemble(scores, "vote").first()
+    vote = op.ensemble(scores, "vote", instances, model).first()
     assert vote.score == -1.0 and vote.prediction == "ham"
     with pytest.raises(ValueError):
-        op.ensemble(scores, "median")
+        op.ensemble(scores, "median", instances, model)
+
+
+def test_documents_without_a_score_count_as_zero(spark):
+    population = [(i, "spam" if i % 3 == 0 else "ham") for i in range(60)]
+    scored = [(i, label, m, float((i * 7) % 11 - 5)) for i, label in population for m in ("x", "y") if (i + (m == "y")) % 4]
+    scores = spark.createDataFrame(scored, "doc_id int, label string, model string, score double")
+    everyone = spark.createDataFrame(population, "doc_id int, label string")
+    got = {r.model: (r.n_spam, r.n_ham, r.one_minus_roca) for r in op.one_minus_roca(scores, ["model"], everyone).collect()}
+    for m in ("x", "y"):
+        own = {i: s for i, _, model, s in scored if model == m}
+        expected = roca([(label, own.get(i, 0.0)) for i, label in population])
+        assert got[m] == (20, 40, pytest.approx(expected))
 
 
 def test_roca(spark):
@@ -154,7 +137,7 @@ def test_roca(spark):
     ]
     # one score holds a third of all rows
     more += [(2, "spam" if i % 2 else "ham", 4.0) for i in range(250)]
-    got = op.one_minus_roca(spark.createDataFrame(more, schema), ["run"], buckets=4)
+    got = op.one_minus_roca(spark.createDataFrame(more, schema), ["run"])
     for r in got.collect():
         expected = roca([(label, s) for run, label, s in more if run == r.run])
         assert r.one_minus_roca == pytest.approx(expected)

@@ -18,6 +18,10 @@ def tables(spark):
     return make
 
 
+def table(df, sources):
+    return df.sparkSession.createDataFrame([(s,) for s in sources], "source bigint")
+
+
 def as_dict(ranks):
     return {(r.source, r.node): r.mass for r in ranks.collect()}
 
@@ -37,45 +41,45 @@ def test_stats(tables):
     assert tuple(op.message_counts(nodes, edges).first()) == (6, 1)
 
 
-def test_duplicate_node(tables):
-    op.check_nodes(tables()[0])
-    with pytest.raises(ValueError, match="node 2"):
-        op.check_nodes(tables([1, 2, 2])[0])
-    with pytest.raises(ValueError, match="node 2"):
-        op.prepare(*tables([1, 2, 2]))
+def test_repeated_nodes_are_reported_and_count_once(tables):
+    assert op.repeated_nodes(tables()[0]).count() == 0
+    nodes, edges = tables([1, 2, 2, 3, 4])
+    assert [tuple(r) for r in op.repeated_nodes(nodes).collect()] == [(2, 2)]
+    ranks = op.personalized_pagerank(op.prepare(nodes, edges), table(nodes, [1, 4]), 2)
+    assert as_dict(ranks) == pytest.approx(model(NODES, EDGES, [1, 4], 2))
 
 
 def test_sources(tables):
     nodes, _ = tables()
-    assert sorted(map(tuple, op.ppr_init(nodes, [4, 1, 4]).collect())) == [(1, 1, 1.0), (4, 4, 1.0)]
-    with pytest.raises(ValueError, match="77"):
-        op.ppr_init(nodes, [1, 77])
-    with pytest.raises(ValueError):
-        op.ppr_init(nodes, [])
+    got = op.ppr_init(nodes, table(nodes, [4, 1, 4, 77])).collect()
+    assert sorted(map(tuple, got)) == [(1, 1, 1.0), (4, 4, 1.0)]
+    assert [r.source for r in op.unknown_sources(nodes, table(nodes, [1, 77])).collect()] == [77]
+    assert op.ppr_init(nodes, table(nodes, [])).count() == 0
 
 
 @pytest.mark.parametrize("iterations", [1, 2, 3])
 def test_pagerank_golden(tables, iterations):
     graph = op.prepare(*tables())
-    ranks = op.personalized_pagerank(graph, [1, 4], iterations)
+    ranks = op.personalized_pagerank(graph, table(graph.nodes, [1, 4]), iterations)
     assert as_dict(ranks) == pytest.approx(model(NODES, EDGES, [1, 4], iterations))
 
 
 def test_golden_numbers(tables):
     graph = op.prepare(*tables())
-    got = as_dict(op.personalized_pagerank(graph, [1, 4], 3))
+    got = as_dict(op.personalized_pagerank(graph, table(graph.nodes, [1, 4]), 3))
     assert got[1, 1] == pytest.approx(0.258375) and got[1, 2] == pytest.approx(0.3708125)
     assert got[4, 4] == pytest.approx(0.43199537) and got[4, 1] == pytest.approx(0.35928241)
-    top = op.top_k(op.personalized_pagerank(graph, [1], 3), 2).orderBy("rank").collect()
+    ranks = op.personalized_pagerank(graph, table(graph.nodes, [1]), 3)
+    top = op.top_k(ranks, 2, graph.nodes).orderBy("rank").collect()
     assert [r.node for r in top] == [2, 3] and top[0].shown == "0.37081 2"
 
 
 def test_step_and_missing(tables):
     nodes, edges = tables()
     graph = op.prepare(nodes, edges)
-    stepped = op.ppr_step(op.ppr_init(nodes, [1, 3, 4]), graph)
+    stepped = op.ppr_step(op.ppr_init(nodes, table(nodes, [1, 3, 4])), graph)
     assert as_dict(stepped) == pytest.approx({(1, 2): 0.5, (1, 3): 0.5, (4, 1): 2 / 3})
-    missing = {r.source: r.missing for r in op.missing_mass(stepped, [1, 3, 4]).collect()}
+    missing = {r.source: r.missing for r in op.missing_mass(stepped, table(nodes, [1, 3, 4])).collect()}
     assert missing == pytest.approx({1: 0.0, 3: 1.0, 4: 1 / 3})
 
 
@@ -86,11 +90,10 @@ def hub_graph():
     return nodes, edges
 
 
-def test_hub_cut_in_pieces_equals_model(tables):
+def test_hubs_equal_model(tables):
     nodes, edges = hub_graph()
-    graph = op.prepare(*tables(nodes, edges), piece_edges=7)
-    assert graph.nodes.agg({"pieces": "max"}).first()[0] > 5
-    got = as_dict(op.personalized_pagerank(graph, [0, 7, 59], 9, cut_every=3))
+    graph = op.prepare(*tables(nodes, edges))
+    got = as_dict(op.personalized_pagerank(graph, table(graph.nodes, [0, 7, 59]), 9, cut_every=3))
     assert got == pytest.approx(model(nodes, edges, [0, 7, 59], 9))
     for s in (0, 7, 59):
         assert sum(m for (source, _), m in got.items() if source == s) == pytest.approx(1.0)
@@ -99,18 +102,28 @@ def test_hub_cut_in_pieces_equals_model(tables):
 def test_saved_states_and_resume(tables, spark, tmp_path):
     graph = op.prepare(*tables())
     path = str(tmp_path / "states")
-    op.personalized_pagerank(graph, [1, 4], 2, save_to=path)
+    op.personalized_pagerank(graph, table(graph.nodes, [1, 4]), 2, save_to=path)
     saved = spark.read.parquet(f"{path}/iter0001")
     assert as_dict(saved) == pytest.approx(model(NODES, EDGES, [1, 4], 1))
-    resumed = op.personalized_pagerank(graph, [1, 4], 3, start=2, save_to=path)
+    resumed = op.personalized_pagerank(graph, table(graph.nodes, [1, 4]), 3, start=2, save_to=path)
     assert as_dict(resumed) == pytest.approx(model(NODES, EDGES, [1, 4], 3))
     with pytest.raises(ValueError):
-        op.personalized_pagerank(graph, [1], 3, start=1)
+        op.personalized_pagerank(graph, table(graph.nodes, [1]), 3, start=1)
 
 
 def test_top_k_is_cut_before_the_shuffle(tables):
-    ranks = op.personalized_pagerank(op.prepare(*tables()), [1, 4], 1)
-    plan = op.top_k(ranks, 3)._jdf.queryExecution().explainString(
+    graph = op.prepare(*tables())
+    ranks = op.personalized_pagerank(graph, table(graph.nodes, [1, 4]), 1)
+    plan = op.top_k(ranks, 3, graph.nodes)._jdf.queryExecution().explainString(
         ranks.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
     )
     assert "WindowGroupLimit" in plan
+
+
+def test_top_k_goes_on_with_the_lowest_nodes_without_mass(tables):
+    nodes, _ = tables([5, 1, 9, 7, 3, 2, 8])
+    rows = op.top_k(op.ppr_init(nodes, table(nodes, [3, 9])), 4, nodes).collect()
+    got = {}
+    for r in sorted(rows, key=lambda r: (r.source, r["rank"])):
+        got.setdefault(r.source, []).append((r.node, r.mass))
+    assert got == {3: [(3, 1.0), (1, 0.0), (2, 0.0), (5, 0.0)], 9: [(9, 1.0), (1, 0.0), (2, 0.0), (3, 0.0)]}

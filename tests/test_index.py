@@ -14,7 +14,7 @@ def docnos(df):
     return sorted(r.docno for r in df.collect())
 
 
-@pytest.mark.parametrize("size", [1 << 16, 4])
+@pytest.mark.parametrize("size", [1 << 16, 2, 1])
 def test_index_and_gaps(postings, size):
     lists = {}
     for r in op.inverted_index(postings, size).orderBy("term", "segment").collect():
@@ -34,16 +34,23 @@ def test_index_and_gaps(postings, size):
     assert sorted(map(tuple, decoded.collect())) == sorted(map(tuple, postings.collect()))
 
 
-def test_hot_term_spans_segments(spark):
-    docs = spark.range(1000).selectExpr("id * 3 AS docno", "concat('hot w', id % 7, 'x') AS line")
+@pytest.mark.parametrize("step", [1, 3, 100_003])
+def test_hot_term_spans_segments(spark, step):
+    """Segments have so many postings, however far apart the documents' numbers are."""
+    docs = spark.range(1000).selectExpr(f"id * {step} AS docno", "concat('hot w', id % 7, 'x') AS line")
     found = op.postings(docs)
-    rows = op.inverted_index(found, 256).filter("term = 'hot'").collect()
-    assert len(rows) == 12 and {r.df for r in rows} == {1000}
-    assert sum(len(r.postings) for r in rows) == 1000
-    decoded = op.decode_gaps(op.encode_gaps(found, 256))
+    rows = op.inverted_index(found, 256).filter("term = 'hot'").orderBy("segment").collect()
+    assert [len(r.postings) for r in rows] == [256, 256, 256, 232] and {r.df for r in rows} == {1000}
+    decoded = op.decode_gaps(op.encode_gaps(found, 64), group=2)
     assert decoded.exceptAll(found).count() == 0 and decoded.count() == found.count()
 
 
+def test_no_task_has_all_postings_of_a_term(spark):
+    plan = op.encode_gaps(op.postings(spark.createDataFrame(DOCS, "docno bigint, line string")))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(term" not in text.replace(" ", "") and "hashpartitioning(_range" in text
+
+
 def test_postings_table_sums_repeated_cells(spark):
     rows = spark.createDataFrame(
         [("a", 1, 2), ("a", 1, 3), ("a", 9, 1)], "term string, docno bigint, tf int"
@@ -81,9 +88,10 @@ def test_boolean_queries(postings):
 def test_malformed_query(spark, postings, rpn):
     with pytest.raises(ValueError):
         op.boolean_query(postings, rpn)
-    batch = spark.createDataFrame([(1, rpn)], "query_id int, rpn string")
-    with pytest.raises(ValueError, match="malformed query"):
-        op.boolean_query_batch(postings, batch)
+    batch = spark.createDataFrame([(1, rpn), (2, "a")], "query_id int, rpn string")
+    assert [tuple(r) for r in op.malformed(batch).collect()] == [(1, rpn)]
+    got = op.boolean_query_batch(postings, batch).collect()
+    assert sorted(map(tuple, got)) == [(2, 0), (2, 10)]
 
 
 def batch_result(spark, postings, queries):
@@ -116,4 +124,12 @@ def test_batch_with_long_and_deep_queries(spark):
 def test_fetch(spark, postings):
     docs = spark.createDataFrame(DOCS, "docno bigint, line string")
     rows = op.fetch(op.boolean_query(postings, "a b AND"), docs).collect()
-    assert [tuple(r) for r in rows] == [(0, "a b a"), (10, "a b d")]
+    assert [tuple(r) for r in rows] == [(0, "a b a", "a b a"), (10, "a b d", "a b d")]
+
+
+def test_a_frequent_term_only_narrows_down(spark):
+    """Only documents with the rare term are asked for the frequent one."""
+    docs = spark.range(500).selectExpr("id AS docno", "concat('hot ', if(id % 100 = 0, 'rare', 'x')) AS line")
+    queries = {"hot rare AND": "hot rare AND", "rare hot AND": "rare hot AND", "rare zzz OR hot AND": "rare zzz OR hot AND"}
+    found = op.postings(docs)
+    assert set(map(tuple, batch_result(spark, found, queries).values())) == {(0, 100, 200, 300, 400)}

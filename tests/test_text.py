@@ -1,12 +1,12 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from models import bigrams, pmi, tokens, vocab
+from models import bigrams, pmi, tokens
 from pyspark.sql import functions as F
 
 from corpuskit import operators as op
-from corpuskit.functions import adjacent_pairs, capped_vocab, snippet, tokenize
-from corpuskit.operators import cooccurrence
+from corpuskit import sources as src
+from corpuskit.functions import adjacent_pairs, snippet, tokenize, vocab
 
 SMALL = ["a b a", "b c", "a b d", ""]
 CHARS = "abZ'9-. \t\f\r\n\x0bäßñİK語"
@@ -22,29 +22,25 @@ def test_tokenize_golden(lines):
 @given(st.lists(st.text(alphabet=CHARS, max_size=60), min_size=30, max_size=60))
 def test_tokenize_and_vocab_like_model(lines, texts):
     rows = lines(texts).select(
-        "line", tokenize("line").alias("t"), capped_vocab("line", 5).alias("v")
+        "line", tokenize("line").alias("t"), vocab("line").alias("v")
     )
     for row in rows.collect():
         # Kelvin sign and dotted I are the letters whose lower case is ASCII
         assert row.t == tokens(row.line), row.line
-        assert row.v == vocab(row.line, 5), row.line
+        assert row.v == list(dict.fromkeys(tokens(row.line))), row.line
 
 
 def test_long_runs_without_letters_are_linear(lines):
     texts = ["x" + "1" * 400_000 + " y", "語" * 300_000, " - " * 200_000 + "z"]
     rows = lines(texts).orderBy("docno")
-    got = rows.select(tokenize("line").alias("t"), capped_vocab("line").alias("v")).collect()
+    got = rows.select(tokenize("line").alias("t"), vocab("line").alias("v")).collect()
     assert [r.t for r in got] == [["x", "y"], [], ["z"]]
     assert [r.v for r in got] == [["x", "y"], [], ["z"]]
 
 
-def test_capped_vocab_golden(lines):
-    base = " ".join("w" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(99))
-    rows = lines([base + " 99 extra more", base + " zzz extra more", base]).orderBy("docno")
-    a, b, c = (set(r.v) for r in rows.select(capped_vocab("line").alias("v")).collect())
-    assert len(a) == 100 and "extra" in a and "more" not in a
-    assert len(b) == 100 and "zzz" in b and "extra" not in b
-    assert len(c) == 99
+def test_vocab_has_all_words_of_a_long_line(lines):
+    words = ["w" + chr(97 + i // 676) + chr(97 + i // 26 % 26) + chr(97 + i % 26) for i in range(5000)]
+    assert lines([" ".join(words + words)]).select(vocab("line").alias("v")).first().v == words
 
 
 def test_counts(lines):
@@ -89,12 +85,10 @@ def test_pmi_with_hot_word_equals_brute_force(lines):
     got = {(r.w1, r.w2): r.pmi for r in pairs.collect()}
     assert got.keys() == expected.keys() and got == pytest.approx(expected)
     assert all((b, a) in got for a, b in got)
-    striped = op.pmi_stripes(lines(texts), max_entries=4)
-    assert striped.agg(F.max("part")).first()[0] > 0
+    striped = op.pmi_stripes(lines(texts), parts=4).persist()
+    assert {r.part for r in striped.collect()} == {0, 1, 2, 3}
     back = {(r.w1, r.w2): r.v for r in op.stripe_rows(striped, "v").collect()}
     assert back == pytest.approx(expected)
-    one_row = op.pmi_stripes(lines(texts))
-    assert one_row.count() == len({a for a, _ in expected})
     ranked = sorted(expected.items(), key=lambda kv: (-round(kv[1], 9), kv[0]))
     top = op.top_pmi(pairs.withColumn("pmi", F.round("pmi", 9)), 5).collect()
     assert [(r.w1, r.w2) for r in top] == [k for k, _ in ranked[:5]]
@@ -102,14 +96,42 @@ def test_pmi_with_hot_word_equals_brute_force(lines):
     assert [r["rank"] for r in sorted(partners, key=lambda r: r["rank"])] == [1, 2, 3]
 
 
-def test_words_counted_in_parts(lines):
-    texts = many_lines()
-    expected = {k for k in pmi(texts, 10) if k[0] != k[1]}
-    counted = cooccurrence._unordered_counts(lines(texts), 10, 100, "line", lines_per_part=30)
-    rows = counted.collect()
-    assert {frozenset((r.x, r.y)) for r in rows} == {frozenset(k) for k in expected}
-    whole = {(r.w1, r.w2): r.n for r in op.pair_counts(lines(texts)).collect()}
-    assert all(whole[r.x, r.y] == r.n for r in rows) and len(whole) == 2 * len(rows)
+def test_long_lines_are_paired_in_blocks(lines):
+    words = ["w" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(300)]
+    texts = [" ".join(words[i:]) for i in range(3)] + ["waa wab"]
+    got = {(r.w1, r.w2): r.n for r in op.pair_counts(lines(texts), min_count=2).collect()}
+    expected = {}
+    for text in texts:
+        for a in text.split():
+            for b in text.split():
+                if a != b:
+                    expected[a, b] = expected.get((a, b), 0) + 1
+    assert got == {k: n for k, n in expected.items() if n >= 2}
+
+
+def test_pairs_are_counted_before_the_shuffle(lines):
+    counts = op.pair_counts(lines(many_lines()))
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    partial, final = (plan.index(f"functions=[{f}count(1)") for f in ("", "partial_"))
+    assert "Exchange hashpartitioning(x" in plan[partial:final]
+
+
+def test_lines_of_two_files_are_apart(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("red fox\nblue sky\n")
+    (tmp_path / "b.txt").write_text("new car\nold house\n")
+    read = src.read_lines_with_offset(spark, str(tmp_path))
+    keys = ("path", "docno")
+    pairs = {(r.w1, r.w2) for r in op.pair_counts(read, 1, keys=keys).collect()}
+    assert {frozenset(p) for p in pairs} == {frozenset(x.split()) for x in ("red fox", "blue sky", "new car", "old house")}
+    postings = op.postings(read, keys=keys)
+    assert op.boolean_query(postings, "red car AND", keys).count() == 0
+    hits = op.boolean_query(postings, "red fox AND", keys)
+    assert [r.line for r in op.fetch(hits, read, keys=keys).collect()] == ["red fox"]
+    queries = spark.createDataFrame([(1, "red car AND"), (2, "red car OR")], "query_id int, rpn string")
+    batch = op.boolean_query_batch(postings, queries, keys).collect()
+    assert sorted((r.query_id, r.path.rsplit("/", 1)[1], r.docno) for r in batch) == [(2, "a.txt", 0), (2, "b.txt", 0)]
+    decoded = op.decode_gaps(op.encode_gaps(postings, 1, keys), keys)
+    assert sorted(map(tuple, decoded.select(*postings.columns).collect())) == sorted(map(tuple, postings.collect()))
 
 
 def test_bigrams(lines):
@@ -121,7 +143,7 @@ def test_bigrams(lines):
     got = {(r.w1, r.w2): r.value for r in op.bigram_relfreq(lines(texts)).collect()}
     model = {(a, b): n / left[a] for (a, b), n in expected.items()}
     assert got == pytest.approx({**model, **{(a, "*"): float(n) for a, n in left.items()}})
-    striped = op.bigram_stripes(lines(texts), max_entries=8)
+    striped = op.bigram_stripes(lines(texts), parts=8)
     assert striped.agg(F.max("part")).first()[0] > 0
     assert {(r.w1, r.w2): r.v for r in op.stripe_rows(striped, "v").collect()} == pytest.approx(model)
 
