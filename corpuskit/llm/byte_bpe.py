@@ -15,12 +15,13 @@ from pyspark.sql import types as T
 
 from ..plans.tables import load
 from .pair_merge import PairMerger, from_ranks, read_ranks
-from .pretokens import chunks, pretokens
+from .pretokens import boundaries, chunks
 from .recent import Recent
-from .workers import map_arrow, texts_of
+from .slices import distinct, joined, per_text
+from .workers import map_arrow
 
 # Pre-tokens whose ids a worker keeps.
-CACHED = 400_000
+CACHED = 300_000
 
 # Longer pre-tokens are rare and not kept.
 CACHED_LENGTH = 64
@@ -38,12 +39,10 @@ class Encoder:
 
     def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and where each text's ids end."""
-        pieces, counts = pretokens(texts)
-        values = self.kept.look_up(pieces, self._merged)
-        ids = np.frombuffer(b"".join(values), "<i4")
-        upto = np.cumsum(np.fromiter(map(len, values), np.int64, len(values)) // 4)
-        upto = np.concatenate([[0], upto])
-        return ids, upto[np.cumsum(counts)]
+        blob, starts, stops, n_pieces = boundaries(texts)
+        codes, pieces = distinct(blob, starts, stops)
+        ids, counts = joined(codes, self.kept.look_up(pieces, self._merged))
+        return ids.view("<i4"), np.cumsum(per_text(counts, n_pieces))
 
 
 @cache
@@ -74,7 +73,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | N
     Each text is cut into pre-tokens and each pre-token merged by the ranks of
     the file at `path`, without special tokens. Null and empty texts have no
     ids; rows may repeat; other columns play no part. Texts are worked on about
-    a million characters at a time, a longer text alone.
+    half a megabyte at a time, a longer text alone.
     """
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -82,9 +81,8 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | N
         own = encoder(path)
         _, _, lengths = _token_bytes(path)
         for batch in batches:
-            texts = texts_of(batch.column(1))
-            for a, b in chunks(texts):
-                ids, stops = own.encode(texts[a:b])
+            for a, b, texts in chunks(batch.column(1)):
+                ids, stops = own.encode(texts)
                 sizes = lengths[ids]
                 begins = np.cumsum(sizes) - sizes
                 counts = np.diff(stops, prepend=0)
@@ -119,7 +117,7 @@ def decode(df: DataFrame, keep: Sequence[str], path: str | None = None) -> DataF
             a = 0
             while a < len(counts):
                 base = stops[a] - counts[a]
-                b = max(a + 1, int(np.searchsorted(stops, base + (1 << 20), "right")))
+                b = max(a + 1, int(np.searchsorted(stops, base + (1 << 18), "right")))
                 part = batch.slice(a, b - a)
                 ids = part.column("ids").flatten().to_numpy(zero_copy_only=False)
                 sizes = lengths[ids]

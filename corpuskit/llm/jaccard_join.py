@@ -36,7 +36,7 @@ from ..sources.state import cut
 from . import bloom, exact_dedup
 from .components import components
 from .pretokens import chunks
-from .workers import map_arrow, texts_of
+from .workers import map_arrow
 
 # Sizes of a band lie within this ratio; wide bands have more segments than
 # their small sets need, narrow ones put more sets into two bands.
@@ -179,9 +179,9 @@ def _signature_rows(docs: DataFrame, words: int, num: int, den: int) -> DataFram
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, nodes = texts_of(batch.column(1)), batch.column(0).to_numpy(zero_copy_only=False)
-            for a, b in chunks(texts):
-                sets = [shingles(t, words) for t in texts[a:b]]
+            nodes = batch.column(0).to_numpy(zero_copy_only=False)
+            for a, b, texts in chunks(batch.column(1)):
+                sets = [shingles(t, words) for t in texts]
                 sizes = np.array([len(s) for s in sets], np.int64)
                 which, found = signatures(sets, num, den)
                 yield pa.RecordBatch.from_arrays(
@@ -227,9 +227,8 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch.column(1))
-            for a, b in chunks(texts):
-                sets = [shingles(t, words) for t in texts[a:b]]
+            for a, b, texts in chunks(batch.column(1)):
+                sets = [shingles(t, words) for t in texts]
                 sketches = np.array([_sketch(s) for s in sets])
                 columns = [
                     batch.column(0).slice(a, b - a),
@@ -316,7 +315,7 @@ def _sizes(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = [len(shingles(t, words)) for t in texts_of(batch.column(1))]
+            n = [len(shingles(t, words)) for _, _, texts in chunks(batch.column(1)) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], ["doc_id", "n_shingles"])
 
     return map_arrow(docs, run, "doc_id bigint, n_shingles bigint")

@@ -18,21 +18,68 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from ..plans.tables import load
+from .pair_merge import byte_letters
 from .pretokens import chunks
 from .recent import Recent
-from .workers import map_arrow, texts_of
+from .slices import distinct, joined, per_text
+from .workers import map_arrow
 
 # Words whose ids a worker keeps.
-CACHED = 500_000
+CACHED = 400_000
 CACHED_LENGTH = 48
 
 # Tokens that are packed together; a single longer document makes a larger group.
 GROUP_TOKENS = 1 << 22
 
-# A letter run before punctuation, or else what lies between blanks and line ends.
-# The vocabulary's own pattern cuts at both, and drops the white space.
-_WORDS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[.,;:!?|*%&$#()])|[^ \n]+")
-_BETWEEN_BLANKS = re.compile(r"[^ \n]+")
+_PUNCTUATION = b".,;:!?|*%&$#()"
+
+# Letters up to U+00FF, which neither normalising nor lower-casing joins with their neighbours.
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+# The letters that stand for bytes in the vocabulary.
+_LETTERS = dict(enumerate(byte_letters()))
+
+
+@cache
+def _byte_classes() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each byte whether it separates words, is an ASCII letter, or is punctuation."""
+    blank, letter, mark = (np.zeros(256, bool) for _ in range(3))
+    blank[[ord(" "), ord("\n")]] = True
+    letter[[b for b in range(128) if chr(b).isalpha()]] = True
+    mark[list(_PUNCTUATION)] = True
+    return blank, letter, mark
+
+
+def words(texts: Sequence[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """All texts as one byte string, where words begin and end in it, and how many each text has.
+
+    Words lie between blanks and line ends, and a run of letters up to U+00FF is
+    a word of its own before punctuation. The vocabulary's own pattern cuts at
+    both and drops the white space, so ids of words are ids of texts. Texts that
+    may have special strings are not cut inside words, and ASCII texts, which
+    have no combining marks, are put in lower case, as the vocabulary is.
+    """
+    special = np.array(["<|" in t for t in texts])
+    lowered = [t.lower() if t.isascii() and not s else t for t, s in zip(texts, special, strict=True)]
+    encoded = [t.encode("utf-8", "surrogatepass") for t in lowered]
+    blob = b"\n".join([*encoded, b""])
+    data = np.frombuffer(blob, np.uint8)
+    text_ends = np.cumsum(np.fromiter(map(len, encoded), np.int64, len(encoded)) + 1)
+    blank, letter, mark = _byte_classes()
+    between, letters = blank[data], letter[data]
+    lead = np.flatnonzero(data == 0xC3)  # U+00C0 to U+00FF, but for the signs of multiplication and division
+    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]
+    letters[lead] = letters[lead + 1] = True
+    begins = ~between
+    begins[1:] &= between[:-1]
+    starts = np.flatnonzero(begins)
+    stops = np.flatnonzero(~between[:-1] & between[1:]) + 1  # the last byte is a line end
+    others = np.flatnonzero(~letters)
+    first = others[np.searchsorted(others, starts)]
+    cut = (first > starts) & (first < stops) & mark[data[first]]
+    cut &= ~special[np.searchsorted(text_ends, starts, "right")]
+    starts, stops = (np.sort(np.concatenate([x, first[cut]])) for x in (starts, stops))
+    return blob, starts, stops, np.diff(np.searchsorted(starts, text_ends), prepend=0)
 
 
 class WordEncoder:
@@ -42,26 +89,25 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.kept = Recent(cached, CACHED_LENGTH)
 
-    def _words(self, text: str) -> list[str]:
-        if "<|" in text:  # a special string, such as the end of a text, is a word
-            return _BETWEEN_BLANKS.findall(text)
-        # the vocabulary is lower case; combining marks can make a difference if letters change before
-        return _WORDS.findall(text.lower() if text.isascii() else text)
-
     def _encoded(self, words: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+        """Words of plain letters go straight to the merges; only others need normalising and cutting."""
+        ids: dict[str, list[int]] = {}
+        others = []
+        for w in words:
+            if _PLAIN.fullmatch(w):
+                letters = w.lower().encode().decode("latin-1").translate(_LETTERS)
+                ids[w] = [t.id for t in self.tokenizer.model.tokenize(letters)]
+            else:
+                others.append(w)
+        encoded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        ids.update((w, e.ids) for w, e in zip(others, encoded, strict=True))
+        return [np.array(ids[w], "<u4").tobytes() for w in words]
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        words: list[str] = []
-        stops = []
-        for text in texts:
-            words += self._words(text)
-            stops.append(len(words))
-        values = self.kept.look_up(words, self._encoded)
-        return [
-            np.frombuffer(b"".join(values[a:b]), "<u4") for a, b in zip([0, *stops[:-1]], stops, strict=True)
-        ]
+        blob, starts, stops, n_words = words(texts)
+        codes, distinct_words = distinct(blob, starts, stops)
+        ids, counts = joined(codes, self.kept.look_up(distinct_words, self._encoded))
+        return np.split(ids, np.cumsum(per_text(counts, n_words))[:-1])
 
 
 @cache
@@ -182,11 +228,11 @@ def pack(
                 yield whole.slice(at, 4096)
 
         for batch in batches:
-            texts = texts_of(batch.column(1))
-            for a, b in chunks(texts):
+            for a, b, texts in chunks(batch.column(1), 1 << 20):
                 keys.append(batch.column(0).slice(a, b - a))
-                documents += [np.concatenate([x, end]) for x in own.encode(texts[a:b])]
-                total = sum(map(len, documents[-(b - a) :])) + total
+                new = [np.concatenate([x, end]) for x in own.encode(texts)]
+                documents += new
+                total += sum(map(len, new))
                 if total >= group_tokens:
                     yield from flush()
         yield from flush()

@@ -10,10 +10,12 @@ each block's start all blocks are replayed side by side.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Regex, normalizers
 
 # Symbols. A1 and A2 are apostrophes before a contraction of one or two letters;
@@ -153,32 +155,39 @@ def _begins(symbols: np.ndarray, width: int = 256) -> np.ndarray:
     return out.T.reshape(-1)[:n]
 
 
-def pretokens(texts: Sequence[str]) -> tuple[list[str], np.ndarray]:
-    """The pre-tokens of all texts in order, and how many of them each text has."""
-    if not texts:
-        return [], np.zeros(0, np.int64)
-    joined = "\n".join(texts) + "\n"
+def boundaries(texts: Sequence[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """All texts as one byte string, the first and last byte of every pre-token, and how many each text has."""
+    joined = "\n".join([*texts, ""])
+    blob = joined.encode("utf-8", "surrogatepass")
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     ends = np.cumsum(lengths + 1) - 1
+    if not len(ends):
+        return blob, ends, ends, ends
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
     symbols = _symbols(points, ends)
     starts = np.flatnonzero(_begins(symbols))
     is_end = symbols[starts] == END
-    marks = np.flatnonzero(is_end)
-    counts = np.diff(marks, prepend=-1) - 1
+    counts = np.diff(np.flatnonzero(is_end), prepend=-1) - 1
     stops = np.append(starts[1:], len(points))
-    keep = ~is_end
-    pieces = [joined[a:b] for a, b in zip(starts[keep].tolist(), stops[keep].tolist(), strict=True)]
-    return pieces, counts
-
-
-def chunks(texts: Sequence[str], size: int = 1 << 20):
-    """Slices (first, last) of the texts with about `size` characters each; a longer text is alone."""
-    first = total = 0
-    for i, text in enumerate(texts):
-        if total and total + len(text) > size:
-            yield first, i
-            first, total = i, 0
-        total += len(text)
-    if first < len(texts):
-        yield first, len(texts)
+    starts, stops = starts[~is_end], stops[~is_end]
+    if len(blob) > len(points):  # from characters to bytes
+        first = np.flatnonzero((np.frombuffer(blob, np.uint8) & 0xC0) != 0x80)
+        first = np.append(first, len(blob))
+        starts, stops = first[starts], first[stops]
+    return blob, starts, stops, counts
+
+
+def chunks(column: pa.Array, size: int = 1 << 19) -> Iterator[tuple[int, int, list[str]]]:
+    """Slices (first, last, texts) of a string column with about `size` bytes each, nulls as empty strings.
+
+    A longer text is alone. Only one slice's texts are Python strings at a time.
+    """
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    upto = np.cumsum(lengths)
+    first = 0
+    while first < len(lengths):
+        room = upto[first] - lengths[first] + size
+        last = max(first + 1, int(np.searchsorted(upto, room, "right")))
+        texts = column.slice(first, last - first).to_pylist()
+        yield first, last, ["" if t is None else t for t in texts]
+        first = last

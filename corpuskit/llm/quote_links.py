@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 from ..plans.tables import load
 from ..sources.state import cut
-from .workers import map_arrow, texts_of
+from .pretokens import chunks
+from .workers import map_arrow
 
 # Passages with fewer words are too common to tell what they quote.
 MIN_WORDS = 3
@@ -78,7 +79,7 @@ def _parsed(df: DataFrame, conv: str, turn: str, role: str, text: str, min_words
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passage = pa.struct([("level", pa.int32()), ("words", pa.int32()), ("hash", pa.binary())])
         for batch in batches:
-            found = [parse(t, min_words) for t in texts_of(batch.column(3))]
+            found = [parse(t, min_words) for _, _, texts in chunks(batch.column(3)) for t in texts]
             listed = [[{"level": a, "words": n, "hash": h} for a, n, h in ps] for _, ps in found]
             columns = [
                 *(batch.column(i) for i in range(3)),

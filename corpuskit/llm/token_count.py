@@ -19,9 +19,10 @@ from pyspark.sql import types as T
 
 from ..plans.tables import load
 from .pair_merge import PairMerger, from_json
-from .pretokens import chunks, pretokens
+from .pretokens import boundaries, chunks
 from .recent import Recent
-from .workers import map_arrow, texts_of
+from .slices import distinct, per_text
+from .workers import map_arrow
 
 # Pre-tokens in the broadcast table, and the longest of them: at most 2.5 MB.
 FREQUENT = 1 << 15
@@ -62,13 +63,6 @@ def _segments(texts: Sequence[str], special: Sequence[str]) -> tuple[list[str],
     return parts, n, n - 1
 
 
-def _per_text(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Sums of consecutive runs of `values` with these sizes."""
-    upto = np.concatenate([[0], np.cumsum(values)])
-    stops = np.cumsum(sizes)
-    return upto[stops] - upto[stops - sizes]
-
-
 class Counting:
     """Token counts of texts for one worker."""
 
@@ -88,8 +82,9 @@ class Counting:
 
     def count(self, texts: Sequence[str]) -> np.ndarray:
         parts, n_parts, n_special = _segments(texts, _special(self.path))
-        pieces, sizes = pretokens(parts)
-        return _per_text(_per_text(self._lengths(pieces), sizes), n_parts) + n_special
+        blob, starts, stops, n_pieces = boundaries(parts)
+        codes, pieces = distinct(blob, starts, stops)
+        return per_text(per_text(self._lengths(pieces)[codes], n_pieces), n_parts) + n_special
 
 
 # A worker's counter for the last broadcast table it has seen of each vocabulary.
@@ -122,10 +117,11 @@ def frequent_pretokens(
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter[str] = Counter()
         for batch in batches:
-            texts = texts_of(batch.column(0))
-            for a, b in chunks(texts):
-                parts, _, _ = _segments(texts[a:b], _special(path))
-                total.update(pretokens(parts)[0])
+            for _, _, texts in chunks(batch.column(0)):
+                parts, _, _ = _segments(texts, _special(path))
+                blob, starts, stops, _ = boundaries(parts)
+                codes, pieces = distinct(blob, starts, stops)
+                total.update(dict(zip(pieces, np.bincount(codes, minlength=len(pieces)).tolist(), strict=True)))
                 if len(total) > 8 * summary:
                     total = _shortened(total, summary)
         total = _shortened(total, summary)
@@ -168,8 +164,7 @@ def count_tokens(df: DataFrame, key: str = "doc_id", text: str = "text", path: s
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _counting(path, tag, table)
         for batch in batches:
-            texts = texts_of(batch.column(1))
-            tokens = [own.count(texts[a:b]) for a, b in chunks(texts)]
+            tokens = [own.count(texts) for _, _, texts in chunks(batch.column(1))]
             n_tokens = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
             n_bytes = pc.fill_null(pc.binary_length(batch.column(1)), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(

@@ -42,8 +42,3 @@ def map_arrow(
     """`df.mapInArrow`, with this package on the executors' path."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
-
-
-def texts_of(column: pa.Array) -> list[str]:
-    """A string column as a list, nulls as empty strings."""
-    return ["" if x is None else x for x in column.to_pylist()]
