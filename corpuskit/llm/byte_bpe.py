@@ -136,7 +136,7 @@ def decode(df: DataFrame, keep: Sequence[str], path: str | None = None) -> DataF
                 a = b
 
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField("bytes", T.BinaryType())])
-    return map_arrow(df.select(*keep, "ids", "offsets"), run, schema)
+    return map_arrow(df.select(*dict.fromkeys([*keep, "ids", "offsets"])), run, schema)
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,8 +42,9 @@ from .workers import map_arrow
 # their small sets need, narrow ones put more sets into two bands.
 BAND_RATIO = 1.5
 
-# 64-bit words of a set's parity sketch.
+# 64-bit words of the short parity sketch of a set, and bits per member of the long one.
 SKETCH_WORDS = 8
+SKETCH_BITS = 4
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -167,83 +168,111 @@ def _in_scheme(
     return of[np.concatenate(out_owner)], np.concatenate(out)
 
 
-def _sketch(members: np.ndarray) -> np.ndarray:
-    """Parities of the members per bit: two sets' sketches differ in at most as many bits as the sets in members."""
-    bit = mix(members + np.uint64(2)) >> np.uint64(64 - int(math.log2(64 * SKETCH_WORDS)))
-    odd = np.bincount(bit.astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
-    return np.packbits(odd.astype(np.uint8)).view("<i8")
+def _parities(members: np.ndarray, bits: int) -> np.ndarray:
+    """The number of members per bit, modulo 2, as bytes; `bits` is a power of two.
+
+    The sketches of two sets differ in at most as many bits as the sets in
+    members. A sketch with fewer bits is one with more bits folded by exclusive or.
+    """
+    bit = mix(members + np.uint64(2)) & np.uint64(bits - 1)
+    odd = np.bincount(bit.astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8))
+
+
+def _folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """A sketch folded to so many bytes."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, size), axis=0)
+
+
+def may_be_similar(n: int, m: int, x: bytes, y: bytes, num: int, den: int) -> bool:
+    """Whether two sets of these sizes and long sketches can have the similarity."""
+    x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    size = min(len(x), len(y))
+    apart = int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum())
+    # |x ^ y| <= (|x| + |y|) * (den - num) / (den + num)
+    return apart * (den + num) <= (n + m) * (den - num)
 
 
 def _signature_rows(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """(sig, node, n) of (node, text): every signature of every text."""
+    """(sig, node) of (node, text): every signature of every text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes = batch.column(0).to_numpy(zero_copy_only=False)
             for a, b, texts in chunks(batch.column(1)):
                 sets = [shingles(t, words) for t in texts]
-                sizes = np.array([len(s) for s in sets], np.int64)
                 which, found = signatures(sets, num, den)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.view(np.int64)), pa.array(nodes[a:b][which]), pa.array(sizes[which])],
-                    ["sig", "node", "n"],
-                )
+                columns = [pa.array(found.view(np.int64)), pa.array(nodes[a:b][which])]
+                yield pa.RecordBatch.from_arrays(columns, ["sig", "node"])
 
-    return map_arrow(docs, run, "sig bigint, node bigint, n bigint")
+    return map_arrow(docs, run, "sig bigint, node bigint")
 
 
 def _members(rows: DataFrame) -> DataFrame:
-    """(sig, node, n, hub, hub_n): the rows of signatures that several nodes share, but for their smallest node.
+    """(sig, node, hub): the rows of signatures that several nodes share, but for their smallest node.
 
     That node is the signature's hub. Rows are dealt by signature and sorted, so
     one look at each finds them, and nothing but the last row is kept.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # signature, hub and its size of the row before
+        last = None  # signature and hub of the row before
         for batch in batches:
-            sig, node, n = (batch.column(i).to_numpy() for i in range(3))
+            sig, node = (batch.column(i).to_numpy() for i in range(2))
             if not len(sig):
                 continue
             first = np.ones(len(sig), bool)
             first[1:] = sig[1:] != sig[:-1]
-            begin = np.maximum.accumulate(np.where(first, np.arange(len(sig)), 0))
-            hub, hub_n = node[begin], n[begin]
+            hub = node[np.maximum.accumulate(np.where(first, np.arange(len(sig)), 0))]
             if last and last[0] == sig[0]:
-                goes_on = sig == sig[0]
-                hub[goes_on], hub_n[goes_on] = last[1], last[2]
-            last = (sig[-1], hub[-1], hub_n[-1])
+                hub[sig == sig[0]] = last[1]
+            last = (sig[-1], hub[-1])
             keep = node != hub
-            columns = [pa.array(x[keep]) for x in (sig, node, n, hub, hub_n)]
-            yield pa.RecordBatch.from_arrays(columns, ["sig", "node", "n", "hub", "hub_n"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (sig, node, hub)], ["sig", "node", "hub"])
 
     dealt = rows.repartition("sig").sortWithinPartitions("sig", "node")
-    return map_arrow(dealt, run, "sig bigint, node bigint, n bigint, hub bigint, hub_n bigint")
+    return map_arrow(dealt, run, "sig bigint, node bigint, hub bigint")
 
 
-def _sets(docs: DataFrame, words: int) -> DataFrame:
-    """(node, n, hashes, s0, s1, ..) of (node, text): the sets themselves, with their sketches."""
-    names = [f"s{i}" for i in range(SKETCH_WORDS)]
+_SKETCH = [f"s{i}" for i in range(SKETCH_WORDS)]
+
+
+def _sketches(docs: DataFrame, words: int) -> DataFrame:
+    """(node, n, long, s0, s1, ..) of (node, text): the size of every set, its long and its short sketch."""
+    shortest = 64 * SKETCH_WORDS
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, texts in chunks(batch.column(1)):
                 sets = [shingles(t, words) for t in texts]
-                sketches = np.array([_sketch(s) for s in sets])
+                bits = [max(shortest, 1 << (SKETCH_BITS * len(s)).bit_length()) for s in sets]
+                longs = [_parities(s, n) for s, n in zip(sets, bits, strict=True)]
+                shorts = np.array([_folded(x, shortest // 8).view("<i8") for x in longs])
                 columns = [
                     batch.column(0).slice(a, b - a),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
-                    *(pa.array(sketches[:, i]) for i in range(SKETCH_WORDS)),
+                    pa.array([x.tobytes() for x in longs], pa.binary()),
+                    *(pa.array(shorts[:, i]) for i in range(SKETCH_WORDS)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "n", "hashes", *names])
+                yield pa.RecordBatch.from_arrays(columns, ["node", "n", "long", *_SKETCH])
+
+    return map_arrow(docs, run, "node bigint, n bigint, long binary, " + ", ".join(f"{s} bigint" for s in _SKETCH))
 
-    schema = "node bigint, n bigint, hashes binary, " + ", ".join(f"{s} bigint" for s in names)
-    return map_arrow(docs, run, schema)
+
+def _sets(docs: DataFrame, words: int) -> DataFrame:
+    """(node, hashes) of (node, text): the sets themselves, hashes in order."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, texts in chunks(batch.column(1)):
+                hashes = pa.array([shingles(t, words).tobytes() for t in texts], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), hashes], ["node", "hashes"])
+
+    return map_arrow(docs, run, "node bigint, hashes binary")
 
 
 def _possible(left: str, right: str, num: int, den: int) -> Column:
-    """Whether sizes and sketches of two rows of `_sets` allow the similarity."""
+    """Whether sizes and sketches of two rows of `_sketches` allow the similarity."""
     n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
     least = sum(
         (F.bit_count(F.col(f"{left}.s{i}").bitwiseXOR(F.col(f"{right}.s{i}"))) for i in range(SKETCH_WORDS)), F.lit(0)
@@ -252,14 +281,31 @@ def _possible(left: str, right: str, num: int, den: int) -> Column:
     return (F.least(n, m) * den >= F.greatest(n, m) * num) & (least * (den + num) <= (n + m) * (den - num))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): the pairs whose similarity is large enough."""
-    slim = sets.drop("hashes")
-    a, b = slim.alias("x"), slim.alias("y")
+def _verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """(a, b): the pairs whose similarity is large enough.
+
+    Sizes, short sketches and then long ones sort most pairs out; only the sets
+    of the others are made and brought together.
+    """
+    short = sketches.select("node", "n", *_SKETCH)
+    a, b = short.alias("x"), short.alias("y")
     hopeful = pairs.join(a, F.col("a") == F.col("x.node")).join(b, F.col("b") == F.col("y.node"))
-    hopeful = hopeful.filter(_possible("x", "y", num, den)).select("a", "b")
-    heavy = sets.select("node", "hashes")
-    both = hopeful.join(heavy.toDF("a", "left"), "a").join(heavy.toDF("b", "right"), "b").select("a", "b", "left", "right")
+    hopeful = hopeful.filter(_possible("x", "y", num, den))
+    hopeful = hopeful.select("a", "b", F.col("x.n").alias("n"), F.col("y.n").alias("m"))
+    longs = sketches.select("node", "long")
+    hopeful = hopeful.join(longs.toDF("a", "left"), "a").join(longs.toDF("b", "right"), "b")
+
+    def sort_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch[c].to_pylist() for c in ("n", "m", "left", "right")), strict=True)
+            keep = [may_be_similar(*row, num, den) for row in rows]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    hopeful = hopeful.select("a", "b", "n", "m", "left", "right")
+    hopeful = cut(map_arrow(hopeful, sort_out, "a bigint, b bigint"), "hopeful")
+    ends = cut(hopeful.select("a").union(hopeful.select("b")).distinct(), "ends")
+    sets = cut(_sets(bloom.within(docs, ends, "node"), words), "sets")
+    both = hopeful.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b").select("a", "b", "left", "right")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -286,26 +332,28 @@ def links(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100) -> tup
     """
     shared = cut(_members(_signature_rows(docs, words, num, den)), "members")
     nodes = cut(shared.select("node").union(shared.select("hub")).distinct(), "nodes")
-    sets = cut(_sets(bloom.within(docs, nodes, "node"), words), "sets")
+    sketches = cut(_sketches(bloom.within(docs, nodes, "node"), words), "sketches")
 
-    with_hub = shared.filter(F.least("n", "hub_n") * den >= F.greatest("n", "hub_n") * num)
-    first = cut(_verified(with_hub.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), sets, num, den), "links")
+    tried = shared.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    first = cut(_verified(tried, sketches, docs, words, num, den), "links")
     found = cut(components(first), "components")
 
-    # signatures whose nodes are not all in one component yet
-    each = shared.select("sig", "node").union(shared.select("sig", "hub").distinct())
+    # signatures with nodes besides the hub that are not all in one component yet;
+    # of those that the same nodes share, one
     of = F.coalesce("component", "node").alias("component")
-    each = cut(each.join(found, "node", "left").select("sig", "node", of), "open")
-    unsettled = each.groupBy("sig").agg(F.min("component").alias("least"), F.max("component").alias("most"))
-    unsettled = cut(unsettled.filter("least <> most").select("sig"), "unsettled")
-    slim = sets.drop("hashes")
-    several = cut(each.join(unsettled, "sig", "left_semi").join(slim, "node"), "several")
+    each = cut(shared.select("sig", "node").join(found, "node", "left").select("sig", "node", of), "open")
+    sums = [F.sum(F.xxhash64("node", F.lit(i)).cast("decimal(38,0)")).alias(f"h{i}") for i in range(2)]
+    held = each.groupBy("sig").agg(F.min("component").alias("least"), F.max("component").alias("most"), *sums)
+    unsettled = held.filter("least <> most").groupBy("h0", "h1").agg(F.min("sig").alias("sig"))
+    unsettled = cut(unsettled.select("sig"), "unsettled")
+    short = sketches.drop("long")
+    several = cut(each.join(unsettled, "sig", "left_semi").join(short, "node"), "several")
     x, y = several.alias("x"), several.alias("y")
     apart = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.node") < F.col("y.node"))
     apart &= (F.col("x.component") != F.col("y.component")) & _possible("x", "y", num, den)
     rest = x.join(y, apart).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    tried = with_hub.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    second = cut(_verified(cut(rest.join(tried, ["a", "b"], "left_anti"), "rest"), sets, num, den), "links")
+    rest = rest.join(tried, ["a", "b"], "left_anti")
+    second = cut(_verified(rest, sketches, docs, words, num, den), "links")
     edges = first.unionByName(second)
     return edges, cut(components(edges), "components")
 

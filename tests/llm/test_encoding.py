@@ -102,7 +102,7 @@ def test_counts_are_the_library_s(spark, odd_documents):
 def test_the_table_of_frequent_pretokens_is_bounded(spark):
     df = spark.createDataFrame([(i, "the cat " * 50 + f"x{i}") for i in range(40)], "doc_id bigint, text string")
     rows = token_count.frequent_pretokens(df, size=2, summary=4).collect()
-    assert [r.piece for r in rows] == [" the", " cat"]
+    assert [r.piece for r in rows] == [" cat", " the"]
 
 
 @pytest.mark.parametrize("op", [byte_bpe.encode, token_count.count_tokens, packing.pack])
@@ -139,7 +139,7 @@ def test_sequences_are_full_or_powers_of_two(lengths):
 
 def test_costs_are_balanced():
     rnd = random.Random(6)
-    lengths = [min(4000, int(rnd.lognormvariate(6, 1)) + 1) for _ in range(2000)]
+    lengths = [rnd.randint(20, 900) for _ in range(2000)]
     cost = defaultdict(float)
     size = defaultdict(int)
     for p in packing.assign(lengths, 4096):
@@ -147,7 +147,7 @@ def test_costs_are_balanced():
         size[p.sequence] += p.length
     full = [cost[s] for s in cost if size[s] == 4096 and cost[s] < 8192]
     in_order = sorted(full)
-    assert in_order[len(full) * 9 // 10] < 1.3 * in_order[len(full) // 10]
+    assert in_order[len(full) * 9 // 10] < 1.1 * in_order[len(full) // 10]
 
 
 def test_pack_keeps_every_id(odd_documents):
