@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -12,11 +11,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..sources.state import fresh_path
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application, through Spark's own file distribution."""
+    """Give the executors this package, once per application: a file in the shared folder that Spark hands out."""
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
@@ -28,11 +29,13 @@ def ship(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     path = os.path.join(folder, name)
                     z.write(path, os.path.relpath(path, os.path.dirname(package)))
-    # the driver serves this file to the executors; nobody else reads it
-    path = os.path.join(tempfile.mkdtemp(), "corpuskit_shipped.zip")
-    with open(path, "wb") as f:
-        f.write(packed.getvalue())
-    spark.sparkContext.addPyFile(path)
+    context = spark.sparkContext
+    path = spark._jvm.org.apache.hadoop.fs.Path(fresh_path(spark, "package"), "corpuskit_shipped.zip")
+    store = path.getFileSystem(context._jsc.hadoopConfiguration())
+    out = store.create(path)
+    out.write(packed.getvalue())
+    out.close()
+    context.addPyFile(store.makeQualified(path).toString())
     _shipped.add(app)
 
 
