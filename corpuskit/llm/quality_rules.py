@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -24,14 +24,20 @@ LASSO = 2e-4
 SEED = 7
 
 
-def statistics(text: str) -> dict[str, Column]:
-    """Name and value of each statistic of a text; null counts as empty.
+def _whole(text: str) -> Column:
+    return F.coalesce(F.col(text), F.lit(""))
+
+
+def _words(whole: Column) -> Column:
+    return F.split(whole, r"[\x20\x09-\x0D]+", -1)
+
+
+def statistics(whole: Column, words: Column) -> dict[str, Column]:
+    """Name and value of each statistic of a text, not null, and its words.
 
     `variety` is the logarithm of the number of distinct words over that of all
     words, which falls little with length where words aren't repeated at will.
     """
-    whole = F.coalesce(F.col(text), F.lit(""))
-    words = F.split(whole, r"[\x20\x09-\x0D]+", -1)
     n_words = F.size(words)  # one empty word at least
     n_chars = F.greatest(F.length(whole), F.lit(1))
     count = lambda pattern: F.regexp_count(whole, F.lit(pattern))
@@ -71,8 +77,8 @@ class Condition:
     above: bool
     bound: float
 
-    def column(self) -> Column:
-        value = F.col(self.statistic)
+    def column(self, value_of: Callable[[str], Column] = F.col) -> Column:
+        value = value_of(self.statistic)
         return value > self.bound if self.above else value <= self.bound
 
 
@@ -83,11 +89,11 @@ class Model:
     base: float
     rules: tuple[tuple[float, tuple[Condition, ...]], ...]
 
-    def score(self) -> Column:
+    def score(self, value_of: Callable[[str], Column] = F.col) -> Column:
         """The probability of label 1, as an expression over the statistics' columns."""
         total = F.lit(self.base)
         for weight, rule in self.rules:
-            total = total + F.when(reduce(and_, [c.column() for c in rule]), weight).otherwise(0.0)
+            total = total + F.when(reduce(and_, [c.column(value_of) for c in rule]), weight).otherwise(0.0)
         return 1 / (1 + F.exp(-total))
 
 
@@ -153,7 +159,8 @@ def held_out(key: str) -> Column:
 
 def described(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, the statistics) of every row."""
-    return df.select(key, *[c.alias(name) for name, c in statistics(text).items()])
+    whole = _whole(text)
+    return df.select(key, *[c.alias(name) for name, c in statistics(whole, _words(whole)).items()])
 
 
 def learned(stats: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality") -> Model:
@@ -186,15 +193,13 @@ def keep_good(
     """The rows of `df`, with all their columns, that the model doesn't reject; no row is shuffled."""
     stats = cut(described(df, key, text), "statistics")
     model = learned(stats, labels, key, label)
-    used = {c.statistic for _, rule in model.rules for c in rule}
-    # statistics under names that `df` cannot have
-    names = {name: f"_quality_{name}" for name in used}
-    prefixed = Model(
-        model.base,
-        tuple((w, tuple(Condition(names[c.statistic], c.above, c.bound) for c in r)) for w, r in model.rules),
+    # a filter repeats its columns' expressions wherever rules use them; as arguments
+    # of lambda functions the words and the statistics are made once per row
+    words = F.array(F.struct(_whole(text).alias("text"), _words(_whole(text)).alias("words")))
+    made = F.transform(
+        words, lambda w: F.struct(*[c.alias(name) for name, c in statistics(w["text"], w["words"]).items()])
     )
-    values = {names[name]: c for name, c in statistics(text).items() if name in used}
-    return df.withColumns(values).filter(prefixed.score() >= 0.5).select(*df.columns)
+    return df.filter(F.exists(made, lambda s: model.score(s.getField) >= 0.5))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
