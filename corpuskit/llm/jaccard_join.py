@@ -2,16 +2,18 @@
 
 Two sets of similarity `num`/`den` or more whose smaller one has at most U
 members differ in at most H = U * (den - num) / num members. For each band of
-sizes, a hash deals all shingles into m = H + 1 + z segments. A set has a
-signature for each of its segments that isn't empty, and two sets that differ in
-at most H members agree in one of them if either has more than H such segments.
-
-The slack z makes fewer segments rare; it is chosen by cost, the z signatures
-more for every set against the neighbourhoods of the sets that still fall short.
-Such a set also gets a signature for each segment with one member deleted. If
-two of them are not found that way, each segment that both have differs in two
-members and each that one has in one, so together they have at most H segments
-that aren't empty; for that case sets with fewer than H have signatures of their
+sizes, a hash deals all shingles into m > H segments. At most H of them differ,
+so a set with u > H segments that aren't empty shares at least u - H of these with
+every set that is similar enough. Its signatures are those of the H + 1 with the
+most members, which cost the fewest chance meetings; ties go by content. Of the
+segments that two sets share, the first in this order is a signature of both:
+a set that left it out would have left out all the shared ones, u - H at least,
+but it leaves out u - H - 1.
+
+A set with H segments or fewer takes them all, and each of them with one member
+deleted. If two such sets are not found that way, each segment that both have
+differs in two members and each that one has in one, so together they have at
+most H segments; for that case sets with fewer than H have signatures of their
 empty segments as well.
 
 Candidates share a signature. They are checked by size, by a bound from bit
@@ -42,6 +44,10 @@ from .workers import map_arrow
 # their small sets need, narrow ones put more sets into two bands.
 BAND_RATIO = 1.5
 
+# Segments beyond those that can differ, as a share of them. Most signatures then
+# have two members at least, and few sets have too few segments.
+SLACK = 0.6
+
 # 64-bit words of the short parity sketch of a set, and bits per member of the long one.
 SKETCH_WORDS = 8
 SKETCH_BITS = 4
@@ -84,23 +90,9 @@ class Scheme:
     segments: int
 
 
-def _slack(differences: int, size: int) -> int:
-    """The z of lowest expected cost for sets of this size, by a Poisson number of empty segments."""
-    if not differences:
-        return 0
-    best, best_cost = 0, math.inf
-    for z in range(65):
-        segments = differences + 1 + z
-        mean = segments * math.exp(-size / segments)
-        term = below = math.exp(-mean)
-        for i in range(1, z + 1):
-            term *= mean / i
-            below += term
-        # a set that falls short has a signature per member and some that many sets share
-        cost = z + max(0.0, 1 - below) * (size + 64)
-        if cost < best_cost:
-            best, best_cost = z, cost
-    return best
+def _slack(differences: int) -> int:
+    """How many more segments there are than have to be equal."""
+    return math.ceil(SLACK * (differences + 1)) if differences else 0
 
 
 @cache
@@ -110,7 +102,7 @@ def schemes(num: int, den: int, up_to: int) -> tuple[Scheme, ...]:
     while low <= up_to:
         high = max(low, int(low * BAND_RATIO))
         differences = high * (den - num) // num
-        out.append(Scheme(len(out), low, high, differences, differences + 1 + _slack(differences, low)))
+        out.append(Scheme(len(out), low, high, differences, differences + 1 + _slack(differences)))
         low = high + 1
     return tuple(out)
 
@@ -157,9 +149,16 @@ def _in_scheme(
     place = mix(np.repeat(salts, total) + (np.arange(len(sums)) - base[owner]).astype(np.uint64))
 
     used = np.add.reduceat((counts > 0).astype(np.int64), base)
-    wanted = (counts > 0) | (used < differences)[owner]
-    out_owner, out = [owner[wanted]], [mix(sums[wanted] ^ place[wanted])]
     short = used <= differences
+    found = mix(sums ^ place)
+    # by set, the segments with the most members first
+    key = np.minimum(counts, 255).astype(np.uint64) << np.uint64(56) | found >> np.uint64(8)
+    order = np.lexsort((~key, owner))
+    rank = np.empty(len(sums), np.int64)
+    rank[order] = np.arange(len(sums)) - base[owner]
+    chosen = (counts > 0) & (short[owner] | (rank <= differences[owner]))
+    wanted = chosen | ((counts == 0) & (used < differences)[owner])
+    out_owner, out = [owner[wanted]], [found[wanted]]
     if short.any():
         which = np.flatnonzero(np.repeat(short, sizes))
         which = which[counts[at[which]] > 1]

@@ -158,7 +158,7 @@ def test_similar_sets_share_a_signature(num, den):
 
 def test_sets_with_few_segments_still_meet(monkeypatch):
     """Without slack, and members dealt to few segments, the deletions and empty segments are needed."""
-    monkeypatch.setattr(jaccard_join, "_slack", lambda differences, size: 0)
+    monkeypatch.setattr(jaccard_join, "_slack", lambda differences: 0)
     jaccard_join.schemes.cache_clear()
     rnd = np.random.default_rng(9)
     for _ in range(3000):
