@@ -83,6 +83,80 @@ def _dice(own: Column, template: Column) -> Column:
     return F.lit(2.0) * common / (F.size(own) + F.size(template))
 
 
+def _windows(df: DataFrame, key: str, text: str, templates: Mapping[str, str], threshold: float) -> DataFrame:
+    """(_key, license, size, position, dice): from each bigram that a template has, the most similar run of words.
+
+    A run that begins or ends with a bigram that the template lacks is less
+    similar than without it, so only runs from hit to hit are looked at, over the
+    whole text and across its lines and paragraphs. Of n bigrams at least `least`
+    have to be hit within `most` words, which few texts do by chance. A hit counts
+    if fewer hits of the same bigram precede it in the run than the template has.
+    """
+    listed = [(name, _bigrams(text)) for name, text in templates.items()]
+    listed = [(name, own, max(sizes(len(own), threshold)[0], 1), sizes(len(own), threshold)[-1]) for name, own in listed if own]
+    if not listed:
+        return df.sparkSession.createDataFrame([], "_key string, license string, size int, position int, dice double")
+    known = F.array(
+        *(
+            F.struct(
+                F.lit(name).alias("license"),
+                F.lit(least).alias("least"),
+                F.lit(most).alias("most"),
+                F.array(*map(F.lit, own)).alias("template"),
+            )
+            for name, own, least, most in listed
+        )
+    )
+    # explode(array(x)) computes x once, whatever reads it
+    words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(_WORD), F.lit(0))
+    pairs = F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
+    numbered = F.transform(pairs, lambda g, i: F.struct(i.alias("at"), g.alias("g")))
+    vocabulary = sorted({g for _, own, _, _ in listed for g in own})
+    hits = F.filter(numbered, lambda h: h["g"].isin(vocabulary))
+    rows = df.select(F.col(key).alias("_key"), F.explode(F.array(hits)).alias("hits"))
+    rows = rows.filter(F.size("hits") >= min(least for _, _, least, _ in listed))
+    rows = rows.select("_key", "hits", F.explode(known).alias("t")).select("_key", "hits", "t.*")
+    own = F.filter("hits", lambda h: F.array_contains("template", h["g"]))
+    rows = rows.select("_key", "license", "least", "most", "template", F.explode(F.array(own)).alias("hits"))
+    rows = rows.filter(F.size("hits") >= F.col("least"))
+    at = lambda i: F.get("hits", i)["at"]
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size("hits") - F.col("least")),
+        lambda i: at(i + F.col("least") - 1) - at(i) < F.col("most"),
+    )
+    rows = rows.withColumn("starts", F.explode(F.array(starts))).filter(F.size("starts") > 0)
+
+    def earlier(h: Column, k: Column) -> Column:
+        first = F.greatest(k - F.col("most"), F.lit(0))
+        same = F.filter(F.slice("hits", first + 1, k - first), lambda x: x["g"] == h["g"])
+        times = F.size(F.filter("template", lambda x: x == h["g"]))
+        return F.struct(h["at"].alias("at"), F.coalesce(F.get(F.reverse(same), times - 1)["at"], F.lit(-1)).alias("earlier"))
+
+    rows = rows.withColumn("hits", F.explode(F.array(F.transform("hits", earlier))))
+
+    def longer(run: Column, h: Column, start: Column) -> Column:
+        common = run["common"] + F.when(h["earlier"] < start, 1).otherwise(0)
+        size = h["at"] - start + 1
+        dice = F.lit(2.0) * common / (size + F.size("template"))
+        better = dice > run["dice"]
+        return F.struct(
+            common.alias("common"),
+            F.when(better, dice).otherwise(run["dice"]).alias("dice"),
+            F.when(better, size).otherwise(run["size"]).alias("size"),
+        )
+
+    none = F.struct(F.lit(0).alias("common"), F.lit(0.0).alias("dice"), F.lit(0).alias("size"))
+    best = F.transform(
+        "starts",
+        lambda i: F.struct(
+            at(i).alias("position"),
+            F.aggregate(F.slice("hits", i + 1, F.col("most")), none, lambda run, h: longer(run, h, at(i))).alias("run"),
+        ),
+    )
+    rows = rows.select("_key", "license", F.explode(best).alias("b"))
+    return rows.select("_key", "license", F.col("b.run.size").alias("size"), "b.position", F.col("b.run.dice").alias("dice"))
+
+
 def scan(
     df: DataFrame,
     key: str = "doc_id",
@@ -96,7 +170,10 @@ def scan(
     ASCII letters and digits in lower case. A passage meets only templates whose
     number of bigrams allows the threshold, by a broadcast of the templates under
     every such number; their total is fixed by `templates`. Of equally similar
-    passages the first counts: the whole text, then paragraphs, then lines. Null
+    passages the first counts: the whole text, then paragraphs, then lines. Where
+    none of them has a license, the most similar run of words of any extent
+    counts, within a line or over several paragraphs; its part is 'window' and its
+    position the number of words before it. Null
     and empty texts have no license; rows that share a key count as one; other
     columns play no part.
     """
@@ -110,8 +187,10 @@ def scan(
     own = F.zip_with(F.slice(own, F.lit(1), F.size(own) - 1), following, lambda a, b: F.concat_ws(" ", a, b))
     scored = met.withColumn("own", own).withColumn("dice", _dice(F.col("own"), F.col("template")))
     order = F.when(F.col("part") == "text", 0).when(F.col("part") == "paragraph", 1).otherwise(2)
-    rank = F.struct((-F.col("dice")).alias("d"), order.alias("o"), F.col("position").alias("position"), "part", "size")
-    best = scored.filter(F.col("dice") >= threshold).groupBy("_key", "license").agg(F.min(rank).alias("b"))
+    scored = scored.select("_key", "license", "size", "position", "dice", "part", order.alias("o"))
+    runs = _windows(df, key, text, templates, threshold).select("*", F.lit("window").alias("part"), F.lit(3).alias("o"))
+    rank = F.struct((F.col("o") == 3).alias("w"), (-F.col("dice")).alias("d"), "o", "position", "part", "size")
+    best = scored.unionByName(runs).filter(F.col("dice") >= threshold).groupBy("_key", "license").agg(F.min(rank).alias("b"))
     return best.select(
         F.col("_key").alias(key),
         "license",

@@ -3,7 +3,7 @@
 import hashlib
 import itertools
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -285,6 +285,52 @@ def test_licenses(documents, clashing):
     assert license_scan.scan(clashing).count() == 0
 
 
+WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED
+TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS
+OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
+def test_licenses_of_any_extent(documents):
+    gpl, mit, apache = (license_scan.TEMPLATES[t] for t in ("gpl-3.0-header", "mit-text", "apache-2.0-header"))
+    block = "Copyright (c) 2020 Jane\n\n" + mit.replace(" The above", "\n\nThe above") + "\n\n" + WARRANTY
+    comment = "int a;\n/*\n" + "\n".join(f" * {line}" for line in block.split("\n")) + "\n */\nint b;" * 40
+    df = documents(
+        [
+            (1, "x = 1\n" * 90 + gpl.replace(" This program is distributed", "\n\nThis program is distributed") + "\n\nmore"),
+            (2, gpl.replace("version.", "version.\n\n").replace("later version", "later version\n\n") + "\n\nimport os" * 90),
+            (3, comment),
+            (4, apache.replace("Unless", "\n\nUnless").replace(" You may obtain", "\n\nYou may obtain") + "\n\nimport os" * 90),
+            (5, "Released under the MIT License. See the LICENSE file for details."),
+            (6, "under the sea, the license of the software, in the software and the rights to use " * 20),
+            (7, "Released under the MIT License.\nReleased under the MIT License. And more of it."),
+        ]
+    )
+    got = {(r.doc_id, r.license): r for r in license_scan.scan(df).collect()}
+    assert set(got) >= {(1, "gpl-3.0-header"), (2, "gpl-3.0-header"), (3, "mit-text"), (4, "apache-2.0-header"), (5, "mit")}
+    assert all(got[k].part == "window" and got[k].dice > 0.95 for k in [(3, "mit-text"), (4, "apache-2.0-header"), (5, "mit")])
+    assert (got[5, "mit"].position, got[5, "mit"].n_bigrams, got[5, "mit"].dice) == (0, 4, 1.0)
+    assert got[7, "mit"].part == "line" and 6 not in {i for i, _ in got}
+
+
+def test_windows_are_those_of_all_runs(documents):
+    rnd = np.random.default_rng(5)
+    templates = {"a": "x y x y z", "b": "y z w v x y", "c": "z z z"}
+    rows = [(i, " ".join(rnd.choice(list("vwxyz"), 25))) for i in range(60)]
+    got = {(r.doc_id, r.license): r.dice for r in license_scan.scan(documents(rows), templates=templates, threshold=0.75).collect()}
+    expected = {}
+    for i, text in rows:
+        own = license_scan._bigrams(text)
+        for name, template in templates.items():
+            wanted = Counter(license_scan._bigrams(template))
+            n = sum(wanted.values())
+            runs = (own[a:b] for a in range(len(own)) for b in range(a + 1, len(own) + 1))
+            best = max(2.0 * sum((Counter(r) & wanted).values()) / (len(r) + n) for r in runs)
+            if best >= 0.75:
+                expected[i, name] = best
+    assert got == expected
+
+
 def test_size_bounds_prune_no_match():
     for n in range(1, 60):
         for m in range(1, 200):
