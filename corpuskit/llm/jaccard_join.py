@@ -52,6 +52,9 @@ SLACK = 0.6
 SKETCH_WORDS = 8
 SKETCH_BITS = 4
 
+# Nodes of a signature that are paired in one piece with those of another.
+BLOCK = 256
+
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -319,7 +322,40 @@ def _verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, words: int
     return map_arrow(both, run, "a bigint, b bigint")
 
 
-def links(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100) -> tuple[DataFrame, DataFrame]:
+def _nodes_hash() -> list[Column]:
+    """Sums that tell which nodes a group has."""
+    return [F.sum(F.xxhash64("node", F.lit(i)).cast("decimal(38,0)")).alias(f"h{i}") for i in range(2)]
+
+
+def links(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100, block: int = BLOCK) -> DataFrame:
+    """(a, b), a < b: all pairs of distinct texts (node, text) whose shingle sets are similar enough.
+
+    Every two nodes of a signature are a candidate. A signature with many nodes
+    is dealt into pieces of some `block` nodes, and every two pieces meet by
+    themselves. Work and result grow with the square of a group of near copies.
+    """
+    shared = cut(_members(_signature_rows(docs, words, num, den)), "members")
+    hubs = shared.select("sig", "hub").distinct()
+    each = cut(shared.select("sig", "node").union(hubs).distinct(), "shared")
+    nodes = cut(each.select("node").distinct(), "nodes")
+    sketches = cut(_sketches(bloom.within(docs, nodes, "node"), words), "sketches")
+
+    # of signatures that the same nodes share, one
+    held = each.groupBy("sig").agg(F.count(F.lit(1)).alias("held"), *_nodes_hash())
+    one = cut(held.groupBy("h0", "h1", "held").agg(F.min("sig").alias("sig")).select("sig", "held"), "one")
+    pieces = F.ceil(F.col("held") / block).cast("int")
+    dealt = each.join(one, "sig").withColumn("pieces", pieces)
+    dealt = dealt.withColumn("piece", F.pmod(F.xxhash64("node"), "pieces").cast("int"))
+    dealt = cut(dealt.join(sketches.drop("long"), "node"), "dealt")
+    x = dealt.withColumn("p", F.col("piece")).withColumn("q", F.explode(F.sequence("piece", F.col("pieces") - 1))).alias("x")
+    y = dealt.withColumn("q", F.col("piece")).withColumn("p", F.explode(F.sequence(F.lit(0), "piece"))).alias("y")
+    met = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.p") == F.col("y.p")) & (F.col("x.q") == F.col("y.q"))
+    met &= ((F.col("x.p") < F.col("x.q")) | (F.col("x.node") < F.col("y.node"))) & _possible("x", "y", num, den)
+    ends = F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
+    return _verified(x.join(y, met).select(*ends).distinct(), sketches, docs, words, num, den)
+
+
+def connecting_links(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100) -> tuple[DataFrame, DataFrame]:
     """Components of distinct texts (node, text) by Jaccard similarity of at least num/den of their shingle sets.
 
     Returns (a, b), verified links, and (node, component), the smallest node
@@ -341,8 +377,7 @@ def links(docs: DataFrame, words: int = 4, num: int = 85, den: int = 100) -> tup
     # of those that the same nodes share, one
     of = F.coalesce("component", "node").alias("component")
     each = cut(shared.select("sig", "node").join(found, "node", "left").select("sig", "node", of), "open")
-    sums = [F.sum(F.xxhash64("node", F.lit(i)).cast("decimal(38,0)")).alias(f"h{i}") for i in range(2)]
-    held = each.groupBy("sig").agg(F.min("component").alias("least"), F.max("component").alias("most"), *sums)
+    held = each.groupBy("sig").agg(F.min("component").alias("least"), F.max("component").alias("most"), *_nodes_hash())
     unsettled = held.filter("least <> most").groupBy("h0", "h1").agg(F.min("sig").alias("sig"))
     unsettled = cut(unsettled.select("sig"), "unsettled")
     short = sketches.drop("long")
@@ -368,6 +403,16 @@ def _sizes(docs: DataFrame, words: int) -> DataFrame:
     return map_arrow(docs, run, "doc_id bigint, n_shingles bigint")
 
 
+def _distinct(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, keep_id) of all rows with key and words, the same of copies, and (node, text) without copies."""
+    own = df.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
+    own = own.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    marked = cut(exact_dedup.mark(own).select("doc_id", "keep_id"), "marked")
+    copies = cut(marked.filter("doc_id <> keep_id"), "copies")
+    texts = bloom.without(own, copies.select("doc_id"), "doc_id").withColumnRenamed("doc_id", "node")
+    return marked, copies, texts
+
+
 def classes(
     df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, num: int = 85, den: int = 100
 ) -> DataFrame:
@@ -378,12 +423,8 @@ def classes(
     be unique; of the classes of rows that share one, the smallest is given.
     Rows without key or without words have no link.
     """
-    own = df.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-    own = own.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    marked = cut(exact_dedup.mark(own).select("doc_id", "keep_id"), "marked")
-    copies = cut(marked.filter("doc_id <> keep_id"), "copies")
-    texts = bloom.without(own, copies.select("doc_id"), "doc_id").withColumnRenamed("doc_id", "node")
-    _, found = links(texts, words, num, den)
+    _, copies, texts = _distinct(df, key, text)
+    _, found = connecting_links(texts, words, num, den)
     of_copies = copies.join(found, copies["keep_id"] == found["node"], "left").select(
         "doc_id", F.coalesce("component", "keep_id").alias("component_id")
     )
@@ -407,12 +448,49 @@ def jaccard_classes(
     )
 
 
+def jaccard_links(
+    df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, num: int = 85, den: int = 100
+) -> DataFrame:
+    """(doc_id, n_shingles, n_links, component_id) for every row: the number of rows similar enough, and its class.
+
+    All links count, copies of the row and of linked rows too; these are added up
+    by group of copies. Keys should be unique; of rows that share one, the
+    largest number is given. Otherwise as in `jaccard_classes`.
+    """
+    own = df.select(F.col(key).cast("bigint").alias("node"), F.col(text).alias("text"))
+    marked, _, texts = _distinct(df, key, text)
+    found = cut(links(texts, words, num, den), "links")
+    held = cut(marked.distinct().groupBy("keep_id").agg(F.count(F.lit(1)).alias("held")), "held")
+    ends = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    linked = ends.join(held, F.col("b") == F.col("keep_id")).groupBy("a").agg(F.sum("held").alias("linked"))
+    classes = cut(components(found), "components")
+    each = held.join(linked, F.col("keep_id") == F.col("a"), "left").join(classes, F.col("keep_id") == F.col("node"), "left")
+    each = each.select(
+        "keep_id",
+        (F.col("held") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
+        F.coalesce("component", "keep_id").alias("component_id"),
+    )
+    rows = marked.join(each, "keep_id").groupBy("doc_id")
+    rows = cut(rows.agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id")), "rows")
+    return _sizes(own, words).join(rows, "doc_id", "left").select(
+        "doc_id",
+        "n_shingles",
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+    )
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the size of its set of 4-word shingles and its class at similarity 0.85."""
     return jaccard_classes(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op10_jaccard_join": op10_jaccard_join}
+def op10_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `op10_jaccard_join`, with every document's number of links to others."""
+    return jaccard_links(load(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op10_jaccard_join": op10_jaccard_join, "op10_jaccard_links": op10_jaccard_links}
 
 ORACLES = {
     "op10_jaccard_join": r"""
@@ -435,3 +513,7 @@ reach AS (
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
 FROM sets JOIN (SELECT node, min(other) AS component_id FROM reach GROUP BY node) ON node = doc_id"""
 }
+
+_CLASSES = ORACLES["op10_jaccard_join"]
+_COUNTED = "SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, (SELECT count(*) FROM links WHERE a = doc_id) AS n_links, component_id"
+ORACLES["op10_jaccard_links"] = _CLASSES[: _CLASSES.rindex("SELECT doc_id")] + _COUNTED + _CLASSES[_CLASSES.rindex("\nFROM sets JOIN") :]

@@ -262,6 +262,22 @@ def test_redacted_texts(documents, clashing):
     assert secret_scan.redact(clashing, "text").count() == clashing.count()
 
 
+def test_every_link_of_a_group_is_counted(documents):
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(words[: 200 - i] + [f"x{i}"]) for i in range(12)] + ["alone with four words or more", "a b"]
+    rows = list(enumerate([*texts, texts[3], texts[3]]))
+    sets = [set(jaccard_join.shingles(t, 4).tolist()) for _, t in rows]
+    similar = lambda x, y: 100 * len(x & y) >= 85 * len(x | y)
+    expected = {i: sum(similar(sets[i], sets[j]) for j, _ in rows if j != i) for i, _ in rows}
+    got = jaccard_join.jaccard_links(documents(rows)).collect()
+    assert {r.doc_id: r.n_links for r in got} == expected and sorted(expected.values())[-1] == 13
+    nodes = documents(rows[:12]).select(F.col("doc_id").alias("node"), "text")
+    pairs = {(i, j) for i, j in itertools.combinations(range(12), 2) if similar(sets[i], sets[j])}
+    for block in (2, 100):
+        found = [(r.a, r.b) for r in jaccard_join.links(nodes, block=block).collect()]
+        assert sorted(found) == sorted(pairs)
+
+
 def test_licenses(documents, clashing):
     mit = license_scan.TEMPLATES["mit-text"]
     df = documents(
