@@ -13,13 +13,16 @@ from pyspark.sql import types as T
 
 from ..plans.tables import load
 from ..sources.state import cut
+from . import bloom
 from .pretokens import chunks
 from .workers import map_arrow
 
-# Passages with fewer words are too common to tell what they quote.
+# Passages with fewer words are too common to tell what they quote in another conversation.
 MIN_WORDS = 3
 
 _MARKS = re.compile(r"(?:[ \t]{0,3}>)+[ \t]?")
+_END = re.compile(r"""[.!?…。！？]["')\]”’»]*$""")
+_INNER_END = re.compile(r"(?<=[。！？])(?=\w)")
 _ATTRIBUTION = re.compile(r"\s*On\b.*\bwrote:\s*$")
 
 
@@ -36,11 +39,21 @@ def _hash(words: list[str]) -> bytes:
     return hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
-def parse(text: str, min_words: int = MIN_WORDS) -> tuple[str, list[tuple[int, int, bytes]]]:
+def sentences(words: list[str]) -> list[list[str]]:
+    """Words up to those that end a sentence."""
+    out: list[list[str]] = [[]]
+    for word in (part for w in words for part in _INNER_END.split(w)):
+        out[-1].append(word)
+        if _END.search(word):
+            out.append([])
+    return [s for s in out if s]
+
+
+def parse(text: str, min_words: int = 1) -> tuple[str, list[tuple[int, int, bytes]]]:
     """A message without its quotes, and its passages as (level, words, hash).
 
-    Passages are paragraphs of one quotation level, and their lines if there are
-    several, in lower case with single blanks. Level 0 is the message's own text.
+    Passages are paragraphs of one quotation level, and their lines and sentences
+    if there are several, in lower case with single blanks. Level 0 is the message's own text.
     A line "On .. wrote:" right before a quote belongs to it.
     """
     lines = levels(text)
@@ -48,7 +61,8 @@ def parse(text: str, min_words: int = MIN_WORDS) -> tuple[str, list[tuple[int, i
     paragraph: list[list[str]] = []
 
     def close(level: int) -> None:
-        for words in [[w for line in paragraph for w in line], *(paragraph if len(paragraph) > 1 else [])]:
+        whole = [w for line in paragraph for w in line]
+        for words in [whole, *(paragraph if len(paragraph) > 1 else []), *sentences(whole)]:
             if len(words) >= min_words:
                 passages[level, _hash(words)] = len(words)
         paragraph.clear()
@@ -73,13 +87,13 @@ def parse(text: str, min_words: int = MIN_WORDS) -> tuple[str, list[tuple[int, i
     return body, [(level, n, h) for (level, h), n in passages.items()]
 
 
-def _parsed(df: DataFrame, conv: str, turn: str, role: str, text: str, min_words: int) -> DataFrame:
+def _parsed(df: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
     """(conv, turn, role, body, passages) per message."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passage = pa.struct([("level", pa.int32()), ("words", pa.int32()), ("hash", pa.binary())])
         for batch in batches:
-            found = [parse(t, min_words) for _, _, texts in chunks(batch.column(3)) for t in texts]
+            found = [parse(t) for _, _, texts in chunks(batch.column(3)) for t in texts]
             listed = [[{"level": a, "words": n, "hash": h} for a, n, h in ps] for _, ps in found]
             columns = [
                 *(batch.column(i) for i in range(3)),
@@ -96,34 +110,82 @@ def _parsed(df: DataFrame, conv: str, turn: str, role: str, text: str, min_words
     return map_arrow(df.select(conv, turn, role, text), run, schema)
 
 
-def _parents(messages: DataFrame) -> DataFrame:
-    """(conv, turn, p_conv, p_turn): the message that each message quotes.
+def _origins(messages: DataFrame, min_words: int, anywhere: bool) -> DataFrame:
+    """(conv, turn, level, words, away, p_conv, p_turn): the origin of each quoted passage that has one.
 
-    A passage's origin is the first message that has it as its own text: of the
-    same conversation, or else of all. An origin comes before the message by
-    (conv, turn), so there are no circles. A message's parent is the origin of
-    its best passage: in the same conversation, of the lowest level, the longest.
+    A passage's origin is the first message that has it as its own text: an
+    earlier one of the same conversation, of any length, or else, from
+    `min_words` words, the first of all by (conv, turn). That one comes before the
+    message, or with `anywhere` it is the first of any other conversation.
     """
     each = messages.select("conv", "turn", F.explode("passages").alias("p")).select("conv", "turn", "p.*")
-    own = each.filter("level = 0")
-    near = cut(own.groupBy("hash", "conv").agg(F.min("turn").alias("p_turn")), "near")
-    far = cut(
-        near.filter("conv IS NOT NULL AND p_turn IS NOT NULL")
-        .groupBy("hash")
-        .agg(F.min(F.struct("conv", "p_turn")).alias("o"))
-        .select("hash", F.col("o.conv").alias("p_conv"), F.col("o.p_turn").alias("p_turn")),
-        "far",
-    )
     quoted = cut(each.filter("level > 0"), "quoted")
+    hashes = cut(quoted.select("hash").distinct(), "hashes")
+    own = bloom.within(each.filter("level = 0").select("hash", "conv", "turn"), hashes, "hash")
+    near = cut(own.groupBy("hash", "conv").agg(F.min("turn").alias("p_turn")), "near")
+    known = near.filter("conv IS NOT NULL AND p_turn IS NOT NULL")
+    far = cut(known.groupBy("hash").agg(F.min(F.struct("conv", "p_turn")).alias("o")), "far")
     here = quoted.join(near, ["hash", "conv"]).filter("p_turn < turn")
-    here = here.select("conv", "turn", "level", "words", F.lit(0).alias("away"), F.col("conv").alias("p_conv"), "p_turn")
-    there = quoted.join(far, "hash").filter("p_conv < conv OR (p_conv = conv AND p_turn < turn)")
-    there = there.select("conv", "turn", "level", "words", F.lit(1).alias("away"), "p_conv", "p_turn")
-    rank = F.struct("away", "level", (-F.col("words")).alias("short"), "p_conv", "p_turn")
-    best = here.unionByName(there).groupBy("conv", "turn").agg(F.min(rank).alias("b"))
+    here = here.select("hash", "conv", "turn", "level", "words", F.lit(0).alias("away"), F.col("conv").alias("p_conv"), "p_turn")
+    enough = quoted.filter(F.col("words") >= min_words)
+    if anywhere:
+        other = known.join(far, "hash").filter("conv <> o.conv")
+        other = cut(other.groupBy("hash").agg(F.min(F.struct("conv", "p_turn")).alias("o2")), "other")
+        there = enough.join(far, "hash").join(other, "hash", "left").filter("conv IS NOT NULL AND turn IS NOT NULL")
+        there = there.withColumn("o", F.when(F.col("o.conv") == F.col("conv"), F.col("o2")).otherwise(F.col("o")))
+        there = there.filter("o IS NOT NULL")
+    else:
+        there = enough.join(far, "hash").filter("o.conv < conv OR (o.conv = conv AND o.p_turn < turn)")
+    there = there.select(
+        "hash", "conv", "turn", "level", "words", F.lit(1).alias("away"), F.col("o.conv").alias("p_conv"), F.col("o.p_turn").alias("p_turn")
+    )
+    one = F.min(F.struct("away", "p_conv", "p_turn")).alias("o")
+    found = here.unionByName(there).groupBy("conv", "turn", "level", "words", "hash").agg(one)
+    return found.select("conv", "turn", "level", "words", "o.*")
+
+
+def _parents(origins: DataFrame, min_words: int) -> DataFrame:
+    """(conv, turn, p_conv, p_turn): the message that each message replies to.
+
+    It is the origin of its best passage: in the same conversation, of the lowest
+    level, the longest. Short passages come last.
+    """
+    short = F.col("words") < min_words
+    rank = F.struct(short.alias("few"), "away", "level", (-F.col("words")).alias("short"), "p_conv", "p_turn")
+    best = origins.groupBy("conv", "turn").agg(F.min(rank).alias("b"))
     return best.select("conv", "turn", F.col("b.p_conv").alias("p_conv"), F.col("b.p_turn").alias("p_turn"))
 
 
+def _without_circles(parents: DataFrame) -> DataFrame:
+    """The stored parents without that of the first message, by (conv, turn), of each circle.
+
+    Steps are doubled until no chain goes on, or until they are as many as there
+    are links: the chains left then end in circles and have gone round them.
+    """
+    n, steps = parents.count(), 1
+    least = F.struct("conv", "turn").alias("least")
+    going = parents.select("conv", "turn", F.col("p_conv").alias("r_conv"), F.col("p_turn").alias("r_turn"), least)
+    while True:
+        onward = going.select(
+            *(F.col(a).alias(b) for a, b in (("conv", "r_conv"), ("turn", "r_turn"), ("r_conv", "n_conv"), ("r_turn", "n_turn"))),
+            F.col("least").alias("further"),
+        )
+        joined = going.join(onward, ["r_conv", "r_turn"])
+        if steps >= n:
+            break
+        going = cut(
+            joined.select(
+                "conv", "turn", F.col("n_conv").alias("r_conv"), F.col("n_turn").alias("r_turn"), F.least("least", "further").alias("least")
+            ),
+            "going",
+        )
+        if going.limit(1).count() == 0:
+            return parents
+        steps *= 2
+    firsts = joined.select("further.*").distinct()
+    return cut(parents.join(firsts, ["conv", "turn"], "left_anti"), "parents")
+
+
 def _roots(parents: DataFrame) -> DataFrame:
     """(conv, turn, r_conv, r_turn, depth): where each reply's chain of parents begins, by doubling steps."""
     reached = cut(parents.toDF("conv", "turn", "r_conv", "r_turn").withColumn("depth", F.lit(1)), "reached")
@@ -151,6 +213,7 @@ def link_quotes(
     role: str = "role",
     text: str = "text",
     min_words: int = MIN_WORDS,
+    anywhere: bool = False,
 ) -> DataFrame:
     """(conv, turn, role, body, n_quotes, parent_conv, parent_turn, thread, thread_turn, depth), one row per message.
 
@@ -159,13 +222,18 @@ def link_quotes(
     replies begins, and `depth` the number of replies from there. A message
     without a link begins a chain of its own at its place in its conversation, so
     rows ordered by (thread, thread_turn, depth, conv, turn) are conversations in
-    reply order. Rows without conv or turn have no link, and rows that share both
+    reply order. Passages of fewer than `min_words` words are linked within a
+    conversation only. Another conversation's message is quoted if it comes before
+    by (conv, turn), or with `anywhere` whatever its place; circles are then opened
+    at their first message. Rows without conv or turn have no link, and rows that share both
     get the same one. Null and empty texts have an empty body; other columns play
     no part.
     """
-    parsed = _parsed(df, conv, turn, role, text, min_words)
+    parsed = _parsed(df, conv, turn, role, text)
     messages = cut(parsed, "messages")
-    parents = cut(_parents(messages), "parents")
+    parents = cut(_parents(_origins(messages, min_words, anywhere), min_words), "parents")
+    if anywhere:
+        parents = _without_circles(parents)
     linked = cut(parents.join(_roots(parents), ["conv", "turn"]), "linked")
     joined = messages.join(linked, ["conv", "turn"], "left")
     n_quotes = F.size(F.filter("passages", lambda p: p["level"] > 0))
@@ -185,7 +253,7 @@ def link_quotes(
 
 def op7_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message without quotes, with the message that it replies to and its place in the chain of replies."""
-    return link_quotes(load(spark, sf_dir, "conversations"))
+    return link_quotes(load(spark, sf_dir, "conversations"), anywhere=True)
 
 
 QUERIES = {"op7_quote_links": op7_quote_links}

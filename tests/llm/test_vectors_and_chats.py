@@ -167,3 +167,27 @@ def test_links_are_those_of_all_pairs(spark):
 def test_nested_levels():
     assert quote_links.levels("> > a\n>b\n c") == [(2, "a"), (1, "b"), (0, " c")]
     assert quote_links.parse("> a b\n> c d\n\nx")[1][0][:2] == (1, 4)
+
+
+def test_short_passages_sentences_and_origins_of_larger_ids(spark):
+    rows = [
+        (1, 0, "user", "Yes please"),
+        (1, 1, "user", "> Yes please\nDone."),
+        (1, 2, "user", "> The second one is longer.\nI see."),
+        (5, 0, "user", "A first sentence stands here. The second one is longer. And a third!"),
+        (5, 1, "user", "> Yes please\nNot of this conversation."),
+        (2, 0, "user", "> this is said by seven\nthis is said by two"),
+        (7, 0, "user", "> this is said by nine\nthis is said by seven"),
+        (9, 0, "user", "> this is said by two\nthis is said by nine"),
+        (9, 1, "user", "> this is said by nine\nand so on"),
+        (9, 2, "user", "> quoted before it is said\nwell"),
+        (9, 3, "user", "quoted before it is said"),
+    ]
+    got = {(r.conv_id, r.turn): r for r in quote_links.link_quotes(chats(spark, rows), anywhere=True).collect()}
+    parent = {k: (r.parent_conv, r.parent_turn) for k, r in got.items() if r.parent_conv is not None}
+    circle = {(7, 0): (9, 0), (9, 0): (2, 0)}  # opened at its first message
+    assert parent == {(1, 1): (1, 0), (1, 2): (5, 0), (9, 1): (9, 0), **circle}
+    assert got[5, 1].n_quotes == 1
+    assert {k: (r.thread, r.depth) for k, r in got.items() if r.thread == 2} == {
+        (2, 0): (2, 0), (9, 0): (2, 1), (7, 0): (2, 2), (9, 1): (2, 2)
+    }
