@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.state import cut
+from ..sources.state import bucketed, cut
 from .skew import with_key_totals
 
 
@@ -39,34 +39,62 @@ def message_counts(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
+# Links of one node in a slot; a node with more has several.
+PER_SLOT = 1 << 16
+
+
 @dataclass(frozen=True)
 class Graph:
     """A graph ready for mass propagation.
 
-    nodes(node): each node once. links(src, dst, w): w is the share of src's mass
-    that goes to dst, parallel edges added up. A row without dst is the share
-    that gets lost, all of it for a node without out-edges.
+    nodes(node): each node once. links(src, slot, dst, w, slots): w is the share
+    of src's mass that goes to dst, parallel edges added up; a row without dst is
+    the share that gets lost, all of it for a node without out-edges. The links
+    of a hub lie in several slots; `slots` says how many dst itself has, and
+    hubs(node, slots) lists the nodes with more than one.
     """
 
     nodes: DataFrame
     links: DataFrame
+    hubs: DataFrame
 
 
-def prepare(nodes: DataFrame, edges: DataFrame) -> Graph:
+def prepare(nodes: DataFrame, edges: DataFrame, strict: bool = False, per_slot: int = PER_SLOT) -> Graph:
     """Collapse parallel edges, weigh them and see which targets are nodes.
 
-    Nodes and links are written to the session's shared folder, as every
-    iteration reads them; between stored tables AQE splits the edges of a hub.
-    `repeated_nodes` lists nodes that come more than once; they count once.
+    Links are written to the session's shared folder in buckets by (src, slot),
+    so iterations join them as they lie and only ranks and arrivals move; slots
+    of about `per_slot` links keep a hub from filling one bucket. `repeated_nodes`
+    lists nodes that come more than once; they count once, or with `strict` raise
+    an error in the job that reads them.
     """
-    nodes = cut(nodes.select("node").distinct(), "nodes")
+    if strict:
+        counted = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+        message = F.concat(F.lit("node is listed more than once: "), F.col("node").cast("string"))
+        once = counted.select(F.when(F.col("n") > 1, F.raise_error(message)).otherwise(F.col("node")).alias("node"))
+        once = once.select(F.col("node").cast(nodes.schema["node"].dataType).alias("node"))
+    else:
+        once = nodes.select("node").distinct()
+    nodes = cut(once, "nodes")
     pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_m"))
-    weighed = with_key_totals(pairs, ["src"], ["dst"], {"_deg": F.sum("_m")})
-    weighed = cut(weighed.select("src", "dst", (F.col("_m") / F.col("_deg")).alias("w")), "weighed")
-    known = weighed.join(nodes.withColumnRenamed("node", "dst"), "dst", "left_semi").select("src", "dst", "w")
+    totals = {"_deg": F.sum("_m"), "_n": F.count(F.lit(1))}
+    weighed = with_key_totals(pairs, ["src"], ["dst"], totals)
+    own_slots = F.ceil(F.col("_n") / per_slot).cast("int")
+    weighed = cut(weighed.select("src", "dst", (F.col("_m") / F.col("_deg")).alias("w"), own_slots.alias("_own")), "weighed")
+    hubs = cut(weighed.filter("_own > 1").select(F.col("src").alias("node"), F.col("_own").alias("slots")).distinct(), "hubs")
+    known = weighed.join(nodes.withColumnRenamed("node", "dst"), "dst", "left_semi")
+    known = known.join(hubs.withColumnRenamed("node", "dst"), "dst", "left").select(
+        "src",
+        F.pmod(F.xxhash64("dst"), F.col("_own")).cast("int").alias("slot"),
+        "dst",
+        "w",
+        F.coalesce("slots", F.lit(1)).alias("slots"),
+    )
     unknown = weighed.join(nodes.withColumnRenamed("node", "dst"), "dst", "left_anti")
-    nowhere = F.lit(None).cast(weighed.schema["dst"].dataType).alias("dst")
-    lost = unknown.groupBy("src").agg(F.sum("w").alias("w")).select("src", nowhere, "w")
+    nowhere = [F.lit(0).alias("slot"), F.lit(None).cast(weighed.schema["dst"].dataType).alias("dst")]
+    no_slots = F.lit(None).cast("int").alias("slots")
+    lost = unknown.groupBy("src").agg(F.sum("w").alias("w")).select("src", *nowhere, "w", no_slots)
     dangling = nodes.withColumnRenamed("node", "src").join(weighed, "src", "left_anti")
-    dangling = dangling.select("src", nowhere, F.lit(1.0).alias("w"))
-    return Graph(nodes, cut(known.unionByName(lost).unionByName(dangling), "links"))
+    dangling = dangling.select("src", *nowhere, F.lit(1.0).alias("w"), no_slots)
+    links = known.unionByName(lost).unionByName(dangling)
+    return Graph(nodes, bucketed(links, "links", ["src", "slot"]), hubs)

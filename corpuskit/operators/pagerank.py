@@ -30,15 +30,26 @@ def ppr_init(nodes: DataFrame, sources: DataFrame) -> DataFrame:
     return found.select(F.col("source").alias("node"), "source", F.lit(1.0).alias("mass"))
 
 
+def _with_slots(ranks: DataFrame, graph: Graph) -> DataFrame:
+    """(node, source, mass, slots): in how many slots the links of the node are."""
+    joined = ranks.select("node", "source", "mass").join(graph.hubs, "node", "left")
+    return joined.select("node", "source", "mass", F.coalesce("slots", F.lit(1)).alias("slots"))
+
+
 def _sent(ranks: DataFrame, graph: Graph) -> DataFrame:
-    """(dst, source, m): mass along every link; dst is NULL for lost mass."""
-    leaving = ranks.select(F.col("node").alias("src"), "source", "mass")
-    return leaving.join(graph.links, "src").select("dst", "source", (F.col("mass") * F.col("w")).alias("m"))
+    """(dst, source, m, slots): mass along every link; dst is NULL for lost mass.
+
+    The links stay in their buckets; a hub's mass goes to each of its slots.
+    """
+    slot = F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot")
+    leaving = ranks.select(F.col("node").alias("src"), "source", "mass", slot)
+    met = leaving.join(graph.links, ["src", "slot"])
+    return met.select("dst", "source", (F.col("mass") * F.col("w")).alias("m"), "slots")
 
 
 def ppr_step(ranks: DataFrame, graph: Graph) -> DataFrame:
     """(node, source, mass) after mass/outdegree went along every out-edge, before any jump."""
-    arrived = _sent(ranks, graph).filter(F.col("dst").isNotNull())
+    arrived = _sent(_with_slots(ranks, graph), graph).filter(F.col("dst").isNotNull())
     return arrived.groupBy(F.col("dst").alias("node"), "source").agg(F.sum("m").alias("mass"))
 
 
@@ -52,20 +63,21 @@ def missing_mass(stepped: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def _iterate(ranks: DataFrame, home: DataFrame, graph: Graph, alpha: float) -> DataFrame:
-    """One full iteration: a join with the links and one aggregation.
+    """One full iteration: a join with the links and one aggregation, from and to (node, source, mass, slots).
 
     Lost mass belongs to the source, so a link without target sends to the
-    source and no separate pass over the total is needed. `home` adds the jump.
+    source and no separate pass over the total is needed. `home` adds the jump
+    and the source's number of slots; other nodes' came with the links to them.
     """
     sent = _sent(ranks, graph).select(
-        F.coalesce("dst", "source").alias("node"), "source", "m", F.lit(0).alias("jump")
+        F.coalesce("dst", "source").alias("node"), "source", "m", "slots", F.lit(0).alias("jump")
     )
-    jumps = home.select("node", "source", F.lit(0.0).alias("m"), F.lit(1).alias("jump"))
+    jumps = home.select("node", "source", F.lit(0.0).alias("m"), "slots", F.lit(1).alias("jump"))
     mass = (1.0 - alpha) * F.sum("m") + alpha * F.max("jump")
     return (
         sent.unionByName(jumps)
         .groupBy("node", "source")
-        .agg(mass.alias("mass"))
+        .agg(mass.alias("mass"), F.max("slots").alias("slots"))
         .filter(F.col("mass") > 0)
     )
 
@@ -95,9 +107,9 @@ def personalized_pagerank(
         raise ValueError("iterations must not be below start")
     if start and not save_to:
         raise ValueError("start needs save_to, where the earlier states are")
-    home = cut(ppr_init(graph.nodes, sources), "home")
+    home = cut(_with_slots(ppr_init(graph.nodes, sources), graph), "home")
     if start:
-        ranks = spark.read.parquet(path(start))
+        ranks = _with_slots(spark.read.parquet(path(start)), graph)
     else:
         ranks = cut(home, "ranks", path(0)) if save_to else home
     for i in range(start + 1, iterations + 1):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from .tables import SQL_GRAPH, graph_sources, load, purchases
+from .tables import SQL_GRAPH, SQL_PAGES, graph_sources, load, page_graph, page_sources, purchases
 
 ITERATIONS = 3
 
@@ -64,7 +64,33 @@ def _repeated(spark, sf):
     return op.repeated_nodes(listed)
 
 
+def _page_ranks(spark, sf, iterations=ITERATIONS):
+    graph = op.prepare(*page_graph(spark, sf))
+    return op.personalized_pagerank(graph, page_sources(spark, sf), iterations)
+
+
+def _page_missing(spark, sf):
+    """What the pages' mass loses in a step from the state after one iteration."""
+    graph = op.prepare(*page_graph(spark, sf))
+    sources = page_sources(spark, sf)
+    stepped = op.ppr_step(op.personalized_pagerank(graph, sources, 1), graph)
+    return op.missing_mass(stepped, sources).withColumn("missing", F.round("missing", 9))
+
+
+def _page_top(spark, sf):
+    nodes, _ = page_graph(spark, sf)
+    top = op.top_k(single(_page_ranks(spark, sf)), 5, nodes)
+    return top.select("source", "rank", "node", "mass", "shown")
+
+
 QUERIES = {
+    "page_edges": lambda spark, sf: page_graph(spark, sf)[1].groupBy("src", "dst").agg(F.count("*").alias("n")),
+    "page_graph_stats": lambda spark, sf: op.graph_stats(*page_graph(spark, sf)),
+    "page_missing_targets": lambda spark, sf: op.missing_targets(*page_graph(spark, sf)),
+    "page_message_counts": lambda spark, sf: op.message_counts(*page_graph(spark, sf)),
+    "page_ppr": lambda spark, sf: single(_page_ranks(spark, sf)),
+    "page_ppr_missing": _page_missing,
+    "page_ppr_top_k": _page_top,
     "graph_stats": lambda spark, sf: op.graph_stats(*purchases(spark, sf)),
     "missing_targets": lambda spark, sf: op.missing_targets(*purchases(spark, sf)),
     "message_counts": lambda spark, sf: op.message_counts(*purchases(spark, sf)),
@@ -79,10 +105,10 @@ QUERIES = {
 }
 
 
-def sql_ranks(iterations: int) -> str:
+def sql_ranks(iterations: int, graph: str = SQL_GRAPH) -> str:
     """All iterations, written out one after the other."""
     parts = [
-        SQL_GRAPH,
+        graph,
         "deg AS (SELECT src, CAST(count(*) AS DOUBLE) AS d FROM edges GROUP BY src)",
         "r0 AS (SELECT source AS node, source, CAST(1 AS DOUBLE) AS mass FROM sources)",
     ]
@@ -127,15 +153,42 @@ SELECT source, rank, node, mass FROM (
   FROM every) WHERE rank <= {k}"""
 
 
-ORACLES = {
-    "graph_stats": f"""WITH {SQL_GRAPH}
+def _sql_stats(graph: str) -> str:
+    return f"""WITH {graph}
 SELECT (SELECT count(*) FROM nodes) AS n_nodes, (SELECT count(*) FROM edges) AS n_edges,
-  (SELECT count(DISTINCT src) FROM edges) AS n_active""",
-    "missing_targets": f"""WITH {SQL_GRAPH}
-SELECT DISTINCT dst AS node FROM edges WHERE dst NOT IN (SELECT node FROM nodes)""",
-    "message_counts": f"""WITH {SQL_GRAPH}
+  (SELECT count(DISTINCT src) FROM edges) AS n_active"""
+
+
+def _sql_targets(graph: str) -> str:
+    return f"""WITH {graph}
+SELECT DISTINCT dst AS node FROM edges WHERE dst NOT IN (SELECT node FROM nodes)"""
+
+
+def _sql_messages(graph: str) -> str:
+    return f"""WITH {graph}
 SELECT count(*) AS mass_messages,
-  count(DISTINCT dst) FILTER (dst NOT IN (SELECT node FROM nodes)) AS missing_structure FROM edges""",
+  count(DISTINCT dst) FILTER (dst NOT IN (SELECT node FROM nodes)) AS missing_structure FROM edges"""
+
+
+_PAGE_STEP = f"{sql_ranks(1, SQL_PAGES)},\n{_sql_step('stepped', 'r1')}"
+_PAGE_RANKS = f"""WITH {sql_ranks(ITERATIONS, SQL_PAGES)},
+ranks AS (SELECT node, source, {_sql_single('mass')} AS mass FROM r{ITERATIONS} WHERE mass > 0)"""
+_SHOWN = "printf('%.5f', mass) || ' ' || node"
+
+ORACLES = {
+    "page_edges": f"WITH {SQL_PAGES} SELECT src, dst, count(*) AS n FROM edges GROUP BY src, dst",
+    "page_graph_stats": _sql_stats(SQL_PAGES),
+    "page_missing_targets": _sql_targets(SQL_PAGES),
+    "page_message_counts": _sql_messages(SQL_PAGES),
+    "page_ppr": f"{_PAGE_RANKS} SELECT node, source, mass FROM ranks",
+    "page_ppr_missing": f"""WITH {_PAGE_STEP},
+{_sql_missing('missed', 'stepped')}
+SELECT source, round(missing, 9) AS missing FROM missed""",
+    "page_ppr_top_k": f"""{_PAGE_RANKS},
+{_sql_top('ranks', 5).replace('SELECT source, rank, node, mass FROM', f'SELECT source, rank, node, mass, {_SHOWN} AS shown FROM')}""",
+    "graph_stats": _sql_stats(SQL_GRAPH),
+    "missing_targets": _sql_targets(SQL_GRAPH),
+    "message_counts": _sql_messages(SQL_GRAPH),
     "ppr_init": f"""WITH {SQL_GRAPH}
 SELECT source AS node, source, CAST(1 AS DOUBLE) AS mass FROM sources""",
     "ppr_step": f"WITH {_STEP} SELECT node, source, {_sql_single('mass')} AS mass FROM stepped",

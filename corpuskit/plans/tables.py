@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import tokenize
+from ..sources.page_links import address, page_edges, page_nodes
 
 # A line of a document is named by both columns, however long documents are.
 LINE = ("doc_id", "line_no")
@@ -55,6 +56,24 @@ def graph_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.agg((F.min("c_custkey") * 2).alias("source")).select("source")
 
 
+def page_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """nodes(node), edges(src, dst): the links of all pages between addresses.
+
+    Nodes are the pages and the targets that at least two pages link to, which
+    have no links of their own. Other targets are unknown.
+    """
+    pages = load(spark, sf_dir, "pages")
+    edges = page_edges(pages)
+    return page_nodes(pages, edges, seen_from=2), edges
+
+
+def page_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source): the first page of each site."""
+    pages = load(spark, sf_dir, "pages").select(address("url").alias("node"))
+    site = F.regexp_extract("node", "^[a-z]+://[^/]*", 0)
+    return pages.groupBy(site).agg(F.min("node").alias("source")).select("source")
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, lang, label, features): toxic documents are spam, all tokens are features."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "text")
@@ -102,6 +121,23 @@ bought AS (
 edges AS (SELECT customer AS src, part AS dst FROM bought UNION ALL SELECT part, customer FROM bought),
 sources AS (SELECT 2 * min(c_custkey) AS source FROM customer GROUP BY c_nationkey)"""
 
+SQL_PAGES = """hrefs AS (
+  SELECT regexp_replace(url, '[?#].*$', '') AS src,
+         unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*["'']([^"''>]*)["'']', 1)) AS href
+  FROM pages),
+edges AS (
+  SELECT src, regexp_replace(CASE
+    WHEN href ILIKE 'http://%' OR href ILIKE 'https://%' THEN href
+    WHEN href LIKE '//%' THEN regexp_extract(src, '^[a-zA-Z]+:') || href
+    WHEN href LIKE '/%' THEN regexp_extract(src, '^[a-zA-Z]+://[^/]*') || href
+    ELSE regexp_replace(src, '[^/]*$', '') || href END, '[?#].*$', '') AS dst
+  FROM hrefs WHERE src IS NOT NULL AND href <> '' AND NOT href LIKE '#%' AND NOT href LIKE '?%'),
+own AS (SELECT DISTINCT regexp_replace(url, '[?#].*$', '') AS node FROM pages),
+nodes AS (
+  SELECT node FROM own
+  UNION SELECT dst FROM (SELECT DISTINCT src, dst FROM edges) GROUP BY dst HAVING count(*) >= 2),
+sources AS (SELECT min(node) AS source FROM own GROUP BY regexp_extract(node, '^[a-z]+://[^/]*'))"""
+
 SQL_INSTANCES = f"""instances AS (
   SELECT doc_id, lang, CASE WHEN toxic = 1 THEN 'spam' ELSE 'ham' END AS label,
          {_token_list('text')} AS features

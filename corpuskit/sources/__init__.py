@@ -2,14 +2,18 @@
 
 from .instances import read_instances, read_model, read_models, write_model
 from .graph_text import read_adjacency
+from .page_links import page_edges, page_nodes
 from .sinks import write_index, write_keyed_table, write_text
-from .state import cut, state_dir
+from .state import bucketed, cut, state_dir
 from .tables import TBL_SCHEMAS, read_tbl
 from .text import read_lines, read_lines_with_offset
 
 __all__ = [
     "TBL_SCHEMAS",
+    "bucketed",
     "cut",
+    "page_edges",
+    "page_nodes",
     "read_adjacency",
     "read_instances",
     "read_lines",

@@ -1,7 +1,9 @@
 import pytest
 from models import pagerank
+from plans import above
 
 from corpuskit import operators as op
+from corpuskit import sources as src
 
 NODES = [1, 2, 3, 4]
 EDGES = [(1, 2), (1, 3), (2, 1), (4, 9), (4, 1), (4, 1)]
@@ -127,3 +129,68 @@ def test_top_k_goes_on_with_the_lowest_nodes_without_mass(tables):
     for r in sorted(rows, key=lambda r: (r.source, r["rank"])):
         got.setdefault(r.source, []).append((r.node, r.mass))
     assert got == {3: [(3, 1.0), (1, 0.0), (2, 0.0), (5, 0.0)], 9: [(9, 1.0), (1, 0.0), (2, 0.0), (3, 0.0)]}
+
+
+@pytest.mark.parametrize("per_slot", [1, 7, 1000])
+def test_links_stay_in_their_buckets(tables, per_slot):
+    nodes, edges = hub_graph()
+    graph = op.prepare(*tables(nodes, edges), per_slot=per_slot)
+    ranks = op.personalized_pagerank(graph, table(graph.nodes, [0, 7, 59]), 3)
+    assert as_dict(ranks) == pytest.approx(model(nodes, edges, [0, 7, 59], 3))
+    spark = graph.nodes.sparkSession
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        paths = above(op.personalized_pagerank(graph, table(graph.nodes, [0]), 3), "links_")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(paths) == 3
+    for path in paths:
+        assert "SortMergeJoin" in path[-1] and not any("Exchange" in x for x in path)
+    hubs = {r.node for r in graph.hubs.collect()}
+    assert hubs == {n for n in nodes if len({b for a, b in edges if a == n}) > per_slot}
+    if per_slot == 7:  # the hub's 59 links lie in several slots
+        assert graph.links.filter("src = 0").select("slot").distinct().count() > 4
+
+
+def test_a_hub_as_source_and_lost_mass(tables):
+    nodes, edges = list(range(40)), [(0, i) for i in range(1, 60)] + [(1, 0)]
+    graph = op.prepare(*tables(nodes, edges), per_slot=5)
+    ranks = op.personalized_pagerank(graph, table(graph.nodes, [0, 1]), 4)
+    assert as_dict(ranks) == pytest.approx(model(nodes, edges, [0, 1], 4))
+
+
+def test_repeated_nodes_raise_in_the_job_that_reads_them(tables):
+    with pytest.raises(Exception, match="node is listed more than once: 2"):
+        op.prepare(*tables([1, 2, 2, 3]), strict=True)
+    assert op.prepare(*tables(), strict=True).nodes.count() == 4
+
+
+PAGES = [
+    ("http://a.org/x/one?ref=1", '<a href="/x/two">2</a> <A class=c HREF=\'three#top\'>3</A> <a href="#in">i</a>'),
+    ("http://a.org/x/two", '<a href="http://b.org/">b</a><a href="//b.org/?p=1">b</a><a href="mailto:x@y.z">m</a>'),
+    ("https://b.org", '<a href="four">4</a> <link href="/style.css"> <a href="/x/two&amp;k">k</a><a name="n">n</a>'),
+    ("http://a.org/x/three", None),
+    (None, '<a href="/nowhere">n</a>'),
+]
+
+
+def test_page_links(spark):
+    pages = spark.createDataFrame(PAGES, "url string, html string")
+    edges = src.page_edges(pages)
+    assert sorted(map(tuple, edges.collect())) == [
+        ("http://a.org/x/one", "http://a.org/x/three"),
+        ("http://a.org/x/one", "http://a.org/x/two"),
+        ("http://a.org/x/two", "http://b.org/"),
+        ("http://a.org/x/two", "http://b.org/"),
+        ("https://b.org", "https://b.org/four"),
+        ("https://b.org", "https://b.org/x/two&k"),
+    ]
+    own = {"http://a.org/x/one", "http://a.org/x/two", "https://b.org", "http://a.org/x/three"}
+    assert {r.node for r in src.page_nodes(pages, edges).collect()} == own
+    assert {r.node for r in src.page_nodes(pages, edges, seen_from=1).collect()} > own
+    more = pages.union(spark.createDataFrame([("http://c.org/", '<a href="http://b.org/">b</a>')], pages.schema))
+    nodes = src.page_nodes(more, src.page_edges(more), seen_from=2)
+    assert {r.node for r in nodes.collect()} == own | {"http://c.org/", "http://b.org/"}
+    empty = pages.limit(0)
+    assert src.page_edges(empty).count() == src.page_nodes(empty, src.page_edges(empty), 2).count() == 0
