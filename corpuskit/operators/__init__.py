@@ -3,7 +3,8 @@
 from .bigrams import bigram_counts, bigram_relfreq, bigram_stripes
 from .classifier import batch_of, classify, ensemble, score, train_batches, train_gradient, union_sets
 from .cooccurrence import (
-    frequent_words,
+    Vocabulary,
+    frequent_filter,
     pair_counts,
     pair_totals,
     pmi_pairs,
@@ -13,6 +14,7 @@ from .cooccurrence import (
     stripes,
     top_partners,
     top_pmi,
+    vocabulary,
 )
 from .evaluation import mean_over_runs, one_minus_roca
 from .graph import Graph, graph_stats, message_counts, missing_targets, prepare, repeated_nodes
@@ -42,6 +44,7 @@ from .text_stats import line_df, line_total, prefix_count, top_prefixes, vocab_w
 
 __all__ = [
     "Graph",
+    "Vocabulary",
     "batch_of",
     "bigram_counts",
     "bigram_relfreq",
@@ -56,7 +59,7 @@ __all__ = [
     "encode_gaps",
     "ensemble",
     "fetch",
-    "frequent_words",
+    "frequent_filter",
     "graph_stats",
     "inverted_index",
     "line_df",
@@ -100,6 +103,7 @@ __all__ = [
     "unknown_sources",
     "unshipped_value",
     "vocab_words",
+    "vocabulary",
     "with_key_totals",
     "word_count",
     "words",

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..sources.state import cut
-from .text_stats import vocab_words
 
 # Rows over which the partners of a word are spread, by a hash of the partner.
 STRIPE_PARTS = 16
@@ -17,62 +17,147 @@ STRIPE_PARTS = 16
 # Words of a line that are paired with as many others in one go.
 BLOCK = 64
 
-# Ids are handed out separately in this many groups of words.
-ID_GROUPS = 1 << 12
+# A line with more different frequent words than this is paired by several tasks.
+LONG_LINE = 4096
 
+# The filter of frequent words: bits for each word, and 64-bit integers at most.
+FILTER_BITS = 16
+FILTER_WORDS = 1 << 20
 
-def frequent_words(lines: DataFrame, min_count: int, line: str = "line") -> DataFrame:
-    """(word, id, df) of words in at least min_count lines, as a stored table.
+# Size of the row groups of stored lines, so that many tasks can share a file.
+ROW_GROUP = 8 << 20
+
+# Salts that are tried until no two words have the same hash.
+SALTS = 16
+
+
+@dataclass(frozen=True)
+class Vocabulary:
+    """lines(keys, words): the different words of each line, stored. counted(word, h, df): every word, its
+    hash, which no other word has, and in how many lines it is. n_lines: how many lines there are."""
+
+    lines: DataFrame
+    counted: DataFrame
+    salt: int
+    n_lines: int
 
-    The id is the word's rank in its hash group, times the number of groups,
-    plus the group: unique, the same on every run, and no task ranks all words.
-    """
-    counted = vocab_words(lines, line, ()).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    group = F.xxhash64("word").bitwiseAND(F.lit(ID_GROUPS - 1))
-    in_group = Window.partitionBy("_group").orderBy("word")
-    rank = F.row_number().over(in_group).cast("bigint")
-    ranked = counted.filter(F.col("df") >= min_count).withColumn("_group", group)
-    return cut(ranked.select("word", (rank * ID_GROUPS + F.col("_group")).alias("id"), "df"), "words")
 
+def _hash(word: Column | str, salt: int) -> Column:
+    return F.xxhash64(word, F.lit(salt))
 
-def _blocks(lines: DataFrame, words: DataFrame, line: str, keys: Sequence[str]) -> DataFrame:
-    """(keys, block, ids): the frequent words of a line as numbers, at most BLOCK in a row."""
-    occurring = lines.select(*keys, F.posexplode(vocab(line)).alias("_i", "word"))
-    numbered = occurring.join(words.select("word", "id"), "word")
-    block = F.floor(F.col("_i") / BLOCK).alias("block")
-    return numbered.groupBy(*keys, block).agg(F.collect_list("id").alias("ids"))
 
+def vocabulary(lines: DataFrame, line: str = "line", first_salt: int = 0, salts: int = SALTS, make=_hash) -> Vocabulary:
+    """The words of all lines as numbers that need no dictionary.
 
-def _unordered_counts(lines: DataFrame, words: DataFrame, min_count: int, line: str, keys: Sequence[str]) -> DataFrame:
-    """(x, y, n, df_x, df_y), each unordered pair once, with n >= min_count.
+    Lines are read once: their words are stored, and the lines are counted while
+    that is written. Only (word, partial count) rows are shuffled. Numbers are
+    64-bit hashes; if two words of all have the same one, the next salt is taken.
+    """
+    counter = Observation()
+    found = lines.select(vocab(line).alias("words")).observe(counter, F.count(F.lit(1)).alias("n"))
+    stored = cut(found, "lines", row_group=ROW_GROUP)
+    each = stored.select(F.explode("words").alias("word"))
+    counted = cut(each.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "words")
+    for salt in range(first_salt, first_salt + salts):
+        hashed = counted.select("word", make("word", salt).alias("h"), "df")
+        if hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+            return Vocabulary(stored, hashed, salt, counter.get["n"])
+    raise RuntimeError("words have equal hashes with all salts")
+
+
+def frequent_filter(frequent: DataFrame, size: int | None = None) -> tuple[DataFrame, int]:
+    """One row (bits): a bit map in which every `h` of the rows has its bit, and the number of its 64-bit integers.
+
+    It has about FILTER_BITS bits for each word, so it passes few others, but not
+    more than FILTER_WORDS integers, however many words there are; what it passes
+    beyond is only more work.
+    """
+    spark = frequent.sparkSession
+    if size is None:
+        wanted = frequent.count() * FILTER_BITS // 64
+        size = min(FILTER_WORDS, 1 << max(wanted - 1, 1).bit_length())
+    place, bit = _bit(F.col("h"), size)
+    words = frequent.select(place.alias("i"), bit.alias("b")).groupBy("i").agg(F.bit_or("b").alias("b"))
+    every = spark.range(size).select(F.col("id").cast("int").alias("i")).join(words, "i", "left")
+    entry = F.struct("i", F.coalesce("b", F.lit(0)).alias("b"))
+    return every.agg(F.sort_array(F.collect_list(entry))["b"].alias("bits")), size
+
+
+def _bit(h: Column, size: int) -> tuple[Column, Column]:
+    """The integer and the bit of a hash in a map of `size` integers, a power of two."""
+    place = F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(size - 1)).cast("int")
+    return place, F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(F.lit(63)).cast("int"))
+
+
+def _pairs_in_line(lists: DataFrame) -> DataFrame:
+    """(m, x, y), x < y, of all pairs of each ascending array `hs`, made where the line is."""
+    left = lists.select("m", "hs", F.posexplode("hs").alias("_i", "x"))
+    return left.select("m", "x", F.explode(F.slice("hs", F.col("_i") + 2, F.size("hs"))).alias("y"))
+
+
+def _pairs_of_blocks(lists: DataFrame, block: int) -> DataFrame:
+    """The same for long lines: blocks of a line meet as rows of their own, which are dealt out to all tasks."""
+    n = F.size("hs")
+    starts = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(block))
+    blocks = F.transform(starts, lambda i: F.slice("hs", i + 1, F.lit(block)))
+    split = lists.select("m", blocks.alias("_bs"))
+    left = split.select("m", "_bs", F.posexplode("_bs").alias("_b", "_xs"))
+    met = left.select("m", "_xs", F.posexplode(F.slice("_bs", F.col("_b") + 1, F.size("_bs"))).alias("_c", "_ys"))
+    dealt = met.repartition("_xs", "_ys")
+    xs = dealt.select("m", "_c", "_ys", F.explode("_xs").alias("x"))
+    return xs.select("m", "_c", "x", F.explode("_ys").alias("y")).filter("_c > 0 OR x < y").select("m", "x", "y")
+
+
+def _unordered_counts(
+    words: Vocabulary, min_count: int, filter_size: int | None = None, long_line: int = LONG_LINE
+) -> tuple[DataFrame, DataFrame]:
+    """(x, y, n), each unordered pair of hashes once with n >= min_count, and the frequent words (word, h, df).
 
     A pair occurs in no more lines than either word, so words below `min_count`
-    leave before pairing, which changes no result. Every block of a line meets
-    its other blocks and itself, and pairs of numbers are counted in each task
-    before anything is shuffled by pair. The joins are between scanned or stored
-    tables, where AQE splits a word in very many lines and a very long line.
+    leave before pairing, which changes no result: the filter takes out nearly all
+    in the row, the join by which pairs get their names the rest. Lists of words
+    are put together where they are equal, pairs are made in the task that reads
+    a list and partly counted there; no occurrence of a word is ever shuffled.
+    """
+    frequent = cut(words.counted.filter(F.col("df") >= min_count), "frequent")
+    bits, size = frequent_filter(frequent, filter_size)
+    bits = cut(bits, "filter").scalar()
+
+    def known(h: Column) -> Column:
+        place, bit = _bit(h, size)
+        return F.get("_bits", place).bitwiseAND(bit) != 0
+
+    hashed = words.lines.select(F.transform("words", lambda w: _hash(w, words.salt)).alias("hs"), bits.alias("_bits"))
+    # the optimizer makes one projection of the two: no row carries the filter
+    lists = hashed.select(F.sort_array(F.filter("hs", known)).alias("hs"))
+    # lines with the same words are paired once; this also deals the lines out, whatever file they were in
+    lists = cut(lists.groupBy("hs").agg(F.count(F.lit(1)).alias("m")), "lists", row_group=ROW_GROUP)
+    short = _pairs_in_line(lists.filter(F.size("hs") <= long_line))
+    long = _pairs_of_blocks(lists.filter(F.size("hs") > long_line), BLOCK)
+    counts = short.union(long).groupBy("x", "y").agg(F.sum("m").alias("n"))
+    return counts.filter(F.col("n") >= min_count), frequent
+
+
+def _named(counts: DataFrame, frequent: DataFrame, *carry: str) -> DataFrame:
+    """Pairs with the columns x, y, df_x, df_y and, for each of `carry`, _x and _y, of frequent words only."""
+    columns = ("h", "word", "df", *carry)
+    x, y = (frequent.select(*columns).toDF(side, *(f"{c}_{side}" for c in columns[1:])) for side in ("x", "y"))
+    named = counts.join(x, "x").join(y, "y").drop("x", "y")
+    return named.withColumnsRenamed({"word_x": "x", "word_y": "y"})
+
+
+def _mirrored(pairs: DataFrame, *carry: str, sides: Sequence[str] = ()) -> DataFrame:
+    """Both orders of each unordered pair as (w1, w2, ...), a projection after the shuffle.
+
+    Of each column of `sides`, which there is of either word, the one of w2 comes with it.
     """
-    keys = list(keys)
-    blocks = cut(_blocks(lines, words, line, keys), "blocks")
-    left, right = blocks.toDF(*keys, "_b", "_xs"), blocks.toDF(*keys, "_c", "_ys")
-    met = left.join(right, keys).filter(F.col("_b") <= F.col("_c"))
-    xs = met.select("_b", "_c", "_ys", F.explode("_xs").alias("_x"))
-    each = xs.select("_b", "_c", "_x", F.explode("_ys").alias("_y"))
-    each = each.filter((F.col("_b") < F.col("_c")) | (F.col("_x") < F.col("_y")))
-    pairs = each.select(F.least("_x", "_y").alias("x"), F.greatest("_x", "_y").alias("y"))
-    counts = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count)
-    x, y = (words.select("id", "word", "df").toDF(side, f"_{side}", f"df_{side}") for side in ("x", "y"))
-    named = counts.join(x, "x").join(y, "y")
-    return named.select(F.col("_x").alias("x"), F.col("_y").alias("y"), "n", "df_x", "df_y")
-
-
-def _mirrored(pairs: DataFrame, *carry: str) -> DataFrame:
-    """Both orders of each unordered pair as (w1, w2, ...), a projection after the shuffle."""
     both = F.array(
-        F.struct(F.col("x").alias("w1"), F.col("y").alias("w2")),
-        F.struct(F.col("y").alias("w1"), F.col("x").alias("w2")),
+        *(
+            F.struct(F.col(a).alias("w1"), F.col(b).alias("w2"), *(F.col(f"{c}_{b}").alias(c) for c in sides))
+            for a, b in (("x", "y"), ("y", "x"))
+        )
     )
-    return pairs.select(F.explode(both).alias("p"), *carry).select("p.w1", "p.w2", *carry)
+    return pairs.select(F.explode(both).alias("p"), *carry).select("p.*", *carry)
 
 
 def pair_counts(
@@ -80,26 +165,24 @@ def pair_counts(
 ) -> DataFrame:
     """(w1, w2, n) for ordered pairs of different words sharing at least min_count lines.
 
-    `keys` are the columns that name a line; all words of a line are paired.
+    Every row is a line, whatever its `keys`; all words of a line are paired.
     """
-    words = frequent_words(lines, min_count, line)
-    return _mirrored(_unordered_counts(lines, words, min_count, line, keys), "n")
+    return _mirrored(_named(*_unordered_counts(vocabulary(lines, line), min_count)), "n")
+
+
+def _scored(words: Vocabulary, named: DataFrame) -> DataFrame:
+    """Pairs with pmi = log10(p(x,y) / (p(x) * p(y))) over the number of lines."""
+    total = F.lit(float(words.n_lines))
+    pmi = F.log10((F.col("n") / total) / ((F.col("df_x") / total) * (F.col("df_y") / total)))
+    return named.withColumn("pmi", pmi)
 
 
 def pmi_pairs(
     lines: DataFrame, min_count: int = 10, line: str = "line", keys: Sequence[str] = ("docno",)
 ) -> DataFrame:
     """(w1, w2, pmi), pmi = log10(p(x,y) / (p(x) * p(y))) over the number of lines."""
-    total = lines.agg(F.count(F.lit(1)).cast("double")).scalar()
-    counted = _unordered_counts(lines, frequent_words(lines, min_count, line), min_count, line, keys)
-    scored = counted.select(
-        "x",
-        "y",
-        F.log10(
-            (F.col("n") / total) / ((F.col("df_x") / total) * (F.col("df_y") / total))
-        ).alias("pmi"),
-    )
-    return _mirrored(scored, "pmi")
+    words = vocabulary(lines, line)
+    return _mirrored(_scored(words, _named(*_unordered_counts(words, min_count))), "pmi")
 
 
 def stripes(pairs: DataFrame, value: str, parts: int = STRIPE_PARTS) -> DataFrame:
@@ -110,11 +193,9 @@ def stripes(pairs: DataFrame, value: str, parts: int = STRIPE_PARTS) -> DataFram
     partners of a very frequent word.
     """
     entries = F.sort_array(F.collect_list(F.struct("w2", value)))
-    return (
-        pairs.withColumn("part", stripe_part("w2", parts))
-        .groupBy("w1", "part")
-        .agg(F.map_from_entries(entries).alias("stripe"))
-    )
+    if "part" not in pairs.columns:
+        pairs = pairs.withColumn("part", stripe_part("w2", parts))
+    return pairs.groupBy("w1", "part").agg(F.map_from_entries(entries).alias("stripe"))
 
 
 def stripe_part(word: Column | str, parts: int = STRIPE_PARTS) -> Column:
@@ -129,8 +210,12 @@ def pmi_stripes(
     keys: Sequence[str] = ("docno",),
     parts: int = STRIPE_PARTS,
 ) -> DataFrame:
-    """PMI as maps of partners per word, see `stripes`."""
-    return stripes(pmi_pairs(lines, min_count, line, keys), "pmi", parts)
+    """PMI as maps of partners per word, see `stripes`. The row of a partner is worked out once per word."""
+    words = vocabulary(lines, line)
+    counts, frequent = _unordered_counts(words, min_count)
+    placed = cut(frequent.withColumn("part", stripe_part("word", parts)), "placed")
+    scored = _scored(words, _named(counts, placed, "part"))
+    return stripes(_mirrored(scored, "pmi", sides=["part"]), "pmi", parts)
 
 
 def stripe_rows(striped: DataFrame, value: str) -> DataFrame:

@@ -1,11 +1,15 @@
+from itertools import combinations
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from models import bigrams, pmi, tokens
+from plans import plan_lines
 from pyspark.sql import functions as F
 
 from corpuskit import operators as op
 from corpuskit import sources as src
+from corpuskit.operators import cooccurrence
 from corpuskit.functions import adjacent_pairs, snippet, tokenize, vocab
 
 SMALL = ["a b a", "b c", "a b d", ""]
@@ -112,8 +116,53 @@ def test_long_lines_are_paired_in_blocks(lines):
 def test_pairs_are_counted_before_the_shuffle(lines):
     counts = op.pair_counts(lines(many_lines()))
     plan = counts._jdf.queryExecution().executedPlan().toString()
-    partial, final = (plan.index(f"functions=[{f}count(1)") for f in ("", "partial_"))
-    assert "Exchange hashpartitioning(x" in plan[partial:final]
+    final, partial = (plan.index(f"functions=[{f}sum(m") for f in ("", "partial_"))
+    assert "Exchange hashpartitioning(x" in plan[final:partial]
+
+
+@pytest.mark.parametrize("options", [{"long_line": 3}, {"long_line": 70}, {"filter_size": 1}, {}])
+def test_pairs_are_the_same_by_any_way(lines, options):
+    words = ["w" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(200)]
+    texts = [" ".join(words[i : i + 150]) for i in range(0, 60, 7)] + ["waa wab wac"] * 20 + ["", "waa", None, "rare wab"]
+    expected = {}
+    for text in texts:
+        for a, b in combinations(sorted(set((text or "").split())), 2):
+            expected[a, b] = expected.get((a, b), 0) + 1
+    vocabulary = op.vocabulary(lines(texts))
+    assert vocabulary.n_lines == len(texts)
+    named = cooccurrence._named(*cooccurrence._unordered_counts(vocabulary, 2, **options))
+    got = {tuple(sorted((r.x, r.y))): r.n for r in named.collect()}
+    assert got == {k: n for k, n in expected.items() if n >= 2}
+
+
+def test_equal_hashes_lead_to_another_salt(lines):
+    tried = []
+
+    def poor(word, salt):
+        tried.append(salt)
+        return F.xxhash64(word) if salt == 7 else F.length(word).cast("bigint")
+
+    vocabulary = op.vocabulary(lines(["ab cd", "efg"]), first_salt=5, make=poor)
+    assert tried == [5, 6, 7] and vocabulary.salt == 7
+    with pytest.raises(RuntimeError):
+        op.vocabulary(lines(["ab cd"]), salts=3, make=lambda word, salt: F.lit(0).cast("bigint"))
+
+
+def test_the_filter_has_every_frequent_word(spark):
+    hashes = spark.range(500).select(F.xxhash64("id").alias("h"))
+    bits, size = op.frequent_filter(hashes)
+    assert size == 128 and len(bits.first().bits) == 128
+    place, bit = cooccurrence._bit(F.col("h"), size)
+    others = spark.range(500, 5500).select(F.xxhash64("id").alias("h"))
+    passed = lambda df: df.select("h", bits.scalar().alias("b")).filter(F.get("b", place).bitwiseAND(bit) != 0).count()
+    assert passed(hashes) == 500 and passed(others) < 600
+    assert op.frequent_filter(hashes.limit(0))[1] >= 1
+
+
+def test_occurrences_of_words_are_never_shuffled(lines):
+    counts, _ = cooccurrence._unordered_counts(op.vocabulary(lines(many_lines())), 10)
+    exchanges = [x for _, x in plan_lines(counts) if "Exchange" in x]
+    assert all("hashpartitioning(x" in x or "_xs" in x for x in exchanges) and exchanges
 
 
 def test_lines_of_two_files_are_apart(spark, tmp_path):
