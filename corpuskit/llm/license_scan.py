@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans.tables import load
 
@@ -55,6 +57,37 @@ def sizes(n: int, threshold: float) -> range:
     return range(math.floor(n * threshold / (2 - threshold)), math.ceil(n * (2 - threshold) / threshold) + 1)
 
 
+def anchors(templates: Mapping[str, str], threshold: float) -> list[str]:
+    """Words of which every passage that is similar enough to a template has at least one.
+
+    A similarity of t needs n t / (2 - t) of the template's n bigrams in common.
+    Words are taken until fewer bigrams than that are without any of them, those
+    of the fewest templates first and of these the longest, as they are rarest
+    elsewhere; one word that is enough by itself is preferred.
+    """
+    taken: set[str] = set()
+    spread = Counter(w for text in templates.values() for w in {w for g in _bigrams(text) for w in g.split(" ")})
+    for text in templates.values():
+        pairs = [tuple(g.split(" ")) for g in _bigrams(text)]
+        if not pairs:
+            continue
+        need = max(1, math.ceil(len(pairs) * threshold / (2 - threshold) - 1e-9))
+        left = lambda words: sum(not words & set(p) for p in pairs)  # noqa: B023, E731
+        words = sorted({w for p in pairs for w in p}, key=lambda w: (spread[w], -len(w), w))
+        alone = [w for w in words if left({w}) < need]
+        own = set(alone[:1])
+        while left(own) >= need:
+            own.add(words[len(own)])
+        taken |= own
+    return sorted(taken)
+
+
+def _may_match(text: str, templates: Mapping[str, str], threshold: float) -> Column:
+    """Whether a text has a word without which it can't have any of the licenses."""
+    words = F.transform(F.regexp_extract_all(F.col(text), F.lit(_WORD), F.lit(0)), F.lower)
+    return F.arrays_overlap(words, F.array(*map(F.lit, anchors(templates, threshold))))
+
+
 def _by_size(spark: SparkSession, templates: Mapping[str, str], threshold: float) -> DataFrame:
     """(size, license, template): a template for every passage size that it can match; some 1.3 rows per bigram."""
     listed = [(name, _bigrams(text)) for name, text in templates.items()]
@@ -108,7 +141,7 @@ def _windows(df: DataFrame, key: str, text: str, templates: Mapping[str, str], t
         )
     )
     # explode(array(x)) computes x once, whatever reads it
-    words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(_WORD), F.lit(0))
+    words = F.transform(F.regexp_extract_all(F.col(text), F.lit(_WORD), F.lit(0)), F.lower)
     pairs = F.zip_with(words, F.slice(words, F.lit(2), F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
     numbered = F.transform(pairs, lambda g, i: F.struct(i.alias("at"), g.alias("g")))
     vocabulary = sorted({g for _, own, _, _ in listed for g in own})
@@ -157,6 +190,10 @@ def _windows(df: DataFrame, key: str, text: str, templates: Mapping[str, str], t
     return rows.select("_key", "license", F.col("b.run.size").alias("size"), "b.position", F.col("b.run.dice").alias("dice"))
 
 
+_FOUND = T.StructType().add("license", "string").add("dice", "double").add("part", "string")
+_FOUND = _FOUND.add("position", "integer").add("n_bigrams", "integer")
+
+
 def scan(
     df: DataFrame,
     key: str = "doc_id",
@@ -167,7 +204,8 @@ def scan(
     """(key, license, dice, part, position, n_bigrams): the licenses of each text, each with its best passage.
 
     A text is compared as a whole, by paragraph and by line. Words are runs of
-    ASCII letters and digits in lower case. A passage meets only templates whose
+    ASCII letters and digits in lower case. Texts without any of the `anchors`
+    can't have a license and are looked at no further. A passage meets only templates whose
     number of bigrams allows the threshold, by a broadcast of the templates under
     every such number; their total is fixed by `templates`. Of equally similar
     passages the first counts: the whole text, then paragraphs, then lines. Where
@@ -177,12 +215,16 @@ def scan(
     and empty texts have no license; rows that share a key count as one; other
     columns play no part.
     """
+    templates = {name: t for name, t in templates.items() if _bigrams(t)}
+    if not templates:
+        return df.sparkSession.createDataFrame([], T.StructType([T.StructField(key, df.schema[key].dataType), *_FOUND]))
+    df = df.filter(_may_match(text, templates, threshold))
     candidates = _by_size(df.sparkSession, templates, threshold)
     words = F.regexp_count("passage", F.lit(_WORD))
     each = df.select(F.col(key).alias("_key"), F.explode(passages(text)).alias("p")).select("_key", "p.*")
     sized = each.withColumn("size", words - 1).filter("size > 0")
     met = sized.join(F.broadcast(candidates), "size")
-    own = F.regexp_extract_all(F.lower("passage"), F.lit(_WORD), F.lit(0))
+    own = F.transform(F.regexp_extract_all("passage", F.lit(_WORD), F.lit(0)), F.lower)
     following = F.slice(own, F.lit(2), F.size(own))
     own = F.zip_with(F.slice(own, F.lit(1), F.size(own) - 1), following, lambda a, b: F.concat_ws(" ", a, b))
     scored = met.withColumn("own", own).withColumn("dice", _dice(F.col("own"), F.col("template")))
@@ -221,7 +263,7 @@ pieces AS (
 passages AS (SELECT doc_id, part, o, unnest(ps) AS p, generate_subscripts(ps, 1) - 1 AS position FROM pieces),
 words AS (
   SELECT doc_id, part, o, position, regexp_extract_all(p, '{_WORD}') AS ws
-  FROM passages WHERE length(p) < 100 * (SELECT max(len(template)) FROM templates)),
+  FROM passages),
 own AS (
   SELECT doc_id, part, o, position,
          list_transform(range(1, len(ws)), lambda i: lower(ws[i]) || ' ' || lower(ws[i + 1])) AS bs

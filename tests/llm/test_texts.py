@@ -347,6 +347,37 @@ def test_windows_are_those_of_all_runs(documents):
     assert got == expected
 
 
+def test_no_match_is_without_an_anchor():
+    rnd = np.random.default_rng(6)
+    templates = {"a": "x y x y z", "b": "y z w v x y", "c": "z z z", "d": "one two three four five six seven", "e": "w"}
+    for threshold in (0.3, 0.5, 0.8, 1.0):
+        own = set(license_scan.anchors(templates, threshold))
+        for _ in range(3000):
+            words = list(rnd.choice(["v", "w", "x", "y", "z", "one", "two", "three", "four", "five", "six", "seven"], 6))
+            if not own & set(words):
+                bigrams = Counter(license_scan._bigrams(" ".join(words)))
+                for template in templates.values():
+                    wanted = Counter(license_scan._bigrams(template))
+                    n = sum(wanted.values())
+                    assert not n or 2 * sum((bigrams & wanted).values()) / (sum(bigrams.values()) + n) < threshold
+    assert len(license_scan.anchors(license_scan.TEMPLATES, 0.8)) < 80
+    assert {"mit", "cc"} <= set(license_scan.anchors(license_scan.TEMPLATES, 0.8)).difference({"under", "the", "by"})
+
+
+def test_letters_that_become_ascii_in_lower_case(documents):
+    kelvin, dotted = "\u212a", "\u0130"
+    notice = "Released under the MIT License"
+    df = documents([(1, f"{kelvin}{notice}"), (2, f"{notice.replace('MIT', 'MIT' + kelvin)}"), (3, notice.replace("I", dotted))])
+    got = {(r.doc_id, r.license): (r.n_bigrams, r.dice) for r in license_scan.scan(df).collect()}
+    assert got == {(1, "mit"): (4, 1.0), (2, "mit"): (4, 1.0)}
+
+
+def test_no_templates(odd_documents):
+    for templates in ({}, {"none": "word"}):
+        found = license_scan.scan(odd_documents, templates=templates)
+        assert found.columns == ["doc_id", "license", "dice", "part", "position", "n_bigrams"] and found.count() == 0
+
+
 def test_size_bounds_prune_no_match():
     for n in range(1, 60):
         for m in range(1, 200):
