@@ -58,6 +58,26 @@ def test_stages_on_odd_and_empty_tables(spark, odd_documents, no_documents, clas
         assert stage(spark, clashing, SF).columns == clashing.columns
 
 
+def test_packing_of_odd_and_empty_tables(spark, odd_documents, no_documents, clashing):
+    assert corpus_pipeline.packed(spark, no_documents, SF).count() == 0
+    rows = corpus_pipeline.packed(spark, odd_documents, SF).collect()
+    ids = [r.doc_id for r in odd_documents.collect()]
+    assert {r.doc_id for r in rows} == set(ids)
+    assert sum(r.start == 0 for r in rows) == len(ids)
+    assert corpus_pipeline.packed(spark, clashing, SF).columns == rows[0].__fields__
+
+
+def test_different_texts_under_one_id_stay(spark, documents):
+    words = [f"w{i}" for i in range(100)]
+    text, near, other = " ".join(words), " ".join([*words, "x"]), " ".join(reversed(words))
+    rows = [(1, text), (2, near), (2, other), (3, "something else"), (None, near + " y"), (None, other[:200]), (2, None)]
+    got = corpus_pipeline.near_copies(spark, documents(rows), SF).collect()
+    kept = sorted(((r.doc_id, r.text) for r in got), key=repr)
+    assert kept == sorted([(1, text), (2, other), (3, "something else"), (None, other[:200]), (2, None)], key=repr)
+    only = corpus_pipeline.near_copies(spark, documents([(9, near), (None, text), (5, text + " z")]), SF).collect()
+    assert [(r.doc_id, r.text) for r in only] == [(5, text + " z")]
+
+
 def test_decisions_take_effect(spark, documents):
     near = [f"w{i}" for i in range(100)]
     docs = documents(
