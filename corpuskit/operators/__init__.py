@@ -39,12 +39,14 @@ from .retrieval import (
     malformed,
     term_docs,
 )
+from .skipping import alive_segments, skipping_query
 from .skew import with_key_totals
 from .text_stats import line_df, line_total, prefix_count, top_prefixes, vocab_words, word_count, words
 
 __all__ = [
     "Graph",
     "Vocabulary",
+    "alive_segments",
     "batch_of",
     "bigram_counts",
     "bigram_relfreq",
@@ -87,6 +89,7 @@ __all__ = [
     "pricing_summary",
     "repeated_nodes",
     "score",
+    "skipping_query",
     "ship_count",
     "shipped_orders",
     "stripe_part",

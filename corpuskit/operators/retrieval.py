@@ -62,6 +62,17 @@ def _condition(tree, flags: dict[str, str]) -> Column:
     return left & right if tree[0] == AND else left | right
 
 
+def needed_terms(rpn: str):
+    """The query as nested (operator, left, right) tuples and the terms in it; ValueError without enough operands."""
+    tree = _needed(rpn)
+    return tree, _terms(tree)
+
+
+def query_condition(tree, flags: dict[str, str]) -> Column:
+    """Whether a query holds where each term is there if its column of `flags` says so."""
+    return _condition(tree, flags)
+
+
 def boolean_query(postings: DataFrame, rpn: str, keys: Sequence[str] = KEYS) -> DataFrame:
     """Documents (keys) matching one postfix query.
 

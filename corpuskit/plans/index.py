@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..functions import tokenize
-from ..sources import cut
-from .tables import LINE, SQL_POSTINGS, SQL_TOKENS, document_lines, load, sql_benchmark_terms, whole_documents
+from ..sources import create_cells, cut, read_skips, upsert_cells, write_segments
+from ..sources.state import fresh_path
+from .tables import LINE, SQL_POSTINGS, SQL_TOKENS, _token_list, document_lines, load, sql_benchmark_terms, whole_documents
 
 # Postings per index segment; even the smaller tables have lists of more than one.
 SEGMENT = 128
@@ -75,7 +76,39 @@ def _table_cells(spark, sf):
     return table.select("term", F.explode("cells").alias("docno", "tf"))
 
 
+def _segmented(spark, sf):
+    """The index in segments of SEGMENT postings; its folder."""
+    path = fresh_path(spark, "segments")
+    write_segments(_postings(spark, sf), path, spark.sparkContext.defaultParallelism, SEGMENT)
+    return path
+
+
+def _skip(rpn):
+    return lambda spark, sf: op.skipping_query(spark, _segmented(spark, sf), rpn)
+
+
+def _skips(spark, sf):
+    """What the segments of every term span together."""
+    whole = read_skips(spark, _segmented(spark, sf)).groupBy("term")
+    return whole.agg(F.sum("n").alias("df"), F.min("lowest").alias("lowest"), F.max("highest").alias("highest"))
+
+
+def _benchmark_postings(spark, sf):
+    items = load(spark, sf, "benchmark").select(F.col("item_id").alias("docno"), F.col("text").alias("line"))
+    return op.postings(items)
+
+
+def _cells_upserted(spark, sf):
+    """Cells of the documents, and then those of the benchmark items with the same numbers."""
+    table = create_cells(_postings(spark, sf), "cells")
+    return upsert_cells(table, _benchmark_postings(spark, sf), "cells")
+
+
 QUERIES = {
+    "index_skips": _skips,
+    "bool_skip_and": _skip("the and AND"),
+    "bool_skip_query": _skip(RPN),
+    "cells_upserted": _cells_upserted,
     "postings": _postings,
     "inverted_index": _index,
     "line_gaps": _line_gaps,
@@ -98,6 +131,20 @@ def _docs(term: str) -> str:
 
 
 ORACLES = {
+    "index_skips": f"""WITH {SQL_POSTINGS}
+SELECT term, count(*) AS df, min(docno) AS lowest, max(docno) AS highest FROM postings GROUP BY term""",
+    "bool_skip_and": f"WITH {SQL_POSTINGS} {_docs('the')} INTERSECT {_docs('and')}",
+    "bool_skip_query": f"""WITH {SQL_POSTINGS}
+(({_docs('the')} INTERSECT {_docs('and')}) UNION ({_docs('ciudad')} UNION {_docs('mente')}))
+INTERSECT {_docs('de')}""",
+    "cells_upserted": f"""WITH {SQL_POSTINGS},
+items AS (
+  SELECT docno, unnest(ws) AS term
+  FROM (SELECT item_id AS docno, {_token_list('text')} AS ws FROM benchmark)),
+cells AS (
+  SELECT term, docno, tf FROM postings
+  UNION ALL SELECT term, docno, count(*) AS tf FROM items GROUP BY term, docno)
+SELECT term, docno, CAST(sum(tf) AS INTEGER) AS tf FROM cells GROUP BY term, docno""",
     "postings": f"WITH {SQL_POSTINGS} SELECT term, docno, tf FROM postings",
     "inverted_index": f"""WITH {SQL_POSTINGS},
 placed AS (
