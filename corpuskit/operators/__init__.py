@@ -1,7 +1,7 @@
 """DataFrame operators."""
 
 from .bigrams import bigram_counts, bigram_relfreq, bigram_stripes
-from .classifier import batch_of, classify, ensemble, score, train_batches, train_gradient, union_sets
+from .classifier import batch_of, batch_step, classify, deal, ensemble, score, train_batches, train_gradient, union_sets
 from .cooccurrence import (
     Vocabulary,
     frequent_filter,
@@ -48,6 +48,7 @@ __all__ = [
     "Vocabulary",
     "alive_segments",
     "batch_of",
+    "batch_step",
     "bigram_counts",
     "bigram_relfreq",
     "bigram_stripes",
@@ -55,6 +56,7 @@ __all__ = [
     "boolean_query_batch",
     "classify",
     "clerks",
+    "deal",
     "decode_gaps",
     "docs_and",
     "docs_or",

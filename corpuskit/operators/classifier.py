@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import classified, sigmoid
-from ..sources.state import cut
+from ..sources.state import cut, fresh_path
 
 # Learning rate, positive label, ensemble methods.
 DELTA = 0.002
@@ -83,6 +83,48 @@ def batch_of(key: str | Column, seed: Column, batches: int) -> Column:
     return F.conv(F.substring(digest, 1, 7), 16, 10).cast("bigint") % batches
 
 
+def deal(instances: DataFrame, batches: int, seeds: Sequence[int]) -> DataFrame:
+    """(model, doc_id, y, feature, n, batch): how often a document has a feature, for each seed, stored by batch.
+
+    The batch of a document in each seed's order and the occurrences of its
+    features are worked out once; a batch is a folder, which is all that a step
+    on it reads. Documents without features have nothing to learn from.
+    """
+    spark = instances.sparkSession
+    seeds = [int(s) for s in seeds]
+    dealt = F.array(*(batch_of("doc_id", F.lit(s), batches).cast("int") for s in seeds))
+    rows = instances.select("doc_id", _is_spam().cast("double").alias("y"), dealt.alias("_dealt"), "features")
+    each = rows.select("doc_id", "y", "_dealt", F.explode("features").alias("feature"))
+    counted = each.groupBy("doc_id", "y", "_dealt", "feature").agg(F.count(F.lit(1)).alias("n"))
+    named = F.arrays_zip(F.array(*map(F.lit, seeds)).alias("model"), F.col("_dealt").alias("batch"))
+    whole = counted.select("doc_id", "y", "feature", "n", F.explode(named).alias("_s")).select(
+        F.col("_s.model").alias("model"), "doc_id", "y", "feature", "n", F.col("_s.batch").alias("batch")
+    )
+    path = fresh_path(spark, "batches")
+    whole.write.partitionBy("batch").parquet(path)
+    return spark.read.schema(whole.schema).parquet(path)
+
+
+def batch_step(rows: DataFrame, weights: DataFrame | None, delta: float = DELTA) -> DataFrame:
+    """The weights (model, feature, weight) after a step on rows of `deal`, which are read once.
+
+    Features meet their weights, a document's parts are added up beside its rows,
+    and its error goes back to its features.
+    """
+    if weights is None:  # every probability is one half
+        error = F.col("y") - 0.5
+        scored = rows.withColumn("_e", error)
+    else:
+        part = F.col("n") * F.coalesce(F.col("weight"), F.lit(0.0))
+        parts = rows.join(weights, ["model", "feature"], "left").withColumn("_part", part)
+        total = F.sum("_part").over(Window.partitionBy("model", "doc_id"))
+        scored = parts.withColumn("_e", F.col("y") - sigmoid(total))
+    step = scored.select("model", "feature", (F.col("_e") * F.col("n") * delta).alias("weight"))
+    if weights is not None:
+        step = weights.unionByName(step)
+    return step.groupBy("model", "feature").agg(F.sum("weight").alias("weight"))
+
+
 def train_batches(
     instances: DataFrame, batches: int, seeds: Sequence[int] = (0,), delta: float = DELTA
 ) -> DataFrame:
@@ -93,16 +135,17 @@ def train_batches(
     round of `train_gradient`. The number of batches says how often weights are
     updated on the way through the data; neither it nor the model depends on the
     size of the data or the cluster. All seeds, which name the models, train in
-    the same jobs.
+    the same jobs. Instances are dealt to folders first (`deal`), so each row is
+    read in the step of its batch only.
     """
     if batches < 1:
         raise ValueError("batches must be at least 1")
-    seed = F.explode(F.array(*[F.lit(int(s)) for s in seeds])).alias("model")
-    rows = instances.select(seed, "doc_id", _is_spam().cast("double").alias("_y"), "features")
-    rows = rows.withColumn("_batch", batch_of("doc_id", F.col("model"), batches))
+    rows = deal(instances, batches, seeds)
     weights = None
     for i in range(batches):
-        weights = _next(rows.filter(F.col("_batch") == i).drop("_batch"), weights, delta, ["model"])
+        weights = batch_step(rows.filter(F.col("batch") == i), weights, delta)
+        if i < batches - 1:  # read twice by the next step; against a stored table AQE splits hot features
+            weights = cut(weights, "weights")
     return weights
 
 

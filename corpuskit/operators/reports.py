@@ -39,12 +39,24 @@ def unmatched(rows: DataFrame, dimension: DataFrame, key: str, dimension_key: st
 def _dimension(
     rows: DataFrame, dimension: DataFrame, key: str, dimension_key: str, strict: bool
 ) -> DataFrame:
-    """Inner join on the key; with `strict`, an unknown key raises instead of dropping out."""
-    if strict:
-        n = unmatched(rows, dimension, key, dimension_key)
-        if n:
-            raise ValueError(f"{n} values of {key} are not in {dimension_key}")
-    return rows.join(dimension, rows[key] == dimension[dimension_key])
+    """Inner join on the key; with `strict`, an unknown key raises instead of dropping out.
+
+    The check is part of the join: the row itself raises in the job that reads
+    it, and no other job looks at the keys. Who reads none of the columns, as a
+    bare count of the rows does, is told nothing.
+    """
+    if not strict:
+        return rows.join(dimension, rows[key] == dimension[dimension_key])
+    known = dimension.withColumn("_known", F.lit(True))
+    joined = rows.join(known, rows[key] == known[dimension_key], "left")
+    message = F.concat(F.lit(f"{key} is not in {dimension_key}: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+    # every column comes out of the check, so none can be read without it
+    checked = [
+        F.when(F.col("_known").isNull(), F.raise_error(message).cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name)
+        for f in joined.schema.fields
+        if f.name != "_known"
+    ]
+    return joined.select(*checked)
 
 
 def ship_count(lineitem: DataFrame, date: str) -> DataFrame:

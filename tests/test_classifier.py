@@ -1,8 +1,10 @@
 import hashlib
 import math
+import re
 
 import pytest
 from models import roca
+from plans import plan_lines
 from pyspark.sql import functions as F
 
 from corpuskit import operators as op
@@ -49,6 +51,28 @@ def test_batches_train_one_after_another(spark, batches):
     assert batches == 1 or got[3][0] != got[8][0]
 
 
+def test_a_step_reads_its_own_batch_once(spark):
+    instances = spark.createDataFrame(many(), SCHEMA)
+    rows = op.deal(instances, 3, [3, 8])
+    assert rows.filter("batch = 1").agg(F.sum("n")).first()[0] == sum(
+        len(fs) for d, _, fs in many() for seed in (3, 8) if batch(d, seed, 3) == 1
+    )
+    weights = op.batch_step(rows.filter("batch = 0"), None)
+    step = op.batch_step(rows.filter("batch = 1"), weights)
+    scans = [x for _, x in plan_lines(step) if "FileScan" in x]
+    assert sorted(re.search(r"PartitionFilters: \[(.*?)\]", x).group(1).split(" = ")[1][:1] for x in scans if "doc_id" in x) == ["1"]
+    assert all("PartitionFilters: [isnotnull(batch" in x for x in scans)
+
+
+def test_repeated_documents_and_odd_instances(spark):
+    rows = [("a", "spam", [1, 1, 2]), ("a", "spam", [2]), ("a", "ham", [3]), ("b", "ham", None), ("c", None, [1]), ("d", "ham", [])]
+    instances = spark.createDataFrame(rows, SCHEMA)
+    for seeds in ([1], [1, 2]):
+        got = op.train_batches(instances, 1, seeds).collect()
+        assert {(r.model, r.feature) for r in got} == {(s, f) for s in seeds for f in (1, 2, 3)}
+    assert op.train_batches(instances.limit(0), 2).count() == 0
+
+
 def test_training_needs_no_python_on_executors(small):
     plan = op.train_batches(small, 3)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -2,6 +2,7 @@ import io
 from contextlib import redirect_stdout
 
 import pytest
+from plans import above
 
 from corpuskit import operators as op
 from corpuskit.functions import date_matches
@@ -76,8 +77,24 @@ def test_strict_lookup(spark):
     some = part.filter("p_partkey > 10")
     kept = op.parts_suppliers(items, some, supplier, "1996", n=None).count()
     assert kept < op.parts_suppliers(items, part, supplier, "1996", n=None, strict=True).count()
-    with pytest.raises(ValueError, match="l_partkey"):
-        op.parts_suppliers(items, some, supplier, "1996", strict=True)
+    with pytest.raises(Exception, match="l_partkey is not in p_partkey"):
+        op.parts_suppliers(items, some, supplier, "1996", strict=True).collect()
+    with pytest.raises(Exception, match="is not in"):  # whatever is read of the rows
+        op.parts_suppliers(items, some, supplier, "1996", n=None, strict=True).count()
+    with pytest.raises(Exception, match="l_suppkey is not in s_suppkey"):
+        op.parts_suppliers(items, part, supplier.limit(0), "1996", strict=True).collect()
+
+
+def test_strict_lookup_needs_no_job_of_its_own(spark):
+    items, part, supplier = (table(spark, t) for t in ("lineitem", "part", "supplier"))
+    context = spark.sparkContext
+    jobs = {}
+    for strict in (False, True):
+        context.setJobGroup(f"strict {strict}", "")
+        op.parts_suppliers(items, part, supplier, "1996", n=None, strict=strict).collect()
+        jobs[strict] = len(context.statusTracker().getJobIdsForGroup(f"strict {strict}"))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[True] == jobs[False]
 
 
 def test_one_order_with_most_line_items(spark):
@@ -101,8 +118,9 @@ def test_term_filter_reaches_the_index_files(spark, tmp_path):
 
 
 def test_shuffles_are_shared(spark):
-    """Counting and joining read one shuffle of the words, iterations one of the links."""
+    """Pairs get their names from one shuffle of the words, iterations need none of the links."""
     pmi = executed(QUERIES["pmi_pairs"](spark, SF))
     assert pmi.count("RoundRobin") == 0 and "ReusedExchange" in pmi
     assert "ReusedExchange" in executed(QUERIES["bigram_relfreq"](spark, SF))
-    assert "ReusedExchange" in executed(QUERIES["ppr_3_iterations"](spark, SF))
+    links = above(QUERIES["ppr_3_iterations"](spark, SF), "links_")
+    assert len(links) == 3 and not any("Exchange hashpartitioning" in x for path in links for x in path)
