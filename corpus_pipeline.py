@@ -37,12 +37,16 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, of the smallest id, of each class linked by a similarity of 0.8 of 5-word shingles.
 
-    Rows are told apart by a number of their own, not by their ids: different
-    texts under one id stay unless they are near copies of another row. Null ids
+    Where rows share an id or have none, all are told apart by a number of their
+    own: different texts under one id stay unless they are near copies of another row. Null ids
     come last; of rows with the same id in a class the first stored stays. Texts
     without words, null ones too, are in no class and stay. Further columns, of
     whatever name, pass through; an empty table stays empty.
     """
+    shared = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR doc_id IS NULL")
+    if shared.isEmpty():  # ids are numbers of rows already
+        classes = cut(jaccard_join.classes(docs, words=5, num=80, den=100), "classes")
+        return bloom.without(docs, classes.filter("doc_id <> component_id").select("doc_id"), "doc_id")
     row = bloom.unused(docs, "row")
     numbered = cut(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     members = cut(jaccard_join.classes(numbered, row, words=5, num=80, den=100).toDF("member", "class"), "classes")
