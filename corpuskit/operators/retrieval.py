@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 from ..functions import snippet
 from ..sources.state import cut
 from .index import KEYS
-from .skew import PIECE, default_pieces, piece_of
+from .skew import PIECE
 
 # The operators, upper case only.
 AND = "AND"
 OR = "OR"
 
+# Postings of a seed in one piece.
+SEED_BLOCK = 1 << 16
+
 
 def term_docs(postings: DataFrame, term: str, keys: Sequence[str] = KEYS) -> DataFrame:
     """Documents with exactly this term, ascending. The term is not normalised."""
@@ -137,15 +140,18 @@ def _top(codes: str, operand, combine, kind: str) -> Column:
     return F.aggregate(codes, F.array().cast(f"array<{kind}>"), step, lambda stack: F.get(stack, F.size(stack) - 1))
 
 
-def boolean_query_batch(postings: DataFrame, queries: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+def boolean_query_batch(
+    postings: DataFrame, queries: DataFrame, keys: Sequence[str] = KEYS, block: int = SEED_BLOCK
+) -> DataFrame:
     """(query_id, keys) for a whole table of queries (query_id, rpn) at once.
 
     Every match of a query holds one of its seeds: of an AND the seeds of the
     side with fewer postings, of an OR those of both. Only documents with a seed
     are looked at, and they are asked for the query's other terms by (term,
     document), so a frequent term that only narrows a query down costs no more
-    than its seeds. Seeds meet their postings in pieces by the document, which
-    spreads a frequent one. Queries that are malformed match nothing; `malformed`
+    than its seeds. Seeds meet their postings in pieces of about `block`, as many
+    as a term needs by its own count: one for most, more for a frequent one, which
+    is spread over tasks. Queries that are malformed match nothing; `malformed`
     lists them.
     """
     keys = list(keys)
@@ -153,7 +159,9 @@ def boolean_query_batch(postings: DataFrame, queries: DataFrame, keys: Sequence[
     coded = cut(_coded(queries).join(malformed(queries).select("query_id"), "query_id", "left_anti"), "queries")
     wanted = coded.select("query_id", F.posexplode("terms").alias("_i", "term"))
     found = cut(postings.join(wanted.select("term").distinct(), "term", "left_semi").select("term", *keys), "found")
-    sizes = wanted.join(found.groupBy("term").agg(F.count(F.lit(1)).alias("_df")), "term", "left")
+    counts = cut(found.groupBy("term").agg(F.count(F.lit(1)).alias("_df")), "counts")
+    hot = counts.filter(F.col("_df") > block).select("term", F.ceil(F.col("_df") / block).alias("_pieces"))
+    sizes = wanted.join(counts, "term", "left")
     counted = sizes.groupBy("query_id").agg(
         F.map_from_entries(F.collect_list(F.struct("_i", F.coalesce("_df", F.lit(0))))).alias("_dfs")
     )
@@ -170,12 +178,13 @@ def boolean_query_batch(postings: DataFrame, queries: DataFrame, keys: Sequence[
     seeds = planned.select("query_id", F.explode("_seeds").alias("_i"), "terms").select(
         "query_id", F.get("terms", F.col("_i")).alias("term")
     )
-    pieces = default_pieces(postings)
-    every = F.sequence(F.lit(0).cast("bigint"), F.lit(pieces - 1).cast("bigint"))
-    spread = seeds.withColumn(PIECE, F.explode(every))
+    pieces = F.coalesce("_pieces", F.lit(1).cast("bigint"))
+    spread = seeds.join(hot, "term", "left").select(
+        "query_id", "term", F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - 1)).alias(PIECE)
+    )
+    placed = found.join(hot, "term", "left").withColumn(PIECE, F.pmod(F.xxhash64(*keys), pieces))
     candidates = (
-        found.withColumn(PIECE, piece_of(keys, pieces))
-        .join(spread, ["term", PIECE])
+        placed.join(spread, ["term", PIECE])
         .select("query_id", *keys)
         .distinct()
     )

@@ -38,20 +38,31 @@ def _parallelism(spark) -> int:
     return spark.sparkContext.defaultParallelism
 
 
+# Documents' numbers in one file of text.
+FILE_RANGE = 4096
+
+
 def _offsets(spark, sf):
-    """The documents of each source as one text file, read with the offset of every line in it.
+    """The documents of each source as text files, one for each range of numbers, read with the offset of every line.
 
     Files have a line with the document's number before its text, so that lines
-    can be told apart; (file, docno) is the key of a line.
+    can be told apart; (file, docno) is the key of a line. Documents without
+    source are a source of their own, and those without text have an empty line.
     """
     path = fresh_path(spark, "lines")
-    docs = load(spark, sf, "documents").filter("source IS NOT NULL")
-    rows = docs.select("source", F.concat(F.lit("#"), "doc_id", F.lit("\n"), "text").alias("value"), "doc_id")
-    by_source = rows.repartition("source").sortWithinPartitions("source", "doc_id")
-    by_source.select("source", "value").write.partitionBy("source").text(path)
+    docs = load(spark, sf, "documents")
+    number = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    rows = docs.select(
+        F.coalesce("source", F.lit("none")).alias("source"),
+        F.coalesce(F.floor(F.col("doc_id") / FILE_RANGE), F.lit(-1)).alias("range"),
+        F.concat(F.lit("#"), number, F.lit("\n"), F.coalesce("text", F.lit(""))).alias("value"),
+        "doc_id",
+    )
+    files = rows.repartition("source", "range").sortWithinPartitions("source", "range", "doc_id")
+    files.select("source", "range", "value").write.partitionBy("source", "range").text(path)
     read = read_lines_with_offset(spark, path)
-    source = F.regexp_extract("path", "source=([^/]+)/", 1)
-    return read.select(source.alias("source"), "docno", "line")
+    source, number = (F.regexp_extract("path", f"{c}=([^/]+)/", 1) for c in ("source", "range"))
+    return read.select(source.alias("source"), number.cast("bigint").alias("range"), "docno", "line")
 
 
 def _text_sink(spark, sf):
@@ -168,12 +179,12 @@ def _model_text(spark, sf):
 
 
 def _models_text(spark, sf):
-    """A model per language, each written to a file of its own and named after it."""
+    """A model per language, each written to a folder of its own and named after it."""
     path = fresh_path(spark, "models")
     by_language = labelled(spark, sf).withColumnRenamed("lang", "model")
     lengths = F.transform("features", lambda w: F.length(w))
     models = op.train_gradient(by_language.withColumn("features", lengths), 1, by=["model"])
-    write_model(models, path, one_file_per="model")
+    write_model(models, path, one_folder_per="model")
     return read_models(spark, path).withColumn("weight", F.round("weight", 9))
 
 
@@ -204,13 +215,17 @@ lengths AS (
 ORACLES = {
     "lines_with_offset": f"""WITH {SQL_LINES},
 each AS (
-  SELECT source, doc_id, -1 AS line_no, '#' || doc_id AS line FROM documents
-  UNION ALL SELECT source, doc_id, line_no, line FROM lines JOIN documents USING (doc_id)),
+  SELECT source, doc_id, -1 AS line_no, '#' || coalesce(CAST(doc_id AS VARCHAR), '') AS line FROM documents
+  UNION ALL SELECT source, doc_id, line_no, line FROM lines JOIN documents USING (doc_id)
+  UNION ALL SELECT source, doc_id, 0, '' FROM documents WHERE text IS NULL),
+ranged AS (
+  SELECT coalesce(source, 'none') AS source, coalesce(doc_id // {FILE_RANGE}, -1) AS range, doc_id, line_no, line
+  FROM each),
 placed AS (
-  SELECT source, line, coalesce(sum(strlen(line) + 1) OVER (
-    PARTITION BY source ORDER BY doc_id, line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS docno
-  FROM each WHERE source IS NOT NULL)
-SELECT source, CAST(docno AS BIGINT) AS docno, line FROM placed""",
+  SELECT source, range, line, coalesce(sum(strlen(line) + 1) OVER (
+    PARTITION BY source, range ORDER BY doc_id, line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS docno
+  FROM ranged)
+SELECT source, CAST(range AS BIGINT) AS range, CAST(docno AS BIGINT) AS docno, line FROM placed""",
     "text_sink": text.ORACLES["word_count"],
     "text_replaced": text.ORACLES["word_count"],
     "tbl_pricing": reports.ORACLES["q6_pricing"],

@@ -6,7 +6,7 @@ from .graph_text import read_adjacency
 from .page_links import page_edges, page_nodes
 from .segments import read_segments, read_skips, write_segments
 from .sinks import write_index, write_keyed_table, write_text
-from .state import bucketed, cut, state_dir
+from .state import bucketed, cut, release, state_dir
 from .tables import TBL_SCHEMAS, read_tbl
 from .text import read_lines, read_lines_with_offset
 
@@ -27,6 +27,7 @@ __all__ = [
     "read_segments",
     "read_skips",
     "read_tbl",
+    "release",
     "state_dir",
     "upsert_cells",
     "write_index",

@@ -43,18 +43,24 @@ def read_models(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """
     weights = _weights(spark, path)
     folder = F.regexp_extract("path", "/model=([^/]+)/", 1)
-    name = F.when(folder != "", F.url_decode(folder)).otherwise(F.col("file"))
+    # the name is escaped in the folder's name, and this again in the path
+    plain = lambda c: F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    name = F.when(folder != "", plain(plain(folder))).otherwise(F.col("file"))
     return weights.select(name.alias("model"), "feature", "weight")
 
 
-def write_model(model: DataFrame, path: str, one_file_per: str | None = None) -> None:
-    """``(feature,weight)`` lines, replacing what is at `path`; a file for each value of a column if asked."""
+def write_model(model: DataFrame, path: str, one_folder_per: str | None = None) -> None:
+    """``(feature,weight)`` lines, replacing what is at `path`; a folder for each value of a column if asked.
+
+    A folder has one file, or several where its model is large: Spark splits
+    what one task would have to write by the session's advisory partition size.
+    """
     pair = F.concat(
         F.lit("("), F.col("feature").cast("string"), F.lit(","), F.col("weight").cast("string"),
         F.lit(")"),
     ).alias("value")
-    if one_file_per is None:
+    if one_folder_per is None:
         model.select(pair).write.mode("overwrite").text(path)
         return
-    named = model.select(F.col(one_file_per).alias("model"), pair).repartition("model")
+    named = model.select(F.col(one_folder_per).alias("model"), pair).hint("rebalance", F.col("model"))
     named.write.mode("overwrite").partitionBy("model").text(path)

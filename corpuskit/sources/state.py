@@ -27,13 +27,39 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{state_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# What each application has written here: paths, and names of tables.
+_written: dict[str, list[tuple[str, str | None]]] = {}
+
+
+def _note(spark: SparkSession, path: str, table: str | None = None) -> None:
+    _written.setdefault(spark.sparkContext.applicationId, []).append((path, table))
+
+
+def release(spark: SparkSession) -> int:
+    """Remove the intermediate tables that this application has written, once its results are; how many.
+
+    Results that are still to be computed from them fail afterwards. Tables that
+    were given a path of their own are left.
+    """
+    written = _written.pop(spark.sparkContext.applicationId, [])
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    for path, table in written:
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(configuration).delete(place, True)
+    return len(written)
+
+
 def cut(df: DataFrame, name: str, path: str | None = None, row_group: int | None = None) -> DataFrame:
     """Write `df` as Parquet in the shared folder and go on from the written table.
 
     Row groups of `row_group` bytes let many tasks read what few have written.
     """
     spark = df.sparkSession
-    path = path or fresh_path(spark, name)
+    if path is None:
+        path = fresh_path(spark, name)
+        _note(spark, path)
     options = {"parquet.block.size": str(row_group)} if row_group else {}
     df.write.mode("overwrite").options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -50,5 +76,6 @@ def bucketed(df: DataFrame, name: str, columns: Sequence[str], buckets: int | No
     path = fresh_path(spark, name)
     table = f"{name}_{uuid.uuid4().hex}"
     writer = df.repartition(n, *columns).write.format("parquet").bucketBy(n, *columns).sortBy(*columns)
+    _note(spark, path, table)
     writer.option("path", path).saveAsTable(table)
     return spark.table(table)

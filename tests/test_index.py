@@ -133,3 +133,16 @@ def test_a_frequent_term_only_narrows_down(spark):
     queries = {"hot rare AND": "hot rare AND", "rare hot AND": "rare hot AND", "rare zzz OR hot AND": "rare zzz OR hot AND"}
     found = op.postings(docs)
     assert set(map(tuple, batch_result(spark, found, queries).values())) == {(0, 100, 200, 300, 400)}
+
+
+@pytest.mark.parametrize("block", [1, 3, 1 << 16])
+def test_seeds_in_pieces_of_any_size(spark, block):
+    docs = spark.createDataFrame([(i, "hot " + ("rare " if i % 9 == 0 else "") + f"w{'abc'[i % 3]}") for i in range(60)], "docno bigint, line string")
+    found = op.postings(docs)
+    rpns = ["hot", "hot rare AND", "hot wa AND wb OR", "rare wa AND", "wa wb AND", "none hot OR", "none hot AND"]
+    queries = spark.createDataFrame(list(enumerate(rpns)), "query_id int, rpn string")
+    got = {}
+    for r in op.boolean_query_batch(found, queries, block=block).collect():
+        got.setdefault(r.query_id, []).append(r.docno)
+    for i, rpn in enumerate(rpns):
+        assert sorted(got.get(i, [])) == docnos(op.boolean_query(found, rpn)), rpn

@@ -182,3 +182,50 @@ def test_bad_field_is_an_error_only_where_used(spark, tmp_path):
     assert nation.select("n_name").first().n_name == "CANADA"
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         nation.collect()
+
+
+def test_models_have_folders_of_their_own(spark, tmp_path):
+    rows = [(m, f, f / 7) for m in ("a", "b c", "d/e", "50%+1") for f in range(30)]
+    models = spark.createDataFrame(rows, "model string, feature int, weight double")
+    path = str(tmp_path / "models")
+    src.write_model(models.repartition(5), path, one_folder_per="model")
+    got = sorted(map(tuple, src.read_models(spark, path).collect()))
+    assert [(m, f) for m, f, _ in got] == sorted((m, f) for m, f, _ in rows)
+    assert [w for *_, w in got] == pytest.approx([w for *_, w in sorted(rows)])
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan_of_write(spark, models)
+    src.write_model(models.limit(0), path, one_folder_per="model")
+
+
+def plan_of_write(spark, models):
+    from pyspark.sql import functions as F
+
+    return models.hint("rebalance", F.col("model"))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_intermediate_tables_can_be_removed(spark, tmp_path):
+    from corpuskit.sources import state
+
+    state.release(spark)
+    kept = src.cut(spark.range(3), "kept", str(tmp_path / "kept"))
+    cut = src.cut(spark.range(5), "cut")
+    table = src.bucketed(spark.range(7), "buckets", ["id"], 2)
+    assert (cut.count(), table.count()) == (5, 7)
+    names = {t.name for t in spark.catalog.listTables()}
+    assert src.release(spark) == 2 and src.release(spark) == 0
+    assert len(names) - len({t.name for t in spark.catalog.listTables()}) == 1
+    assert kept.count() == 3
+    with pytest.raises(Exception):  # noqa: B017
+        spark.read.parquet(cut.inputFiles()[0]).count()
+
+
+def test_offsets_of_documents_without_source_or_text(spark, tmp_path):
+    from corpuskit.plans import storage
+
+    rows = [(1, "a\nb", "x"), (2, None, "x"), (3, "c", None), (5000, "d", "x"), (None, "e", "x")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.source, r.range, r.docno): r.line for r in storage._offsets(spark, str(tmp_path)).collect()}
+    assert got == {
+        ("x", 0, 0): "#1", ("x", 0, 3): "a", ("x", 0, 5): "b", ("x", 0, 7): "#2", ("x", 0, 10): "",
+        ("none", 0, 0): "#3", ("none", 0, 3): "c", ("x", 1, 0): "#5000", ("x", 1, 6): "d",
+        ("x", -1, 0): "#", ("x", -1, 2): "e",
+    }
