@@ -2,11 +2,12 @@
 
 A document is named by `keys`: its number, the last of them, and before it
 whatever the number is unique within, such as the path of a file. Lists are
-views on the postings, one per term and path. A very frequent term would make
-one list as long as the collection, so its places in the list are found in two
-steps: postings are stored in ranges of (term, keys), every range is numbered by
-itself, and only each range's totals are added up over a term. Lists are cut
-into segments of so many postings, however far apart their document numbers are.
+views on the postings, one per term and path, cut into segments of so many
+postings, however far apart their document numbers are. A list of at most
+LONGEST postings is put together in one row and cut there. That of a more
+frequent term could be as long as the collection, so its places are found in two
+steps: its postings are stored in ranges of (term, keys), every range is numbered
+by itself, and only each range's totals are added up over a term.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ from .skew import default_pieces
 
 SEGMENT_SIZE = 1 << 16
 
+# Postings of a list that is put together in one row.
+LONGEST = 1 << 16
+
 # Segments whose sums are added up together when gaps are decoded.
 GROUP = 1 << 10
 
@@ -82,25 +86,71 @@ def _placed(postings: DataFrame, segment_size: int, keys: Sequence[str]) -> Data
     )
 
 
+def _lists(postings: DataFrame, keys: Sequence[str], longest: int) -> tuple[DataFrame, DataFrame | None]:
+    """(term, .., df, list) of all lists of at most `longest` postings, by docno, and the postings of the others.
+
+    Only counts are shuffled to tell them apart; there are few of the others.
+    """
+    *within, docno = keys
+    listed = ["term", *within]
+    stored = cut(postings.filter(F.col("term").isNotNull()).select(*listed, docno, "tf"), "postings")
+    sizes = stored.groupBy(*listed).agg(F.count(F.lit(1)).alias("n"))
+    long = cut(sizes.filter(F.col("n") > longest).select(F.struct(*listed).alias("_list")), "long")
+    rest = None
+    if not long.isEmpty():
+        named = stored.withColumn("_list", F.struct(*listed))
+        rest = named.join(long, "_list", "left_semi").drop("_list")
+        stored = named.join(long, "_list", "left_anti").drop("_list")
+    entries = F.sort_array(F.collect_list(F.struct(docno, "tf")))
+    return stored.groupBy(*listed).agg(F.count(F.lit(1)).alias("df"), entries.alias("list")), rest
+
+
+def _cut_lists(lists: DataFrame, segment_size: int, listed: Sequence[str]) -> DataFrame:
+    """(term, .., segment, df, postings) from whole lists."""
+    last = F.floor((F.col("df") - 1) / segment_size)
+    each = lists.select(*listed, F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("segment"), "df", "list")
+    part = F.slice("list", (F.col("segment") * segment_size + 1).cast("int"), F.lit(segment_size))
+    return each.select(*listed, "segment", "df", part.alias("postings"))
+
+
 def inverted_index(
-    postings: DataFrame, segment_size: int = SEGMENT_SIZE, keys: Sequence[str] = KEYS
+    postings: DataFrame, segment_size: int = SEGMENT_SIZE, keys: Sequence[str] = KEYS, longest: int = LONGEST
 ) -> DataFrame:
     """(term, .., segment, df, postings), postings an array of (docno, tf) by docno."""
     *within, docno = keys
-    placed = _placed(postings, segment_size, keys)
+    listed = ["term", *within]
+    lists, rest = _lists(postings, keys, longest)
+    index = _cut_lists(lists, segment_size, listed)
+    if rest is None:
+        return index
     entries = F.sort_array(F.collect_list(F.struct(docno, "tf")))
-    return placed.groupBy("term", *within, "segment").agg(
-        F.max("df").alias("df"), entries.alias("postings")
-    )
+    placed = _placed(rest, segment_size, keys).groupBy(*listed, "segment")
+    return index.unionByName(placed.agg(F.max("df").alias("df"), entries.alias("postings")))
 
 
-def encode_gaps(postings: DataFrame, segment_size: int = SEGMENT_SIZE, keys: Sequence[str] = KEYS) -> DataFrame:
+def encode_gaps(
+    postings: DataFrame, segment_size: int = SEGMENT_SIZE, keys: Sequence[str] = KEYS, longest: int = LONGEST
+) -> DataFrame:
     """(term, .., segment, pos, gap, tf): docno differences along a term's whole list.
 
     The first gap of a list counts from 0 and gaps run on across segments.
     """
-    *within, _ = keys
-    return _placed(postings, segment_size, keys).select("term", *within, "segment", "pos", "gap", "tf")
+    *within, docno = keys
+    lists, rest = _lists(postings, keys, longest)
+
+    def entry(x: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get("list", i - 1)[docno]).otherwise(F.lit(0))
+        return F.struct(
+            F.floor(i / segment_size).alias("segment"),
+            (i % segment_size).cast("int").alias("pos"),
+            (x[docno] - before).alias("gap"),
+            x["tf"].alias("tf"),
+        )
+
+    gaps = lists.select("term", *within, F.explode(F.transform("list", entry)).alias("e")).select("term", *within, "e.*")
+    if rest is None:
+        return gaps
+    return gaps.unionByName(_placed(rest, segment_size, keys).select("term", *within, "segment", "pos", "gap", "tf"))
 
 
 def decode_gaps(gaps: DataFrame, keys: Sequence[str] = KEYS, group: int = GROUP) -> DataFrame:
@@ -134,13 +184,11 @@ def decode_gaps(gaps: DataFrame, keys: Sequence[str] = KEYS, group: int = GROUP)
     )
 
 
-def postings_table(postings: DataFrame, segment_size: int = SEGMENT_SIZE, keys: Sequence[str] = KEYS) -> DataFrame:
+def postings_table(
+    postings: DataFrame, segment_size: int = SEGMENT_SIZE, keys: Sequence[str] = KEYS, longest: int = LONGEST
+) -> DataFrame:
     """(term, .., segment, cells) with cells a map docno -> tf; a repeated cell is summed."""
-    *within, docno = keys
+    *within, _ = keys
     cells = postings.groupBy("term", *keys).agg(F.sum("tf").cast("int").alias("tf"))
-    entries = F.sort_array(F.collect_list(F.struct(docno, "tf")))
-    return (
-        _placed(cells, segment_size, keys)
-        .groupBy("term", *within, "segment")
-        .agg(F.map_from_entries(entries).alias("cells"))
-    )
+    index = inverted_index(cells, segment_size, keys, longest)
+    return index.select("term", *within, "segment", F.map_from_entries("postings").alias("cells"))

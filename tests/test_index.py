@@ -1,6 +1,8 @@
 import pytest
+from plans import plan_lines
 
 from corpuskit import operators as op
+from corpuskit.operators import index
 
 DOCS = [(0, "a b a"), (6, "b c"), (10, "a b d")]
 
@@ -46,9 +48,15 @@ def test_hot_term_spans_segments(spark, step):
 
 
 def test_no_task_has_all_postings_of_a_term(spark):
-    plan = op.encode_gaps(op.postings(spark.createDataFrame(DOCS, "docno bigint, line string")))
+    """Only lists of a bounded length are put together by term; the others' postings leave before that, and go by range."""
+    docs = spark.createDataFrame([*DOCS, *((i, "a") for i in range(20, 40))], "docno bigint, line string")
+    plan = op.encode_gaps(op.postings(docs), longest=5)
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(term" not in text.replace(" ", "") and "hashpartitioning(_range" in text
+    by_term = text[: text.index("hashpartitioning(_range")]
+    assert "LeftAnti" in by_term and by_term.count("hashpartitioning(term") == 1
+    lists, rest = index._lists(op.postings(docs), ("docno",), 5)
+    assert {r.term for r in lists.collect()} == {"b", "c", "d"}
+    assert [r.term for r in rest.select("term").distinct().collect()] == ["a"]
 
 
 def test_postings_table_sums_repeated_cells(spark):
@@ -146,3 +154,35 @@ def test_seeds_in_pieces_of_any_size(spark, block):
         got.setdefault(r.query_id, []).append(r.docno)
     for i, rpn in enumerate(rpns):
         assert sorted(got.get(i, [])) == docnos(op.boolean_query(found, rpn)), rpn
+
+
+@pytest.mark.parametrize("longest", [0, 20, 1 << 16])
+def test_lists_are_the_same_in_one_row_and_in_ranges(spark, longest):
+    docs = [(i * 3 - 20, " ".join(["hot"] * (1 + i % 2) + [f"w{'abcde'[i % 5]}"])) for i in range(90)]
+    found = op.postings(spark.createDataFrame(docs, "docno bigint, line string"))
+    found = found.union(spark.createDataFrame([(None, 1, 1)], "term string, docno bigint, tf int"))
+    expected = {}
+    for docno, line in docs:
+        for w in dict.fromkeys(line.split()):
+            expected.setdefault(w, []).append((docno, line.split().count(w)))
+    got, df = {}, {}
+    for r in op.inverted_index(found, 7, longest=longest).orderBy("term", "segment").collect():
+        assert len(got.setdefault(r.term, [])) == 7 * r.segment
+        got[r.term] += [tuple(p) for p in r.postings]
+        df[r.term] = r.df
+    assert got == expected and df == {t: len(x) for t, x in expected.items()}
+    gaps = op.encode_gaps(found, 7, longest=longest).orderBy("term", "segment", "pos").collect()
+    for t, entries in expected.items():
+        at = [0] + [d for d, _ in entries]
+        own = [(r.segment * 7 + r.pos, r.gap, r.tf) for r in gaps if r.term == t]
+        assert own == [(i, d - at[i], tf) for i, (d, tf) in enumerate(entries)]
+    cells = {}
+    for r in op.postings_table(found.union(found), 7, longest=longest).filter("term IS NOT NULL").collect():
+        cells.setdefault(r.term, {}).update(r.cells)
+    assert cells == {t: {d: 2 * tf for d, tf in x} for t, x in expected.items()}
+
+
+def test_short_lists_need_one_shuffle_of_the_postings(spark):
+    docs = spark.createDataFrame([(i, "a b c") for i in range(50)], "docno bigint, line string")
+    index = op.inverted_index(op.postings(docs), 10)
+    assert sum("Exchange" in line for _, line in plan_lines(index)) == 1
