@@ -32,31 +32,10 @@ def union_sets(*training: DataFrame) -> DataFrame:
     return whole
 
 
-def _steps(errors: DataFrame, delta: float, by: Sequence[str]) -> DataFrame:
-    """(by..., feature, weight): delta times each document's error, for every occurrence of a feature."""
-    each = errors.select(
-        *by, F.explode("features").alias("feature"), (F.col("_e") * delta).alias("weight")
-    )
-    return each.groupBy(*by, "feature").agg(F.sum("weight").alias("weight"))
-
-
-def _next(rows: DataFrame, weights: DataFrame | None, delta: float, by: Sequence[str]) -> DataFrame:
-    """The weights after a step over all rows (by..., doc_id, _y, features).
-
-    Features meet their weights, scores are added up per document, errors per
-    feature. The weights are written to the session's shared folder first: each
-    is read twice, and against a stored table AQE can split the occurrences of a
-    feature that most documents have.
-    """
-    if weights is None:  # every probability is one half
-        return _steps(rows.withColumn("_e", F.col("_y") - 0.5), delta, by)
-    weights = cut(weights, "weights")
-    doc, keys = [*by, "doc_id"], [*by, "feature"]
-    parts = _matched(rows.select(*doc, "features"), weights, doc, keys)
-    scores = parts.groupBy(*doc).agg(F.sum("_part").alias("_s"))
-    error = F.col("_y") - sigmoid(F.coalesce(F.col("_s"), F.lit(0.0)))
-    step = _steps(rows.join(scores, doc, "left").withColumn("_e", error), delta, by)
-    return weights.unionByName(step).groupBy(*keys).agg(F.sum("weight").alias("weight"))
+def _counted(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, feature, n): how often each document has each of its features, from rows with `features`."""
+    each = rows.select(*keys, F.explode("features").alias("feature"))
+    return each.groupBy(*keys, "feature").agg(F.count(F.lit(1)).alias("n"))
 
 
 def train_gradient(
@@ -64,15 +43,21 @@ def train_gradient(
 ) -> DataFrame:
     """(by..., feature, weight) after `rounds` of w += delta * sum((y - p) * x).
 
-    All instances of one value of `by` train one model together. Every round is
-    joins and sums over all of them.
+    All instances of one value of `by` train one model together. The occurrences
+    of features are counted and stored once; every round is joins and sums over
+    all of them.
     """
     if rounds < 1:
         raise ValueError("rounds must be at least 1")
     by, weights = list(by), None
-    rows = instances.select(*by, "doc_id", _is_spam().cast("double").alias("_y"), "features")
-    for _ in range(rounds):
-        weights = _next(rows, weights, delta, by)
+    rows = instances.select(*by, "doc_id", _is_spam().cast("double").alias("y"), "features")
+    rows = _counted(rows, [*by, "doc_id", "y"])
+    if rounds > 1:
+        rows = cut(rows, "occurrences")
+    for i in range(rounds):
+        weights = batch_step(rows, weights, delta, by)
+        if i < rounds - 1:
+            weights = cut(weights, "weights")
     return weights
 
 
@@ -94,8 +79,7 @@ def deal(instances: DataFrame, batches: int, seeds: Sequence[int]) -> DataFrame:
     seeds = [int(s) for s in seeds]
     dealt = F.array(*(batch_of("doc_id", F.lit(s), batches).cast("int") for s in seeds))
     rows = instances.select("doc_id", _is_spam().cast("double").alias("y"), dealt.alias("_dealt"), "features")
-    each = rows.select("doc_id", "y", "_dealt", F.explode("features").alias("feature"))
-    counted = each.groupBy("doc_id", "y", "_dealt", "feature").agg(F.count(F.lit(1)).alias("n"))
+    counted = _counted(rows, ["doc_id", "y", "_dealt"])
     named = F.arrays_zip(F.array(*map(F.lit, seeds)).alias("model"), F.col("_dealt").alias("batch"))
     whole = counted.select("doc_id", "y", "feature", "n", F.explode(named).alias("_s")).select(
         F.col("_s.model").alias("model"), "doc_id", "y", "feature", "n", F.col("_s.batch").alias("batch")
@@ -105,24 +89,28 @@ def deal(instances: DataFrame, batches: int, seeds: Sequence[int]) -> DataFrame:
     return spark.read.schema(whole.schema).parquet(path)
 
 
-def batch_step(rows: DataFrame, weights: DataFrame | None, delta: float = DELTA) -> DataFrame:
-    """The weights (model, feature, weight) after a step on rows of `deal`, which are read once.
+def batch_step(
+    rows: DataFrame, weights: DataFrame | None, delta: float = DELTA, by: Sequence[str] = ("model",)
+) -> DataFrame:
+    """The weights (by..., feature, weight) after a step on rows (by..., doc_id, y, feature, n), which are read once.
 
     Features meet their weights, a document's parts are added up beside its rows,
-    and its error goes back to its features.
+    and its error goes back to its features. The weights, a stored table, are
+    read twice; against it AQE can split the occurrences of a feature that most
+    documents have.
     """
+    keys = [*by, "feature"]
     if weights is None:  # every probability is one half
-        error = F.col("y") - 0.5
-        scored = rows.withColumn("_e", error)
+        scored = rows.withColumn("_e", F.col("y") - 0.5)
     else:
         part = F.col("n") * F.coalesce(F.col("weight"), F.lit(0.0))
-        parts = rows.join(weights, ["model", "feature"], "left").withColumn("_part", part)
-        total = F.sum("_part").over(Window.partitionBy("model", "doc_id"))
+        parts = rows.join(weights, keys, "left").withColumn("_part", part)
+        total = F.sum("_part").over(Window.partitionBy(*by, "doc_id"))
         scored = parts.withColumn("_e", F.col("y") - sigmoid(total))
-    step = scored.select("model", "feature", (F.col("_e") * F.col("n") * delta).alias("weight"))
+    step = scored.select(*keys, (F.col("_e") * F.col("n") * delta).alias("weight"))
     if weights is not None:
         step = weights.unionByName(step)
-    return step.groupBy("model", "feature").agg(F.sum("weight").alias("weight"))
+    return step.groupBy(*keys).agg(F.sum("weight").alias("weight"))
 
 
 def train_batches(
@@ -144,7 +132,7 @@ def train_batches(
     weights = None
     for i in range(batches):
         weights = batch_step(rows.filter(F.col("batch") == i), weights, delta)
-        if i < batches - 1:  # read twice by the next step; against a stored table AQE splits hot features
+        if i < batches - 1:
             weights = cut(weights, "weights")
     return weights
 
