@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import adjacent_pairs, tokenize
-from .cooccurrence import STRIPE_PARTS, stripes
+from ..sources.state import cut
+from .cooccurrence import STRIPE_PARTS, stripe_part
 from .skew import with_key_totals
 
 
@@ -36,5 +37,14 @@ def bigram_relfreq(lines: DataFrame, marginals: bool = True, line: str = "line")
 
 
 def bigram_stripes(lines: DataFrame, line: str = "line", parts: int = STRIPE_PARTS) -> DataFrame:
-    """(w1, part, stripe) with the relative frequencies of w1's followers."""
-    return stripes(bigram_relfreq(lines, marginals=False, line=line), "value", parts)
+    """(w1, part, stripe) with the relative frequencies of w1's followers.
+
+    Counts go to their stripes first, and how often w1 is a left word is added up
+    from the stripes, at most `parts` rows for a word, so pairs move once.
+    """
+    counts = bigram_counts(lines, line).withColumn("part", stripe_part("w2", parts))
+    entries = F.sort_array(F.collect_list(F.struct("w2", "n")))
+    counted = cut(counts.groupBy("w1", "part").agg(F.sum("n").alias("_n"), entries.alias("_entries")), "stripes")
+    totals = counted.groupBy("w1").agg(F.sum("_n").alias("_left"))
+    shares = F.transform("_entries", lambda e: F.struct(e["w2"].alias("w2"), (e["n"] / F.col("_left")).alias("value")))
+    return counted.join(totals, "w1").select("w1", "part", F.map_from_entries(shares).alias("stripe"))
