@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import bloom, exact_dedup, jaccard_join, packing, quality_rules, secret_scan
+from corpuskit.llm import bloom, exact_dedup, jaccard_join, packing, places, quality_rules, secret_scan
 from corpuskit.plans.tables import load
 from corpuskit.sources.state import cut
 
@@ -46,7 +46,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     shared = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR doc_id IS NULL")
     if shared.isEmpty():  # ids are numbers of rows already
         classes = cut(jaccard_join.classes(docs, words=5, num=80, den=100), "classes")
-        return bloom.without(docs, classes.filter("doc_id <> component_id").select("doc_id"), "doc_id")
+        table = places.stored(docs, "documents")
+        rows = table.select("doc_id", places.place(table).alias("row"))
+        gone = rows.join(classes.filter("doc_id <> component_id").select("doc_id"), "doc_id", "left_semi")
+        return places.without(table, gone.select("row.*"))
     row = bloom.unused(docs, "row")
     numbered = cut(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     members = cut(jaccard_join.classes(numbered, row, words=5, num=80, den=100).toDF("member", "class"), "classes")

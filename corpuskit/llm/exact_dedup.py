@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.skew import default_pieces, piece_of
 from ..plans.tables import load
 from ..sources.state import cut
-from . import bloom
+from . import bloom, places
 
 
 def normalised(text: str | Column) -> Column:
@@ -42,15 +42,24 @@ def mark(df: DataFrame, key: str = "doc_id", text: str = "text", max_words: int
         df.select(F.col(key).alias("key"), digest(text).alias("sha"), F.monotonically_increasing_id().alias("row")),
         "digests",
     )
+    single, copies = _ranked(rows, max_words, default_pieces(df))
+    return single.unionByName(copies).drop("row").withColumnRenamed("key", key)
+
+
+def _ranked(rows: DataFrame, max_words: int, pieces: int) -> tuple[DataFrame, DataFrame]:
+    """`rows` (key, sha, row) as (key, keep_id, group_size, kept, sha, row), in two parts.
+
+    The first part holds those that the filter clears, which move nowhere, the
+    second all others.
+    """
     n_words = bloom.words_for(rows.count(), max_words)
     repeated = bloom.build(rows.select(_hash("sha")), n_words, at_least=2)
     tested = bloom.tested(rows, _hash("sha"), repeated, n_words, "maybe")
     single = tested.filter(~F.col("maybe")).select(
-        "key", F.col("key").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"), "sha"
+        "key", F.col("key").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"), "sha", "row"
     )
 
     rank = F.struct(F.col("key").isNull().alias("last"), "key", "row")
-    pieces = default_pieces(df)
     maybe = tested.filter("maybe").withColumn("piece", piece_of(["row"], pieces))
     parts = maybe.groupBy("sha", "piece").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("n"))
     of_text = Window.partitionBy("sha")
@@ -58,30 +67,26 @@ def mark(df: DataFrame, key: str = "doc_id", text: str = "text", max_words: int
         "sha", "piece", F.min("best").over(of_text).alias("best"), F.sum("n").over(of_text).alias("group_size")
     )
     copies = maybe.join(whole, ["sha", "piece"]).select(
-        "key", F.col("best.key").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"), "sha"
+        "key", F.col("best.key").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"), "sha", "row"
     )
-    return single.unionByName(copies).withColumnRenamed("key", key)
+    return single, copies
 
 
 def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", max_words: int = bloom.MAX_WORDS) -> DataFrame:
     """The rows of `df` that stay, with all their columns.
 
-    Rows that the filter clears pass straight through. The others are put
-    together per digest in each task before they are shuffled, so of a group of
-    copies each task sends one row. Which row stays is as in `mark`; of rows that
-    share key and text, any one.
+    Digests are stored with the places of their rows, and `mark`'s decisions go
+    back to these places: neither texts nor other columns are exchanged, however
+    full the filter is. Which row stays is as in `mark`; of rows that share key
+    and text, the first by place. A `df` that is not a Parquet table as read is
+    stored first.
     """
-    name = bloom.unused(df, "dedup")
-    hashes = df.select(_hash(digest(text)))
-    n_words = bloom.words_for(df.count(), max_words)
-    repeated = bloom.build(hashes, n_words, at_least=2)
-    sha = f"{name}_sha"
-    tested = bloom.tested(df.withColumn(sha, digest(text)), _hash(sha), repeated, n_words, name)
-    single = tested.filter(~F.col(name)).select(*df.columns)
-    order = F.struct(F.col(key).isNull(), F.col(key))
-    best = F.min_by(F.struct(*df.columns), order).alias(name)
-    copies = tested.filter(name).groupBy(sha).agg(best).select(f"{name}.*")
-    return single.unionByName(copies)
+    table = places.stored(df)
+    rows = cut(
+        table.select(F.col(key).alias("key"), digest(text).alias("sha"), places.place(table).alias("row")), "digests"
+    )
+    _, copies = _ranked(rows, max_words, default_pieces(df))
+    return places.without(table, copies.filter(~F.col("kept")).select("row.*"))
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.skew import default_pieces, piece_of
 from ..plans.tables import load
 from ..sources.state import cut, fresh_path
-from . import bloom
+from . import bloom, places
 
 
 def _either_case(word: str) -> str:
@@ -122,32 +123,38 @@ def _current(ledger: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return ledger.filter(F.struct("kind", "version").isin(wanted))
 
 
+def _digests(table: DataFrame, text: str) -> DataFrame:
+    """(blob, row): the content address and the place of each row of a stored table."""
+    return table.select(blob_id(text).alias("blob"), places.place(table).alias("row"))
+
+
 def update_ledger(
     versions: DataFrame,
     text: str,
     ledger_path: str,
     rules: Sequence[Rule] = RULES,
-    blobs: DataFrame | None = None,
     max_words: int = bloom.MAX_WORDS,
 ) -> None:
     """Scan the texts of `versions` for pairs of blob and rule version not in the ledger, and add them.
 
-    `blobs` is a stored table of the rows' content addresses, if there is one. A
-    row whose blob can be neither repeated nor known, by two filters, is scanned
-    where it is. The others are put together per blob in each task, so that a text with
-    many copies is sent once per task and scanned once. A run that stops while
-    writing leaves the ledger as it was.
+    A row whose blob can be neither repeated nor known, by two filters, is
+    scanned for all rules. Of the others only content addresses meet; which rules
+    are left for which row goes back to the rows' places, so texts are never
+    exchanged and each blob is scanned once, in one of its rows.
     """
-    spark = versions.sparkSession
-    hashed = versions.select(blob_id(text).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    blobs = blobs or cut(hashed.select("blob"), "blobs")
-    n_words = bloom.words_for(blobs.count(), max_words)
-    repeated = bloom.build(blobs.select(F.xxhash64(blobs.columns[0])), n_words, at_least=2)
-    hash_ = F.xxhash64("blob")
-    tested = bloom.tested(hashed, hash_, repeated, n_words, "held")
-    kinds = F.array(*[F.lit(r.kind) for r in rules])
+    table = places.stored(versions, "versions")
+    _update(table, text, ledger_path, rules, cut(_digests(table, text), "blobs"), max_words)
+
 
-    ledger = read_ledger(spark, ledger_path)
+def _update(
+    table: DataFrame, text: str, ledger_path: str, rules: Sequence[Rule], digests: DataFrame, max_words: int = bloom.MAX_WORDS
+) -> None:
+    spark = table.sparkSession
+    n_words = bloom.words_for(digests.count(), max_words)
+    hash_ = F.xxhash64("blob")
+    repeated = bloom.build(digests.select(hash_), n_words, at_least=2)
+    tested = bloom.tested(digests, hash_, repeated, n_words, "held")
+    ledger, known = read_ledger(spark, ledger_path), None
     if ledger is not None:
         done = _current(ledger, rules).groupBy("blob").agg(F.collect_set("kind").alias("done"))
         known = cut(done, "known")
@@ -156,15 +163,27 @@ def update_ledger(
         tested = bloom.tested(tested, hash_, filled, known_words, "seen")
         tested = tested.withColumn("held", F.col("held") | F.col("seen"))
 
-    single = tested.filter(~F.col("held")).select("blob", "text", kinds.alias("pending"))
-    held = tested.filter("held").groupBy("blob").agg(F.first("text").alias("text"))
-    if ledger is not None:
-        missing = F.array_except(kinds, F.coalesce("done", F.array().cast("array<string>")))
-        held = held.join(known, "blob", "left").select("blob", "text", missing.alias("pending"))
-        held = held.filter(F.size("pending") > 0)
+    held = tested.filter("held").withColumn("piece", piece_of(["row"], default_pieces(table)))
+    parts = held.groupBy("blob", "piece").agg(F.min("row").alias("first"))
+    whole = parts.select("blob", "piece", F.min("first").over(Window.partitionBy("blob")).alias("first"))
+    if known is not None:
+        whole = whole.join(known, "blob", "left")
     else:
-        held = held.select("blob", "text", kinds.alias("pending"))
-    _scanned(single.unionByName(held), rules).write.mode("append").parquet(ledger_path)
+        whole = whole.withColumn("done", F.array().cast("array<string>"))
+    later = F.col("row") != F.col("first")
+    spared = [
+        (later | F.coalesce(F.array_contains("done", r.kind), F.lit(False))).alias(f"spare{i}") for i, r in enumerate(rules)
+    ]
+    spare = [f"spare{i}" for i in range(len(rules))]
+    flagged = held.join(whole, ["blob", "piece"]).select("row.*", *spared).filter(" OR ".join(spare))
+
+    def due(rows: DataFrame, flags: list[Column]) -> DataFrame:
+        kinds = [F.when(~flag, F.lit(r.kind)) for flag, r in zip(flags, rules, strict=True)]
+        pending = F.array_compact(F.array(*kinds))
+        own = rows.select(blob_id(text).alias("blob"), F.col(text).alias("text"), pending.alias("pending"))
+        return _scanned(own.filter(F.size("pending") > 0), rules)
+
+    places.with_flags(table, flagged, spare, due).write.mode("append").parquet(ledger_path)
 
 
 def spans_of(ledger: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -208,8 +227,9 @@ def scan(
     """
     spark = versions.sparkSession
     ledger_path = ledger_path or fresh_path(spark, "ledger")
-    rows = cut(versions.select(*ids, blob_id(text).alias("_blob")), "versions")
-    update_ledger(versions, text, ledger_path, rules, rows.select("_blob"))
+    table = places.stored(versions, "versions")
+    rows = cut(table.select(*ids, blob_id(text).alias("_blob"), places.place(table).alias("_row")), "versions")
+    _update(table, text, ledger_path, rules, rows.select(F.col("_blob").alias("blob"), F.col("_row").alias("row")))
     found = cut(spans_of(read_ledger(spark, ledger_path), rules), "findings")
     joined = rows.join(found.withColumnRenamed("blob", "_blob"), "_blob", "left")
     none = F.array().cast(found.schema["spans"].dataType)
@@ -230,6 +250,7 @@ def redact(
     """
     spark = versions.sparkSession
     ledger_path = ledger_path or fresh_path(spark, "ledger")
+    versions = places.stored(versions, "versions")
     update_ledger(versions, text, ledger_path, rules)
     found = cut(spans_of(read_ledger(spark, ledger_path), rules), "findings")
     blob = bloom.unused(versions, "_blob")
