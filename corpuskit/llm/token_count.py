@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.tables import load
-from .pair_merge import PairMerger, from_json
+from .pair_merge import PairMerger, byte_letters, from_json
 from .pretokens import boundaries, chunks
 from .recent import Recent
 from .slices import distinct, per_text
@@ -142,20 +142,41 @@ def _shortened(total: Counter, size: int) -> Counter:
     return Counter({p: n - off for p, n in first[:-1] if n > off})
 
 
+@cache
+def vocabulary_pretokens(path: str, size: int = FREQUENT) -> tuple[str, ...]:
+    """At most `size` tokens of the file that are a pre-token each, of the lowest ids.
+
+    Merges were numbered by how often their pairs occurred when the vocabulary was
+    made, so these are the pre-tokens that texts like those have most often.
+    """
+    byte = {letter: b for b, letter in enumerate(byte_letters())}
+    with open(path, encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    found = []
+    for token in sorted(vocab, key=vocab.get):
+        if all(c in byte for c in token) and 0 < len(token) <= FREQUENT_BYTES:
+            try:
+                found.append(bytes(byte[c] for c in token).decode())
+            except UnicodeDecodeError:  # a part of a character is in no pre-token by itself
+                continue
+    _, _, _, n_pieces = boundaries(found)
+    return tuple(p for p, n in zip(found, n_pieces.tolist(), strict=True) if n == 1)[:size]
+
+
 def count_tokens(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """(key, n_bytes, n_tokens): the length of each text in UTF-8 bytes and in tokens of the file at `path`.
 
-    Two passes: the first finds frequent pre-tokens (`frequent_pretokens`), whose
-    token counts are broadcast, at most `FREQUENT` of at most `FREQUENT_BYTES`
-    bytes; the second looks every pre-token up there, then in the worker's cache,
-    and merges what is in neither. The counts don't depend on what the table
-    holds. Special strings of the file count as one token wherever they are.
-    Null counts as empty, rows may repeat, other columns play no part.
+    One pass without a shuffle. The token counts of the pre-tokens that the
+    vocabulary itself has (`vocabulary_pretokens`) are broadcast, at most
+    `FREQUENT` of at most `FREQUENT_BYTES` bytes; each pre-token is looked up
+    there, then in the worker's cache, and merged if it is in neither. The counts
+    don't depend on what the table holds. Special strings of the file count as one
+    token wherever they are. Null counts as empty, rows may repeat, an empty table
+    gives no rows, other columns play no part.
     """
     spark = df.sparkSession
     path = path or public_tokenizers.path("byte_bpe_50k.json")
-    frequent = [r["piece"] for r in frequent_pretokens(df, text, path).collect()]
-    encoded = [p.encode() for p in frequent]
+    encoded = [p.encode() for p in vocabulary_pretokens(path)]
     counts = np.array([len(ids) // 4 for ids in _merger(path).encode(encoded)], np.uint8)
     lengths = np.array([len(p) for p in encoded], np.uint8)
     tag = uuid.uuid4().hex

@@ -105,6 +105,22 @@ def test_the_table_of_frequent_pretokens_is_bounded(spark):
     assert [r.piece for r in rows] == [" cat", " the"]
 
 
+def test_tokens_are_counted_in_one_pass_without_a_shuffle(spark):
+    df = spark.createDataFrame([(1, "the cat")], "doc_id bigint, text string")
+    plan = token_count.count_tokens(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange" not in plan
+
+
+def test_pretokens_of_the_vocabulary():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    pieces = token_count.vocabulary_pretokens(path)
+    assert len(pieces) == len(set(pieces)) == token_count.FREQUENT and {" the", "s", " of"} <= set(pieces)
+    for piece in pieces[::97]:
+        assert len(library.pre_tokenizer.pre_tokenize_str(piece)) == 1
+    assert token_count.vocabulary_pretokens(path, 3) == pieces[:3]
+
+
 @pytest.mark.parametrize("op", [byte_bpe.encode, token_count.count_tokens, packing.pack])
 def test_empty_tables_and_clashing_names(op, no_documents, clashing):
     assert op(no_documents).count() == 0
