@@ -7,18 +7,19 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.skew import default_pieces
 from ..plans.tables import load
 from ..sources.state import cut
 from . import bloom
 from .pretokens import chunks
 from .workers import map_arrow
 
-# Passages with fewer words are too common to tell what they quote in another conversation.
-MIN_WORDS = 3
+# Passages with fewer words tell less of what is quoted: they come last where a message's parent is chosen.
+FEW = 3
 
 _MARKS = re.compile(r"(?:[ \t]{0,3}>)+[ \t]?")
 _END = re.compile(r"""[.!?…。！？]["')\]”’»]*$""")
@@ -111,7 +112,7 @@ def _parsed(df: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFr
 
 
 def _origins(messages: DataFrame, min_words: int, anywhere: bool) -> DataFrame:
-    """(conv, turn, level, words, away, p_conv, p_turn): the origin of each quoted passage that has one.
+    """(conv, turn, level, words, hash, away, p_conv, p_turn): the origin of each quoted passage that has one.
 
     A passage's origin is the first message that has it as its own text: an
     earlier one of the same conversation, of any length, or else, from
@@ -141,16 +142,16 @@ def _origins(messages: DataFrame, min_words: int, anywhere: bool) -> DataFrame:
     )
     one = F.min(F.struct("away", "p_conv", "p_turn")).alias("o")
     found = here.unionByName(there).groupBy("conv", "turn", "level", "words", "hash").agg(one)
-    return found.select("conv", "turn", "level", "words", "o.*")
+    return found.select("conv", "turn", "level", "words", "hash", "o.*")
 
 
-def _parents(origins: DataFrame, min_words: int) -> DataFrame:
+def _parents(origins: DataFrame) -> DataFrame:
     """(conv, turn, p_conv, p_turn): the message that each message replies to.
 
     It is the origin of its best passage: in the same conversation, of the lowest
     level, the longest. Short passages come last.
     """
-    short = F.col("words") < min_words
+    short = F.col("words") < FEW
     rank = F.struct(short.alias("few"), "away", "level", (-F.col("words")).alias("short"), "p_conv", "p_turn")
     best = origins.groupBy("conv", "turn").agg(F.min(rank).alias("b"))
     return best.select("conv", "turn", F.col("b.p_conv").alias("p_conv"), F.col("b.p_turn").alias("p_turn"))
@@ -212,7 +213,7 @@ def link_quotes(
     turn: str = "turn",
     role: str = "role",
     text: str = "text",
-    min_words: int = MIN_WORDS,
+    min_words: int = 1,
     anywhere: bool = False,
 ) -> DataFrame:
     """(conv, turn, role, body, n_quotes, parent_conv, parent_turn, thread, thread_turn, depth), one row per message.
@@ -222,8 +223,9 @@ def link_quotes(
     replies begins, and `depth` the number of replies from there. A message
     without a link begins a chain of its own at its place in its conversation, so
     rows ordered by (thread, thread_turn, depth, conv, turn) are conversations in
-    reply order. Passages of fewer than `min_words` words are linked within a
-    conversation only. Another conversation's message is quoted if it comes before
+    reply order (see `conversations`). The parent is the origin of one passage;
+    `links` has those of all. With `min_words`, passages of fewer words are linked
+    within a conversation only. Another conversation's message is quoted if it comes before
     by (conv, turn), or with `anywhere` whatever its place; circles are then opened
     at their first message. Rows without conv or turn have no link, and rows that share both
     get the same one. Null and empty texts have an empty body; other columns play
@@ -231,7 +233,7 @@ def link_quotes(
     """
     parsed = _parsed(df, conv, turn, role, text)
     messages = cut(parsed, "messages")
-    parents = cut(_parents(_origins(messages, min_words, anywhere), min_words), "parents")
+    parents = cut(_parents(_origins(messages, min_words, anywhere)), "parents")
     if anywhere:
         parents = _without_circles(parents)
     linked = cut(parents.join(_roots(parents), ["conv", "turn"]), "linked")
@@ -251,9 +253,67 @@ def link_quotes(
     )
 
 
+def links(
+    df: DataFrame,
+    conv: str = "conv_id",
+    turn: str = "turn",
+    text: str = "text",
+    min_words: int = 1,
+    anywhere: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """All links between messages: (conv, turn, level, words, passage, origin_conv, origin_turn) and (passage, conv, turn).
+
+    The first table has every quoted passage of every message with its origin,
+    null if nobody has written it; a message that quotes several has a row for
+    each. The second has all the messages whose own text has a quoted passage, of
+    which the origin is one, so that links to copies of it need not be listed in
+    pairs. Arguments, nulls and repeated rows are as for `link_quotes`.
+    """
+    messages = cut(_parsed(df.withColumn(text, F.col(text)), conv, turn, turn, text).drop("role", "body"), "messages")
+    each = messages.select("conv", "turn", F.explode("passages").alias("p")).select("conv", "turn", "p.*")
+    quoted = each.filter("level > 0").distinct()
+    keys = ["conv", "turn", "level", "words", "hash"]
+    known = _origins(messages, min_words, anywhere).select(*keys, "p_conv", "p_turn")
+    linked = quoted.join(known, keys, "left").select(
+        F.col("conv").alias(conv),
+        F.col("turn").alias(turn),
+        "level",
+        "words",
+        F.col("hash").alias("passage"),
+        F.col("p_conv").alias("origin_conv"),
+        F.col("p_turn").alias("origin_turn"),
+    )
+    hashes = cut(quoted.select("hash").distinct(), "hashes")
+    own = bloom.within(each.filter("level = 0").select("hash", "conv", "turn"), hashes, "hash").distinct()
+    return linked, own.select(F.col("hash").alias("passage"), F.col("conv").alias(conv), F.col("turn").alias(turn))
+
+
+def conversations(linked: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """`linked`, a result of `link_quotes`, with `position`: the message's number in its thread's conversation, from 0.
+
+    The order is that by (thread, thread_turn, depth, conv, turn): a reply comes
+    after what it answers. Keys of messages are stored in ranges of that order,
+    each range is numbered by itself, and only the ranges' counts per thread
+    meet, so a conversation may have any share of all messages. Rows that share
+    conv and turn have one position, those without conv or turn have none.
+    """
+    order = ["thread", "thread_turn", "depth", conv, turn]
+    each = linked.filter(F.col(conv).isNotNull() & F.col(turn).isNotNull()).select(*order).distinct()
+    ranged = each.repartitionByRange(default_pieces(each), *order)
+    stored = cut(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
+    in_range = Window.partitionBy("_range", "thread").orderBy(*order[1:])
+    counts = stored.groupBy("_range", "thread").agg(F.count(F.lit(1)).alias("_n"))
+    # at most one row per range and thread
+    earlier = Window.partitionBy("thread").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    skips = counts.select("_range", "thread", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_skip"))
+    numbered = stored.withColumn("_i", F.row_number().over(in_range)).join(skips, ["_range", "thread"])
+    positions = numbered.select(conv, turn, (F.col("_skip") + F.col("_i") - 1).alias("position"))
+    return linked.join(positions, [conv, turn], "left").select(*linked.columns, "position")
+
+
 def op7_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every message without quotes, with the message that it replies to and its place in the chain of replies."""
-    return link_quotes(load(spark, sf_dir, "conversations"), anywhere=True)
+    """Every message without quotes, with the message that it replies to and its place in the conversation of replies."""
+    return conversations(link_quotes(load(spark, sf_dir, "conversations"), anywhere=True))
 
 
 QUERIES = {"op7_quote_links": op7_quote_links}

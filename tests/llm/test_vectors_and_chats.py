@@ -183,11 +183,120 @@ def test_short_passages_sentences_and_origins_of_larger_ids(spark):
         (9, 2, "user", "> quoted before it is said\nwell"),
         (9, 3, "user", "quoted before it is said"),
     ]
-    got = {(r.conv_id, r.turn): r for r in quote_links.link_quotes(chats(spark, rows), anywhere=True).collect()}
-    parent = {k: (r.parent_conv, r.parent_turn) for k, r in got.items() if r.parent_conv is not None}
+    linked = quote_links.link_quotes(chats(spark, rows), anywhere=True).filter("parent_conv IS NOT NULL")
+    assert {(r.conv_id, r.turn): (r.parent_conv, r.parent_turn) for r in linked.collect()}[5, 1] == (1, 0)
+    got = {(r.conv_id, r.turn): r for r in quote_links.link_quotes(chats(spark, rows), min_words=3, anywhere=True).collect()}
+    parent ={k: (r.parent_conv, r.parent_turn) for k, r in got.items() if r.parent_conv is not None}
     circle = {(7, 0): (9, 0), (9, 0): (2, 0)}  # opened at its first message
     assert parent == {(1, 1): (1, 0), (1, 2): (5, 0), (9, 1): (9, 0), **circle}
     assert got[5, 1].n_quotes == 1
     assert {k: (r.thread, r.depth) for k, r in got.items() if r.thread == 2} == {
         (2, 0): (2, 0), (9, 0): (2, 1), (7, 0): (2, 2), (9, 1): (2, 2)
     }
+
+
+def plain_passages(text):
+    """(level, words) of paragraphs, lines and sentences, by a reading of its own."""
+    paragraphs, last = [], None
+    for line in (text or "").split("\n"):
+        level = 0
+        while line.lstrip(" ").startswith(">"):
+            line, level = line.lstrip(" ")[1:], level + 1
+        words = tuple(line.lower().split())
+        if not words:
+            last = None
+        elif last == level:
+            paragraphs[-1][1].append(words)
+        else:
+            paragraphs.append((level, [words]))
+            last = level
+    out = set()
+    for level, lines in paragraphs:
+        whole = sum(lines, ())
+        out |= {(level, whole), *((level, line) for line in lines)}
+        ends = [0, *(i + 1 for i, w in enumerate(whole) if w[-1] in ".!?"), len(whole)]
+        out |= {(level, whole[a:b]) for a, b in zip(ends, ends[1:], strict=False) if b > a}
+    return out
+
+
+def plain_conversations(rows):
+    """Links, parents, threads and positions by loops over all messages."""
+    parsed = {(c, t): plain_passages(x) for c, t, _, x in rows}
+    links, parent = {}, {}
+    for key, passages in parsed.items():
+        ranks = []
+        for level, words in passages:
+            if level:
+                having = sorted(k for k, ps in parsed.items() if (0, words) in ps)
+                near = [k for k in having if k[0] == key[0] and k[1] < key[1]]
+                origin = next(iter(near or [k for k in having if k[0] != key[0]]), None)
+                links[key, level, words] = origin
+                if origin:
+                    ranks.append((len(words) < 3, not near, level, -len(words), origin))
+        if ranks:
+            parent[key] = min(ranks)[-1]
+    opened = dict(parent)
+    for key in parent:
+        way = [key]
+        while way[-1] in parent and parent[way[-1]] not in way:
+            way.append(parent[way[-1]])
+        if way[-1] in parent and parent[way[-1]] == key and min(way) == key:
+            del opened[key]
+    place = {}
+    for key in parsed:
+        root, depth = key, 0
+        while root in opened:
+            root, depth = opened[root], depth + 1
+        place[key] = (*root, depth)
+    position, seen = {}, {}
+    for key in sorted(parsed, key=lambda k: (*place[k], *k)):
+        thread = place[key][0]
+        position[key] = seen.get(thread, 0)
+        seen[thread] = position[key] + 1
+    return links, opened, place, position
+
+
+def quoting(seed, n_conversations, lines):
+    rnd = np.random.default_rng(seed)
+    pick = lambda: lines[min(rnd.integers(len(lines)), rnd.integers(len(lines)))]
+    rows = []
+    for c in range(n_conversations):
+        for t in range(4):
+            text = []
+            for _ in range(rnd.integers(0, 3)):
+                text += ["> " * int(rnd.integers(1, 3)) + pick() for _ in range(rnd.integers(1, 3))] + [""] * int(rnd.integers(0, 2))
+            text += [pick() for _ in range(rnd.integers(0, 3))]
+            rows.append((c, t, "user", "\n".join(text)))
+    return rows
+
+
+def test_conversations_are_those_of_all_pairs(spark):
+    lines = ["Yes", "No, never.", *(f"Line {i} stands here. It has words{i}!" for i in range(40))]
+    rows = quoting(5, 25, lines)
+    df = chats(spark, rows)
+    links, parent, place, position = plain_conversations(rows)
+    got = {(r.conv_id, r.turn): r for r in quote_links.conversations(quote_links.link_quotes(df, anywhere=True)).collect()}
+    assert {k: (r.parent_conv, r.parent_turn) for k, r in got.items() if r.parent_conv is not None} == parent
+    assert {k: (r.thread, r.thread_turn, r.depth) for k, r in got.items()} == place
+    assert {k: r.position for k, r in got.items()} == position
+    table, having = quote_links.links(df, anywhere=True)
+    wanted = {(*key, level, quote_links._hash(list(words)), origin) for (key, level, words), origin in links.items()}
+    origin_of = lambda r: None if r.origin_conv is None else (r.origin_conv, r.origin_turn)
+    found_links = [(r.conv_id, r.turn, r.level, bytes(r.passage), origin_of(r)) for r in table.collect()]
+    assert len(found_links) == len(wanted) and set(found_links) == wanted
+    quoted = {words for _, _, words in links}
+    own = {(quote_links._hash(list(w)), c, t) for c, t, _, x in rows for level, w in plain_passages(x) if not level and w in quoted}
+    assert {(bytes(r.passage), r.conv_id, r.turn) for r in having.collect()} == own
+
+
+def test_conversations_of_odd_messages(spark):
+    df = chats(spark, [*CHATS, *CHATS, (6, 0, "user", "> yes " * 20_000 + "\n" + "no " * 20_000)])
+    rows = quote_links.conversations(quote_links.link_quotes(df, anywhere=True)).collect()
+    assert len(rows) == 2 * len(CHATS) + 1
+    assert {r.position for r in rows if r.conv_id is None or r.turn is None} == {None}
+    assert len({(r.thread, r.position) for r in rows if r.position is not None}) == len(CHATS) - 2 + 1
+    table, having = quote_links.links(df, anywhere=True)
+    assert table.filter("conv_id IS NULL AND origin_conv IS NOT NULL").count() == 0
+    empty = chats(spark, [])
+    assert quote_links.conversations(quote_links.link_quotes(empty)).count() == 0
+    assert [t.count() for t in quote_links.links(empty)] == [0, 0]
