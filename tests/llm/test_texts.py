@@ -2,11 +2,13 @@
 
 import hashlib
 import itertools
+import math
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from corpuskit.llm import bloom, components, exact_dedup, jaccard_join, license_scan, quality_rules, secret_scan
@@ -454,3 +456,42 @@ def test_rules_are_conjunctions_without_needless_conditions():
 def test_digest_is_of_the_normalised_text(documents):
     row = documents([(1, "a \x0b\x0c b c")]).select(exact_dedup.digest("text").alias("d")).first()
     assert bytes(row.d) == hashlib.sha256("a b c".encode()).digest()
+
+
+def plain_statistics(text):
+    words = re.split("[\x20\x09-\x0d]+", text or "")
+    n, chars = len(words), max(len(text or ""), 1)
+    number = lambda pattern: len(regex.findall(pattern, text or ""))
+    return {
+        "log_words": math.log2(n),
+        "word_length": len(text or "") / n,
+        "variety": math.log2(len(set(words)) + 1) / math.log2(n + 1),
+        "upper": number(r"\p{Lu}") / chars,
+        "symbols": number(r"[#$%&*@^~=<>{}\[\]\\_+/]") / n,
+        "bars": number(r"\|") / n,
+        "marks": number("[!?]") / n,
+        "stops": number("[.,;:]") / n,
+        "digits": number("[0-9]") / chars,
+        "lines": number("\n") / n,
+    }
+
+
+def test_statistics_are_those_of_plain_loops(odd_documents, documents):
+    more = documents([(100, "| A | B |\n|---|---|\n| 1.5 | Ünï_Code! |"), (101, " leading, and trailing; #$% \n\n"), (102, "  \x85x")])
+    for df in (odd_documents, more):
+        rows = df.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).collect()
+        got = {r.doc_id: r for r in quality_rules.described(df).collect()}
+        for r in rows:
+            for name, value in plain_statistics(r.text).items():
+                assert got[r.doc_id][name] == pytest.approx(value, rel=1e-12, abs=1e-15), (r.doc_id, name)
+
+
+def test_scores_are_sums_of_the_rules_that_hold(graded):
+    docs, labels = graded
+    stats = quality_rules.described(docs)
+    model = quality_rules.learned(stats, labels)
+    assert model.rules
+    for row in stats.withColumn("score", model.score()).collect():
+        holds = lambda c: (row[c.statistic] > c.bound) == c.above  # noqa: B023, E731
+        total = model.base + sum(w for w, rule in model.rules if all(map(holds, rule)))
+        assert row.score == pytest.approx(1 / (1 + math.exp(-total)), rel=1e-9)
