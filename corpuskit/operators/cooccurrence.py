@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +26,13 @@ LONG_LINE = 4096
 FILTER_BITS = 16
 FILTER_WORDS = 1 << 20
 
+# Frequent words that are numbered by their place in a dictionary, at most.
+DICTIONARY = 1 << 20
+
+# Pairs of lines that a task counts before it hands them on, and numbers in a block of partners.
+CHUNK = 1 << 24
+CELL = 1 << 14
+
 # Size of the row groups of stored lines, so that many tasks can share a file.
 ROW_GROUP = 8 << 20
 
@@ -89,39 +98,197 @@ def _bit(h: Column, size: int) -> tuple[Column, Column]:
     return place, F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(F.lit(63)).cast("int"))
 
 
-def _pairs_in_line(lists: DataFrame) -> DataFrame:
-    """(m, x, y), x < y, of all pairs of each ascending array `hs`, made where the line is."""
-    left = lists.select("m", "hs", F.posexplode("hs").alias("_i", "x"))
-    return left.select("m", "x", F.explode(F.slice("hs", F.col("_i") + 2, F.size("hs"))).alias("y"))
-
-
-def _pairs_of_blocks(lists: DataFrame, block: int) -> DataFrame:
-    """The same for long lines: blocks of a line meet as rows of their own, which are dealt out to all tasks."""
+def _blocks(lists: DataFrame, block: int) -> DataFrame:
+    """(xs, ys) for long lines: blocks of a line meet as rows of their own, dealt out to all tasks; no ys: with itself."""
     n = F.size("hs")
     starts = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(block))
     blocks = F.transform(starts, lambda i: F.slice("hs", i + 1, F.lit(block)))
-    split = lists.select("m", blocks.alias("_bs"))
-    left = split.select("m", "_bs", F.posexplode("_bs").alias("_b", "_xs"))
-    met = left.select("m", "_xs", F.posexplode(F.slice("_bs", F.col("_b") + 1, F.size("_bs"))).alias("_c", "_ys"))
-    dealt = met.repartition("_xs", "_ys")
-    xs = dealt.select("m", "_c", "_ys", F.explode("_xs").alias("x"))
-    return xs.select("m", "_c", "x", F.explode("_ys").alias("y")).filter("_c > 0 OR x < y").select("m", "x", "y")
+    split = lists.select(blocks.alias("_bs"))
+    left = split.select("_bs", F.posexplode("_bs").alias("_b", "xs"))
+    met = left.select("xs", F.posexplode(F.slice("_bs", F.col("_b") + 1, F.size("_bs"))).alias("_c", "ys"))
+    return met.repartition("xs", "ys").select("xs", F.when(F.col("_c") > 0, F.col("ys")).alias("ys"))
+
+
+def _dictionary(frequent: DataFrame, size: int):
+    """The hashes of at most `size` of the words, ascending, the place of each by frequency, and if these are all.
+
+    Hashes that could be taken for a place are always among them.
+    """
+    first = F.col("h").between(0, size - 1).desc()
+    listed = frequent.orderBy(first, F.desc("df"), "h").select("h").limit(size + 1).toArrow()["h"].to_numpy()
+    kept = listed[:size]
+    order = np.argsort(kept)
+    return kept[order], order.astype(np.int64), len(listed) <= size
+
+
+def _numbered(dictionary):
+    """For mapInArrow: the column `h`, hashes, as numbers: the place in the dictionary, or the hash without one.
+
+    A function inside a function travels to the executors by value.
+    """
+    hashes, places, _ = dictionary
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch["h"].to_numpy()
+            if len(h) and len(hashes):
+                i = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+                h = np.where(hashes[i] == h, places[i], h)
+            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()) if n == "h" else batch[n] for n in batch.schema.names], batch.schema.names)
+
+    return run
+
+
+def _counted_pairs(dictionary, chunk: int):
+    """For mapInArrow: from (xs, ys) to (x, block, ys, ns, m): how often each x < y of a run of `chunk` pairs is met.
+
+    A row has the partners of x in a block of CELL numbers, as their places in
+    the block, and m pairs in all. Pairs within xs, or of xs and ys, are made
+    for all rows with as many words at once, sorted and counted.
+    """
+    hashes, places, whole = dictionary
+    cell = CELL
+
+    def numbers(column):
+        """Numbers of all words of the rows, and how many each row has; unknown words are left out."""
+        n = np.diff(column.offsets.to_numpy()) if len(column) else np.zeros(0, np.int64)
+        row = np.repeat(np.arange(len(column)), n)
+        h = column.flatten().to_numpy()
+        if len(hashes):
+            i = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+            hit = hashes[i] == h
+            h = np.where(hit, places[i], h)
+        else:
+            hit = np.zeros(len(h), bool)
+        if whole:
+            h, row = h[hit], row[hit]
+        return h, np.bincount(row, minlength=len(column))
+
+    def alike(h, n):
+        """For each length: the rows with as many words, as a table."""
+        at = np.cumsum(n) - n
+        for k in np.unique(n):
+            rows = np.flatnonzero(n == k)
+            yield k, rows, h[at[rows][:, None] + np.arange(k)]
+
+    def made(batch):
+        """Arrays (x, y) of numbers, of at most about a chunk each."""
+        within = batch["ys"].is_null()
+        h, n = numbers(batch["xs"].filter(within))
+        for k, rows, table in alike(h, n):
+            if k < 2:
+                continue
+            table.sort(axis=1)
+            step = max(1, 2 * chunk // (k * (k - 1)))
+            for r in range(0, len(rows), step):
+                some = table[r : r + step]
+                for i in range(k - 1):
+                    yield np.repeat(some[:, i], k - 1 - i), some[:, i + 1 :].ravel()
+        across = batch.filter(batch["ys"].is_valid())
+        if len(across):
+            (h, n), (g, m) = numbers(across["xs"]), numbers(across["ys"])
+            a, b = np.cumsum(n) - n, np.cumsum(m) - m
+            for r in range(len(across)):
+                x, y = np.repeat(h[a[r] : a[r] + n[r]], m[r]), np.tile(g[b[r] : b[r] + m[r]], n[r])
+                yield np.minimum(x, y), np.maximum(x, y)
+
+    def cells(xs, ys):
+        x, y = np.concatenate(xs), np.concatenate(ys)
+        if whole:  # places are small
+            packed = (x << 32) | y
+            names = None
+        else:
+            names = np.unique(np.concatenate([np.unique(x), np.unique(y)]))
+            packed = (np.searchsorted(names, x) << 32) | np.searchsorted(names, y)
+        del x, y
+        packed.sort()
+        first = np.flatnonzero(np.concatenate([[True], packed[1:] != packed[:-1]]))
+        counts = np.diff(np.append(first, len(packed)))
+        packed = packed[first]
+        x, y = packed >> 32, packed & 0xFFFFFFFF
+        if names is not None:
+            x, y = names[x], names[y]
+        block = y // cell
+        begin = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (block[1:] != block[:-1])]))
+        offsets = pa.array(np.append(begin, len(x)), pa.int32())
+        columns = [
+            pa.array(x[begin]),
+            pa.array(block[begin]),
+            pa.ListArray.from_arrays(offsets, pa.array(y - block * cell, pa.int16())),
+            pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int32())),
+            pa.array(np.add.reduceat(counts, begin)),
+        ]
+        whole_batch = pa.RecordBatch.from_arrays(columns, ["x", "block", "ys", "ns", "m"])
+        for r in range(0, len(whole_batch), 1 << 16):
+            yield whole_batch.slice(r, 1 << 16)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        xs, ys, n = [], [], 0
+        for batch in batches:
+            for x, y in made(batch):
+                if n + len(x) > chunk and n:
+                    yield from cells(xs, ys)
+                    xs, ys, n = [], [], 0
+                xs.append(x)
+                ys.append(y)
+                n += len(x)
+        if n:
+            yield from cells(xs, ys)
+
+    return run
+
+
+def _summed_cells(min_count: int):
+    """For mapInArrow: (x, y, n), n >= min_count, from (x, block, runs), runs being (ys, ns) of a cell."""
+    cell = CELL
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = batch["runs"].flatten()
+            if not len(runs):
+                continue
+            ys, ns = runs.field("ys"), runs.field("ns")
+            row = np.repeat(np.arange(len(batch)), np.diff(batch["runs"].offsets.to_numpy()))
+            row = np.repeat(row, np.diff(ys.offsets.to_numpy()))
+            at = row * cell + ys.flatten().to_numpy()
+            low = 0
+            # a thousand cells at a time
+            for r in range(0, len(batch), 1024):
+                high = np.searchsorted(row, r + 1024)
+                n = np.bincount(at[low:high] - r * cell, weights=ns.flatten().to_numpy()[low:high])
+                found = np.flatnonzero(n >= min_count)
+                of = found // cell + r
+                y = batch["block"].to_numpy()[of] * cell + found % cell
+                columns = [pa.array(batch["x"].to_numpy()[of]), pa.array(y), pa.array(n[found].astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["x", "y", "n"])
+                low = high
+
+    return run
 
 
 def _unordered_counts(
-    words: Vocabulary, min_count: int, filter_size: int | None = None, long_line: int = LONG_LINE
+    words: Vocabulary,
+    min_count: int,
+    filter_size: int | None = None,
+    long_line: int = LONG_LINE,
+    dictionary_size: int = DICTIONARY,
+    chunk: int = CHUNK,
 ) -> tuple[DataFrame, DataFrame]:
-    """(x, y, n), each unordered pair of hashes once with n >= min_count, and the frequent words (word, h, df).
+    """(x, y, n), each unordered pair of numbers once with n >= min_count, and the frequent words (word, h, df), h a number.
 
     A pair occurs in no more lines than either word, so words below `min_count`
     leave before pairing, which changes no result: the filter takes out nearly all
-    in the row, the join by which pairs get their names the rest. Lists of words
-    are put together where they are equal, pairs are made in the task that reads
-    a list and partly counted there; no occurrence of a word is ever shuffled.
+    in the row, the join by which pairs get their names the rest. The most frequent
+    words are numbered by their place in a dictionary of bounded size, the others
+    by their hash. The task that reads lines makes their pairs and counts them, a
+    run of `chunk` at a time; what is shuffled are rows of the partners of a
+    word in a block of numbers, a few bytes a pair. No occurrence of a word is
+    ever shuffled. Cells with fewer than `min_count` pairs in all are left there.
     """
     frequent = cut(words.counted.filter(F.col("df") >= min_count), "frequent")
     bits, size = frequent_filter(frequent, filter_size)
     bits = cut(bits, "filter").scalar()
+    dictionary = _dictionary(frequent, dictionary_size)
 
     def known(h: Column) -> Column:
         place, bit = _bit(h, size)
@@ -129,13 +296,17 @@ def _unordered_counts(
 
     hashed = words.lines.select(F.transform("words", lambda w: _hash(w, words.salt)).alias("hs"), bits.alias("_bits"))
     # the optimizer makes one projection of the two: no row carries the filter
-    lists = hashed.select(F.sort_array(F.filter("hs", known)).alias("hs"))
-    # lines with the same words are paired once; this also deals the lines out, whatever file they were in
-    lists = cut(lists.groupBy("hs").agg(F.count(F.lit(1)).alias("m")), "lists", row_group=ROW_GROUP)
-    short = _pairs_in_line(lists.filter(F.size("hs") <= long_line))
-    long = _pairs_of_blocks(lists.filter(F.size("hs") > long_line), BLOCK)
-    counts = short.union(long).groupBy("x", "y").agg(F.sum("m").alias("n"))
-    return counts.filter(F.col("n") >= min_count), frequent
+    lists = hashed.select(F.filter("hs", known).alias("hs"))
+    short = lists.filter(F.size("hs").between(2, long_line)).select(
+        F.col("hs").alias("xs"), F.lit(None).cast("array<bigint>").alias("ys")
+    )
+    long = _blocks(lists.filter(F.size("hs") > long_line), BLOCK)
+    schema = "x bigint, block bigint, ys array<smallint>, ns array<int>, m bigint"
+    cells = short.union(long).mapInArrow(_counted_pairs(dictionary, chunk), schema)
+    run = F.collect_list(F.struct("ys", "ns")).alias("runs")
+    cells = cells.groupBy("x", "block").agg(F.sum("m").alias("m"), run).filter(F.col("m") >= min_count)
+    counts = cells.drop("m").mapInArrow(_summed_cells(min_count), "x bigint, y bigint, n bigint")
+    return counts, frequent.mapInArrow(_numbered(dictionary), frequent.schema)
 
 
 def _named(counts: DataFrame, frequent: DataFrame, *carry: str) -> DataFrame:

@@ -165,6 +165,26 @@ def test_occurrences_of_words_are_never_shuffled(lines):
     assert all("hashpartitioning(x" in x or "_xs" in x for x in exchanges) and exchanges
 
 
+@pytest.mark.parametrize("size", [0, 7, 1 << 20])
+@pytest.mark.parametrize("chunk", [1, 50, 1 << 20])
+def test_pairs_are_the_same_with_any_dictionary_and_chunk(lines, size, chunk):
+    texts = [*many_lines(), *many_lines()[:50], None, "", "hot", "rare ai"]
+    expected = {}
+    for text in texts:
+        for a, b in combinations(sorted(set((text or "").split())), 2):
+            expected[a, b] = expected.get((a, b), 0) + 1
+    options = {"dictionary_size": size, "chunk": chunk, "long_line": 7 if chunk == 50 else 100}
+    counts, frequent = cooccurrence._unordered_counts(op.vocabulary(lines(texts)), 10, **options)
+    got = {tuple(sorted((r.x, r.y))): r.n for r in cooccurrence._named(counts, frequent).collect()}
+    assert got == {k: n for k, n in expected.items() if n >= 10}
+
+
+def test_partners_travel_as_lists_not_as_pairs(lines):
+    counts, _ = cooccurrence._unordered_counts(op.vocabulary(lines(many_lines())), 10)
+    exchanges = [x for _, x in plan_lines(counts) if "hashpartitioning(x#" in x]
+    assert exchanges and all(", block" in x and ", y" not in x for x in exchanges)
+
+
 def test_lines_of_two_files_are_apart(spark, tmp_path):
     (tmp_path / "a.txt").write_text("red fox\nblue sky\n")
     (tmp_path / "b.txt").write_text("new car\nold house\n")
