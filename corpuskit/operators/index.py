@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.state import cut
+from ..sources.state import cut, cut_counted, tasks_for
 from .skew import default_pieces
 
 SEGMENT_SIZE = 1 << 16
@@ -32,11 +32,16 @@ KEYS = ("docno",)
 
 
 def postings(docs: DataFrame, line: str = "line", keys: Sequence[str] = KEYS) -> DataFrame:
-    """(term, keys, tf), one row per term and document."""
+    """(term, keys, tf), one row per term and document.
+
+    Occurrences are dealt out as they are: a term comes again only within its
+    document, so a task that counted what it reads would hold nearly all of it.
+    """
     from .text_stats import words
 
     return (
         words(docs, line, *keys)
+        .repartition(tasks_for(docs.sparkSession, 0), "word", *keys)
         .groupBy(F.col("word").alias("term"), *keys)
         .agg(F.count(F.lit(1)).cast("int").alias("tf"))
     )
@@ -189,6 +194,9 @@ def postings_table(
 ) -> DataFrame:
     """(term, .., segment, cells) with cells a map docno -> tf; a repeated cell is summed."""
     *within, _ = keys
-    cells = postings.groupBy("term", *keys).agg(F.sum("tf").cast("int").alias("tf"))
+    # stored first, so that a task sums a bounded number of cells, and sums only
+    stored, n = cut_counted(postings, "postings")
+    dealt = stored.repartition(tasks_for(stored.sparkSession, n), "term", *keys)
+    cells = dealt.groupBy("term", *keys).agg(F.sum("tf").cast("int").alias("tf"))
     index = inverted_index(cells, segment_size, keys, longest)
     return index.select("term", *within, "segment", F.map_from_entries("postings").alias("cells"))

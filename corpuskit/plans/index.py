@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..functions import tokenize
 from ..sources import create_cells, cut, read_skips, upsert_cells, write_segments
-from ..sources.state import fresh_path
+from ..sources.state import cut_counted, fresh_path, tasks_for
 from .tables import LINE, SQL_POSTINGS, SQL_TOKENS, _token_list, document_lines, load, sql_benchmark_terms, whole_documents
 
 # Postings per index segment; even the smaller tables have lists of more than one.
@@ -100,8 +100,10 @@ def _benchmark_postings(spark, sf):
 
 def _cells_upserted(spark, sf):
     """Cells of the documents, and then those of the benchmark items with the same numbers."""
-    table = create_cells(_postings(spark, sf), "cells")
-    return upsert_cells(table, _benchmark_postings(spark, sf), "cells")
+    postings, n = cut_counted(_postings(spark, sf), "postings")
+    buckets = tasks_for(spark, n)
+    table = create_cells(postings, "cells", buckets)
+    return upsert_cells(table, _benchmark_postings(spark, sf), "cells", buckets)
 
 
 QUERIES = {

@@ -10,9 +10,11 @@ from .state import bucketed
 KEY = ("term", "docno")
 
 
-def _summed(cells: DataFrame) -> DataFrame:
-    """One row per cell; cells without term or docno are left out."""
+def _summed(cells: DataFrame, buckets: int | None = None) -> DataFrame:
+    """One row per cell, summed in their buckets if their number is given; cells without term or docno are left out."""
     known = cells.filter("term IS NOT NULL AND docno IS NOT NULL")
+    if buckets:
+        known = known.repartition(buckets, *KEY)
     return known.groupBy(*KEY).agg(F.sum("tf").cast("int").alias("tf"))
 
 
@@ -20,9 +22,10 @@ def create_cells(cells: DataFrame, name: str, buckets: int | None = None) -> Dat
     """A table (term, docno, tf) in buckets by (term, docno), each sorted by it; repeated cells are summed.
 
     Buckets by the whole key are even, however many cells a term has, and the
-    statistics of sorted files find a term's cells in each.
+    statistics of sorted files find a term's cells in each. A task sums and sorts
+    a bucket, so `tasks_for` the cells is a good number of them.
     """
-    return bucketed(_summed(cells), name, KEY, buckets)
+    return bucketed(_summed(cells, buckets), name, KEY, buckets)
 
 
 def merged_cells(table: DataFrame, more: DataFrame) -> DataFrame:

@@ -5,21 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .state import TASK_ROWS, cut_counted, tasks_for
+
 # Postings in a segment.
 SEGMENT_ROWS = 1 << 16
 
 
-def write_segments(postings: DataFrame, path: str, parts: int, segment_rows: int = SEGMENT_ROWS) -> None:
+def write_segments(
+    postings: DataFrame, path: str, parts: int, segment_rows: int = SEGMENT_ROWS, part_rows: int = TASK_ROWS
+) -> None:
     """Postings (term, docno, tf) under <path>/postings/part=N and what they span under <path>/skips.
 
     Parts are ranges of (term, docno), so a term that is too frequent for one
-    goes on in the next. Within a part, in that order, every `segment_rows` rows
+    goes on in the next. There are `parts` of them, or more where one would have
+    more than about `part_rows` rows, which a task sorts. Within a part, in that order, every `segment_rows` rows
     begin a new segment, and so does every term. `skips` has a row (term, part,
     segment, lowest, highest, n) for each. Replaces what is at `path`. Null terms
     are left out; an empty table gives empty files.
     """
     spark = postings.sparkSession
-    rows = postings.select("term", "docno", "tf").filter("term IS NOT NULL")
+    # stored first: the ranges come from a sample, for which the postings would be made twice
+    rows, n = cut_counted(postings.select("term", "docno", "tf").filter("term IS NOT NULL"), "postings")
+    parts = tasks_for(spark, n, parts, part_rows)
     ranged = rows.repartitionByRange(parts, "term", "docno").sortWithinPartitions("term", "docno")
     # the id counts the rows of a partition, in their order, in its lower 33 bits
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))

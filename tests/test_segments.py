@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from corpuskit import operators as op
 from corpuskit import sources as src
+from corpuskit.sources.cells import _summed
+from corpuskit.sources.state import tasks_for
 
 POSTINGS = "term string, docno bigint, tf int"
 
@@ -106,3 +108,37 @@ def test_the_table_is_merged_where_it_lies(spark):
     # one term, but even buckets
     sizes = [r["count"] for r in table.groupBy(F.input_file_name()).count().collect()]
     assert len(sizes) == 4 and max(sizes) < 2 * min(sizes)
+
+
+def test_parts_of_an_index_are_bounded(spark, tmp_path):
+    rows = spark.createDataFrame([(f"t{i % 7}", i, 1) for i in range(2000)], POSTINGS)
+    path = f"{tmp_path}/i"
+    src.write_segments(rows, path, 1, 10, part_rows=100)
+    sizes = [r.n for r in src.read_skips(spark, path).groupBy("part").agg(F.sum("n").alias("n")).collect()]
+    assert sum(sizes) == 2000 and len(sizes) > 15 and max(sizes) <= 200
+    found = op.skipping_query(spark, path, "t3").collect()
+    assert sorted(r.docno for r in found) == list(range(3, 2000, 7))
+
+
+def test_tasks_grow_with_the_rows():
+    assert [tasks_for(None, rows, 3, 4) for rows in (0, 12, 13, 400)] == [3, 3, 4, 100]
+
+
+def test_cells_are_summed_in_their_buckets(spark):
+    rows = spark.createDataFrame([("a", i % 50, 1) for i in range(500)], POSTINGS)
+    lines = [x for _, x in plan_lines(_summed(rows, 6))]
+    exchanges = [x for x in lines if "Exchange" in x]
+    assert len(exchanges) == 1 and re.search(r"hashpartitioning\(term#\d+, docno#\d+L, 6\)", exchanges[0])
+    table = src.create_cells(rows, "cells", 6)
+    assert cells(table) == {("a", i): 10 for i in range(50)}
+    assert cells(src.upsert_cells(table, rows, "cells", 6)) == {("a", i): 20 for i in range(50)}
+
+
+def test_postings_are_not_counted_where_they_are_read(spark):
+    docs = spark.createDataFrame([(1, "a b a"), (1, "a"), (None, "b"), (None, "b")], "docno bigint, line string")
+    found = op.postings(docs)
+    lines = [x for _, x in plan_lines(found)]
+    last = max(i for i, x in enumerate(lines) if "Exchange" in x)
+    assert not any("Aggregate" in x for x in lines[last:])
+    rows = {(r.term, r.docno): r.tf for r in found.collect()}
+    assert rows == {("a", 1): 3, ("b", 1): 1, ("b", None): 2}
