@@ -25,6 +25,9 @@ SEGMENT_SIZE = 1 << 16
 # Postings of a list that is put together in one row.
 LONGEST = 1 << 16
 
+# Hashes by which lists are counted first; a power of two.
+BUCKETS = 1 << 16
+
 # Segments whose sums are added up together when gaps are decoded.
 GROUP = 1 << 10
 
@@ -91,16 +94,29 @@ def _placed(postings: DataFrame, segment_size: int, keys: Sequence[str]) -> Data
     )
 
 
+def _long_lists(stored: DataFrame, listed: Sequence[str], longest: int, buckets: int = BUCKETS) -> DataFrame:
+    """(listed): the lists of more than `longest` postings, exactly.
+
+    Postings are counted by a hash of their list first, which each task reduces
+    to `buckets` rows; only lists in buckets that are full enough are counted by
+    themselves.
+    """
+    hashed = stored.select(*listed, F.xxhash64(*listed).bitwiseAND(F.lit(buckets - 1)).alias("_bucket"))
+    counts = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
+    full = cut(counts.filter(F.col("n") > longest).select("_bucket"), "full")
+    sizes = hashed.join(full, "_bucket", "left_semi").groupBy(*listed).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.filter(F.col("n") > longest).select(*listed)
+
+
 def _lists(postings: DataFrame, keys: Sequence[str], longest: int) -> tuple[DataFrame, DataFrame | None]:
     """(term, .., df, list) of all lists of at most `longest` postings, by docno, and the postings of the others.
 
-    Only counts are shuffled to tell them apart; there are few of the others.
+    Only few counts are shuffled to tell them apart; there are few of the others.
     """
     *within, docno = keys
     listed = ["term", *within]
     stored = cut(postings.filter(F.col("term").isNotNull()).select(*listed, docno, "tf"), "postings")
-    sizes = stored.groupBy(*listed).agg(F.count(F.lit(1)).alias("n"))
-    long = cut(sizes.filter(F.col("n") > longest).select(F.struct(*listed).alias("_list")), "long")
+    long = cut(_long_lists(stored, listed, longest).select(F.struct(*listed).alias("_list")), "long")
     rest = None
     if not long.isEmpty():
         named = stored.withColumn("_list", F.struct(*listed))

@@ -186,3 +186,13 @@ def test_short_lists_need_one_shuffle_of_the_postings(spark):
     docs = spark.createDataFrame([(i, "a b c") for i in range(50)], "docno bigint, line string")
     index = op.inverted_index(op.postings(docs), 10)
     assert sum("Exchange" in line for _, line in plan_lines(index)) == 1
+
+
+@pytest.mark.parametrize("buckets", [1, 4, 1 << 16])
+def test_long_lists_are_found_by_way_of_buckets(spark, buckets):
+    sizes = {"a": 9, "b": 10, "c": 11, "d": 40, "e": 1}
+    rows = [(t, p, i, 1) for t, n in sizes.items() for p in (1, None) for i in range(n)]
+    stored = spark.createDataFrame(rows, "term string, path bigint, docno bigint, tf int")
+    found = index._long_lists(stored, ["term", "path"], 10, buckets)
+    assert {(r.term, r.path) for r in found.collect()} == {(t, p) for t in "cd" for p in (1, None)}
+    assert index._long_lists(stored, ["term", "path"], 40, buckets).isEmpty()
