@@ -29,9 +29,16 @@ FILTER_WORDS = 1 << 20
 # Frequent words that are numbered by their place in a dictionary, at most.
 DICTIONARY = 1 << 20
 
-# Pairs of lines that a task counts before it hands them on, and numbers in a block of partners.
+# Pairs of lines that a task counts before it hands them on.
 CHUNK = 1 << 24
-CELL = 1 << 14
+
+# Pairs of lines, before they are counted, whose counts meet in one row, and blocks of partners of a group of words.
+MEETING = 1 << 22
+PARTNER_BLOCKS = 16
+
+# Numbers below HOT have their partners, CELL numbers together, in all blocks.
+HOT = 1 << 12
+CELL = 1 << 12
 
 # Size of the row groups of stored lines, so that many tasks can share a file.
 ROW_GROUP = 8 << 20
@@ -43,12 +50,14 @@ SALTS = 16
 @dataclass(frozen=True)
 class Vocabulary:
     """lines(keys, words): the different words of each line, stored. counted(word, h, df): every word, its
-    hash, which no other word has, and in how many lines it is. n_lines: how many lines there are."""
+    hash, which no other word has, and in how many lines it is. n_lines: how many lines there are, n_pairs: how
+    many pairs of words they have."""
 
     lines: DataFrame
     counted: DataFrame
     salt: int
     n_lines: int
+    n_pairs: int
 
 
 def _hash(word: Column | str, salt: int) -> Column:
@@ -63,14 +72,16 @@ def vocabulary(lines: DataFrame, line: str = "line", first_salt: int = 0, salts:
     64-bit hashes; if two words of all have the same one, the next salt is taken.
     """
     counter = Observation()
-    found = lines.select(vocab(line).alias("words")).observe(counter, F.count(F.lit(1)).alias("n"))
+    n = F.size("words").cast("bigint")
+    pairs = F.sum(F.when(n > 1, n * (n - 1) / 2)).cast("bigint")
+    found = lines.select(vocab(line).alias("words")).observe(counter, F.count(F.lit(1)).alias("n"), pairs.alias("pairs"))
     stored = cut(found, "lines", row_group=ROW_GROUP)
     each = stored.select(F.explode("words").alias("word"))
     counted = cut(each.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "words")
     for salt in range(first_salt, first_salt + salts):
         hashed = counted.select("word", make("word", salt).alias("h"), "df")
         if hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
-            return Vocabulary(stored, hashed, salt, counter.get["n"])
+            return Vocabulary(stored, hashed, salt, counter.get["n"], counter.get["pairs"] or 0)
     raise RuntimeError("words have equal hashes with all salts")
 
 
@@ -139,15 +150,56 @@ def _numbered(dictionary):
     return run
 
 
-def _counted_pairs(dictionary, chunk: int):
-    """For mapInArrow: from (xs, ys) to (x, block, ys, ns, m): how often each x < y of a run of `chunk` pairs is met.
+def _pair_lists():
+    """Two functions: counted pairs, ordered by (x, y), as bytes, and back.
 
-    A row has the partners of x in a block of CELL numbers, as their places in
-    the block, and m pairs in all. Pairs within xs, or of xs and ys, are made
-    for all rows with as many words at once, sorted and counted.
+    Kept are the different x and how many y each has, the gaps between the y of
+    an x and the counts; the bytes of equal weight lie together and are
+    compressed, which leaves about one byte a pair.
+    """
+    def begins(x):
+        return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+
+    def packed(x, y, n) -> bytes:
+        begin = begins(x)
+        # differences wrap around where numbers are hashes
+        gaps = np.diff(y, prepend=y[:1])
+        gaps[begin] = y[begin]
+        columns = [np.diff(x[begin], prepend=0), np.diff(np.append(begin, len(x))), gaps, n]
+        width = 4 if all(0 <= c.min() and c.max() < 1 << 31 for c in columns) else 8
+        planes = [c.astype(f"<i{width}").view(np.uint8).reshape(-1, width).T.ravel() for c in columns]
+        head = np.array([width, len(begin), len(x)], "<i8").tobytes()
+        return head + pa.compress(np.concatenate(planes), "zstd", asbytes=True)
+
+    def unpacked(data: bytes):
+        width, k, m = np.frombuffer(data, "<i8", 3).tolist()
+        raw = np.frombuffer(pa.decompress(data[24:], 2 * width * (k + m), "zstd", asbytes=True), np.uint8)
+        columns, at = [], 0
+        for size in (k, k, m, m):
+            planes = raw[at : at + size * width].reshape(width, size)
+            columns.append(np.ascontiguousarray(planes.T).view(f"<i{width}").ravel().astype(np.int64))
+            at += size * width
+        steps, sizes, gaps, n = columns
+        sums = np.cumsum(gaps)
+        begin = np.cumsum(sizes) - sizes
+        y = sums - np.repeat(sums[begin] - gaps[begin], sizes)
+        return np.repeat(np.cumsum(steps), sizes), y, n
+
+    return packed, unpacked
+
+
+def _counted_pairs(dictionary, chunk: int, groups: int):
+    """For mapInArrow: from (xs, ys) to (x, block, list, m): how often each pair x < y of a run of `chunk` pairs is met.
+
+    A row has the pairs of a run whose x is in one of `groups` groups and whose
+    y is in one of PARTNER_BLOCKS blocks, as bytes (`_pair_lists`), m in all.
+    Only the partners of the most frequent x are spread over blocks. Pairs within
+    xs, or of xs and ys, are made for all rows with as many words at once, sorted
+    and counted.
     """
     hashes, places, whole = dictionary
-    cell = CELL
+    hot, cell, blocks = HOT, CELL, PARTNER_BLOCKS
+    packed_list, _ = _pair_lists()
 
     def numbers(column):
         """Numbers of all words of the rows, and how many each row has; unknown words are left out."""
@@ -192,6 +244,9 @@ def _counted_pairs(dictionary, chunk: int):
                 x, y = np.repeat(h[a[r] : a[r] + n[r]], m[r]), np.tile(g[b[r] : b[r] + m[r]], n[r])
                 yield np.minimum(x, y), np.maximum(x, y)
 
+    def mixed(number):
+        return ((number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
+
     def cells(xs, ys):
         x, y = np.concatenate(xs), np.concatenate(ys)
         if whole:  # places are small
@@ -208,19 +263,19 @@ def _counted_pairs(dictionary, chunk: int):
         x, y = packed >> 32, packed & 0xFFFFFFFF
         if names is not None:
             x, y = names[x], names[y]
-        block = y // cell
-        begin = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (block[1:] != block[:-1])]))
-        offsets = pa.array(np.append(begin, len(x)), pa.int32())
+        spread = np.where((x >= 0) & (x < hot), y // cell, x)
+        group = mixed(x) % groups * blocks + mixed(spread) % blocks
+        order = np.argsort(group, kind="stable")
+        group, x, y, counts = group[order], x[order], y[order], counts[order]
+        ends = np.append(np.flatnonzero(group[1:] != group[:-1]) + 1, len(group))
+        begin = np.append(0, ends[:-1])
         columns = [
-            pa.array(x[begin]),
-            pa.array(block[begin]),
-            pa.ListArray.from_arrays(offsets, pa.array(y - block * cell, pa.int16())),
-            pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int32())),
+            pa.array(group[begin] // blocks, pa.int64()),
+            pa.array(group[begin] % blocks, pa.int64()),
+            pa.array([packed_list(x[a:b], y[a:b], counts[a:b]) for a, b in zip(begin, ends)], pa.binary()),
             pa.array(np.add.reduceat(counts, begin)),
         ]
-        whole_batch = pa.RecordBatch.from_arrays(columns, ["x", "block", "ys", "ns", "m"])
-        for r in range(0, len(whole_batch), 1 << 16):
-            yield whole_batch.slice(r, 1 << 16)
+        yield pa.RecordBatch.from_arrays(columns, ["x", "block", "list", "m"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         xs, ys, n = [], [], 0
@@ -238,30 +293,30 @@ def _counted_pairs(dictionary, chunk: int):
     return run
 
 
-def _summed_cells(min_count: int):
-    """For mapInArrow: (x, y, n), n >= min_count, from (x, block, runs), runs being (ys, ns) of a cell."""
-    cell = CELL
+def _summed_lists(min_count: int):
+    """For mapInArrow: (x, y, n), n >= min_count, from (x, block, lists), lists being those of all runs."""
+    _, unpacked_list = _pair_lists()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            runs = batch["runs"].flatten()
-            if not len(runs):
-                continue
-            ys, ns = runs.field("ys"), runs.field("ns")
-            row = np.repeat(np.arange(len(batch)), np.diff(batch["runs"].offsets.to_numpy()))
-            row = np.repeat(row, np.diff(ys.offsets.to_numpy()))
-            at = row * cell + ys.flatten().to_numpy()
-            low = 0
-            # a thousand cells at a time
-            for r in range(0, len(batch), 1024):
-                high = np.searchsorted(row, r + 1024)
-                n = np.bincount(at[low:high] - r * cell, weights=ns.flatten().to_numpy()[low:high])
-                found = np.flatnonzero(n >= min_count)
-                of = found // cell + r
-                y = batch["block"].to_numpy()[of] * cell + found % cell
-                columns = [pa.array(batch["x"].to_numpy()[of]), pa.array(y), pa.array(n[found].astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, ["x", "y", "n"])
-                low = high
+            for lists in batch["lists"]:
+                x, y, n = (np.concatenate(c) for c in zip(*(unpacked_list(v.as_py()) for v in lists.values)))
+                names = None
+                if min(x.min(), y.min()) < 0 or max(x.max(), y.max()) >= 1 << 31:
+                    names = np.unique(np.concatenate([x, y]))
+                    x, y = np.searchsorted(names, x), np.searchsorted(names, y)
+                pairs = (x << 32) | y
+                del x, y
+                order = np.argsort(pairs, kind="stable")
+                pairs, n = pairs[order], n[order]
+                first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
+                n = np.add.reduceat(n, first)
+                found = n >= min_count
+                pairs, n = pairs[first[found]], n[found]
+                x, y = pairs >> 32, pairs & 0xFFFFFFFF
+                if names is not None:
+                    x, y = names[x], names[y]
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(n)], ["x", "y", "n"])
 
     return run
 
@@ -281,9 +336,10 @@ def _unordered_counts(
     in the row, the join by which pairs get their names the rest. The most frequent
     words are numbered by their place in a dictionary of bounded size, the others
     by their hash. The task that reads lines makes their pairs and counts them, a
-    run of `chunk` at a time; what is shuffled are rows of the partners of a
-    word in a block of numbers, a few bytes a pair. No occurrence of a word is
-    ever shuffled. Cells with fewer than `min_count` pairs in all are left there.
+    run of `chunk` at a time; what is shuffled are compressed lists of partners
+    of a group of words in a block of numbers, about a byte a pair. The groups
+    grow in number with the pairs, so the lists that meet in a row are bounded.
+    No occurrence of a word is ever shuffled.
     """
     frequent = cut(words.counted.filter(F.col("df") >= min_count), "frequent")
     bits, size = frequent_filter(frequent, filter_size)
@@ -301,11 +357,12 @@ def _unordered_counts(
         F.col("hs").alias("xs"), F.lit(None).cast("array<bigint>").alias("ys")
     )
     long = _blocks(lists.filter(F.size("hs") > long_line), BLOCK)
-    schema = "x bigint, block bigint, ys array<smallint>, ns array<int>, m bigint"
-    cells = short.union(long).mapInArrow(_counted_pairs(dictionary, chunk), schema)
-    run = F.collect_list(F.struct("ys", "ns")).alias("runs")
-    cells = cells.groupBy("x", "block").agg(F.sum("m").alias("m"), run).filter(F.col("m") >= min_count)
-    counts = cells.drop("m").mapInArrow(_summed_cells(min_count), "x bigint, y bigint, n bigint")
+    groups = -(-words.n_pairs // (MEETING * PARTNER_BLOCKS)) or 1
+    schema = "x bigint, block bigint, list binary, m bigint"
+    cells = short.union(long).mapInArrow(_counted_pairs(dictionary, chunk, groups), schema)
+    cells = cells.groupBy("x", "block").agg(F.sum("m").alias("m"), F.collect_list("list").alias("lists"))
+    cells = cells.filter(F.col("m") >= min_count).drop("m")
+    counts = cells.mapInArrow(_summed_lists(min_count), "x bigint, y bigint, n bigint")
     return counts, frequent.mapInArrow(_numbered(dictionary), frequent.schema)
 
 

@@ -1,5 +1,6 @@
 from itertools import combinations
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -185,6 +186,28 @@ def test_partners_travel_as_lists_not_as_pairs(lines):
     assert exchanges and all(", block" in x and ", y" not in x for x in exchanges)
 
 
+def test_lists_of_pairs_take_a_byte_a_pair_and_come_back():
+    packed, unpacked = cooccurrence._pair_lists()
+    rng = np.random.default_rng(5)
+    keys = np.unique(rng.integers(0, 1 << 20, 50_000))
+    x, y, n = keys >> 8, (keys & 255) * 40, np.where(keys % 7 == 0, 3, 1)
+    data = packed(x, y, n)
+    assert len(data) < 1.5 * len(x)
+    assert all((a == b).all() for a, b in zip(unpacked(data), (x, y, n)))
+    x, y = np.array([-(1 << 63), -5, -5, 7]), np.array([(1 << 63) - 1, -4, 9, 1 << 62])
+    assert all((a == b).all() for a, b in zip(unpacked(packed(x, y, y * 0 + 1)), (x, y, y * 0 + 1)))
+
+
+def test_rows_of_lists_grow_in_number_with_the_pairs(lines, monkeypatch):
+    vocabulary = op.vocabulary(lines(many_lines()))
+    assert vocabulary.n_pairs == sum(n * (n - 1) // 2 for n in (len(set(t.split())) for t in many_lines()))
+    expected = {k: n for k, n in cooccurrence._unordered_counts(vocabulary, 10)[0].select(F.struct("x", "y"), "n").collect()}
+    monkeypatch.setattr(cooccurrence, "MEETING", 16)
+    monkeypatch.setattr(cooccurrence, "CELL", 4)
+    counts, _ = cooccurrence._unordered_counts(vocabulary, 10)
+    assert {k: n for k, n in counts.select(F.struct("x", "y"), "n").collect()} == expected
+
+
 def test_lines_of_two_files_are_apart(spark, tmp_path):
     (tmp_path / "a.txt").write_text("red fox\nblue sky\n")
     (tmp_path / "b.txt").write_text("new car\nold house\n")
