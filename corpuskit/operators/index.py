@@ -31,6 +31,9 @@ BUCKETS = 1 << 16
 # Segments whose sums are added up together when gaps are decoded.
 GROUP = 1 << 10
 
+# Characters of text for which an occurrence is expected; only the number of tasks follows from it.
+PER_OCCURRENCE = 4
+
 KEYS = ("docno",)
 
 
@@ -39,12 +42,14 @@ def postings(docs: DataFrame, line: str = "line", keys: Sequence[str] = KEYS) ->
 
     Occurrences are dealt out as they are: a term comes again only within its
     document, so a task that counted what it reads would hold nearly all of it.
+    The length of the texts says over how many tasks.
     """
     from .text_stats import words
 
+    length = docs.agg(F.sum(F.length(line).cast("bigint")).alias("n")).first()["n"] or 0
     return (
         words(docs, line, *keys)
-        .repartition(tasks_for(docs.sparkSession, 0), "word", *keys)
+        .repartition(tasks_for(docs.sparkSession, length // PER_OCCURRENCE), "word", *keys)
         .groupBy(F.col("word").alias("term"), *keys)
         .agg(F.count(F.lit(1)).cast("int").alias("tf"))
     )
@@ -115,7 +120,7 @@ def _lists(postings: DataFrame, keys: Sequence[str], longest: int) -> tuple[Data
     """
     *within, docno = keys
     listed = ["term", *within]
-    stored = cut(postings.filter(F.col("term").isNotNull()).select(*listed, docno, "tf"), "postings")
+    stored, n = cut_counted(postings.filter(F.col("term").isNotNull()).select(*listed, docno, "tf"), "postings")
     long = cut(_long_lists(stored, listed, longest).select(F.struct(*listed).alias("_list")), "long")
     rest = None
     if not long.isEmpty():
@@ -123,7 +128,9 @@ def _lists(postings: DataFrame, keys: Sequence[str], longest: int) -> tuple[Data
         rest = named.join(long, "_list", "left_semi").drop("_list")
         stored = named.join(long, "_list", "left_anti").drop("_list")
     entries = F.sort_array(F.collect_list(F.struct(docno, "tf")))
-    return stored.groupBy(*listed).agg(F.count(F.lit(1)).alias("df"), entries.alias("list")), rest
+    # dealt out as they are, a bounded number for a task; collecting what a task reads would only sort it once more
+    dealt = stored.repartition(tasks_for(stored.sparkSession, n), *listed)
+    return dealt.groupBy(*listed).agg(F.count(F.lit(1)).alias("df"), entries.alias("list")), rest
 
 
 def _cut_lists(lists: DataFrame, segment_size: int, listed: Sequence[str]) -> DataFrame:

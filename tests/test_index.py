@@ -1,5 +1,6 @@
 import pytest
 from plans import plan_lines
+from pyspark.sql import functions as F
 
 from corpuskit import operators as op
 from corpuskit.operators import index
@@ -196,3 +197,15 @@ def test_long_lists_are_found_by_way_of_buckets(spark, buckets):
     found = index._long_lists(stored, ["term", "path"], 10, buckets)
     assert {(r.term, r.path) for r in found.collect()} == {(t, p) for t in "cd" for p in (1, None)}
     assert index._long_lists(stored, ["term", "path"], 40, buckets).isEmpty()
+
+
+def test_tasks_that_count_occurrences_grow_in_number_with_the_texts(spark):
+    docs = spark.range(8).select(F.col("id").alias("docno"), F.repeat(F.lit("ab "), 700_000).alias("line"))
+    plan = op.postings(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "docno#" in plan and ", 5), REPARTITION_BY_NUM" in plan
+    assert op.postings(docs.limit(0)).count() == 0
+
+
+def test_lists_are_dealt_out_before_they_are_collected(lines):
+    plan = op.encode_gaps(op.postings(lines(["a b", "b c"])))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_collect_list") < plan.index("REPARTITION_BY_NUM")
