@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.state import bucketed, cut
-from .skew import with_key_totals
+from ..sources.state import TASK_ROWS, bucketed, cut, cut_counted, tasks_for
+from .skew import PIECE, default_pieces, piece_of
 
 
 def graph_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -64,7 +64,8 @@ def prepare(nodes: DataFrame, edges: DataFrame, strict: bool = False, per_slot:
 
     Links are written to the session's shared folder in buckets by (src, slot),
     so iterations join them as they lie and only ranks and arrivals move; slots
-    of about `per_slot` links keep a hub from filling one bucket. `repeated_nodes`
+    of about `per_slot` links keep a hub from filling one bucket. There are as
+    many buckets as bound the links in one. `repeated_nodes`
     lists nodes that come more than once; they count once, or with `strict` raise
     an error in the job that reads them.
     """
@@ -75,14 +76,24 @@ def prepare(nodes: DataFrame, edges: DataFrame, strict: bool = False, per_slot:
         once = once.select(F.col("node").cast(nodes.schema["node"].dataType).alias("node"))
     else:
         once = nodes.select("node").distinct()
-    nodes = cut(once, "nodes")
-    pairs = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_m"))
-    totals = {"_deg": F.sum("_m"), "_n": F.count(F.lit(1))}
-    weighed = with_key_totals(pairs, ["src"], ["dst"], totals)
+    nodes, n_nodes = cut_counted(once, "nodes")
+    # stored first, so that a task counts a bounded number of them, where their source is added up too
+    stored, n = cut_counted(edges.select("src", "dst"), "edges")
+    buckets = tasks_for(stored.sparkSession, n)
+    spread = ["src", PIECE]
+    dealt = stored.withColumn(PIECE, piece_of(["dst"], default_pieces(stored))).repartition(buckets, *spread)
+    counted = dealt.groupBy(*spread, "dst").agg(F.count(F.lit(1)).alias("_m"))
+    pairs = bucketed(counted, "pairs", spread, buckets)
+    parts = pairs.groupBy(*spread).agg(F.sum("_m").alias("_deg"), F.count(F.lit(1)).alias("_n")).repartition(buckets, "src")
+    of_source = Window.partitionBy("src")
+    totals = parts.select(*spread, *(F.sum(c).over(of_source).alias(c) for c in ("_deg", "_n")))
+    weighed = pairs.join(totals, spread)
     own_slots = F.ceil(F.col("_n") / per_slot).cast("int")
     weighed = cut(weighed.select("src", "dst", (F.col("_m") / F.col("_deg")).alias("w"), own_slots.alias("_own")), "weighed")
     hubs = cut(weighed.filter("_own > 1").select(F.col("src").alias("node"), F.col("_own").alias("slots")).distinct(), "hubs")
-    known = weighed.join(nodes.withColumnRenamed("node", "dst"), "dst", "left_semi")
+    # too many nodes to be broadcast: the links meet them in tasks that are bounded too
+    met = weighed.repartition(buckets, "dst") if n_nodes > TASK_ROWS else weighed
+    known = met.join(nodes.withColumnRenamed("node", "dst"), "dst", "left_semi")
     known = known.join(hubs.withColumnRenamed("node", "dst"), "dst", "left").select(
         "src",
         F.pmod(F.xxhash64("dst"), F.col("_own")).cast("int").alias("slot"),
@@ -90,11 +101,11 @@ def prepare(nodes: DataFrame, edges: DataFrame, strict: bool = False, per_slot:
         "w",
         F.coalesce("slots", F.lit(1)).alias("slots"),
     )
-    unknown = weighed.join(nodes.withColumnRenamed("node", "dst"), "dst", "left_anti")
+    unknown = met.join(nodes.withColumnRenamed("node", "dst"), "dst", "left_anti")
     nowhere = [F.lit(0).alias("slot"), F.lit(None).cast(weighed.schema["dst"].dataType).alias("dst")]
     no_slots = F.lit(None).cast("int").alias("slots")
     lost = unknown.groupBy("src").agg(F.sum("w").alias("w")).select("src", *nowhere, "w", no_slots)
-    dangling = nodes.withColumnRenamed("node", "src").join(weighed, "src", "left_anti")
+    dangling = nodes.withColumnRenamed("node", "src").join(parts, "src", "left_anti")
     dangling = dangling.select("src", *nowhere, F.lit(1.0).alias("w"), no_slots)
     links = known.unionByName(lost).unionByName(dangling)
-    return Graph(nodes, bucketed(links, "links", ["src", "slot"]), hubs)
+    return Graph(nodes, bucketed(links, "links", ["src", "slot"], buckets), hubs)

@@ -1,6 +1,7 @@
 import pytest
 from models import pagerank
 from plans import above
+from pyspark.sql import functions as F
 
 from corpuskit import operators as op
 from corpuskit import sources as src
@@ -194,3 +195,21 @@ def test_page_links(spark):
     assert {r.node for r in nodes.collect()} == own | {"http://c.org/", "http://b.org/"}
     empty = pages.limit(0)
     assert src.page_edges(empty).count() == src.page_nodes(empty, src.page_edges(empty), 2).count() == 0
+
+
+def test_links_lie_in_as_many_buckets_as_bound_them(spark, monkeypatch):
+    from corpuskit.operators import graph as module
+
+    nodes = spark.range(40).select(F.col("id").alias("node"))
+    edges = spark.range(900).select((F.col("id") % 37).alias("src"), (F.col("id") * F.col("id") % 43).alias("dst"))
+    edges = edges.union(spark.createDataFrame([(1, None), (None, 2), (5, 6), (5, 6)], "src bigint, dst bigint"))
+    columns = ["src", "slot", "dst", F.round("w", 12), "slots"]
+    expected = sorted(map(str, op.prepare(nodes, edges).links.select(*columns).collect()))
+    asked = []
+    monkeypatch.setattr(module, "tasks_for", lambda spark, n: asked.append(n) or 9)
+    monkeypatch.setattr(module, "TASK_ROWS", 1)
+    links = op.prepare(nodes, edges).links
+    assert asked == [904]
+    # more files than shuffle partitions: one per bucket
+    assert len(links.inputFiles()) > 4
+    assert sorted(map(str, links.select(*columns).collect())) == expected
