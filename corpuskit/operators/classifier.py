@@ -32,10 +32,36 @@ def union_sets(*training: DataFrame) -> DataFrame:
     return whole
 
 
+def _counts(features: str | Column = "features") -> Column:
+    """The different features of an array and how often each is in it, as an array of (feature, n)."""
+
+    def once(value: Column, use) -> Column:
+        """What `use` makes of a value that is worked out once, not for each element that refers to it."""
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def begins(s: Column) -> Column:
+        another = lambda i: (i == F.size(s)) | (i == 0) | ~F.get(s, i).eqNullSafe(F.get(s, i - 1))
+        return F.filter(F.sequence(F.lit(0), F.size(s)), another)
+
+    def runs(s: Column, at: Column) -> Column:
+        # from each place where another feature begins to the next; the last place is the end
+        return F.zip_with(
+            F.slice(at, F.lit(1), F.size(at) - 1),
+            F.slice(at, F.lit(2), F.size(at) - 1),
+            lambda i, j: F.named_struct(F.lit("feature"), F.get(s, i), F.lit("n"), (j - i).cast("bigint")),
+        )
+
+    return once(F.array_sort(features), lambda s: once(begins(s), lambda at: runs(s, at)))
+
+
 def _counted(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, feature, n): how often each document has each of its features, from rows with `features`."""
-    each = rows.select(*keys, F.explode("features").alias("feature"))
-    return each.groupBy(*keys, "feature").agg(F.count(F.lit(1)).alias("n"))
+    """(keys, feature, n): how often each row has each of its features, from rows with `features`.
+
+    Counted in the row: a document that comes in several rows has as many
+    counts, which its sums add up like one.
+    """
+    some = rows.filter(F.size("features") > 0)
+    return some.select(*keys, F.explode(_counts()).alias("_c")).select(*keys, "_c.*")
 
 
 def train_gradient(
@@ -73,20 +99,25 @@ def deal(instances: DataFrame, batches: int, seeds: Sequence[int]) -> DataFrame:
 
     The batch of a document in each seed's order and the occurrences of its
     features are worked out once; a batch is a folder, which is all that a step
-    on it reads. Documents without features have nothing to learn from.
+    on it reads. A folder has a row per document, with its counts and the models
+    that it trains there; they become rows when it is read. Documents without features have nothing to learn from.
     """
     spark = instances.sparkSession
     seeds = [int(s) for s in seeds]
     dealt = F.array(*(batch_of("doc_id", F.lit(s), batches).cast("int") for s in seeds))
     rows = instances.select("doc_id", _is_spam().cast("double").alias("y"), dealt.alias("_dealt"), "features")
-    counted = _counted(rows, ["doc_id", "y", "_dealt"])
+    # a document goes once to each batch that it has for any seed
     named = F.arrays_zip(F.array(*map(F.lit, seeds)).alias("model"), F.col("_dealt").alias("batch"))
-    whole = counted.select("doc_id", "y", "feature", "n", F.explode(named).alias("_s")).select(
-        F.col("_s.model").alias("model"), "doc_id", "y", "feature", "n", F.col("_s.batch").alias("batch")
+    rows = rows.filter(F.size("features") > 0).select(
+        "doc_id", "y", _counts().alias("counts"), named.alias("_named"), F.explode(F.array_distinct("_dealt")).alias("batch")
     )
+    of_batch = F.filter("_named", lambda s: s["batch"] == F.col("batch"))
+    whole = rows.select("doc_id", "y", "counts", F.transform(of_batch, lambda s: s["model"]).alias("models"), "batch")
     path = fresh_path(spark, "batches")
     whole.write.partitionBy("batch").parquet(path)
-    return spark.read.schema(whole.schema).parquet(path)
+    stored = spark.read.schema(whole.schema).parquet(path)
+    each = stored.select("doc_id", "y", "models", "batch", F.explode("counts").alias("_c"))
+    return each.select(F.explode("models").alias("model"), "doc_id", "y", "_c.feature", "_c.n", "batch")
 
 
 def batch_step(

@@ -167,3 +167,15 @@ def test_roca(spark):
         assert r.one_minus_roca == pytest.approx(expected)
     mean = op.mean_over_runs(got).first()
     assert mean.n_runs == 2 and mean.lowest <= mean["mean"] <= mean.highest
+
+
+def test_a_document_is_stored_once_for_each_of_its_batches(spark):
+    instances = spark.createDataFrame([*many(), ("twice", "spam", [4, None, 4, 2]), ("none", "ham", None)], SCHEMA)
+    seeds = list(range(12))
+    rows = op.deal(instances, 2, seeds)
+    stored = spark.read.parquet(*{f.rsplit("/batch=", 1)[0] for f in rows.inputFiles()})
+    assert stored.groupBy("doc_id", "batch").count().filter("count > 1").isEmpty()
+    got = {(r.feature, r.n) for r in rows.filter("doc_id = 'twice' AND model = 3").collect()}
+    assert got == {(4, 2), (None, 1), (2, 1)}
+    # counted in the row: nothing is shuffled before the step
+    assert not any("Exchange" in x for _, x in plan_lines(rows))
