@@ -29,8 +29,9 @@ FILTER_WORDS = 1 << 20
 # Frequent words that are numbered by their place in a dictionary, at most.
 DICTIONARY = 1 << 20
 
-# Pairs of lines that a task counts before it hands them on.
-CHUNK = 1 << 24
+# Words of lines that a task holds and counts the pairs of before it hands them on, and pairs that it makes at a time.
+RUN_WORDS = 1 << 23
+CHUNK = 1 << 23
 
 # Pairs of lines, before they are counted, whose counts meet in one row, and blocks of partners of a group of words.
 MEETING = 1 << 22
@@ -50,13 +51,14 @@ SALTS = 16
 @dataclass(frozen=True)
 class Vocabulary:
     """lines(keys, words): the different words of each line, stored. counted(word, h, df): every word, its
-    hash, which no other word has, and in how many lines it is. n_lines: how many lines there are, n_pairs: how
-    many pairs of words they have."""
+    hash, which no other word has, and in how many lines it is. n_lines: how many lines there are, n_words and
+    n_pairs: how many words and pairs of words they have."""
 
     lines: DataFrame
     counted: DataFrame
     salt: int
     n_lines: int
+    n_words: int
     n_pairs: int
 
 
@@ -74,14 +76,17 @@ def vocabulary(lines: DataFrame, line: str = "line", first_salt: int = 0, salts:
     counter = Observation()
     n = F.size("words").cast("bigint")
     pairs = F.sum(F.when(n > 1, n * (n - 1) / 2)).cast("bigint")
-    found = lines.select(vocab(line).alias("words")).observe(counter, F.count(F.lit(1)).alias("n"), pairs.alias("pairs"))
-    stored = cut(found, "lines", row_group=ROW_GROUP)
+    of_words = F.sum(F.when(n > 0, n))
+    found = lines.select(vocab(line).alias("words"))
+    found = found.observe(counter, F.count(F.lit(1)).alias("n"), of_words.alias("words"), pairs.alias("pairs"))
+    stored = cut(found, "lines", row_group=ROW_GROUP, codec="zstd")
     each = stored.select(F.explode("words").alias("word"))
     counted = cut(each.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "words")
     for salt in range(first_salt, first_salt + salts):
         hashed = counted.select("word", make("word", salt).alias("h"), "df")
         if hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
-            return Vocabulary(stored, hashed, salt, counter.get["n"], counter.get["pairs"] or 0)
+            found = counter.get
+            return Vocabulary(stored, hashed, salt, found["n"], found["words"] or 0, found["pairs"] or 0)
     raise RuntimeError("words have equal hashes with all salts")
 
 
@@ -188,14 +193,16 @@ def _pair_lists():
     return packed, unpacked
 
 
-def _counted_pairs(dictionary, chunk: int, groups: int):
-    """For mapInArrow: from (xs, ys) to (x, block, list, m): how often each pair x < y of a run of `chunk` pairs is met.
+def _counted_pairs(dictionary, chunk: int, groups: int, run_words: int = RUN_WORDS):
+    """For mapInArrow: from (xs, ys) to (x, block, list, m): how often each pair x < y of a run of lines is met.
 
     A row has the pairs of a run whose x is in one of `groups` groups and whose
     y is in one of PARTNER_BLOCKS blocks, as bytes (`_pair_lists`), m in all.
-    Only the partners of the most frequent x are spread over blocks. Pairs within
-    xs, or of xs and ys, are made for all rows with as many words at once, sorted
-    and counted.
+    Only the partners of the most frequent x are spread over blocks. A run is as
+    many lines as have `run_words` words. Its pairs are made from its words in
+    the order of groups and x, about `chunk` at a time, so that each comes once,
+    but for an x that is cut. Pairs of xs and ys, parts of long lines, are sorted
+    and counted `chunk` at a time.
     """
     hashes, places, whole = dictionary
     hot, cell, blocks = HOT, CELL, PARTNER_BLOCKS
@@ -212,50 +219,15 @@ def _counted_pairs(dictionary, chunk: int, groups: int):
             h = np.where(hit, places[i], h)
         else:
             hit = np.zeros(len(h), bool)
-        if whole:
-            h, row = h[hit], row[hit]
+        if whole:  # places are small
+            h, row = h[hit].astype(np.int32), row[hit]
         return h, np.bincount(row, minlength=len(column))
 
-    def alike(h, n):
-        """For each length: the rows with as many words, as a table."""
-        at = np.cumsum(n) - n
-        for k in np.unique(n):
-            rows = np.flatnonzero(n == k)
-            yield k, rows, h[at[rows][:, None] + np.arange(k)]
-
-    def made(batch):
-        """Arrays (x, y) of numbers, of at most about a chunk each."""
-        within = batch["ys"].is_null()
-        h, n = numbers(batch["xs"].filter(within))
-        for k, rows, table in alike(h, n):
-            if k < 2:
-                continue
-            table.sort(axis=1)
-            step = max(1, 2 * chunk // (k * (k - 1)))
-            for r in range(0, len(rows), step):
-                some = table[r : r + step]
-                for i in range(k - 1):
-                    yield np.repeat(some[:, i], k - 1 - i), some[:, i + 1 :].ravel()
-        across = batch.filter(batch["ys"].is_valid())
-        if len(across):
-            (h, n), (g, m) = numbers(across["xs"]), numbers(across["ys"])
-            a, b = np.cumsum(n) - n, np.cumsum(m) - m
-            for r in range(len(across)):
-                x, y = np.repeat(h[a[r] : a[r] + n[r]], m[r]), np.tile(g[b[r] : b[r] + m[r]], n[r])
-                yield np.minimum(x, y), np.maximum(x, y)
-
     def mixed(number):
         return ((number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
 
-    def cells(xs, ys):
-        x, y = np.concatenate(xs), np.concatenate(ys)
-        if whole:  # places are small
-            packed = (x << 32) | y
-            names = None
-        else:
-            names = np.unique(np.concatenate([np.unique(x), np.unique(y)]))
-            packed = (np.searchsorted(names, x) << 32) | np.searchsorted(names, y)
-        del x, y
+    def cells(packed, names):
+        """Rows of lists of the pairs x << 32 | y; with `names`, x and y are places in it."""
         packed.sort()
         first = np.flatnonzero(np.concatenate([[True], packed[1:] != packed[:-1]]))
         counts = np.diff(np.append(first, len(packed)))
@@ -275,20 +247,77 @@ def _counted_pairs(dictionary, chunk: int, groups: int):
             pa.array([packed_list(x[a:b], y[a:b], counts[a:b]) for a, b in zip(begin, ends)], pa.binary()),
             pa.array(np.add.reduceat(counts, begin)),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["x", "block", "list", "m"])
+        return pa.RecordBatch.from_arrays(columns, ["x", "block", "list", "m"])
+
+    def within(lines):
+        """Rows of lists of the pairs in each of the lines, (numbers, how many each line has)."""
+        h, n = (np.concatenate(c) for c in zip(*lines))
+        lines.clear()
+        names = None
+        if not whole:
+            names, h = np.unique(h, return_inverse=True)
+        key = np.repeat(np.arange(len(n)) << 32, n)
+        key |= h
+        key.sort()
+        h = (key & 0xFFFFFFFF).astype(np.int32)
+        del key
+        # the partners of a word are those after it in its line
+        after = np.repeat(np.cumsum(n).astype(np.int32), n) - np.arange(1, len(h) + 1, dtype=np.int32)
+        order = np.argsort((mixed(h if names is None else names[h]) % groups << 32) | h).astype(np.int32)
+        order = order[after[order] > 0]
+        made = np.cumsum(after[order], dtype=np.int64)
+        at = 0
+        while at < len(order):
+            before = made[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(made, before + chunk, "right")))
+            some, each = order[at:end], after[order[at:end]]
+            begin = (made[at:end] - before - each).astype(np.int32)
+            partner = np.repeat(some + 1 - begin, each)
+            partner += np.arange(len(partner), dtype=np.int32)
+            packed = np.repeat(h[some].astype(np.int64) << 32, each)
+            packed |= h[partner]
+            del partner
+            yield cells(packed, names)
+            at = end
+
+    def across(pairs):
+        """A row of lists of the pairs, arrays (x, y) of numbers."""
+        x, y = (np.concatenate(c).astype(np.int64) for c in zip(*pairs))
+        pairs.clear()
+        names = None
+        if not whole:
+            names = np.unique(np.concatenate([np.unique(x), np.unique(y)]))
+            x, y = np.searchsorted(names, x), np.searchsorted(names, y)
+        return cells((x << 32) | y, names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        xs, ys, n = [], [], 0
+        lines, words, pairs, n_pairs = [], 0, [], 0
         for batch in batches:
-            for x, y in made(batch):
-                if n + len(x) > chunk and n:
-                    yield from cells(xs, ys)
-                    xs, ys, n = [], [], 0
-                xs.append(x)
-                ys.append(y)
-                n += len(x)
-        if n:
-            yield from cells(xs, ys)
+            inside = batch["ys"].is_null()
+            h, n = numbers(batch["xs"].filter(inside))
+            if words + len(h) > run_words and words:
+                yield from within(lines)
+                words = 0
+            if len(h):
+                lines.append((h, n))
+                words += len(h)
+            met = batch.filter(batch["ys"].is_valid())
+            if not len(met):
+                continue
+            (h, n), (g, m) = numbers(met["xs"]), numbers(met["ys"])
+            a, b = np.cumsum(n) - n, np.cumsum(m) - m
+            for r in range(len(met)):
+                if n_pairs + n[r] * m[r] > chunk and n_pairs:
+                    yield across(pairs)
+                    n_pairs = 0
+                if n[r] * m[r]:
+                    x, y = np.repeat(h[a[r] : a[r] + n[r]], m[r]), np.tile(g[b[r] : b[r] + m[r]], n[r])
+                    pairs.append((np.minimum(x, y), np.maximum(x, y)))
+                    n_pairs += n[r] * m[r]
+        if words:
+            yield from within(lines)
+        if n_pairs:
+            yield across(pairs)
 
     return run
 
@@ -336,9 +365,12 @@ def _unordered_counts(
     in the row, the join by which pairs get their names the rest. The most frequent
     words are numbered by their place in a dictionary of bounded size, the others
     by their hash. The task that reads lines makes their pairs and counts them, a
-    run of `chunk` at a time; what is shuffled are compressed lists of partners
-    of a group of words in a block of numbers, about a byte a pair. The groups
-    grow in number with the pairs, so the lists that meet in a row are bounded.
+    run of RUN_WORDS words at a time; what is shuffled are compressed lists of
+    partners of a group of words in a block of numbers, about a byte a pair. The
+    more lines a run has, the more often a pair is met again in it and the fewer
+    bytes are shuffled, so lines are read in no more tasks than the runs and the
+    cluster ask for. The groups grow in number with the pairs, so the lists that
+    meet in a row are bounded.
     No occurrence of a word is ever shuffled.
     """
     frequent = cut(words.counted.filter(F.col("df") >= min_count), "frequent")
@@ -356,6 +388,8 @@ def _unordered_counts(
     short = lists.filter(F.size("hs").between(2, long_line)).select(
         F.col("hs").alias("xs"), F.lit(None).cast("array<bigint>").alias("ys")
     )
+    at_once = words.lines.sparkSession.sparkContext.defaultParallelism
+    short = short.coalesce(at_once * (-(-words.n_words // (RUN_WORDS * at_once)) or 1))
     long = _blocks(lists.filter(F.size("hs") > long_line), BLOCK)
     groups = -(-words.n_pairs // (MEETING * PARTNER_BLOCKS)) or 1
     schema = "x bigint, block bigint, list binary, m bigint"

@@ -1,6 +1,7 @@
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -198,6 +199,47 @@ def test_lists_of_pairs_take_a_byte_a_pair_and_come_back():
     assert all((a == b).all() for a, b in zip(unpacked(packed(x, y, y * 0 + 1)), (x, y, y * 0 + 1)))
 
 
+def _lists(texts, whole=True, **options):
+    """{(x, y): n} of all lists that a task makes of lines, and how many pairs the lists have; in one batch a line."""
+    words = sorted({w for t in texts for w in t.split()})
+    numbers = np.arange(len(words))
+    hashes = (numbers - len(words) // 2) * (1 << 40)
+    of = dict(zip(words, hashes.tolist()))
+    dictionary = (hashes, numbers, True) if whole else (hashes[:3], numbers[:3], False)
+    kind = pa.list_(pa.int64())
+    columns = lambda t: [pa.array([[of[w] for w in t.split()]], kind), pa.array([None], kind)]
+    batches = [pa.RecordBatch.from_arrays(columns(t), ["xs", "ys"]) for t in texts]
+    _, unpacked = cooccurrence._pair_lists()
+    counts, n = {}, 0
+    for batch in cooccurrence._counted_pairs(dictionary, **options)(batches):
+        for data, m in zip(batch["list"], batch["m"]):
+            x, y, each = unpacked(data.as_py())
+            assert each.sum() == m.as_py()
+            n += len(x)
+            for a, b, k in zip(x.tolist(), y.tolist(), each.tolist()):
+                counts[a, b] = counts.get((a, b), 0) + k
+    return counts, n
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_a_run_of_lines_has_each_pair_once(whole):
+    texts = ["aa bb cc dd ee", "bb cc dd", "aa ee"] * 40
+    expected, n = _lists(texts, whole, chunk=1 << 20, groups=3)
+    assert n == len(expected) == 10 and sum(expected.values()) == 40 * 14
+    # only an x that is cut comes again, not each pair in each chunk
+    counts, n = _lists(texts, whole, chunk=100, groups=3)
+    assert counts == expected and n <= 30
+    counts, n = _lists(texts, whole, chunk=100, groups=3, run_words=100)
+    assert counts == expected and n > 30
+
+
+def test_lines_are_paired_in_no_more_tasks_than_runs_and_cores(lines):
+    texts = lines(many_lines()).repartition(40)
+    counts, _ = cooccurrence._unordered_counts(op.vocabulary(texts), 10)
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    assert any(f"Coalesce {cores}" in x for _, x in plan_lines(counts))
+
+
 def test_rows_of_lists_grow_in_number_with_the_pairs(lines, monkeypatch):
     vocabulary = op.vocabulary(lines(many_lines()))
     assert vocabulary.n_pairs == sum(n * (n - 1) // 2 for n in (len(set(t.split())) for t in many_lines()))
