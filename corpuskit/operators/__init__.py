@@ -1,7 +1,7 @@
 """DataFrame operators."""
 
 from .bigrams import bigram_counts, bigram_relfreq, bigram_stripes
-from .classifier import batch_of, batch_step, classify, deal, ensemble, score, train_batches, train_gradient, union_sets
+from .classifier import batch_of, batch_step, classify, deal, ensemble, score, train_batches, train_gradient, union_sets, with_counts
 from .cooccurrence import (
     Vocabulary,
     frequent_filter,
@@ -109,6 +109,7 @@ __all__ = [
     "unshipped_value",
     "vocab_words",
     "vocabulary",
+    "with_counts",
     "with_key_totals",
     "word_count",
     "words",

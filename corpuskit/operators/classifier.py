@@ -1,12 +1,16 @@
 """Linear spam classifier over instances (doc_id, label, features).
 
-Features are ints or strings; an occurrence counts each time. Models are rows
-(model, feature, weight), so one table can hold any number of them.
+Features are ints or strings; an occurrence counts each time. Instances that are
+read more than once can be stored with `counts` in place of features, see
+`with_counts`. Models are rows (model, feature, weight), so one table can hold
+any number of them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,17 +55,31 @@ def _counts(features: str | Column = "features") -> Column:
             lambda i, j: F.named_struct(F.lit("feature"), F.get(s, i), F.lit("n"), (j - i).cast("bigint")),
         )
 
-    return once(F.array_sort(features), lambda s: once(begins(s), lambda at: runs(s, at)))
+    return once(F.sort_array(features), lambda s: once(begins(s), lambda at: runs(s, at)))
 
 
-def _counted(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, feature, n): how often each row has each of its features, from rows with `features`.
+def with_counts(instances: DataFrame) -> DataFrame:
+    """Instances with `counts`, an array of (feature, n), in place of `features`, those without features too.
 
     Counted in the row: a document that comes in several rows has as many
     counts, which its sums add up like one.
     """
-    some = rows.filter(F.size("features") > 0)
-    return some.select(*keys, F.explode(_counts()).alias("_c")).select(*keys, "_c.*")
+    if "counts" in instances.columns:
+        return instances
+    counts = F.when(F.size("features") > 0, _counts())
+    return instances.withColumn("counts", counts).drop("features")
+
+
+def _learned_from(instances: DataFrame) -> DataFrame:
+    """The instances that have features, with `counts`."""
+    column = "counts" if "counts" in instances.columns else "features"
+    return with_counts(instances.filter(F.size(column) > 0))
+
+
+def _each_count(rows: DataFrame, *keys: str | Column) -> DataFrame:
+    """(keys, feature, n): how often each row with `counts` has each of its features."""
+    each = rows.select("*", F.explode("counts").alias("_c"))
+    return each.select(*keys, "_c.feature", "_c.n")
 
 
 def train_gradient(
@@ -69,24 +87,49 @@ def train_gradient(
 ) -> DataFrame:
     """(by..., feature, weight) after `rounds` of w += delta * sum((y - p) * x).
 
-    All instances of one value of `by` train one model together. The occurrences
-    of features are counted and stored once; every round is joins and sums over
-    all of them.
+    All instances of one value of `by` train one model together. The counts of
+    their features are stored once, unless they come with `counts`; every round is
+    joins and sums over all of them.
     """
     if rounds < 1:
         raise ValueError("rounds must be at least 1")
     by, weights = list(by), None
-    rows = instances.select(*by, "doc_id", _is_spam().cast("double").alias("y"), "features")
-    rows = _counted(rows, [*by, "doc_id", "y"])
-    if rounds > 1:
+    rows = _learned_from(instances)
+    rows = rows.select(*by, "doc_id", _is_spam().cast("double").alias("y"), "counts")
+    if rounds > 1 and "counts" not in instances.columns:
         rows = cut(rows, "occurrences")
     for i in range(rounds):
-        weights = batch_step(rows, weights, delta, by)
+        weights = _round(rows, weights, delta, by)
         if i < rounds - 1:
             weights = cut(weights, "weights")
     return weights
 
 
+def _round(rows: DataFrame, weights: DataFrame | None, delta: float, by: Sequence[str]) -> DataFrame:
+    """The weights (by..., feature, weight) after a step on all rows (by..., doc_id, y, counts).
+
+    Occurrences meet their weights and are added up by document as they are met;
+    what goes back to the documents is a sum each. So occurrences are shuffled
+    once, by feature, and the documents as they are stored; an error is spread
+    over the features of a document where its row is.
+    """
+    keys = [*by, "feature"]
+    if weights is None:  # every probability is one half
+        scored = rows.withColumn("_e", F.col("y") - 0.5)
+    else:
+        names = [*by, "doc_id"]
+        known = _each_count(rows, *names).join(weights, keys)
+        totals = known.groupBy(*names).agg(F.sum(F.col("n") * F.col("weight")).alias("_total"))
+        totals = totals.toDF(*(f"_{c}" for c in names), "_total")
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names]
+        total = F.coalesce("_total", F.lit(0.0))
+        scored = rows.join(totals, reduce(and_, same), "left").withColumn("_e", F.col("y") - sigmoid(total))
+    step = _each_count(scored, *by, "_e").select(*keys, (F.col("_e") * F.col("n") * delta).alias("weight"))
+    if weights is not None:
+        step = weights.unionByName(step)
+    return step.groupBy(*keys).agg(F.sum("weight").alias("weight"))
+
+
 def batch_of(key: str | Column, seed: Column, batches: int) -> Column:
     """The batch of a document in the order of a seed: 7 hex digits of the MD5 of key:seed, modulo the batches."""
     key = F.col(key) if isinstance(key, str) else key
@@ -105,12 +148,11 @@ def deal(instances: DataFrame, batches: int, seeds: Sequence[int]) -> DataFrame:
     spark = instances.sparkSession
     seeds = [int(s) for s in seeds]
     dealt = F.array(*(batch_of("doc_id", F.lit(s), batches).cast("int") for s in seeds))
-    rows = instances.select("doc_id", _is_spam().cast("double").alias("y"), dealt.alias("_dealt"), "features")
+    rows = _learned_from(instances)
+    rows = rows.select("doc_id", _is_spam().cast("double").alias("y"), dealt.alias("_dealt"), "counts")
     # a document goes once to each batch that it has for any seed
     named = F.arrays_zip(F.array(*map(F.lit, seeds)).alias("model"), F.col("_dealt").alias("batch"))
-    rows = rows.filter(F.size("features") > 0).select(
-        "doc_id", "y", _counts().alias("counts"), named.alias("_named"), F.explode(F.array_distinct("_dealt")).alias("batch")
-    )
+    rows = rows.select("doc_id", "y", "counts", named.alias("_named"), F.explode(F.array_distinct("_dealt")).alias("batch"))
     of_batch = F.filter("_named", lambda s: s["batch"] == F.col("batch"))
     whole = rows.select("doc_id", "y", "counts", F.transform(of_batch, lambda s: s["model"]).alias("models"), "batch")
     path = fresh_path(spark, "batches")
@@ -174,13 +216,9 @@ def _matched(
     carry: Sequence[str],
     keys: Sequence[str] = ("feature",),
 ) -> DataFrame:
-    """One row per document, known feature and model with its part of the score."""
-    counted = (
-        instances.select(*carry, F.explode("features").alias("feature"))
-        .groupBy(*carry, "feature")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    part = (F.col("_n") * F.col("weight")).alias("_part")
+    """A row for each row of instances, known feature and model, with its part of the score."""
+    counted = _each_count(_learned_from(instances), *carry)
+    part = (F.col("n") * F.col("weight")).alias("_part")
     model = [] if "model" in carry or "model" not in weights.columns else ["model"]
     return counted.join(weights, list(keys)).select(*carry, *model, part)
 
@@ -190,7 +228,7 @@ def score(instances: DataFrame, model: DataFrame) -> DataFrame:
 
     A pair that is not there has score 0, and `ensemble` and `one_minus_roca`
     count it so; documents times models rows are never made. Occurrences are
-    counted per document first. The model joins as it is: broadcast if Spark
+    counted in the row first, without a shuffle. The model joins as it is: broadcast if Spark
     finds it small, else shuffled, where AQE splits a hot feature as long as the
     model is a stored table.
     """

@@ -22,8 +22,8 @@ def _rounded(df, column):
 
 
 def _stored(spark, sf):
-    """The instances as a stored table, which training and scoring read several times."""
-    return cut(labelled(spark, sf), "instances")
+    """The instances with counted features as a stored table, which training and scoring read several times."""
+    return cut(op.with_counts(labelled(spark, sf)), "instances")
 
 
 def _models(instances, rounds=2):

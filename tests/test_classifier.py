@@ -8,6 +8,8 @@ from plans import plan_lines
 from pyspark.sql import functions as F
 
 from corpuskit import operators as op
+from corpuskit.operators import classifier
+from corpuskit.sources import cut
 
 SMALL = [("d1", "spam", [1, 2, 2]), ("d2", "ham", [2, 3]), ("d3", "spam", [3])]
 SCHEMA = "doc_id string, label string, features array<int>"
@@ -179,3 +181,48 @@ def test_a_document_is_stored_once_for_each_of_its_batches(spark):
     assert got == {(4, 2), (None, 1), (2, 1)}
     # counted in the row: nothing is shuffled before the step
     assert not any("Exchange" in x for _, x in plan_lines(rows))
+
+
+def odd(spark):
+    """Documents that come twice or have no name, no features or a feature that is null."""
+    rows = [*many()[:60], ("d0001", "spam", [3, 3]), (None, "ham", [2, 30]), (None, "spam", [31]), ("n", "ham", [None, 5]), ("e", "ham", []), ("z", "ham", None)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_a_round_shuffles_occurrences_once_and_not_by_document(spark):
+    stored = cut(op.with_counts(odd(spark)), "instances")
+    weights = cut(op.train_gradient(stored, 1), "weights")
+    plan = [x for _, x in plan_lines(classifier._round(classifier._learned_from(stored).withColumn("y", F.lit(1.0)), weights, 0.1, []))]
+    assert not any("Window" in x for x in plan)
+    assert sum("Exchange hashpartitioning(feature" in x and "ENSURE" in x for x in plan) <= 3
+    scored = [x for _, x in plan_lines(op.score(stored, weights.withColumn("model", F.lit("m"))))]
+    by_document = [x for x in scored if "Exchange hashpartitioning(doc_id" in x]
+    assert by_document and not any("feature" in x for x in by_document)
+
+
+def test_counted_instances_train_and_score_alike(spark):
+    instances = odd(spark)
+    counted = op.with_counts(instances)
+    assert counted.columns == ["doc_id", "label", "counts"] and counted.count() == instances.count()
+    assert op.with_counts(counted) is counted
+    # a document's rows are one sum, also without a name; a null feature never meets its weight
+    first = weights(op.train_gradient(instances, 1))
+    sums, expected = {}, dict(first)
+    rows = instances.collect()
+    for d, _, fs in rows:
+        sums[d] = sums.get(d, 0.0) + sum(first[f] for f in fs or [] if f is not None)
+    for d, label, fs in rows:
+        for f in fs or []:
+            expected[f] += 0.002 * ((label == "spam") - 1 / (1 + math.exp(-sums[d])))
+    for some in (instances, counted):
+        assert weights(op.train_gradient(some, 2)) == pytest.approx(expected)
+        model = op.train_gradient(some, 2).withColumn("model", F.lit("m"))
+        got = {(r.doc_id, r.label): r.score for r in op.score(some, model).collect()}
+        want = {}
+        for d, label, fs in rows:
+            for f in fs or []:
+                if f is not None:
+                    want[d, label] = want.get((d, label), 0.0) + expected[f]
+        assert got == pytest.approx(want)
+        batches = {(r.model, r.feature): r.weight for r in op.train_batches(some, 2, [1, 2]).collect()}
+        assert {f for _, f in batches} == set(expected)
