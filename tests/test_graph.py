@@ -1,6 +1,6 @@
 import pytest
 from models import pagerank
-from plans import above
+from plans import above, plan_lines
 from pyspark.sql import functions as F
 
 from corpuskit import operators as op
@@ -213,3 +213,25 @@ def test_links_lie_in_as_many_buckets_as_bound_them(spark, monkeypatch):
     # more files than shuffle partitions: one per bucket
     assert len(links.inputFiles()) > 4
     assert sorted(map(str, links.select(*columns).collect())) == expected
+
+
+def test_line_items_meet_orders_in_as_many_tasks_as_bound_them(spark, tmp_path, monkeypatch):
+    from corpuskit.plans.tables import purchases
+    from corpuskit.sources import state
+
+    tables = {
+        "customer": ([(i,) for i in range(5)], "c_custkey bigint"),
+        "part": ([(i,) for i in range(9)], "p_partkey bigint"),
+        "orders": ([*((i, i % 5) for i in range(20)), (3, 4), (None, 1), (7, None)], "o_orderkey bigint, o_custkey bigint"),
+        "lineitem": ([*((i % 25, i % 9) for i in range(90)), (None, 2), (4, None)], "l_orderkey bigint, l_partkey bigint"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    exchanges = lambda edges: [x for _, x in plan_lines(edges) if "hashpartitioning(l_orderkey" in x and "REPARTITION" in x]
+    _, edges = purchases(spark, str(tmp_path))
+    expected = sorted(map(str, edges.collect()))
+    assert not exchanges(edges) and len(expected) == 2 * (75 + 4 + 4 + 1)
+    monkeypatch.setattr(state, "TASK_ROWS", 10)
+    _, edges = purchases(spark, str(tmp_path))
+    assert len(exchanges(edges)) == 2 and all(", 10), REPARTITION" in x for x in exchanges(edges))
+    assert sorted(map(str, edges.collect())) == expected
