@@ -22,7 +22,7 @@ from .pair_merge import byte_letters
 from .pretokens import chunks
 from .recent import Recent
 from .slices import distinct, joined, per_text
-from .workers import map_arrow
+from .workers import give_back, map_arrow
 
 # Words whose ids a worker keeps.
 CACHED = 400_000
@@ -31,6 +31,10 @@ CACHED_LENGTH = 48
 # Tokens that are packed together; a single longer document makes a larger group.
 GROUP_TOKENS = 1 << 22
 
+# Tokens and pieces that leave a task at once.
+BATCH_TOKENS = 1 << 18
+BATCH_PIECES = 4096
+
 _PUNCTUATION = b".,;:!?|*%&$#()"
 
 # Letters up to U+00FF, which neither normalising nor lower-casing joins with their neighbours.
@@ -208,28 +212,36 @@ def pack(
                 return
             lengths = [len(x) for x in documents]
             pieces = assign(lengths, capacity)
-            of = pa.array([p.document for p in pieces], pa.int64())
-            ids = [documents[p.document][p.start : p.start + p.length].tobytes() for p in pieces]
-            columns = [
-                pa.concat_arrays(keys).take(of),
-                pa.array([p.start for p in pieces], pa.int64()),
-                pa.array([p.length for p in pieces], pa.int64()),
-                pa.array(ids, pa.binary()),
-                pa.array(lengths, pa.int64()).take(of),
-                pa.array([next_id + p.sequence for p in pieces], pa.int64()),
-                pa.array([p.offset for p in pieces], pa.int64()),
-            ]
+            own_keys, own_lengths = pa.concat_arrays(keys), pa.array(lengths, pa.int64())
+            first = 0
+            while first < len(pieces):  # only one batch's ids are there twice
+                last, tokens = first, 0
+                while last < len(pieces) and last - first < BATCH_PIECES and tokens < BATCH_TOKENS:
+                    tokens += pieces[last].length
+                    last += 1
+                some = pieces[first:last]
+                of = pa.array([p.document for p in some], pa.int64())
+                ids = [documents[p.document][p.start : p.start + p.length].tobytes() for p in some]
+                columns = [
+                    own_keys.take(of),
+                    pa.array([p.start for p in some], pa.int64()),
+                    pa.array([p.length for p in some], pa.int64()),
+                    pa.array(ids, pa.binary()),
+                    own_lengths.take(of),
+                    pa.array([next_id + p.sequence for p in some], pa.int64()),
+                    pa.array([p.offset for p in some], pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+                first = last
             next_id += 1 + max(p.sequence for p in pieces)
             keys.clear()
             documents.clear()
             total = 0
-            whole = pa.RecordBatch.from_arrays(columns, schema.names)
-            for at in range(0, len(whole), 4096):
-                yield whole.slice(at, 4096)
+            give_back()
 
         for batch in batches:
             for a, b, texts in chunks(batch.column(1), 1 << 20):
-                keys.append(batch.column(0).slice(a, b - a))
+                keys.append(batch.column(0).take(pa.array(np.arange(a, b))))  # a slice would keep the batch's texts
                 new = [np.concatenate([x, end]) for x in own.encode(texts)]
                 documents += new
                 total += sum(map(len, new))

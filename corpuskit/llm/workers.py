@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import zipfile
@@ -39,9 +40,28 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def give_back() -> None:
+    """Return to the system what Arrow's pool and malloc hold but nothing uses."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; others have none
+    if trim:
+        trim(0)
+
+
 def map_arrow(
     df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType
 ) -> DataFrame:
-    """`df.mapInArrow`, with this package on the executors' path."""
+    """`df.mapInArrow`, with this package on the executors' path.
+
+    A worker gives back what a task has left free: Spark keeps it for a minute,
+    and a step that has no Python runs beside it.
+    """
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def returned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(returned, schema)

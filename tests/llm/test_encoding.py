@@ -1,16 +1,20 @@
 """Encoding, counting and packing against the public libraries."""
 
 import random
+import re
 import zlib
 from collections import defaultdict
+from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from corpuskit.llm import byte_bpe, packing, pair_merge, pretokens, slices, token_count
+from corpuskit.llm import byte_bpe, packing, pair_merge, pretokens, slices, token_count, workers
 
 PARTS = (
     ["a", "s", "t", "re", "ll", "d", "'", " ", "  ", "\n", "\t", "1", "٣", "é", "ß", "!", "?", "中", "　", "́"]
@@ -185,3 +189,65 @@ def test_pack_keeps_every_id(odd_documents):
         places[r.sequence_id].append((r.offset, r.length))
     for runs in places.values():
         assert sorted(runs)[0][0] == 0 and sum(n for _, n in runs) <= 4096
+
+
+def in_one_task(monkeypatch, documents, **options):
+    """The batches that `packing.pack` makes of these documents in one task."""
+    made = []
+    monkeypatch.setattr(packing, "map_arrow", lambda df, run, schema: made.append(run))
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    packing.pack(documents, **options)
+    return made[0]
+
+
+def test_packed_ids_leave_a_task_in_small_batches(monkeypatch, documents):
+    texts = pa.array([f"w{i} " * (1 + i * 37 % 6000) for i in range(600)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(600), pa.int64()), texts], ["doc_id", "text"])
+    out = list(in_one_task(monkeypatch, documents([]))([batch]))
+    assert sum(len(b) for b in out) >= 600
+    ids = [sum(b.column(2).to_pylist()) for b in out]
+    assert sum(ids) > 4 * packing.BATCH_TOKENS
+    assert max(ids) < packing.BATCH_TOKENS + 4096
+
+
+def test_keys_that_wait_do_not_keep_their_texts(monkeypatch, documents):
+    def batches():
+        for i in range(40):
+            columns = [pa.array(range(100 * i, 100 * i + 100), pa.int64()), pa.array([f"{i} " + "\n" * 40_000] * 100)]
+            made = pa.RecordBatch.from_arrays(columns, ["doc_id", "text"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, made.schema) as stream:
+                stream.write_batch(made)
+            source = pa.BufferReader(sink.getvalue())
+            del columns, made, sink
+            yield pa.ipc.open_stream(source).read_next_batch()
+            held.append(pa.total_allocated_bytes())
+
+    held = []
+    list(in_one_task(monkeypatch, documents([]))(batches()))
+    assert max(held) - min(held) < 40e6  # all texts are 160 MB
+
+
+def own_memory():
+    """MB of this process, without mapped files."""
+    rollup = Path("/proc/self/smaps_rollup").read_text()
+    return int(re.search(r"\nPss_Anon:\s+(\d+)", rollup)[1]) / 1024
+
+
+@pytest.mark.skipif(not Path("/proc/self/smaps_rollup").exists(), reason="memory can't be read here")
+def test_a_worker_gives_back_what_a_task_leaves_free(monkeypatch):
+    pinned = []
+
+    def run(batches):
+        yield from batches
+        some = [np.ones(8_000) for _ in range(5_000)]
+        pinned.append(some[-1])  # behind the others
+        rose.append(own_memory())
+
+    rose = []
+    monkeypatch.setattr(workers, "ship", lambda spark: None)
+    task = workers.map_arrow(SimpleNamespace(sparkSession=None, mapInArrow=lambda run, schema: run), run, None)
+    before = own_memory()
+    assert list(task([])) == []
+    assert rose[0] - before > 250
+    assert own_memory() - before < 60
