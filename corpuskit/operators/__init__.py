@@ -1,7 +1,7 @@
 """DataFrame operators."""
 
 from .bigrams import bigram_counts, bigram_relfreq, bigram_stripes
-from .classifier import batch_of, batch_step, classify, deal, ensemble, score, train_batches, train_gradient, union_sets, with_counts
+from .classifier import batch_of, batch_step, classify, deal, ensemble, in_blocks, score, train_batches, train_gradient, union_sets, with_counts
 from .cooccurrence import (
     Vocabulary,
     frequent_filter,
@@ -65,6 +65,7 @@ __all__ = [
     "fetch",
     "frequent_filter",
     "graph_stats",
+    "in_blocks",
     "inverted_index",
     "line_df",
     "line_total",

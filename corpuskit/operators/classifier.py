@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import classified, sigmoid
-from ..sources.state import cut, fresh_path
+from ..sources.state import bucket_keys, bucketed, cut, fresh_path, joined_as_dealt, tasks_for
 
 # Learning rate, positive label, ensemble methods.
 DELTA = 0.002
@@ -70,6 +70,37 @@ def with_counts(instances: DataFrame) -> DataFrame:
     return instances.withColumn("counts", counts).drop("features")
 
 
+def in_blocks(instances: DataFrame) -> DataFrame:
+    """Instances with `counts` and `block`, a stored table in buckets by it; all rows of a document are in one block.
+
+    There are as many blocks as bound the counts in one. A block asks for the
+    weights of its features once, however many of its documents have them, so
+    that weights go to the documents and no occurrence is shuffled.
+    """
+    if "block" in instances.columns:
+        return instances
+    spark = instances.sparkSession
+    rows = instances if "counts" in instances.columns else cut(with_counts(instances), "instances")
+    n = rows.filter(F.size("counts") > 0).agg(F.sum(F.size("counts"))).first()[0] or 0
+    least = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    blocks = tasks_for(spark, n, least)
+    number = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int")
+    block = F.get(F.array(*map(F.lit, bucket_keys(spark, blocks))), number)
+    named = rows.withColumn("block", block.alias("block", metadata={"blocks": blocks}))
+    return bucketed(named, "blocks", ["block"], blocks, ordered=False)
+
+
+def _blocks(rows: DataFrame) -> int:
+    """How many blocks rows of `in_blocks` are in."""
+    return rows.schema["block"].metadata["blocks"]
+
+
+def _sent_to_blocks(rows: DataFrame, weights: DataFrame) -> DataFrame:
+    """(block, the weights' columns): the weights of the features in each block of the rows, dealt out like these."""
+    asked = _each_count(rows, "block").select("block", "feature").distinct()
+    return asked.join(weights, "feature").repartition(_blocks(rows), "block")
+
+
 def _learned_from(instances: DataFrame) -> DataFrame:
     """The instances that have features, with `counts`."""
     column = "counts" if "counts" in instances.columns else "features"
@@ -137,41 +168,52 @@ def batch_of(key: str | Column, seed: Column, batches: int) -> Column:
     return F.conv(F.substring(digest, 1, 7), 16, 10).cast("bigint") % batches
 
 
-def deal(instances: DataFrame, batches: int, seeds: Sequence[int]) -> DataFrame:
+def deal(instances: DataFrame, batches: int, seeds: Sequence[int], whole: bool = False) -> DataFrame:
     """(model, doc_id, y, feature, n, batch): how often a document has a feature, for each seed, stored by batch.
 
     The batch of a document in each seed's order and the occurrences of its
     features are worked out once; a batch is a folder, which is all that a step
     on it reads. A folder has a row per document, with its counts and the models
-    that it trains there; they become rows when it is read. Documents without features have nothing to learn from.
+    that it trains there; they become rows when it is read, or with `whole` stay
+    as they are: (doc_id, y, counts, models, batch, block), in the blocks of the
+    instances. Documents without features have nothing to learn from.
     """
     spark = instances.sparkSession
     seeds = [int(s) for s in seeds]
     dealt = F.array(*(batch_of("doc_id", F.lit(s), batches).cast("int") for s in seeds))
-    rows = _learned_from(instances)
-    rows = rows.select("doc_id", _is_spam().cast("double").alias("y"), dealt.alias("_dealt"), "counts")
+    rows = in_blocks(instances) if whole else instances
+    block = ["block"] if whole else []
+    rows = _learned_from(rows)
+    rows = rows.select("doc_id", _is_spam().cast("double").alias("y"), dealt.alias("_dealt"), "counts", *block)
     # a document goes once to each batch that it has for any seed
     named = F.arrays_zip(F.array(*map(F.lit, seeds)).alias("model"), F.col("_dealt").alias("batch"))
-    rows = rows.select("doc_id", "y", "counts", named.alias("_named"), F.explode(F.array_distinct("_dealt")).alias("batch"))
+    rows = rows.select("doc_id", "y", "counts", named.alias("_named"), F.explode(F.array_distinct("_dealt")).alias("batch"), *block)
     of_batch = F.filter("_named", lambda s: s["batch"] == F.col("batch"))
-    whole = rows.select("doc_id", "y", "counts", F.transform(of_batch, lambda s: s["model"]).alias("models"), "batch")
+    models = F.transform(of_batch, lambda s: s["model"]).alias("models")
+    rows = rows.select("doc_id", "y", "counts", models, "batch", *block)
+    if whole:
+        return bucketed(rows, "batches", block, _blocks(rows), folders=["batch"], ordered=False)
     path = fresh_path(spark, "batches")
-    whole.write.partitionBy("batch").parquet(path)
-    stored = spark.read.schema(whole.schema).parquet(path)
+    rows.write.partitionBy("batch").parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path)
     each = stored.select("doc_id", "y", "models", "batch", F.explode("counts").alias("_c"))
     return each.select(F.explode("models").alias("model"), "doc_id", "y", "_c.feature", "_c.n", "batch")
 
 
 def batch_step(
-    rows: DataFrame, weights: DataFrame | None, delta: float = DELTA, by: Sequence[str] = ("model",)
+    rows: DataFrame, weights: DataFrame | None, delta: float = DELTA, by: Sequence[str] = ("model",), seeds: Sequence[int] | None = None
 ) -> DataFrame:
     """The weights (by..., feature, weight) after a step on rows (by..., doc_id, y, feature, n), which are read once.
 
     Features meet their weights, a document's parts are added up beside its rows,
     and its error goes back to its features. The weights, a stored table, are
     read twice; against it AQE can split the occurrences of a feature that most
-    documents have.
+    documents have. With `seeds`, rows are whole (see `deal`) and the weights, a
+    stored table, have a row per feature and a column for each seed, null where
+    it has not met the feature.
     """
+    if seeds is not None:
+        return _block_step(rows, weights, delta, seeds)
     keys = [*by, "feature"]
     if weights is None:  # every probability is one half
         scored = rows.withColumn("_e", F.col("y") - 0.5)
@@ -186,6 +228,40 @@ def batch_step(
     return step.groupBy(*keys).agg(F.sum("weight").alias("weight"))
 
 
+def _of_model(i: int) -> str:
+    return f"_w{i}"
+
+
+def _block_step(rows: DataFrame, weights: DataFrame | None, delta: float, seeds: Sequence[int]) -> DataFrame:
+    """`batch_step` on whole rows, for all seeds at once.
+
+    Each block gets the weights of its features, its documents' sums are made
+    there and go no further, and errors are added up by feature in the block
+    before they are shuffled.
+    """
+    names = [_of_model(i) for i in range(len(seeds))]
+
+    def times(seed: int) -> Column:
+        return F.size(F.filter("models", lambda m: m == seed))
+
+    errors = [(times(s), F.lit(0.5)) for s in seeds]
+    scored = rows
+    if weights is not None:
+        each = _each_count(rows, "block", "doc_id").join(_sent_to_blocks(rows, weights), ["block", "feature"])
+        sums = each.groupBy("block", "doc_id").agg(*(F.sum(F.col("n") * F.col(c)).alias(c) for c in names))
+        sums = sums.withColumnsRenamed({"block": "_block", "doc_id": "_doc_id"})
+        same = (F.col("block") == F.col("_block")) & F.col("doc_id").eqNullSafe(F.col("_doc_id"))
+        scored = rows.join(sums, same, "left")
+        errors = [(times(s), sigmoid(times(s) * F.coalesce(c, F.lit(0.0)))) for s, c in zip(seeds, names, strict=True)]
+    step = [F.when(t > 0, t * (F.col("y") - p) * delta).alias(c) for (t, p), c in zip(errors, names, strict=True)]
+    scored = scored.select("counts", *step)
+    step = _each_count(scored, *names).select("feature", *((F.col("n") * F.col(c)).alias(c) for c in names))
+    if weights is not None:
+        step = weights.unionByName(step)
+    with joined_as_dealt(rows.sparkSession):
+        return cut(step.groupBy("feature").agg(*(F.sum(c).alias(c) for c in names)), "weights")
+
+
 def train_batches(
     instances: DataFrame, batches: int, seeds: Sequence[int] = (0,), delta: float = DELTA
 ) -> DataFrame:
@@ -197,17 +273,17 @@ def train_batches(
     updated on the way through the data; neither it nor the model depends on the
     size of the data or the cluster. All seeds, which name the models, train in
     the same jobs. Instances are dealt to folders first (`deal`), so each row is
-    read in the step of its batch only.
+    read in the step of its batch only, and lie in blocks there (`in_blocks`).
     """
     if batches < 1:
         raise ValueError("batches must be at least 1")
-    rows = deal(instances, batches, seeds)
-    weights = None
+    rows = deal(instances, batches, seeds, whole=True)
+    models, weights = list(dict.fromkeys(int(s) for s in seeds)), None
     for i in range(batches):
-        weights = batch_step(rows.filter(F.col("batch") == i), weights, delta)
-        if i < batches - 1:
-            weights = cut(weights, "weights")
-    return weights
+        weights = batch_step(rows.filter(F.col("batch") == i), weights, delta, seeds=models)
+    each = [F.struct(F.lit(s).alias("model"), F.col(_of_model(i)).alias("weight")) for i, s in enumerate(models)]
+    one = weights.select("feature", F.explode(F.array(*each)).alias("_m"))
+    return one.select("_m.model", "feature", "_m.weight").filter(F.col("weight").isNotNull())
 
 
 def _matched(
@@ -230,12 +306,30 @@ def score(instances: DataFrame, model: DataFrame) -> DataFrame:
     count it so; documents times models rows are never made. Occurrences are
     counted in the row first, without a shuffle. The model joins as it is: broadcast if Spark
     finds it small, else shuffled, where AQE splits a hot feature as long as the
-    model is a stored table.
+    model is a stored table. Instances of `in_blocks` stay where they are: the
+    models' weights go to the blocks, and the scores are a stored table.
     """
+    if "block" in instances.columns:
+        return _scored_in_blocks(instances, model)
     known = _matched(instances, model, ["doc_id", "label"])
     return known.groupBy("doc_id", "label", "model").agg(F.sum("_part").alias("score"))
 
 
+def _scored_in_blocks(instances: DataFrame, model: DataFrame) -> DataFrame:
+    """`score` of instances in blocks; a feature's weights for all models go to a block together."""
+    rows = instances.filter(F.size("counts") > 0)
+    weighed = model.groupBy("feature").agg(F.collect_list(F.struct("model", "weight")).alias("_m"))
+    weighed = weighed.select("feature", F.col("_m.model").alias("_models"), F.col("_m.weight").alias("_weights"))
+    each = _each_count(rows, "block", "doc_id", "label").join(_sent_to_blocks(rows, weighed), ["block", "feature"])
+    of_models = F.explode(F.arrays_zip(F.col("_models").alias("model"), F.col("_weights").alias("weight"))).alias("_m")
+    parts = each.select("block", "doc_id", "label", "n", of_models)
+    scores = parts.groupBy("block", "doc_id", "label", F.col("_m.model").alias("model")).agg(
+        F.sum(F.col("n") * F.col("_m.weight")).alias("score")
+    )
+    with joined_as_dealt(instances.sparkSession):
+        return cut(scores.drop("block"), "scores")
+
+
 def classify(scores: DataFrame) -> DataFrame:
     """Scores with the prediction: spam above 0, else ham."""
     return scores.withColumn("prediction", classified("score"))

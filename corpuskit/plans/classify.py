@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..sources import cut
+from ..sources.state import passing
 from .tables import SQL_INSTANCES, labelled
 
 SEEDS = list(range(10))
@@ -88,8 +89,10 @@ def _batches(spark, sf):
 
 def _shuffled_quality(spark, sf):
     """1-ROCA% over ten shuffled orders, all trained in the same jobs, one model per order."""
-    instances = _stored(spark, sf)
-    models = cut(op.train_batches(instances, BATCHES, SEEDS), "models")
+    with passing(spark, keep=("blocks",)):
+        instances = op.in_blocks(_stored(spark, sf))
+    with passing(spark, keep=("models",)):
+        models = cut(op.train_batches(instances, BATCHES, SEEDS), "models")
     scores = _rounded(op.score(instances, models), "score")
     quality = op.mean_over_runs(op.one_minus_roca(scores, ["model"], instances))
     for column in ("mean", "lowest", "highest"):

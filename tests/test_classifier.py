@@ -226,3 +226,46 @@ def test_counted_instances_train_and_score_alike(spark):
         assert got == pytest.approx(want)
         batches = {(r.model, r.feature): r.weight for r in op.train_batches(some, 2, [1, 2]).collect()}
         assert {f for _, f in batches} == set(expected)
+
+
+@pytest.fixture
+def blocks(spark, monkeypatch):
+    """Instances with odd rows in five blocks."""
+    monkeypatch.setattr(classifier, "tasks_for", lambda spark, n, least: 5)
+    return op.in_blocks(op.with_counts(odd(spark)))
+
+
+def test_a_block_has_all_rows_of_its_documents(spark, blocks):
+    assert op.in_blocks(blocks) is blocks and len(blocks.inputFiles()) == 5
+    assert blocks.groupBy("doc_id").agg(F.count_distinct("block").alias("n")).filter("n > 1").isEmpty()
+    assert blocks.drop("block").exceptAll(op.with_counts(odd(spark))).isEmpty() and blocks.count() == odd(spark).count()
+
+
+def test_documents_in_blocks_train_and_score_alike(spark, blocks):
+    rows = op.deal(odd(spark), 2, [1, 2, 2])
+    expected = op.batch_step(rows.filter("batch = 1"), cut(op.batch_step(rows.filter("batch = 0"), None), "weights"))
+    got = op.train_batches(blocks, 2, [1, 2, 2])
+    both = [{(r.model, r.feature): r.weight for r in x.collect()} for x in (got, expected)]
+    assert both[0] == pytest.approx(both[1]) and len(both[0]) > 20
+    model = cut(got, "model")
+    scores = [{(r.doc_id, r.label, r.model): r.score for r in op.score(x, model).collect()} for x in (blocks, odd(spark))]
+    assert scores[0] == pytest.approx(scores[1]) and (None, "ham", 2) in scores[0]
+
+
+def test_weights_go_to_the_blocks_and_no_occurrence_is_shuffled(spark, blocks, monkeypatch):
+    model = cut(op.train_batches(blocks, 1, [1, 2]), "model")
+    written = []
+    monkeypatch.setattr(classifier, "cut", lambda df, name: written.append((name, plan_lines(df))) or cut(df, name))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        op.train_batches(blocks, 2, [1, 2])
+        op.score(blocks, model)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert [name for name, _ in written] == ["weights", "weights", "scores"]
+    for _, lines in written[1:]:
+        dealt = [x.partition("hashpartitioning(")[2] for _, x in lines if "Exchange hashpartitioning(" in x]
+        # once to the blocks, the weights; else by feature, and what is asked for has a row per block and feature
+        assert sum(x.startswith("block") for x in dealt) == 1 and all(x.startswith(("block", "feature")) for x in dealt)
+        assert any("HashAggregate(keys=[block" in x and "feature" in x for _, x in lines)

@@ -1,10 +1,15 @@
 import datetime as dt
+import os
+import re
+import time
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpuskit import operators as op
 from corpuskit import sources as src
+from corpuskit.sources import state
 
 
 def write(path, data):
@@ -229,3 +234,40 @@ def test_offsets_of_documents_without_source_or_text(spark, tmp_path):
         ("none", 0, 0): "#3", ("none", 0, 3): "c", ("x", 1, 0): "#5000", ("x", 1, 6): "d",
         ("x", -1, 0): "#", ("x", -1, 2): "e",
     }
+
+
+def test_what_is_stored_leaves_no_shuffles(spark, tmp_path):
+    def shuffled():
+        own = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {f for top in own for _, _, names in os.walk(top.getPath()) for f in names if re.match(r"shuffle_\d+_\d+_\d+\.data", f)}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    own = spark.conf.get(setting, None)
+    rows = spark.range(1000).repartition(7, "id")
+    rows.write.parquet(str(tmp_path / "plain"))
+    before = shuffled()
+    state.cut(rows, "rows")
+    state.bucketed(rows, "rows", ["id"], 3)
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.2)
+    assert before and shuffled() <= before and spark.conf.get(setting, None) == own
+
+
+def test_tables_that_are_passing_are_removed(spark):
+    rows = spark.range(5)
+    with state.passing(spark, keep=("kept",)):
+        with state.passing(spark):
+            inner = state.cut(rows, "inner")
+        kept, gone, table = state.cut(rows, "kept"), state.cut(rows, "gone"), state.bucketed(rows, "table", ["id"], 2)
+        assert gone.count() == table.count() == 5
+    assert kept.count() == 5
+    for df in (inner, gone, table):
+        assert not any(os.path.exists(f.removeprefix("file://").removeprefix("file:")) for f in df.inputFiles())
+
+
+def test_a_key_for_each_bucket(spark):
+    keys = state.bucket_keys(spark, 13)
+    rows = spark.createDataFrame([(k,) for k in keys], "key int").repartition(13, "key")
+    assert [r.p for r in rows.withColumn("p", F.spark_partition_id()).orderBy("p").collect()] == list(range(13))
