@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.state import TASK_ROWS, bucketed, cut, cut_counted, tasks_for
+from ..sources.state import TASK_ROWS, bucketed, cut, cut_counted, passing, tasks_for
 from .skew import PIECE, default_pieces, piece_of
 
 
@@ -42,6 +42,9 @@ def message_counts(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 # Links of one node in a slot; a node with more has several.
 PER_SLOT = 1 << 16
 
+# Cells of nodes that edges are counted in first.
+CELLS = 1 << 16
+
 
 @dataclass(frozen=True)
 class Graph:
@@ -65,10 +68,13 @@ def prepare(nodes: DataFrame, edges: DataFrame, strict: bool = False, per_slot:
     Links are written to the session's shared folder in buckets by (src, slot),
     so iterations join them as they lie and only ranks and arrivals move; slots
     of about `per_slot` links keep a hub from filling one bucket. There are as
-    many buckets as bound the links in one. `repeated_nodes`
+    many buckets as bound the links in one. An edge is shuffled three times, by
+    source, target and slot, each time from a table to the next, and only the
+    last table stays. `repeated_nodes`
     lists nodes that come more than once; they count once, or with `strict` raise
     an error in the job that reads them.
     """
+    spark = nodes.sparkSession
     if strict:
         counted = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
         message = F.concat(F.lit("node is listed more than once: "), F.col("node").cast("string"))
@@ -76,36 +82,64 @@ def prepare(nodes: DataFrame, edges: DataFrame, strict: bool = False, per_slot:
         once = once.select(F.col("node").cast(nodes.schema["node"].dataType).alias("node"))
     else:
         once = nodes.select("node").distinct()
-    nodes, n_nodes = cut_counted(once, "nodes")
-    # stored first, so that a task counts a bounded number of them, where their source is added up too
-    stored, n = cut_counted(edges.select("src", "dst"), "edges")
-    buckets = tasks_for(stored.sparkSession, n)
+    with passing(spark, keep=("nodes", "hubs", "links")):
+        nodes, n_nodes = cut_counted(once, "nodes")
+        with passing(spark, keep=("nodes", "hubs", "met", "active")):
+            with passing(spark, keep=("nodes", "pairs")):
+                # stored first, so that a task counts a bounded number of them, where their source is added up too
+                stored, n = cut_counted(edges.select("src", "dst"), "edges")
+                buckets = tasks_for(spark, n)
+                pairs = _pairs(stored, buckets)
+            met, active, hubs = _met(pairs, nodes, buckets, per_slot, apart=n_nodes > TASK_ROWS)
+        links = bucketed(_links(met, active, nodes, hubs), "links", ["src", "slot"], buckets)
+    return Graph(nodes, links, hubs)
+
+
+def _pairs(edges: DataFrame, buckets: int) -> DataFrame:
+    """(src, piece, dst, _m), a stored table in buckets by (src, piece): how often each edge is there.
+
+    Only nodes that might fill a task are in pieces, any others would have a
+    part in nearly as many as they have links. Such nodes are looked for in the
+    cells that have many edges.
+    """
+    known = edges.filter(F.col("src").isNotNull())
+    most, cell = TASK_ROWS // 4, F.xxhash64("src").bitwiseAND(F.lit(CELLS - 1)).alias("_cell")
+    cells = cut(known.groupBy(cell).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most).select("_cell"), "cells")
+    large = known.select("src", cell).join(cells, "_cell", "left_semi").groupBy("src").agg(F.count(F.lit(1)).alias("_n"))
+    large = cut(large.filter(F.col("_n") > most).select("src", F.lit(True).alias("_large")), "large")
+    piece = F.when(F.col("_large"), piece_of(["dst"], default_pieces(edges))).otherwise(F.lit(0)).cast("int")
+    spread = ["src", PIECE]
+    dealt = known.join(large, "src", "left").select("src", piece.alias(PIECE), "dst").repartition(buckets, *spread)
+    return bucketed(dealt.groupBy(*spread, "dst").agg(F.count(F.lit(1)).alias("_m")), "pairs", spread, buckets)
+
+
+def _met(pairs: DataFrame, nodes: DataFrame, buckets: int, per_slot: int, apart: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(src, dst, w, slot), a stored table with dst and slot 0 where the target is no node; (src) with edges; (node, slots) of hubs."""
     spread = ["src", PIECE]
-    dealt = stored.withColumn(PIECE, piece_of(["dst"], default_pieces(stored))).repartition(buckets, *spread)
-    counted = dealt.groupBy(*spread, "dst").agg(F.count(F.lit(1)).alias("_m"))
-    pairs = bucketed(counted, "pairs", spread, buckets)
     parts = pairs.groupBy(*spread).agg(F.sum("_m").alias("_deg"), F.count(F.lit(1)).alias("_n")).repartition(buckets, "src")
     of_source = Window.partitionBy("src")
-    totals = parts.select(*spread, *(F.sum(c).over(of_source).alias(c) for c in ("_deg", "_n")))
-    weighed = pairs.join(totals, spread)
+    totals = cut(parts.select(*spread, *(F.sum(c).over(of_source).alias(c) for c in ("_deg", "_n"))), "totals")
     own_slots = F.ceil(F.col("_n") / per_slot).cast("int")
-    weighed = cut(weighed.select("src", "dst", (F.col("_m") / F.col("_deg")).alias("w"), own_slots.alias("_own")), "weighed")
-    hubs = cut(weighed.filter("_own > 1").select(F.col("src").alias("node"), F.col("_own").alias("slots")).distinct(), "hubs")
+    hubs = totals.filter(own_slots > 1).select(F.col("src").alias("node"), own_slots.alias("slots")).distinct()
+    hubs, active = cut(hubs, "hubs"), cut(totals.select("src").distinct(), "active")
+    slot = F.pmod(F.xxhash64("dst"), own_slots).cast("int").alias("slot")
+    weighed = pairs.join(totals, spread).select("src", "dst", (F.col("_m") / F.col("_deg")).alias("w"), slot)
     # too many nodes to be broadcast: the links meet them in tasks that are bounded too
-    met = weighed.repartition(buckets, "dst") if n_nodes > TASK_ROWS else weighed
-    known = met.join(nodes.withColumnRenamed("node", "dst"), "dst", "left_semi")
-    known = known.join(hubs.withColumnRenamed("node", "dst"), "dst", "left").select(
-        "src",
-        F.pmod(F.xxhash64("dst"), F.col("_own")).cast("int").alias("slot"),
-        "dst",
-        "w",
-        F.coalesce("slots", F.lit(1)).alias("slots"),
+    weighed = weighed.repartition(buckets, "dst") if apart else weighed
+    there = nodes.select(F.col("node").alias("dst"), F.lit(True).alias("_there"))
+    found = weighed.join(there, "dst", "left").select(
+        "src", F.when(F.col("_there"), F.col("dst")).alias("dst"), "w", F.when(F.col("_there"), F.col("slot")).otherwise(F.lit(0)).alias("slot")
     )
-    unknown = met.join(nodes.withColumnRenamed("node", "dst"), "dst", "left_anti")
-    nowhere = [F.lit(0).alias("slot"), F.lit(None).cast(weighed.schema["dst"].dataType).alias("dst")]
+    return cut(found, "met"), active, hubs
+
+
+def _links(met: DataFrame, active: DataFrame, nodes: DataFrame, hubs: DataFrame) -> DataFrame:
+    """(src, slot, dst, w, slots), see `Graph`."""
+    known = met.filter(F.col("dst").isNotNull()).join(hubs.withColumnRenamed("node", "dst"), "dst", "left")
+    known = known.select("src", "slot", "dst", "w", F.coalesce("slots", F.lit(1)).alias("slots"))
+    nowhere = [F.lit(0).alias("slot"), F.lit(None).cast(met.schema["dst"].dataType).alias("dst")]
     no_slots = F.lit(None).cast("int").alias("slots")
-    lost = unknown.groupBy("src").agg(F.sum("w").alias("w")).select("src", *nowhere, "w", no_slots)
-    dangling = nodes.withColumnRenamed("node", "src").join(parts, "src", "left_anti")
+    lost = met.filter(F.col("dst").isNull()).groupBy("src").agg(F.sum("w").alias("w")).select("src", *nowhere, "w", no_slots)
+    dangling = nodes.withColumnRenamed("node", "src").join(active, "src", "left_anti")
     dangling = dangling.select("src", *nowhere, F.lit(1.0).alias("w"), no_slots)
-    links = known.unionByName(lost).unionByName(dangling)
-    return Graph(nodes, bucketed(links, "links", ["src", "slot"], buckets), hubs)
+    return known.unionByName(lost).unionByName(dangling)

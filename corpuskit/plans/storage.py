@@ -19,7 +19,7 @@ from ..sources import (
     write_model,
     write_text,
 )
-from ..sources.state import fresh_path
+from ..sources.state import fresh_path, passing
 from ..sources.tables import TBL_SCHEMAS
 from . import graph, index, reports, text
 from .tables import (
@@ -150,7 +150,8 @@ def _keyed_table(spark, sf):
 def _resumed_ranks(spark, sf):
     """Two iterations saved, and the third one from the saved state."""
     path = fresh_path(spark, "states")
-    graph.ranks_after(spark, sf, 2, save_to=path)
+    with passing(spark):  # the states are all that the later run has of the earlier
+        graph.ranks_after(spark, sf, 2, save_to=path)
     return graph.single(graph.ranks_after(spark, sf, 3, start=2, save_to=path))
 
 

@@ -235,3 +235,35 @@ def test_line_items_meet_orders_in_as_many_tasks_as_bound_them(spark, tmp_path,
     _, edges = purchases(spark, str(tmp_path))
     assert len(exchanges(edges)) == 2 and all(", 10), REPARTITION" in x for x in exchanges(edges))
     assert sorted(map(str, edges.collect())) == expected
+
+
+def test_only_a_large_node_is_in_pieces(spark, monkeypatch):
+    from corpuskit.operators import graph as module
+
+    edges = spark.range(600).select(F.when(F.col("id") < 400, 1).otherwise(F.col("id") % 9).alias("src"), (F.col("id") % 70).alias("dst"))
+    counts = {(r.src, r.dst): r.n for r in edges.groupBy("src", "dst").agg(F.count("*").alias("n")).collect()}
+    monkeypatch.setattr(module, "TASK_ROWS", 4 * 100)
+    pairs = module._pairs(edges.union(spark.createDataFrame([(None, 3)], edges.schema)), 5)
+    assert {(r.src, r.dst): r._m for r in pairs.collect()} == counts
+    pieces = {r.src: r.n for r in pairs.groupBy("src").agg(F.count_distinct("_piece").alias("n")).collect()}
+    assert pieces.pop(1) == 4 and set(pieces.values()) == {1}
+
+
+def test_the_parts_of_a_prepared_graph_are_all_that_stays(tables, spark):
+    from corpuskit.sources import state
+
+    begun = len(state._written.get(spark.sparkContext.applicationId, []))
+    graph = op.prepare(*tables(), per_slot=2)
+    stays = state._written[spark.sparkContext.applicationId][begun:]
+    assert sorted(path.rsplit("/", 1)[-1].rsplit("-", 1)[0] for path, _ in stays) == ["hubs", "links", "nodes"]
+    assert graph.links.count() and graph.hubs.count() == 0
+
+
+def test_an_earlier_run_leaves_its_states_only(spark):
+    from corpuskit.plans import QUERIES
+    from corpuskit.sources import state
+
+    begun = len(state._written.get(spark.sparkContext.applicationId, []))
+    ranks = QUERIES["ppr_resumed"](spark, "/root/testdata/sf0.001")
+    left = [path.rsplit("/", 1)[-1].rsplit("-", 1)[0] for path, _ in state._written[spark.sparkContext.applicationId][begun:]]
+    assert sorted(left) == ["home", "hubs", "links", "nodes"] and ranks.count()
